@@ -13,8 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.operators import enrich, marts
-from martforge.sources import tpch
+from martforge.operators import conform, enrich, marts
+from martforge.session import shared_dir
+from martforge.sources import drops, files as fsrc, tpch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +101,27 @@ def q_daily_products_per_customer(spark, sf_dir):
     return marts.daily_products_per_customer(tpch.sales_fact(spark, sf_dir))
 
 
+def ingest_derived_drops(spark: SparkSession, sf_dir: str):
+    """Write the canonical fact as three CSV drops (fresh folder in the
+    shared checkpoint dir), then route and ingest them like a landing
+    folder: SRC-1..4, FLT-1/4/5, PRJ-1, SET-1, SCL-4, SNK-11."""
+    root = shared_dir(spark, "drops")
+    drops.derived_drops(tpch.sales_fact(spark, sf_dir), root)
+    routing = conform.route_files(fsrc.manifest(spark, root))
+    return conform.ingest(spark, routing)
+
+
+def q_csv_drop_union(spark, sf_dir):
+    ing = ingest_derived_drops(spark, sf_dir)
+    return _doubles(ing.sales.drop("source_file"), "price", "total_cost")
+
+
+def q_csv_drop_routing(spark, sf_dir):
+    ing = ingest_derived_drops(spark, sf_dir)
+    quarantined = conform.quarantined_lines(spark, ing.routing)
+    return conform.routing_summary(ing.routing, ing, quarantined)
+
+
 QUERIES: dict[str, Query] = {
     "conformed_sales": q_conformed_sales,
     "enriched_sales": q_enriched_sales,
@@ -115,4 +137,6 @@ QUERIES: dict[str, Query] = {
     "top_seller_per_store_month": q_top_seller_per_store_month,
     "incentive_report": q_incentive_report,
     "daily_products_per_customer": q_daily_products_per_customer,
+    "csv_drop_union": q_csv_drop_union,
+    "csv_drop_routing": q_csv_drop_routing,
 }

@@ -141,6 +141,30 @@ SELECT customer_id, sales_date, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
 FROM fact GROUP BY 1, 2"""),
 }
 
+PRICE = "CAST((2 * CAST(total_cost * 100 AS BIGINT) + quantity) // (2 * quantity) AS DOUBLE) / 100"
+DROP_COLS = ("customer_id, store_id, product_name, sales_date, sales_person_id, "
+             f"{PRICE} AS price, quantity, CAST(total_cost AS DOUBLE) AS total_cost")
+
+SQL["csv_drop_union"] = with_base(f"""
+SELECT {DROP_COLS}, CAST(NULL AS VARCHAR) AS additional_column
+FROM fact WHERE sales_date < DATE '1998-01-01'
+UNION ALL
+SELECT {DROP_COLS},
+       concat_ws(', ', CASE WHEN quantity > 25 THEN 'UPI' ELSE 'cash' END,
+                 CASE WHEN quantity >= 45 THEN 'Q' || CAST(quantity AS VARCHAR) END) AS additional_column
+FROM fact WHERE sales_date >= DATE '1998-01-01' AND sales_date < DATE '2000-01-01'""")
+
+SQL["csv_drop_routing"] = with_base("""
+SELECT 'clean' AS drop_name, 'accepted' AS reason, '' AS missing_columns, '' AS extra_columns,
+       COUNT(*) AS n_rows
+FROM fact WHERE sales_date < DATE '1998-01-01'
+UNION ALL
+SELECT 'extra', 'accepted', '', 'payment_mode,coupon', COUNT(*)
+FROM fact WHERE sales_date >= DATE '1998-01-01' AND sales_date < DATE '2000-01-01'
+UNION ALL
+SELECT 'missing', 'missing_columns', 'store_id', 'payment_mode', COUNT(*)
+FROM fact WHERE sales_date >= DATE '2000-01-01'""")
+
 # the window forms must give the same rows as the aggregate forms
 SQL["customer_monthly_window"] = SQL["customer_monthly"]
 SQL["sales_team_monthly_window"] = SQL["sales_team_monthly"]
