@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from martforge.operators import conform, enrich, marts
 from martforge.session import shared_dir
 from martforge.sources import drops, files as fsrc, tpch
+from martforge.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,6 +123,17 @@ def q_csv_drop_routing(spark, sf_dir):
     return conform.routing_summary(ing.routing, ing, quarantined)
 
 
+def q_incremental_ingest(spark, sf_dir):
+    """STR-1..3: the same drops ingested by an availableNow file stream,
+    one file per micro-batch; the union of all batch outputs."""
+    root = shared_dir(spark, "stream")
+    drops.derived_drops(tpch.sales_fact(spark, sf_dir), f"{root}/landing")
+    incremental.run_available(spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint",
+                              max_files_per_trigger=1)
+    out = incremental.read_output(spark, f"{root}/out").drop("source_file", "batch_id")
+    return _doubles(out, "price", "total_cost")
+
+
 QUERIES: dict[str, Query] = {
     "conformed_sales": q_conformed_sales,
     "enriched_sales": q_enriched_sales,
@@ -139,4 +151,5 @@ QUERIES: dict[str, Query] = {
     "daily_products_per_customer": q_daily_products_per_customer,
     "csv_drop_union": q_csv_drop_union,
     "csv_drop_routing": q_csv_drop_routing,
+    "incremental_ingest": q_incremental_ingest,
 }

@@ -165,6 +165,9 @@ UNION ALL
 SELECT 'missing', 'missing_columns', 'store_id', 'payment_mode', COUNT(*)
 FROM fact WHERE sales_date >= DATE '2000-01-01'""")
 
+# the stream must ingest exactly the rows of the batch ingest
+SQL["incremental_ingest"] = SQL["csv_drop_union"]
+
 # the window forms must give the same rows as the aggregate forms
 SQL["customer_monthly_window"] = SQL["customer_monthly"]
 SQL["sales_team_monthly_window"] = SQL["sales_team_monthly"]
