@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.operators import conform, enrich, marts
+from martforge.operators import conform, enrich, ledger, marts
+from martforge.sinks import writers
 from martforge.session import shared_dir
 from martforge.sources import drops, files as fsrc, tpch
 from martforge.streaming import incremental
@@ -134,6 +135,66 @@ def q_incremental_ingest(spark, sf_dir):
     return _doubles(out, "price", "total_cost")
 
 
+def q_unmatched_facts(spark, sf_dir):
+    """JN-4 report: facts an inner star join drops.  The dimensions are
+    stale snapshots: customers of the BUILDING segment and the stores
+    (nations) of region 0 are missing from them."""
+    dims = tpch.dimensions(spark, sf_dir)
+    customer = dims["customer"].where(F.col("address") != "BUILDING")
+    store = dims["store"].where(F.col("store_pincode") != "0")
+    miss = enrich.unmatched_facts(tpch.sales_fact(spark, sf_dir), customer, store,
+                                  dims["sales_team"], store_bounded=True)
+    return _doubles(miss, "price", "total_cost")
+
+
+def _ts_text(c: str):
+    return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss").alias(c)
+
+
+def q_ledger_state(spark, sf_dir):
+    """SNK-6/7 state: latest status per file identity."""
+    st = ledger.state(tpch.ledger_events(spark, sf_dir))
+    return st.select("file_name", "file_path", "length", _ts_text("modification_time"), "status",
+                     "run_id", _ts_text("created_ts"), _ts_text("updated_ts"), "n_events")
+
+
+def q_ledger_open_files(spark, sf_dir):
+    """SRC-7 / FLT-3 / JN-5 / AGG-4: listed files still open in the ledger."""
+    st = ledger.state(tpch.ledger_events(spark, sf_dir))
+    return ledger.open_files(tpch.landing_listing(spark, sf_dir), st)
+
+
+def q_ledger_pending(spark, sf_dir):
+    """T13/T16: listed files that still need work (new or still open)."""
+    st = ledger.state(tpch.ledger_events(spark, sf_dir))
+    pend = ledger.pending(tpch.landing_listing(spark, sf_dir), st)
+    return pend.select("path", "file_name", "length", _ts_text("modification_time"))
+
+
+def q_partitioned_mart_roundtrip(spark, sf_dir):
+    """SNK-2: the sales-team mart written partitioned by (sales_month,
+    store_id) and read back with a month filter (partition pruning)."""
+    path = shared_dir(spark, "sales_partitioned")
+    smart = marts.sales_team_mart(enriched(spark, sf_dir))
+    writers.write_partitioned(smart, path, ["sales_month", "store_id"], ["sales_person_id"])
+    back = spark.read.parquet(path).where(F.col("sales_month") >= "1999-01")
+    back = back.withColumn("store_id", F.col("store_id").cast("long"))
+    return _doubles(back, "total_cost")
+
+
+SNAPSHOT_RUN_ID = 1700000000000
+
+
+def q_snapshot_roundtrip(spark, sf_dir):
+    """SNK-4/5 + SCL-12: the monthly incentive mart published as run
+    ``SNAPSHOT_RUN_ID`` and read back from the snapshot root."""
+    base = shared_dir(spark, "snapshots")
+    inc = marts.sales_team_incentive(sales_team_monthly(spark, sf_dir))
+    writers.write_snapshot(inc, base, SNAPSHOT_RUN_ID)
+    back = writers.read_snapshot(spark, base).withColumn("run_id", F.col("run_id").cast("long"))
+    return _doubles(back, "total_sales", "incentive")
+
+
 QUERIES: dict[str, Query] = {
     "conformed_sales": q_conformed_sales,
     "enriched_sales": q_enriched_sales,
@@ -152,4 +213,10 @@ QUERIES: dict[str, Query] = {
     "csv_drop_union": q_csv_drop_union,
     "csv_drop_routing": q_csv_drop_routing,
     "incremental_ingest": q_incremental_ingest,
+    "unmatched_facts": q_unmatched_facts,
+    "ledger_state": q_ledger_state,
+    "ledger_open_files": q_ledger_open_files,
+    "ledger_pending": q_ledger_pending,
+    "partitioned_mart_roundtrip": q_partitioned_mart_roundtrip,
+    "snapshot_roundtrip": q_snapshot_roundtrip,
 }

@@ -168,6 +168,89 @@ FROM fact WHERE sales_date >= DATE '2000-01-01'""")
 # the stream must ingest exactly the rows of the batch ingest
 SQL["incremental_ingest"] = SQL["csv_drop_union"]
 
+FACT_COLS = ("customer_id, store_id, product_name, sales_date, sales_person_id, "
+             f"{PRICE} AS price, quantity, CAST(total_cost AS DOUBLE) AS total_cost, "
+             "CAST(NULL AS VARCHAR) AS additional_column")
+
+SQL["unmatched_facts"] = with_base(f"""
+SELECT 'customer' AS missing_dimension, {FACT_COLS} FROM fact f
+WHERE NOT EXISTS (SELECT 1 FROM dim_customer c
+                  WHERE c.customer_id = f.customer_id AND c.address <> 'BUILDING')
+UNION ALL
+SELECT 'store', {FACT_COLS} FROM fact f
+WHERE NOT EXISTS (SELECT 1 FROM nation n
+                  WHERE CAST(n.n_nationkey AS BIGINT) = f.store_id AND n.n_regionkey <> 0)
+UNION ALL
+SELECT 'sales_team', {FACT_COLS} FROM fact f
+WHERE NOT EXISTS (SELECT 1 FROM dim_sales_team t WHERE t.sales_person_id = f.sales_person_id)""")
+
+LEDGER_BASE = """
+WITH files AS (
+  SELECT 'drop_' || CAST(o_orderkey AS VARCHAR) || '.csv' AS file_name,
+         'landing/drop_' || CAST(o_orderkey AS VARCHAR) || '.csv' AS file_path,
+         o_orderkey + 1000 AS length,
+         CAST(o_orderdate AS TIMESTAMP) AS modification_time,
+         CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS run_id,
+         o_orderstatus, o_orderpriority
+  FROM orders
+),
+events AS (
+  SELECT file_name, file_path, length, modification_time, run_id,
+         'A' AS status, modification_time AS event_ts, 0 AS seq FROM files
+  UNION ALL
+  SELECT file_name, file_path, length, modification_time, run_id,
+         'I', modification_time + INTERVAL 1 DAY, 1 FROM files WHERE o_orderstatus IN ('F', 'P')
+  UNION ALL
+  SELECT file_name, file_path, length, modification_time, run_id,
+         'A', modification_time + INTERVAL 1 DAY, 2 FROM files WHERE o_orderstatus = 'P'
+),
+ranked AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY file_path, length, modification_time
+                               ORDER BY event_ts DESC, seq DESC) AS rn,
+         MIN(event_ts) OVER (PARTITION BY file_path, length, modification_time) AS created_ts,
+         MAX(event_ts) OVER (PARTITION BY file_path, length, modification_time) AS updated_ts,
+         COUNT(*) OVER (PARTITION BY file_path, length, modification_time) AS n_events
+  FROM events
+),
+state AS (SELECT * FROM ranked WHERE rn = 1),
+listing AS (
+  SELECT file_path AS path, file_name, length, modification_time FROM files
+  WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+)
+"""
+
+SQL["ledger_state"] = LEDGER_BASE.strip() + """
+SELECT file_name, file_path, length, strftime(modification_time, '%Y-%m-%d %H:%M:%S') AS modification_time,
+       status, run_id, strftime(created_ts, '%Y-%m-%d %H:%M:%S') AS created_ts,
+       strftime(updated_ts, '%Y-%m-%d %H:%M:%S') AS updated_ts, n_events
+FROM state"""
+
+SQL["ledger_open_files"] = LEDGER_BASE.strip() + """
+SELECT DISTINCT l.file_name FROM listing l
+JOIN state s ON l.path = s.file_path AND l.length = s.length
+            AND l.modification_time = s.modification_time
+WHERE s.status = 'A'"""
+
+SQL["ledger_pending"] = LEDGER_BASE.strip() + """
+SELECT l.path, l.file_name, l.length, strftime(l.modification_time, '%Y-%m-%d %H:%M:%S') AS modification_time
+FROM listing l
+WHERE NOT EXISTS (SELECT 1 FROM state s WHERE s.status = 'I' AND l.path = s.file_path
+                  AND l.length = s.length AND l.modification_time = s.modification_time)"""
+
+SQL["partitioned_mart_roundtrip"] = with_base("""
+SELECT * FROM (
+  SELECT store_id, sales_person_id, sales_person_first_name, sales_person_last_name,
+         store_manager_name, manager_id, is_manager, sales_person_address, sales_person_pincode,
+         sales_date, CAST(total_cost AS DOUBLE) AS total_cost,
+         substring(CAST(sales_date AS VARCHAR), 1, 7) AS sales_month
+  FROM enriched) m
+WHERE sales_month >= '1999-01'""")
+
+SQL["snapshot_roundtrip"] = with_base(f"""
+SELECT store_id, sales_person_id, full_name, sales_month, CAST(total_sales AS DOUBLE) AS total_sales,
+       {INCENTIVE} AS incentive, CAST(1700000000000 AS BIGINT) AS run_id
+FROM incentives""")
+
 # the window forms must give the same rows as the aggregate forms
 SQL["customer_monthly_window"] = SQL["customer_monthly"]
 SQL["sales_team_monthly_window"] = SQL["sales_team_monthly"]

@@ -143,3 +143,44 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "sales_team": sales_team_dim(spark, sf_dir),
         "product": product_dim(spark, sf_dir),
     }
+
+
+def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger events derived from ``orders`` (one drop file per order).
+
+    Fixed rule: every order's file is opened ('A', seq 0) on its order
+    date; orders with status F or P are closed ('I', seq 1) a day later;
+    status P files are re-opened at that same instant (seq 2), so their
+    latest state is decided by ``seq``.  ``length`` is o_orderkey + 1000.
+    """
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    name = F.concat(F.lit("drop_"), F.col("o_orderkey").cast("string"), F.lit(".csv"))
+    ts = F.col("o_orderdate").cast("timestamp")
+    base = o.select(
+        name.alias("file_name"),
+        F.concat(F.lit("landing/"), name).alias("file_path"),
+        (F.col("o_orderkey") + 1000).alias("length"),
+        ts.alias("modification_time"),
+        (F.year(ts) * 100 + F.month(ts)).cast("long").alias("run_id"),
+        "o_orderstatus", ts.alias("t0"))
+    later = F.col("t0") + F.expr("INTERVAL 1 DAY")
+    ev = F.array(
+        F.struct(F.lit("A").alias("status"), F.col("t0").alias("event_ts"), F.lit(0).alias("seq")),
+        F.when(F.col("o_orderstatus").isin("F", "P"),
+               F.struct(F.lit("I").alias("status"), later.alias("event_ts"), F.lit(1).alias("seq"))),
+        F.when(F.col("o_orderstatus") == "P",
+               F.struct(F.lit("A").alias("status"), later.alias("event_ts"), F.lit(2).alias("seq"))))
+    exploded = base.select("*", F.explode(F.filter(ev, lambda e: e.isNotNull())).alias("e"))
+    return exploded.select("file_name", "file_path", "length", "modification_time", "run_id",
+                           "e.status", "e.event_ts", "e.seq")
+
+
+def landing_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drop files still in the landing folder: those of urgent and
+    high-priority orders (a manifest: path, file_name, length, mtime)."""
+    o = table(spark, sf_dir, "orders").where(
+        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    name = F.concat(F.lit("drop_"), F.col("o_orderkey").cast("string"), F.lit(".csv"))
+    return o.select(F.concat(F.lit("landing/"), name).alias("path"), name.alias("file_name"),
+                    (F.col("o_orderkey") + 1000).alias("length"),
+                    F.col("o_orderdate").cast("timestamp").alias("modification_time"))
