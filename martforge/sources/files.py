@@ -29,15 +29,59 @@ MANIFEST_SCHEMA = "path string, file_name string, length long, modification_time
 
 
 def manifest(spark: SparkSession, landing: str | list[str], glob: str | None = None) -> DataFrame:
-    """SRC-1/2 + FLT-2: every file below ``landing`` (directories excluded)."""
+    """SRC-1/2 + FLT-2: every file below ``landing`` (directories excluded).
+
+    Spark's file scans plan no split for a zero-byte file, so those are
+    found separately from a metadata-only listing and added with length 0
+    (they must be quarantined, not silently ignored).
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     paths = [landing] if isinstance(landing, str) else list(landing)
-    df = reader.load(paths)
-    return df.select(
+    df = reader.load(paths).select(
         "path", basename("path").alias("file_name"), "length",
         F.col("modificationTime").alias("modification_time"))
+    empties = _zero_byte_files(paths, glob)
+    if not empties:
+        return df
+    extra = spark.createDataFrame(empties, "path string, length long, modification_time timestamp")
+    return df.unionByName(extra.select("path", basename("path").alias("file_name"),
+                                       "length", "modification_time"))
+
+
+def _zero_byte_files(paths: list[str], glob: str | None) -> list[tuple]:
+    """(uri, 0, mtime) of empty, non-hidden files below ``paths``."""
+    import datetime
+    import fnmatch
+    from urllib.parse import urlparse
+
+    from pyarrow import fs as pafs
+
+    out = []
+    for root in paths:
+        u = urlparse(root)
+        try:
+            if u.scheme in ("", "file"):
+                filesystem, base, prefix = pafs.LocalFileSystem(), u.path or root, "file:"
+            else:
+                filesystem, base = pafs.FileSystem.from_uri(root)
+                prefix = f"{u.scheme}://"
+            infos = filesystem.get_file_info(pafs.FileSelector(base, recursive=True))
+        except Exception:  # listing not possible from here: skip the check
+            continue
+        for info in infos:
+            name = info.base_name
+            if info.type != pafs.FileType.File or info.size != 0:
+                continue
+            rel = info.path[len(base):]
+            if name.startswith((".", "_")) or any(seg.startswith((".", "_")) for seg in rel.split("/")[:-1]):
+                continue
+            if glob and not fnmatch.fnmatch(name, glob):
+                continue
+            mtime = info.mtime or datetime.datetime.fromtimestamp(0, datetime.timezone.utc)
+            out.append((prefix + info.path, 0, mtime))
+    return out
 
 
 def split_by_extension(files: DataFrame, ext: str = ".csv") -> tuple[DataFrame, DataFrame]:

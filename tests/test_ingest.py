@@ -1,0 +1,98 @@
+"""Header routing, conform and union on hand-made CSV drops (T3-T7)."""
+import os
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from conftest import write_text
+from martforge.operators import conform
+from martforge.sources import files as fsrc
+
+HDR = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost"
+
+
+def _landing(tmp):
+    land = os.path.join(tmp, "landing")
+    write_text(f"{land}/clean.csv", HDR + "\n1,121,tea,2024-01-05,1,3.50,2,7.00\n2,122,rice,2024-02-01,5,12.00,1,12.00\n")
+    # extras in front and at the end; columns permuted
+    write_text(f"{land}/extra.csv",
+               "payment_mode,total_cost,quantity,price,sales_person_id,sales_date,product_name,store_id,customer_id,note\n"
+               "UPI,7.00,2,3.50,1,2024-01-06,tea,121,1,\n"
+               "cash,1.56,1,1.555,2,2024-01-07,salt,121,3,late\n")
+    write_text(f"{land}/missing.csv",
+               "customer_id,product_name,sales_date,sales_person_id,price,quantity,total_cost,payment_mode\n"
+               "1,tea,2024-01-05,\"[1, 2]\",3.50,2,7.00,cash\n")
+    write_text(f"{land}/wrongcase.csv", HDR.replace("price", "Price") + "\n1,121,tea,2024-01-05,1,3.50,2,7.00\n")
+    write_text(f"{land}/dup.csv", HDR + ",price\n1,121,tea,2024-01-05,1,3.50,2,7.00,3.50\n")
+    write_text(f"{land}/empty.csv", "")
+    write_text(f"{land}/header_only.csv", HDR + "\n")
+    write_text(f"{land}/corrupt.csv", HDR + "\nx,121,tea,2024-01-05,1,3.50,2,7.00\n4,121,tea,notadate,1,3.50,2,7.00\n5,123,oil,2024-03-03,9,9.75,1,9.75\n")
+    write_text(f"{land}/notes.txt", "not a drop\n")
+    return land
+
+
+def _route(spark, land, method="sniff"):
+    return conform.route_files(fsrc.manifest(spark, land), method=method)
+
+
+def test_routing_reasons(spark, tmp):
+    land = _landing(tmp)
+    for method in ("sniff", "scan"):
+        r = {row.file_name: row for row in _route(spark, land, method).collect()}
+        assert r["clean.csv"].reason == "accepted"
+        assert r["extra.csv"].reason == "accepted"
+        assert r["extra.csv"].extra_columns == ["payment_mode", "note"]
+        assert r["missing.csv"].reason == "missing_columns"
+        assert r["missing.csv"].missing_columns == ["store_id"]
+        assert r["wrongcase.csv"].reason == "missing_columns"      # T6: case-sensitive
+        assert r["wrongcase.csv"].missing_columns == ["price"]
+        assert r["dup.csv"].reason == "duplicate_columns"
+        assert r["empty.csv"].reason == "empty_file"
+        assert r["header_only.csv"].reason == "accepted"
+        assert r["notes.txt"].reason == "not_csv"
+        assert r["corrupt.csv"].reason == "accepted"
+
+
+def test_conform_union_and_bad_rows(spark, tmp):
+    land = _landing(tmp)
+    ing = conform.ingest(spark, _route(spark, land))
+    rows = ing.sales.collect()
+    by = {(r.customer_id, str(r.sales_date)): r for r in rows}
+    assert len(rows) == 2 + 2 + 1  # clean, extra, the good corrupt.csv row
+    # T5: extras folded in header order, NULLs skipped by concat_ws
+    assert by[(1, "2024-01-06")].additional_column == "UPI"
+    assert by[(3, "2024-01-07")].additional_column == "cash, late"
+    assert by[(1, "2024-01-05")].additional_column is None
+    # T4: over-scale money rounds half-up into decimal(18,2)
+    assert by[(3, "2024-01-07")].price == Decimal("1.56")
+    assert dict(ing.sales.dtypes)["price"] == "decimal(18,2)"
+    # T7: unparsable rows go to bad_rows with their text
+    bad = sorted(r.raw for r in ing.bad_rows.collect())
+    assert len(bad) == 2 and bad[0].startswith("4,121,tea,notadate") and bad[1].startswith("x,121")
+
+
+def test_quarantined_lines(spark, tmp):
+    land = _landing(tmp)
+    routing = _route(spark, land)
+    q = conform.quarantined_lines(spark, routing).collect()
+    reasons = sorted((os.path.basename(r.path), r.reason) for r in q)
+    assert ("missing.csv", "missing_columns") in reasons
+    assert ("wrongcase.csv", "missing_columns") in reasons
+    assert ("dup.csv", "duplicate_columns") in reasons
+    assert all(r.raw != HDR for r in q)   # header lines are not data
+    assert len(q) == 3
+
+
+def test_no_accepted_file_gives_typed_empty(spark, tmp):
+    land = os.path.join(tmp, "l2")
+    write_text(f"{land}/missing.csv", "customer_id\n1\n")
+    ing = conform.ingest(spark, _route(spark, land))
+    assert ing.sales.count() == 0
+    assert [f.name for f in ing.sales.schema.fields][:8] == HDR.split(",")
+
+
+def test_union_by_name_not_position(spark, tmp):
+    land = _landing(tmp)
+    ing = conform.ingest(spark, _route(spark, land))
+    row = ing.sales.where(F.col("customer_id") == 3).first()
+    assert row.store_id == 121 and row.product_name == "salt" and row.quantity == 1
