@@ -37,7 +37,8 @@ def broadcast_limit(df: DataFrame) -> int:
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan, or None if unknown."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return size if isinstance(size, int) else int(size.toString())
     except Exception:
         return None
 
