@@ -64,9 +64,14 @@ def enrich_sales(fact: DataFrame, customer: DataFrame, store: DataFrame,
     (e.g. ``quantity`` for the per-day product report).
     """
     f = fact.select(*FACT_KEEP, *(keep or []))
-    e = join_dimension(f, customer_side(customer), "customer_id")
+    # Inner joins commute; the order is chosen for the shuffle plan:
+    # sales_team first (reuses a fact already partitioned by salesperson),
+    # the bounded store table as a broadcast, customer last.  The monthly
+    # sales-team aggregate then gets its own exchange with map-side partial
+    # sums, and the customer aggregate reuses the customer partitioning.
+    e = join_dimension(f, sales_team_side(sales_team), "sales_person_id")
     e = join_dimension(e, store_side(store), "store_id", bounded=store_bounded)
-    e = join_dimension(e, sales_team_side(sales_team), "sales_person_id")
+    e = join_dimension(e, customer_side(customer), "customer_id")
     return e.select(*ENRICHED, *(keep or []))
 
 

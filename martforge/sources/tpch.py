@@ -49,7 +49,7 @@ def price_cents_expr(total_cost: str = "total_cost", quantity: str = "quantity")
 def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conformed sales fact (schema ``schemas.SALES``).
 
-    lineitem ⋈ orders ⋈ supplier ⋈ part.  orders, supplier and part all
+    lineitem ⋈ orders ⋈ part ⋈ supplier.  orders, supplier and part all
     grow with the scale factor, so none is broadcast unconditionally:
     ``join_dimension`` broadcasts only below a checked size and otherwise
     leaves a shuffle join that AQE may still convert at run time.
@@ -63,9 +63,12 @@ def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("product_name"))
 
+    # supplier last: when these are shuffle joins, the fact leaves this
+    # step hash-partitioned by l_suppkey (= sales_person_id), which the
+    # sales-team join of the enrichment then reuses without a new shuffle
     f = join_dimension(li, orders, "l_orderkey")
-    f = join_dimension(f, supplier, "l_suppkey")
     f = join_dimension(f, part, "l_partkey")
+    f = join_dimension(f, supplier, "l_suppkey")
     f = f.select(
         F.col("customer_id"),
         F.col("store_id"),
