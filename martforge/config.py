@@ -18,6 +18,9 @@ class PipelineConfig:
     incentive_rate: str = "0.01"
     header_method: str = "sniff"      # or "scan"
     preview: bool = False             # SNK-8 show() of each stage
+    processed_dir: str | None = None  # SNK-10: move consumed files here
+    error_dir: str | None = None      # SNK-9: move rejected files here
+    monthly_report_csv: bool = True   # EXT-1: per-month CSV incentive report
 
     def path(self, name: str) -> str:
         return f"{self.output.rstrip('/')}/{name}"

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from martforge.config import PipelineConfig
 from martforge.functions.columns import run_clock
 from martforge.operators import conform, enrich, ledger, marts
-from martforge.sinks import writers
+from martforge.sinks import moves, writers
 from martforge.session import shared_dir
 from martforge.sources import files as fsrc
 
@@ -96,6 +96,11 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
         cmonthly, conf.path("customers_data_mart"), run_id)
     outputs["sales_team_data_mart"] = writers.write_snapshot(
         incentives, conf.path("sales_team_data_mart_monthly"), run_id)
+    if conf.monthly_report_csv:
+        report = marts.incentive_report(spark.read.parquet(outputs["sales_team_data_mart"]))
+        outputs["incentive_report_csv"] = writers.write_csv_report(
+            report, writers.snapshot_path(conf.path("reports/incentive"), run_id),
+            partition_by=["sales_month"])
     if conf.jdbc_url:
         stamp = F.lit(run_id).cast("long").alias("run_id")
         writers.write_jdbc(spark.read.parquet(outputs["customers_data_mart"]).select("*", stamp),
@@ -106,5 +111,14 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
                            properties=conf.jdbc_properties)
 
     ledger.append(conf.ledger, ledger.close_events(accepted, run_id, run_clock()[1]))
+    # moves come after the close: a crash in between leaves closed files in
+    # the landing folder, which the next run skips (never lost open work)
+    if conf.error_dir:
+        rejected = routing.where(F.col("reason") != conform.ACCEPTED)
+        outputs["moved_rejected"] = writers.write_snapshot(
+            moves.move_files(rejected, conf.landing, conf.error_dir), conf.path("moves/rejected"), run_id)
+    if conf.processed_dir:
+        outputs["moved_processed"] = writers.write_snapshot(
+            moves.move_files(accepted, conf.landing, conf.processed_dir), conf.path("moves/processed"), run_id)
     n_bad = spark.read.parquet(outputs["bad_rows"]).count()
     return RunResult(run_id, n_accepted, routing.count() - n_accepted, n_bad, outputs)

@@ -67,6 +67,13 @@ def read_snapshot(spark, base: str, run_id: int | None = None) -> DataFrame:
     return spark.read.parquet(base)
 
 
+def write_csv_report(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                     mode: str = "overwrite") -> str:
+    """EXT-1: a headed CSV report, one folder per ``partition_by`` value."""
+    out = cluster_for_partitions(df, partition_by) if partition_by else df
+    return write(out, path, "csv", mode, partition_by=partition_by, header="true")
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
                properties: dict | None = None, batch_size: int = 10000,
                num_partitions: int | None = None) -> None:

@@ -60,7 +60,11 @@ def test_pipeline_end_to_end_and_rerun(spark, tmp):
     assert spark.read.parquet(res.outputs["quarantine_files"]).count() == 2
     part = spark.read.parquet(res.outputs["sales_team_mart_partitioned"])
     assert set(part.columns) >= {"sales_month", "store_id"} and part.count() == 600
+    rep = spark.read.option("header", True).csv(res.outputs["incentive_report_csv"])
+    assert set(rep.columns) == {"sales_person_name", "sales_person_store_id", "total_billing",
+                                "total_incentive", "sales_month"}
     inc = spark.read.parquet(res.outputs["sales_team_data_mart"])
+    assert rep.count() == inc.count()
     assert inc.agg(F.sum("total_sales")).first()[0] == cm.agg(F.sum("total_cost")).first()[0]
     # second run: every CSV is closed or rejected -> nothing accepted
     with pytest.raises(NoInputError):
@@ -118,3 +122,30 @@ def test_partitioned_write_prunes(spark, tmp):
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(sales_month" in plan
     assert back.count() == df.where("sales_month = '2024-02'").count()
+
+
+def test_pipeline_moves_processed_and_rejected_files(spark, tmp):
+    _drops(spark, f"{tmp}/landing/day1", n_files=2, rows=20)
+    write_text(f"{tmp}/landing/day1/bad.csv", "customer_id\n1\n")
+    conf = PipelineConfig(landing=f"{tmp}/landing", output=f"{tmp}/out", ledger=f"{tmp}/ledger",
+                          processed_dir=f"{tmp}/processed", error_dir=f"{tmp}/error")
+    c, s, t = _dims(spark)
+    res = run_pipeline(spark, conf, c, s, t, run_id=1)
+    assert sorted(os.listdir(f"{tmp}/processed/day1")) == ["sales_0.csv", "sales_1.csv"]
+    assert os.listdir(f"{tmp}/error/day1") == ["bad.csv"]
+    assert [f for _, _, fs in os.walk(f"{tmp}/landing") for f in fs] == []
+    st = spark.read.parquet(res.outputs["moved_processed"])
+    assert st.where("moved").count() == 2
+
+
+def test_move_is_exact_path_and_idempotent(spark, tmp):
+    from martforge.sinks import moves
+    write_text(f"{tmp}/src/a.csv", "x\n")
+    write_text(f"{tmp}/src/xa.csv", "y\n")              # same suffix, other file
+    files = fsrc.manifest(spark, f"{tmp}/src").where(F.col("file_name") == "a.csv")
+    out = moves.move_files(files, f"{tmp}/src", f"{tmp}/dst").collect()
+    assert [r.moved for r in out] == [True]
+    assert os.path.exists(f"{tmp}/src/xa.csv") and os.path.exists(f"{tmp}/dst/a.csv")
+    again = moves.move_files(spark.createDataFrame([(out[0].path,)], "path string"),
+                             f"{tmp}/src", f"{tmp}/dst").collect()
+    assert again[0].moved                                 # a retry finds it moved
