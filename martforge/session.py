@@ -79,7 +79,10 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
         try:
             spark.sparkContext.setCheckpointDir(root)
         except Exception:  # Spark Connect: remember it as a session conf
-            spark.conf.set("spark.checkpoint.dir", root)
+            try:
+                spark.conf.set("spark.checkpoint.dir", root)
+            except Exception:
+                pass
     if name is None:
         return root
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
