@@ -25,6 +25,8 @@ pruned (``ReadSchema``) and Catalyst can push filters into them.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +34,32 @@ from martforge.functions.columns import money
 from martforge.operators.joins import join_dimension
 
 
+# Parquet schemas already inferred in this process, keyed by the file's
+# path, size and modification time (a rewritten file is inferred again).
+_SCHEMAS: dict[tuple, object] = {}
+
+
+def _stamp(path: str) -> tuple | None:
+    try:
+        st = os.stat(path)
+    except OSError:
+        return None  # not a local path: no caching
+    return (path, st.st_size, st.st_mtime_ns)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table.  Reading a Parquet file without a schema runs a
+    small footer-reading job; for an unchanged local file the schema found
+    the first time is reused."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = _stamp(path)
+    if key is not None and key in _SCHEMAS:
+        return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    df = spark.read.parquet(path)
+    if key is not None:
+        _SCHEMAS[key] = df.schema
+        return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    return df
 
 
 def price_cents_expr(total_cost: str = "total_cost", quantity: str = "quantity") -> str:
@@ -140,11 +166,11 @@ def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three dimensions the star join uses (product is not joined)."""
     return {
         "customer": customer_dim(spark, sf_dir),
         "store": store_dim(spark, sf_dir),
         "sales_team": sales_team_dim(spark, sf_dir),
-        "product": product_dim(spark, sf_dir),
     }
 
 
