@@ -91,6 +91,7 @@ class Ingested:
     sales: DataFrame        # conformed rows that parsed (schema SALES + source_file)
     bad_rows: DataFrame     # rows that did not parse: source_file, raw line
     routing: DataFrame      # one row per file with its reason
+    conformed: DataFrame | None = None   # all rows with _bad and _raw (one scan)
 
 
 def ingest(spark: SparkSession, routing: DataFrame) -> Ingested:
@@ -108,11 +109,16 @@ def ingest(spark: SparkSession, routing: DataFrame) -> Ingested:
     if not parts:
         empty = empty_sales(spark)
         return Ingested(empty.withColumn("source_file", F.lit(None).cast("string")),
-                        spark.createDataFrame([], "source_file string, raw string"), routing)
+                        spark.createDataFrame([], "source_file string, raw string"), routing,
+                        None)
     allrows = reduce(DataFrame.unionByName, parts)
+    return split_conformed(allrows, routing)
+
+
+def split_conformed(allrows: DataFrame, routing: DataFrame) -> Ingested:
     good = allrows.where(~F.col("_bad")).drop("_bad", "_raw")
     bad = allrows.where(F.col("_bad")).select("source_file", F.col("_raw").alias("raw"))
-    return Ingested(good, bad, routing)
+    return Ingested(good, bad, routing, allrows)
 
 
 def quarantined_lines(spark: SparkSession, routing: DataFrame) -> DataFrame:

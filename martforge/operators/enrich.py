@@ -9,8 +9,6 @@ as in the original job; ``unmatched_facts`` reports them.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,15 +77,20 @@ def unmatched_facts(fact: DataFrame, customer: DataFrame, store: DataFrame,
                     sales_team: DataFrame, store_bounded: bool = False) -> DataFrame:
     """Facts an inner star join would drop, with the dimension that misses.
 
-    One ``left_anti`` join per dimension (a NULL key never matches); a fact
-    missing two dimensions is reported twice, once per dimension.
+    One pass over the fact: a left join per dimension against its
+    *distinct* keys (so no fact row is multiplied) marks which dimensions
+    match; a fact missing two dimensions is reported once per dimension.
+    A NULL key never matches.
     """
-    parts = []
-    for name, key, dim, bounded in (
+    checks = (
         ("customer", "customer_id", customer.select("customer_id"), False),
         ("store", "store_id", store.select(F.col("id").alias("store_id")), store_bounded),
         ("sales_team", "sales_person_id", sales_team.select(F.col("id").alias("sales_person_id")), False),
-    ):
-        miss = join_dimension(fact, dim, key, how="left_anti", bounded=bounded)
-        parts.append(miss.select(F.lit(name).alias("missing_dimension"), *fact.columns))
-    return reduce(DataFrame.unionByName, parts)
+    )
+    marked = fact
+    for name, key, keys, bounded in checks:
+        present = keys.where(F.col(key).isNotNull()).distinct().withColumn(f"_has_{name}", F.lit(True))
+        marked = join_dimension(marked, present, key, how="left", bounded=bounded)
+    missing = F.filter(F.array(*[F.when(F.col(f"_has_{n}").isNull(), F.lit(n)) for n, *_ in checks]),
+                       lambda m: m.isNotNull())
+    return (marked.select(F.explode(missing).alias("missing_dimension"), *fact.columns))

@@ -149,3 +149,16 @@ def test_move_is_exact_path_and_idempotent(spark, tmp):
     again = moves.move_files(spark.createDataFrame([(out[0].path,)], "path string"),
                              f"{tmp}/src", f"{tmp}/dst").collect()
     assert again[0].moved                                 # a retry finds it moved
+
+
+def test_pipeline_stages_bad_rows_once(spark, tmp):
+    write_text(f"{tmp}/landing/a.csv", HDR + "\n1,121,tea,2024-01-05,1,3.50,2,7.00\n"
+               "2,121,tea,2024-13-45,1,3.50,2,7.00\n3,x,tea,2024-01-05,1,3.50,2,7.00\n")
+    c, s, t = _dims(spark)
+    res = run_pipeline(spark, _conf(tmp), c, s, t, run_id=9, store_bounded=True)
+    assert res.bad_rows == 2
+    bad = sorted(r.raw for r in spark.read.parquet(res.outputs["bad_rows"]).collect())
+    assert bad[0].startswith("2,121,tea,2024-13-45") and bad[1].startswith("3,x,")
+    assert spark.read.parquet(res.outputs["customer_mart"]).count() == 1
+    staged = spark.read.parquet(res.outputs["conformed"])
+    assert staged.where("_bad = 'false'").select("_raw").distinct().collect()[0][0] is None
