@@ -43,12 +43,21 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def small_enough(df: DataFrame, max_bytes: int | None = None) -> bool:
+# Estimates of file scans are on-disk (compressed, encoded) sizes; a
+# broadcast hash relation of the same rows is several times larger.  The
+# estimate times this factor must fit the limit.
+BROADCAST_HEADROOM = 4
+
+
+def small_enough(df: DataFrame, max_bytes: int | None = None,
+                 headroom: int = BROADCAST_HEADROOM) -> bool:
+    """True when the estimated size (times ``headroom``) is within the limit
+    (the session's broadcast threshold unless ``max_bytes`` is given)."""
     limit = broadcast_limit(df) if max_bytes is None else max_bytes
     if limit < 0:
         return False
     size = estimated_bytes(df)
-    return size is not None and size <= limit
+    return size is not None and size * headroom <= limit
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
