@@ -118,6 +118,14 @@ def q_csv_drop_union(spark, sf_dir):
     return _doubles(ing.sales.drop("source_file"), "price", "total_cost")
 
 
+def q_csv_bad_rows(spark, sf_dir):
+    """T7 at scale: rows of accepted drops with a cell that does not parse,
+    with their text, by drop folder."""
+    ing = ingest_derived_drops(spark, sf_dir)
+    return ing.bad_rows.select(
+        F.element_at(F.split("source_file", "/"), -2).alias("drop_name"), "raw")
+
+
 def q_csv_drop_routing(spark, sf_dir):
     ing = ingest_derived_drops(spark, sf_dir)
     quarantined = conform.quarantined_lines(spark, ing.routing)
@@ -212,6 +220,7 @@ QUERIES: dict[str, Query] = {
     "daily_products_per_customer": q_daily_products_per_customer,
     "csv_drop_union": q_csv_drop_union,
     "csv_drop_routing": q_csv_drop_routing,
+    "csv_bad_rows": q_csv_bad_rows,
     "incremental_ingest": q_incremental_ingest,
     "unmatched_facts": q_unmatched_facts,
     "ledger_state": q_ledger_state,

@@ -152,7 +152,21 @@ UNION ALL
 SELECT {DROP_COLS},
        concat_ws(', ', CASE WHEN quantity > 25 THEN 'UPI' ELSE 'cash' END,
                  CASE WHEN quantity >= 45 THEN 'Q' || CAST(quantity AS VARCHAR) END) AS additional_column
-FROM fact WHERE sales_date >= DATE '1998-01-01' AND sales_date < DATE '2000-01-01'""")
+FROM fact WHERE sales_date >= DATE '1998-01-01' AND sales_date < DATE '2000-01-01'
+  AND quantity <> 50""")
+
+# the rows of the extra drop whose store id does not parse, as text in the
+# drop's column order (empty text for a NULL cell)
+SQL["csv_bad_rows"] = with_base("""
+SELECT 'extra' AS drop_name,
+       concat_ws(',', CASE WHEN quantity > 25 THEN 'UPI' ELSE 'cash' END,
+                 CAST(total_cost AS VARCHAR), CAST(quantity AS VARCHAR),
+                 CAST(CAST(CAST((2 * CAST(total_cost * 100 AS BIGINT) + quantity) // (2 * quantity) AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS VARCHAR),
+                 CAST(sales_person_id AS VARCHAR), CAST(sales_date AS VARCHAR), product_name,
+                 'S' || CAST(store_id AS VARCHAR), CAST(customer_id AS VARCHAR),
+                 COALESCE('Q' || CAST(quantity AS VARCHAR), '')) AS raw
+FROM fact WHERE sales_date >= DATE '1998-01-01' AND sales_date < DATE '2000-01-01'
+  AND quantity = 50""")
 
 SQL["csv_drop_routing"] = with_base("""
 SELECT 'clean' AS drop_name, 'accepted' AS reason, '' AS missing_columns, '' AS extra_columns,

@@ -7,7 +7,9 @@ writes each with a different header shape:
 
 * ``clean``    before 1998: the mandatory columns in canonical order;
 * ``extra``    1998–1999: an extra column in front, the mandatory columns
-               reversed, and a second extra column at the end;
+               reversed, and a second extra column at the end; rows with
+               quantity 50 carry a store id that does not parse (``S<id>``),
+               so they end up as bad rows;
 * ``missing``  2000 onward: ``store_id`` left out (quarantined on ingest).
 """
 
@@ -17,12 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martforge.schemas import MANDATORY
+from martforge.session import shared_dir
 
 # Drop boundaries and shapes of the derived drop set.
 CLEAN_BEFORE = "1998-01-01"
 EXTRA_BEFORE = "2000-01-01"
 EXTRA_FRONT = "payment_mode"
 EXTRA_BACK = "coupon"
+CORRUPT_QUANTITY = 50
 
 
 def payment_mode(quantity: str = "quantity") -> Column:
@@ -33,6 +37,11 @@ def coupon(quantity: str = "quantity") -> Column:
     return F.when(F.col(quantity) >= 45, F.concat(F.lit("Q"), F.col(quantity).cast("string")))
 
 
+def corrupt_store_id() -> Column:
+    sid = F.col("store_id").cast("string")
+    return F.when(F.col("quantity") == CORRUPT_QUANTITY, F.concat(F.lit("S"), sid)).otherwise(sid)
+
+
 def write_drop(df: DataFrame, path: str, columns: list[str | Column]) -> str:
     """Write ``df`` as headed CSV files below ``path`` (one file per task)."""
     df.select(*columns).write.mode("errorifexists").option("header", "true").csv(path)
@@ -40,7 +49,13 @@ def write_drop(df: DataFrame, path: str, columns: list[str | Column]) -> str:
 
 
 def derived_drops(fact: DataFrame, root: str) -> dict[str, str]:
-    """Write the three drops below ``root``; return {drop name: folder}."""
+    """Write the three drops below ``root``; return {drop name: folder}.
+
+    The fact is computed once (checkpointed to the shared checkpoint dir)
+    and the three writes read that copy instead of re-running its joins.
+    """
+    shared_dir(fact.sparkSession)
+    fact = fact.checkpoint(eager=True)
     d = F.col("sales_date")
     clean = fact.where(d < F.lit(CLEAN_BEFORE).cast("date"))
     extra = fact.where((d >= F.lit(CLEAN_BEFORE).cast("date")) & (d < F.lit(EXTRA_BEFORE).cast("date")))
@@ -48,7 +63,9 @@ def derived_drops(fact: DataFrame, root: str) -> dict[str, str]:
     out = {
         "clean": write_drop(clean, f"{root}/clean", MANDATORY),
         "extra": write_drop(extra, f"{root}/extra",
-                            [payment_mode().alias(EXTRA_FRONT), *reversed(MANDATORY),
+                            [payment_mode().alias(EXTRA_FRONT),
+                             *[corrupt_store_id().alias(c) if c == "store_id" else F.col(c)
+                               for c in reversed(MANDATORY)],
                              coupon().alias(EXTRA_BACK)]),
         "missing": write_drop(missing, f"{root}/missing",
                               [c for c in MANDATORY if c != "store_id"] + [payment_mode().alias(EXTRA_FRONT)]),
