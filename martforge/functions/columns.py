@@ -69,12 +69,17 @@ def rewrite_prefix(path: str | Column, source_prefix: str, dest_prefix: str) ->
                   F.concat(F.lit(dest_prefix), F.substring(p, n + 1, 1 << 30))).otherwise(p)
 
 
-def run_clock() -> tuple[int, str]:
+def run_clock() -> tuple[int, int]:
     """SCL-11/12: one run timestamp, captured once on the driver.
 
-    Returns (epoch milliseconds truncated to whole seconds, ``%Y-%m-%d
-    %H:%M:%S`` text in UTC).  Used as literals so every task of a run sees
-    the same value.
+    Returns (epoch milliseconds truncated to whole seconds, epoch seconds).
+    Used as literals so every task of a run sees the same instant, whatever
+    the session time zone.
     """
     secs = int(time.time())
-    return secs * 1000, time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(secs))
+    return secs * 1000, secs
+
+
+def run_clock_text(secs: int) -> str:
+    """``%Y-%m-%d %H:%M:%S`` (UTC) text of a run instant."""
+    return time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(secs))

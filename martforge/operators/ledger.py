@@ -19,22 +19,29 @@ from martforge.schemas import LEDGER, LEDGER_CLOSED, LEDGER_OPEN
 IDENTITY = ["file_path", "length", "modification_time"]
 
 
-def events(files: DataFrame, status: str, run_id: int, event_ts: str, seq: int) -> DataFrame:
+def _instant(event_ts: int | str):
+    """Epoch seconds (time-zone free) or a timestamp literal text."""
+    if isinstance(event_ts, int):
+        return F.timestamp_seconds(F.lit(event_ts))
+    return F.lit(event_ts).cast("timestamp")
+
+
+def events(files: DataFrame, status: str, run_id: int, event_ts: int | str, seq: int) -> DataFrame:
     """One ledger event per file of ``files`` (a manifest: path, file_name,
     length, modification_time); exactly one row per file (T12)."""
     return files.select(
         F.col("file_name"), F.col("path").alias("file_path"), F.col("length"),
         F.col("modification_time").cast("timestamp").alias("modification_time"),
         F.lit(run_id).cast("long").alias("run_id"), F.lit(status).alias("status"),
-        F.lit(event_ts).cast("timestamp").alias("event_ts"), F.lit(seq).cast("int").alias("seq"))
+        _instant(event_ts).alias("event_ts"), F.lit(seq).cast("int").alias("seq"))
 
 
-def open_events(files: DataFrame, run_id: int, event_ts: str) -> DataFrame:
+def open_events(files: DataFrame, run_id: int, event_ts: int | str) -> DataFrame:
     """SNK-6: status 'A' for every accepted file of a run."""
     return events(files, LEDGER_OPEN, run_id, event_ts, 0)
 
 
-def close_events(files: DataFrame, run_id: int, event_ts: str) -> DataFrame:
+def close_events(files: DataFrame, run_id: int, event_ts: int | str) -> DataFrame:
     """SNK-7: status 'I' once the run's outputs are written."""
     return events(files, LEDGER_CLOSED, run_id, event_ts, 1)
 

@@ -42,7 +42,7 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
                  store: DataFrame, sales_team: DataFrame, run_id: int | None = None,
                  store_bounded: bool = False) -> RunResult:
     shared_dir(spark)  # checkpoint() needs the shared folder
-    clock_id, clock_text = run_clock()
+    clock_id, clock_secs = run_clock()
     run_id = clock_id if run_id is None else run_id
 
     listed = fsrc.manifest(spark, conf.landing)
@@ -70,7 +70,7 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
     n_accepted = accepted.count()
     if n_accepted == 0:
         raise NoInputError("no file passed the header check")
-    ledger.append(conf.ledger, ledger.open_events(accepted, run_id, clock_text))
+    ledger.append(conf.ledger, ledger.open_events(accepted, run_id, clock_secs))
 
     # parse the CSV once: stage every conformed row (bad ones keep their
     # text) partitioned by the bad-row flag, then split from the Parquet copy
