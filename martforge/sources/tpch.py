@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions.columns import money
 from martforge.operators.joins import join_dimension
+from martforge.operators.layout import ensure_parallelism
 
 
 # Parquet schemas already inferred in this process, keyed by the file's
@@ -80,8 +81,8 @@ def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``join_dimension`` broadcasts only below a checked size and otherwise
     leaves a shuffle join that AQE may still convert at run time.
     """
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
+    li = ensure_parallelism(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"))
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"))
     supplier = table(spark, sf_dir, "supplier").select(
