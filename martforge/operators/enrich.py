@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.operators.joins import join_dimension
+from martforge.operators.joins import join_dimension, small_enough
 
 # Columns of the enriched fact, in order.
 ENRICHED = [
@@ -77,20 +77,25 @@ def unmatched_facts(fact: DataFrame, customer: DataFrame, store: DataFrame,
                     sales_team: DataFrame, store_bounded: bool = False) -> DataFrame:
     """Facts an inner star join would drop, with the dimension that misses.
 
-    One pass over the fact: a left join per dimension against its
-    *distinct* keys (so no fact row is multiplied) marks which dimensions
-    match; a fact missing two dimensions is reported once per dimension.
-    A NULL key never matches.
+    One pass over the fact: a correlated ``EXISTS`` per dimension, which
+    Spark plans as an existence join (a semi join that keeps every fact row
+    and adds a match flag, so duplicate dimension keys neither multiply
+    rows nor need a ``distinct``).  A fact missing two dimensions is
+    reported once per dimension; a NULL key never matches.
     """
     checks = (
         ("customer", "customer_id", customer.select("customer_id"), False),
         ("store", "store_id", store.select(F.col("id").alias("store_id")), store_bounded),
         ("sales_team", "sales_person_id", sales_team.select(F.col("id").alias("sales_person_id")), False),
     )
-    marked = fact
+    flags = []
     for name, key, keys, bounded in checks:
-        present = keys.where(F.col(key).isNotNull()).distinct().withColumn(f"_has_{name}", F.lit(True))
-        marked = join_dimension(marked, present, key, how="left", bounded=bounded)
-    missing = F.filter(F.array(*[F.when(F.col(f"_has_{n}").isNull(), F.lit(n)) for n, *_ in checks]),
+        side = keys.alias(f"_d_{name}")
+        if bounded or small_enough(keys):
+            side = F.broadcast(side)
+        match = F.col(f"_d_{name}.{key}") == F.col(f"_f.{key}").outer()
+        flags.append(side.where(match).exists().alias(f"_has_{name}"))
+    marked = fact.alias("_f").select("*", *flags)
+    missing = F.filter(F.array(*[F.when(~F.col(f"_has_{n}"), F.lit(n)) for n, *_ in checks]),
                        lambda m: m.isNotNull())
-    return (marked.select(F.explode(missing).alias("missing_dimension"), *fact.columns))
+    return marked.select(F.explode(missing).alias("missing_dimension"), *fact.columns)
