@@ -117,3 +117,29 @@ def test_generated_sales_are_consistent(spark):
                    ((F.col("store_id") - 121) * 4 + 4 < F.col("sales_person_id")))
     assert bad.count() == 0
     assert generate.sales(spark, 5000, seed=1).exceptAll(df).count() == 0   # seeded
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-3, 3))),
+                min_size=1, max_size=60),
+       st.integers(1, 5))
+def test_split_rank_matches_window_rank_property(spark, rows, slices):
+    df = spark.createDataFrame(rows, "g string, v int")
+    a = ranking.rank_within(df, ["g"], "v", out="r", slices=slices)
+    b = ranking.rank_window(df, ["g"], "v", out="r")
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+    asc_a = ranking.rank_within(df, ["g"], "v", out="r", descending=False, slices=slices)
+    asc_b = ranking.rank_window(df, ["g"], "v", out="r", descending=False)
+    assert sorted(map(tuple, asc_a.collect()), key=repr) == sorted(map(tuple, asc_b.collect()), key=repr)
+
+
+def test_top_of_group_with_null_group_keys(spark):
+    m = _monthly(spark, [
+        (None, 1, "a", "2024-01", Decimal("5.00")), (None, 2, "b", "2024-01", Decimal("7.00")),
+        (1, 3, "c", None, Decimal("1.00")), (1, 4, "d", None, Decimal("2.00")),
+    ])
+    inc = {r.sales_person_id: r.incentive for r in marts.sales_team_incentive(m).collect()}
+    assert inc == {1: Decimal("0.00"), 2: Decimal("0.07"), 3: Decimal("0.00"), 4: Decimal("0.02")}
