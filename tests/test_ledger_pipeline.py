@@ -162,3 +162,19 @@ def test_pipeline_stages_bad_rows_once(spark, tmp):
     assert spark.read.parquet(res.outputs["customer_mart"]).count() == 1
     staged = spark.read.parquet(res.outputs["conformed"])
     assert staged.where("_bad = 'false'").select("_raw").distinct().collect()[0][0] is None
+
+
+def test_command_line_batch_run(spark, tmp, capsys):
+    from martforge.__main__ import main
+    _drops(spark, f"{tmp}/landing", n_files=1, rows=30)
+    for name, df in (("customer", generate.customers(spark)), ("store", generate.stores(spark)),
+                     ("sales_team", generate.sales_team(spark))):
+        df.write.parquet(f"{tmp}/dims/{name}")
+    rc = main(["--landing", f"{tmp}/landing", "--output", f"{tmp}/out",
+               "--customer", f"{tmp}/dims/customer", "--store", f"{tmp}/dims/store",
+               "--sales-team", f"{tmp}/dims/sales_team", "--store-bounded"])
+    assert rc == 0
+    import json
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert res["accepted_files"] == 1
+    assert spark.read.parquet(res["outputs"]["customer_mart"]).count() == 30
