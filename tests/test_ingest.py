@@ -96,3 +96,17 @@ def test_union_by_name_not_position(spark, tmp):
     ing = conform.ingest(spark, _route(spark, land))
     row = ing.sales.where(F.col("customer_id") == 3).first()
     assert row.store_id == 121 and row.product_name == "salt" and row.quantity == 1
+
+
+def test_crlf_and_bom_headers(spark, tmp):
+    land = os.path.join(tmp, "crlf")
+    os.makedirs(land)
+    with open(f"{land}/win.csv", "wb") as f:
+        f.write(("\ufeff" + HDR + "\r\n1,121,tea,2024-01-05,1,3.50,2,7.00\r\n").encode("utf-8"))
+    for method in ("sniff", "scan"):
+        r = _route(spark, land, method).first()
+        assert r.reason == "accepted", method
+    ing = conform.ingest(spark, _route(spark, land))
+    rows = ing.sales.collect()
+    assert len(rows) == 1 and rows[0].total_cost == Decimal("7.00")
+    assert ing.bad_rows.count() == 0
