@@ -51,7 +51,8 @@ def route_files(files: DataFrame, headers: DataFrame | None = None,
                .withColumn("missing_columns", F.array_except(required, F.col("columns")))
                .withColumn("extra_columns", F.array_except(F.col("columns"), required))
                .withColumn("reason", F.when(F.col("header").isNull() | (F.col("header") == ""), F.lit(EMPTY_FILE))
-                           .when(F.col("header").contains('"'), F.lit(UNSUPPORTED_HEADER))
+                           .when(F.col("header").contains('"') | F.array_contains("columns", ""),
+                                 F.lit(UNSUPPORTED_HEADER))
                            .when(F.size(F.array_distinct("columns")) < F.size("columns"),
                                  F.lit(DUPLICATE_COLUMNS))
                            .when(F.size("missing_columns") > 0, F.lit(MISSING_COLUMNS))
@@ -133,7 +134,8 @@ def quarantined_lines(spark: SparkSession, routing: DataFrame) -> DataFrame:
                                           F.col("value").alias("raw"))
     info = rejected.select("path", "header", "reason", "missing_columns")
     joined = join_dimension(lines, info, "path")
-    return joined.where(~F.col("raw").eqNullSafe(F.col("header"))).select(
+    first_line = F.regexp_replace(F.col("raw"), "^\ufeff", "")
+    return joined.where(~first_line.eqNullSafe(F.col("header"))).select(
         "path", "reason", "missing_columns", "raw")
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.schemas import LEDGER, LEDGER_CLOSED, LEDGER_OPEN
+from martforge.schemas import LEDGER, LEDGER_CLOSED, LEDGER_OPEN, LEDGER_REJECTED
 
 IDENTITY = ["file_path", "length", "modification_time"]
 
@@ -46,6 +46,12 @@ def close_events(files: DataFrame, run_id: int, event_ts: int | str) -> DataFram
     return events(files, LEDGER_CLOSED, run_id, event_ts, 1)
 
 
+def rejected_events(files: DataFrame, run_id: int, event_ts: int | str) -> DataFrame:
+    """Status 'R' for files a run quarantined, so later runs skip them
+    (a corrected re-delivery has a new identity and is routed again)."""
+    return events(files, LEDGER_REJECTED, run_id, event_ts, 0)
+
+
 def append(ledger_path: str, ev: DataFrame) -> None:
     ev.select(*LEDGER.fieldNames()).write.mode("append").parquet(ledger_path)
 
@@ -89,9 +95,9 @@ def open_files(files: DataFrame, current: DataFrame) -> DataFrame:
 
 def pending(files: DataFrame, current: DataFrame) -> DataFrame:
     """Listed files that still need work: never seen, or still open (T13).
-    Files closed by an earlier run are skipped; a re-delivery with another
-    length or modification time is a new identity (T16)."""
-    closed = current.where(F.col("status") == LEDGER_CLOSED).select(*IDENTITY)
+    Files closed or rejected by an earlier run are skipped; a re-delivery
+    with another length or modification time is a new identity (T16)."""
+    closed = current.where(F.col("status").isin(LEDGER_CLOSED, LEDGER_REJECTED)).select(*IDENTITY)
     keyed = files.withColumn("modification_time", F.col("modification_time").cast("timestamp"))
     return keyed.join(closed.withColumnRenamed("file_path", "path"),
                       ["path", "length", "modification_time"], "left_anti")

@@ -66,6 +66,9 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
     outputs.update({f"quarantine_{k}": v for k, v in writers.write_quarantine(
         routing, quarantined, conf.path("quarantine"), run_id).items()})
 
+    rejected = routing.where(F.col("reason") != conform.ACCEPTED)
+    ledger.append(conf.ledger, ledger.rejected_events(rejected, run_id, clock_secs))
+
     accepted = routing.where(F.col("reason") == conform.ACCEPTED)
     n_accepted = accepted.count()
     if n_accepted == 0:
@@ -122,7 +125,6 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
     # moves come after the close: a crash in between leaves closed files in
     # the landing folder, which the next run skips (never lost open work)
     if conf.error_dir:
-        rejected = routing.where(F.col("reason") != conform.ACCEPTED)
         outputs["moved_rejected"] = writers.write_snapshot(
             moves.move_files(rejected, conf.landing, conf.error_dir), conf.path("moves/rejected"), run_id)
     if conf.processed_dir:

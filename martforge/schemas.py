@@ -91,6 +91,7 @@ LEDGER = T.StructType([
 ])
 LEDGER_OPEN = "A"
 LEDGER_CLOSED = "I"
+LEDGER_REJECTED = "R"   # quarantined: not processed, not looked at again
 
 # Output column lists of the marts (PRJ-5..9).
 CUSTOMER_MART = [

@@ -178,3 +178,18 @@ def test_command_line_batch_run(spark, tmp, capsys):
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert res["accepted_files"] == 1
     assert spark.read.parquet(res["outputs"]["customer_mart"]).count() == 30
+
+
+def test_rejected_files_are_not_routed_again(spark, tmp):
+    _drops(spark, f"{tmp}/landing", n_files=1, rows=10)
+    write_text(f"{tmp}/landing/bad.csv", "customer_id\n1\n")
+    c, s, t = _dims(spark)
+    conf = _conf(tmp)
+    run_pipeline(spark, conf, c, s, t, run_id=1, store_bounded=True)
+    st = ledger.state(ledger.read(spark, conf.ledger))
+    assert {r.file_name: r.status for r in st.collect()} == {"sales_0.csv": "I", "bad.csv": "R"}
+    # a corrected delivery of the rejected name is new work
+    time.sleep(1.1)
+    write_text(f"{tmp}/landing/bad.csv", HDR + "\n1,121,tea,2024-01-05,1,3.50,2,7.00\n")
+    res = run_pipeline(spark, conf, c, s, t, run_id=2, store_bounded=True)
+    assert res.accepted_files == 1 and res.rejected_files == 0
