@@ -83,10 +83,12 @@ def unmatched_facts(fact: DataFrame, customer: DataFrame, store: DataFrame,
     rows nor need a ``distinct``).  A fact missing two dimensions is
     reported once per dimension; a NULL key never matches.
     """
+    # same order as the star join: a fact already partitioned by
+    # salesperson is checked against sales_team without a new shuffle
     checks = (
-        ("customer", "customer_id", customer.select("customer_id"), False),
-        ("store", "store_id", store.select(F.col("id").alias("store_id")), store_bounded),
         ("sales_team", "sales_person_id", sales_team.select(F.col("id").alias("sales_person_id")), False),
+        ("store", "store_id", store.select(F.col("id").alias("store_id")), store_bounded),
+        ("customer", "customer_id", customer.select("customer_id"), False),
     )
     flags = []
     for name, key, keys, bounded in checks:

@@ -57,11 +57,10 @@ def rank_within(df: DataFrame, group: list[str], value: str, out: str = "rank",
               .withColumn("_rk_s", F.spark_partition_id())
               .checkpoint(eager=True))
     w = Window.partitionBy("_rk_s", "_rk_g").orderBy(order)
-    local = (ranged
-             .withColumn("_rk_l", F.rank().over(w))
-             .withColumn("_rk_n", F.count(F.lit(1)).over(
-                 w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    sizes = local.groupBy("_rk_s", "_rk_g").agg(F.max("_rk_n").alias("_rk_n"))
+    local = ranged.withColumn("_rk_l", F.rank().over(w))
+    # row counts per (slice, group): a partially aggregated count, so only
+    # one small row per task and group is shuffled
+    sizes = ranged.groupBy("_rk_s", "_rk_g").agg(F.count(F.lit(1)).alias("_rk_n"))
     before = (Window.partitionBy("_rk_g").orderBy("_rk_s")
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select("_rk_s", "_rk_g",
