@@ -44,6 +44,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("MARTFORGE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # drop checkpoint files once their DataFrame is garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in RUNTIME_CONF.items():
         builder = builder.config(k, v)
