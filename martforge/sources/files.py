@@ -25,8 +25,6 @@ from martforge.functions.columns import basename
 CORRUPT = "_corrupt_record"
 SNIFF_BYTES = 64 * 1024
 
-MANIFEST_SCHEMA = "path string, file_name string, length long, modification_time timestamp"
-
 
 def manifest(spark: SparkSession, landing: str | list[str], glob: str | None = None) -> DataFrame:
     """SRC-1/2 + FLT-2: every file below ``landing`` (directories excluded).
@@ -122,8 +120,7 @@ def _sniff_partition(batches):
         yield pd.DataFrame({"path": pdf["path"], "header": pd.Series(headers, dtype=object)})
 
 
-def header_signatures(files: DataFrame, method: str = "sniff",
-                      files_per_task: int = 256) -> DataFrame:
+def header_signatures(files: DataFrame, method: str = "sniff") -> DataFrame:
     """SRC-3: ``(path, header)`` per file; header is NULL for an empty file."""
     spark = files.sparkSession
     paths = files.select("path")

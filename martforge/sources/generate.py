@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.schemas import MANDATORY
 
 # Invented product catalogue (name, unit price).
 PRODUCTS = [
@@ -104,7 +103,3 @@ def sales_team(spark: SparkSession, stores_n: int = 3, people_per_store: int = 4
         F.lit("N").alias("is_manager"),
         F.lit("Office Lane").alias("address"), F.lit("400001").alias("pincode"),
         F.lit("2021-06-01").cast("date").alias("joining_date"))
-
-
-def mandatory_order() -> list[str]:
-    return list(MANDATORY)

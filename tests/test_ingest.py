@@ -110,3 +110,25 @@ def test_crlf_and_bom_headers(spark, tmp):
     rows = ing.sales.collect()
     assert len(rows) == 1 and rows[0].total_cost == Decimal("7.00")
     assert ing.bad_rows.count() == 0
+
+
+def test_generated_drop_variants_route_as_expected(spark, tmp):
+    from martforge.sources import drops, generate
+    base = generate.sales(spark, 400, seed=5)
+    land = os.path.join(tmp, "gen")
+    drops.write_drop(base, f"{land}/clean", base.columns)
+    extra = generate.with_extra_column(base)
+    drops.write_drop(extra, f"{land}/extra", extra.columns)
+    missing = generate.without_column(generate.with_extra_column(base))
+    drops.write_drop(missing, f"{land}/missing", missing.columns)
+    routing = _route(spark, land)
+    by_drop = {}
+    for r in routing.collect():
+        by_drop.setdefault(r.path.split("/")[-2], set()).add((r.reason, tuple(r.missing_columns)))
+    assert by_drop["clean"] == {("accepted", ())}
+    assert by_drop["extra"] == {("accepted", ())}
+    assert by_drop["missing"] == {("missing_columns", ("store_id",))}
+    ing = conform.ingest(spark, routing)
+    assert ing.sales.count() == 800
+    modes = {r.additional_column for r in ing.sales.where("additional_column IS NOT NULL").collect()}
+    assert modes <= {"cash", "UPI"} and modes

@@ -1,5 +1,4 @@
 """Every registered query against its DuckDB oracle on sf0.001."""
-import math
 
 import duckdb
 import pytest
