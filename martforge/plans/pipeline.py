@@ -75,14 +75,14 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
         raise NoInputError("no file passed the header check")
     ledger.append(conf.ledger, ledger.open_events(accepted, run_id, clock_secs))
 
-    # parse the CSV once: stage every conformed row (bad ones keep their
-    # text) partitioned by the bad-row flag, then split from the Parquet copy
+    # parse the CSV once: stage every conformed row with its bad-row flag
+    # (bad ones keep their text), then split from the Parquet copy.  Not
+    # partitioned by the flag: a partitioned write would sort every row.
     ing = conform.ingest(spark, routing)
     staged_rows = writers.snapshot_path(conf.path("staging/conformed"), run_id)
     writers.write(ing.conformed.withColumn("_raw", F.when(F.col("_bad"), F.col("_raw"))),
-                  staged_rows, partition_by=["_bad"])
-    restaged = spark.read.parquet(staged_rows).withColumn("_bad", F.col("_bad").cast("boolean"))
-    ing = conform.split_conformed(restaged, routing)
+                  staged_rows)
+    ing = conform.split_conformed(spark.read.parquet(staged_rows), routing)
     outputs["conformed"] = staged_rows
     outputs["bad_rows"] = writers.write_snapshot(ing.bad_rows, conf.path("bad_rows"), run_id)
 

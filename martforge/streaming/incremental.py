@@ -46,16 +46,18 @@ def file_stream(spark: SparkSession, landing: str, glob: str = "*.csv",
 
 
 def ingest_batch(output: str, header_method: str = "sniff"):
-    """foreachBatch body: one micro-batch of new files → conformed rows,
-    bad rows and routing, each below ``batch_id=<id>``."""
+    """foreachBatch body: one micro-batch of new files → routing, and every
+    conformed row with its bad-row flag (bad ones keep their text) below
+    ``batch_id=<id>``: the batch's CSV is parsed once."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         routing = conform.route_files(batch, method=header_method).checkpoint(eager=True)
-        ing = conform.ingest(spark, routing)
         part = f"batch_id={batch_id}"
-        writers.write(ing.sales, f"{output}/sales/{part}")
-        writers.write(ing.bad_rows, f"{output}/bad_rows/{part}")
         writers.write(routing.drop("columns"), f"{output}/routing/{part}")
+        ing = conform.ingest(spark, routing)
+        if ing.conformed is not None:
+            rows = ing.conformed.withColumn("_raw", F.when(F.col("_bad"), F.col("_raw")))
+            writers.write(rows, f"{output}/rows/{part}")
     return run
 
 
@@ -75,5 +77,13 @@ def run_available(spark: SparkSession, landing: str, output: str, checkpoint: st
 
 
 def read_output(spark: SparkSession, output: str, what: str = "sales") -> DataFrame:
-    """All micro-batch outputs of one kind, with a ``batch_id`` column."""
-    return spark.read.parquet(f"{output}/{what}")
+    """All micro-batch outputs of one kind (``sales``, ``bad_rows`` or
+    ``routing``), with a ``batch_id`` column."""
+    if what == "routing":
+        return spark.read.parquet(f"{output}/routing")
+    rows = spark.read.parquet(f"{output}/rows")
+    if what == "sales":
+        return rows.where(~F.col("_bad")).drop("_bad", "_raw")
+    if what == "bad_rows":
+        return rows.where(F.col("_bad")).select("source_file", F.col("_raw").alias("raw"), "batch_id")
+    raise ValueError(what)
