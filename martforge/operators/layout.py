@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from martforge.operators.joins import estimated_bytes
+
+# Inputs up to this size may be re-spread with a round-robin shuffle.
+SPREAD_MAX_BYTES = 1 << 30
+
 
 def partitions_of(df: DataFrame) -> int | None:
     """Number of partitions the physical plan of ``df`` produces (planning
@@ -14,16 +19,20 @@ def partitions_of(df: DataFrame) -> int | None:
         return None
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has
-    cores (e.g. a Parquet file with one row group) over all cores.
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
+                       max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    """Spread a *small* scan that yields fewer partitions than the cluster
+    has cores (e.g. a Parquet file with one row group) over all cores.
 
-    Only small inputs are affected: a scan with fewer splits than cores
-    holds at most cores x ``spark.sql.files.maxPartitionBytes`` of data, so
-    the extra round-robin shuffle is bounded; a large input already has
-    enough splits and is returned unchanged.
+    Two checks bound the extra round-robin shuffle: the estimated input
+    size must be at most ``max_bytes`` and the scan must have fewer
+    partitions than ``min_partitions`` (default: the cluster's cores).  A
+    large input is returned unchanged, however few splits it has.
     """
     spark = df.sparkSession
+    size = estimated_bytes(df)
+    if size is None or size > max_bytes:
+        return df
     if min_partitions is None:
         try:
             min_partitions = spark.sparkContext.defaultParallelism

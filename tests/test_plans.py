@@ -40,3 +40,12 @@ def test_broadcast_only_below_checked_size(spark):
         assert "BroadcastHashJoin" not in _plan(j.select("k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_spread_only_small_under_split_inputs(spark):
+    from martforge.operators.layout import ensure_parallelism
+    li = catalog.tpch.table(spark, SF_SMALL, "lineitem")
+    spread = ensure_parallelism(li, min_partitions=8)
+    assert "RoundRobinPartitioning(8)" in _plan(spread)
+    assert ensure_parallelism(li, min_partitions=8, max_bytes=1024) is li     # too big: unchanged
+    assert ensure_parallelism(li, min_partitions=1) is li                     # enough splits
