@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martforge.operators.joins import join_dimension
-from martforge.session import shared_dir
+from martforge.session import shared_dir, shuffle_partitions
 
 
 def _order(value: str, descending: bool) -> Column:
@@ -43,7 +43,7 @@ def rank_within(df: DataFrame, group: list[str], value: str, out: str = "rank",
                 descending: bool = True, slices: int | None = None) -> DataFrame:
     """SQL ``rank()`` per group, ordered by ``value`` (DESC NULLS LAST)."""
     spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = slices or shuffle_partitions(spark)
     order = _order(value, descending)
     # a non-null composite key: NULL group values stay a group of their own
     gkey = F.struct(*[F.col(c) for c in group]).alias("_rk_g")

@@ -88,3 +88,16 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     if name is None:
         return root
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The session's shuffle partition count as a number (falls back to
+    the cluster's cores when the setting is not a plain integer)."""
+    raw = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    try:
+        return max(1, int(raw))
+    except ValueError:
+        try:
+            return max(1, spark.sparkContext.defaultParallelism)
+        except Exception:
+            return 200

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.functions.columns import rewrite_prefix
+from martforge.session import shuffle_partitions
 
 MOVE_SCHEMA = "path string, target string, moved boolean, error string"
 
@@ -92,7 +93,7 @@ def move_files(files: DataFrame, source_dir: str, dest_dir: str) -> DataFrame:
     per file (lazy: run it with an action, e.g. by writing the statuses)."""
     spark = files.sparkSession
     src, dst = qualify(spark, source_dir), qualify(spark, dest_dir)
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = shuffle_partitions(spark)
     targets = files.select("path", rewrite_prefix("path", src + "/", dst + "/").alias("target"))
     targets = targets.where(F.col("target") != F.col("path"))   # outside source_dir: left alone
     return targets.repartition(n, "path").mapInPandas(_move_partition, MOVE_SCHEMA)

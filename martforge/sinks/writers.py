@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from martforge.session import shuffle_partitions
 
 
 def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -35,7 +36,7 @@ def cluster_for_partitions(df: DataFrame, partition_by: list[str],
     one contiguous slice (few files per directory, balanced tasks).
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or shuffle_partitions(spark)
     return df.repartitionByRange(n, *partition_by, *(tiebreak or []))
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martforge.functions.columns import basename
+from martforge.session import shuffle_partitions
 
 CORRUPT = "_corrupt_record"
 SNIFF_BYTES = 64 * 1024
@@ -125,7 +126,7 @@ def header_signatures(files: DataFrame, method: str = "sniff") -> DataFrame:
     spark = files.sparkSession
     paths = files.select("path")
     if method == "sniff":
-        n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        n = shuffle_partitions(spark)
         spread = paths.repartition(n, "path")
         return spread.mapInPandas(_sniff_partition, "path string, header string")
     if method != "scan":

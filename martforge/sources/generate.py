@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from martforge.session import shuffle_partitions
 
 
 # Invented product catalogue (name, unit price).
@@ -35,7 +36,7 @@ def sales(spark: SparkSession, rows: int, seed: int = 7, start: str = "2024-01-0
     tied to stores: store i (0-based) employs ids i*k+1 … i*k+k.
     """
     stores = stores or [121, 122, 123]
-    n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = partitions or shuffle_partitions(spark)
     base = spark.range(0, rows, 1, n)
     store_idx = F.floor(F.rand(seed + 1) * len(stores)).cast("int")
     product_idx = (F.floor(F.rand(seed + 2) * len(PRODUCTS)) + 1).cast("int")
