@@ -43,7 +43,14 @@ def route_files(files: DataFrame, headers: DataFrame | None = None,
     csv, other = fsrc.split_by_extension(files)
     if headers is None:
         headers = fsrc.header_signatures(csv, method=method)
-    cols = F.split(F.col("header"), ",", -1)
+    cells = F.split(F.col("header"), ",", -1)
+    quoted = lambda x: x.rlike('^"([^"]|"")*"$')
+    # names as Spark's CSV header parsing gives them: surrounding quotes
+    # removed, doubled quotes unescaped
+    cols = F.transform(cells, lambda x: F.when(
+        quoted(x), F.regexp_replace(F.regexp_extract(x, '^"(.*)"$', 1), '""', '"')).otherwise(x))
+    # a quote anywhere else (e.g. a quoted name holding a comma) is not handled
+    stray_quote = F.exists(cells, lambda x: ~quoted(x) & x.contains('"'))
     required = F.array(*[F.lit(c) for c in MANDATORY])
     checked = (csv.join(headers, "path", "left")
                .withColumn("columns", F.when(F.col("header").isNull(), F.array().cast("array<string>"))
@@ -51,7 +58,7 @@ def route_files(files: DataFrame, headers: DataFrame | None = None,
                .withColumn("missing_columns", F.array_except(required, F.col("columns")))
                .withColumn("extra_columns", F.array_except(F.col("columns"), required))
                .withColumn("reason", F.when(F.col("header").isNull() | (F.col("header") == ""), F.lit(EMPTY_FILE))
-                           .when(F.col("header").contains('"') | F.array_contains("columns", ""),
+                           .when(stray_quote | F.array_contains("columns", ""),
                                  F.lit(UNSUPPORTED_HEADER))
                            .when(F.size(F.array_distinct("columns")) < F.size("columns"),
                                  F.lit(DUPLICATE_COLUMNS))
@@ -96,15 +103,15 @@ class Ingested:
 
 
 def ingest(spark: SparkSession, routing: DataFrame) -> Ingested:
-    """SRC-4 + SET-1: one CSV scan per distinct accepted header, each
+    """SRC-4 + SET-1: one CSV scan per distinct accepted header shape, each
     conformed, all unioned by name.  Only headers and file paths are
     collected to plan the scans."""
     accepted = (routing.where(F.col("reason") == ACCEPTED)
-                .groupBy("header").agg(F.collect_list("path").alias("paths"))
+                .groupBy("columns").agg(F.collect_list("path").alias("paths"))
                 .collect())
     parts = []
     for row in accepted:
-        columns = row.header.split(",")
+        columns = list(row.columns)
         raw = fsrc.read_signature(spark, columns, sorted(row.paths))
         parts.append(conform(raw, columns))
     if not parts:

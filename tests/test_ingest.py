@@ -132,3 +132,15 @@ def test_generated_drop_variants_route_as_expected(spark, tmp):
     assert ing.sales.count() == 800
     modes = {r.additional_column for r in ing.sales.where("additional_column IS NOT NULL").collect()}
     assert modes <= {"cash", "UPI"} and modes
+
+
+def test_quoted_header_names(spark, tmp):
+    land = os.path.join(tmp, "quoted")
+    quoted = ",".join(f'"{c}"' for c in HDR.split(","))
+    write_text(f"{land}/q.csv", quoted + "\n1,121,tea,2024-01-05,1,3.50,2,7.00\n")
+    write_text(f"{land}/comma.csv", HDR + ',"note, long"\n1,121,tea,2024-01-05,1,3.50,2,7.00,x\n')
+    r = {row.file_name: row for row in _route(spark, land).collect()}
+    assert r["q.csv"].reason == "accepted" and r["q.csv"].columns == HDR.split(",")
+    assert r["comma.csv"].reason == "unsupported_header"
+    ing = conform.ingest(spark, _route(spark, land))
+    assert [x.customer_id for x in ing.sales.collect()] == [1]
