@@ -16,7 +16,7 @@ class PipelineConfig:
     customer_monthly_table: str = "customers_data_mart"
     sales_team_monthly_table: str = "sales_team_data_mart"
     incentive_rate: str = "0.01"
-    header_method: str = "sniff"      # or "scan"
+    header_method: str = "auto"       # "sniff", "scan" or "auto"
     preview: bool = False             # SNK-8 show() of each stage
     processed_dir: str | None = None  # SNK-10: move consumed files here
     error_dir: str | None = None      # SNK-9: move rejected files here

@@ -34,7 +34,7 @@ ROUTING_SCHEMA = ("path string, file_name string, length long, modification_time
 
 
 def route_files(files: DataFrame, headers: DataFrame | None = None,
-                method: str = "sniff") -> DataFrame:
+                method: str = "auto") -> DataFrame:
     """FLT-1/4/5 + T6: one row per file with its header, the missing and
     extra columns (header order) and a reason (``accepted`` or why not).
 

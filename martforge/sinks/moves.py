@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.functions.columns import rewrite_prefix
+from martforge.sources.files import arrow_file
 from martforge.session import shuffle_partitions
 
 MOVE_SCHEMA = "path string, target string, moved boolean, error string"
@@ -29,19 +30,7 @@ def qualify(spark: SparkSession, path: str) -> str:
 
 
 def _fs_and_path(uri: str, cache: dict):
-    from urllib.parse import unquote, urlparse
-
-    from pyarrow import fs as pafs
-
-    u = urlparse(uri)
-    if u.scheme in ("", "file"):
-        if "file" not in cache:
-            cache["file"] = pafs.LocalFileSystem()
-        return cache["file"], unquote(u.path)
-    key = f"{u.scheme}://{u.netloc}"
-    if key not in cache:
-        cache[key] = pafs.FileSystem.from_uri(uri)[0]
-    return cache[key], unquote(u.netloc + u.path)
+    return arrow_file(uri, cache)
 
 
 def _already_moved(src: str, dst: str, cache: dict) -> bool:

@@ -61,11 +61,9 @@ def _zero_byte_files(paths: list[str], glob: str | None) -> list[tuple]:
     for root in paths:
         u = urlparse(root)
         try:
-            if u.scheme in ("", "file"):
-                filesystem, base, prefix = pafs.LocalFileSystem(), u.path or root, "file:"
-            else:
-                filesystem, base = pafs.FileSystem.from_uri(root)
-                prefix = f"{u.scheme}://"
+            filesystem, base = arrow_file(root, {})
+            base = base.rstrip("/") or "/"
+            prefix = "file:" if u.scheme in ("", "file") else f"{u.scheme}://"
             infos = filesystem.get_file_info(pafs.FileSelector(base, recursive=True))
         except Exception:  # listing not possible from here: skip the check
             continue
@@ -89,28 +87,42 @@ def split_by_extension(files: DataFrame, ext: str = ".csv") -> tuple[DataFrame,
     return files.where(is_csv), files.where(~is_csv)
 
 
+# URI schemes whose files tasks can open through Arrow file systems (the
+# Hadoop names of object stores map onto Arrow's); others use the scan.
+ARROW_SCHEMES = {"": "", "file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3",
+                 "gs": "gs", "gcs": "gs"}
+
+
+def arrow_file(uri: str, cache: dict):
+    """(Arrow file system, path) for a file URI; file systems are cached
+    per bucket/host in ``cache``."""
+    from urllib.parse import unquote, urlparse
+
+    from pyarrow import fs as pafs
+
+    u = urlparse(uri)
+    scheme = ARROW_SCHEMES.get(u.scheme)
+    if scheme is None:
+        raise ValueError(f"no Arrow file system for {u.scheme}://")
+    if scheme in ("", "file"):
+        if "file" not in cache:
+            cache["file"] = pafs.LocalFileSystem()
+        return cache["file"], unquote(u.path)
+    key = f"{scheme}://{u.netloc}"
+    if key not in cache:
+        cache[key] = pafs.FileSystem.from_uri(f"{key}/")[0]
+    return cache[key], unquote(u.netloc + u.path)
+
+
 def _sniff_partition(batches):
     """mapInPandas body: read the first line of each file in the batch."""
     import pandas as pd
-    from urllib.parse import urlparse, unquote
-
-    from pyarrow import fs as pafs
 
     cache: dict = {}
     for pdf in batches:
         headers = []
         for path in pdf["path"]:
-            u = urlparse(path)
-            if u.scheme in ("", "file"):
-                key, local = "file", unquote(u.path)
-                if "file" not in cache:
-                    cache["file"] = pafs.LocalFileSystem()
-                filesystem, p = cache["file"], local
-            else:
-                key = f"{u.scheme}://{u.netloc}"
-                if key not in cache:
-                    cache[key] = pafs.FileSystem.from_uri(path)[0]
-                filesystem, p = cache[key], unquote(u.netloc + u.path)
+            filesystem, p = arrow_file(path, cache)
             with filesystem.open_input_stream(p) as stream:
                 head = stream.read(SNIFF_BYTES)
             if not head:
@@ -121,10 +133,19 @@ def _sniff_partition(batches):
         yield pd.DataFrame({"path": pdf["path"], "header": pd.Series(headers, dtype=object)})
 
 
-def header_signatures(files: DataFrame, method: str = "sniff") -> DataFrame:
-    """SRC-3: ``(path, header)`` per file; header is NULL for an empty file."""
+def header_signatures(files: DataFrame, method: str = "auto") -> DataFrame:
+    """SRC-3: ``(path, header)`` per file; header is NULL for an empty file.
+
+    ``auto`` sniffs when the files live on a file system tasks can open
+    through Arrow (local, S3, GCS) and falls back to the JVM scan otherwise.
+    """
+    from urllib.parse import urlparse
+
     spark = files.sparkSession
     paths = files.select("path")
+    if method == "auto":
+        first = paths.first()
+        method = "sniff" if first is None or urlparse(first.path).scheme in ARROW_SCHEMES else "scan"
     if method == "sniff":
         n = shuffle_partitions(spark)
         spread = paths.repartition(n, "path")

@@ -45,7 +45,7 @@ def file_stream(spark: SparkSession, landing: str, glob: str = "*.csv",
         F.col("modificationTime").alias("modification_time"))
 
 
-def ingest_batch(output: str, header_method: str = "sniff"):
+def ingest_batch(output: str, header_method: str = "auto"):
     """foreachBatch body: one micro-batch of new files → routing, and every
     conformed row with its bad-row flag (bad ones keep their text) below
     ``batch_id=<id>``: the batch's CSV is parsed once."""
@@ -63,7 +63,7 @@ def ingest_batch(output: str, header_method: str = "sniff"):
 
 def run_available(spark: SparkSession, landing: str, output: str, checkpoint: str,
                   max_files_per_trigger: int | None = None,
-                  archive_dir: str | None = None, header_method: str = "sniff") -> None:
+                  archive_dir: str | None = None, header_method: str = "auto") -> None:
     """Process every file not yet seen, then stop (``availableNow``)."""
     q = (file_stream(spark, landing, max_files_per_trigger=max_files_per_trigger,
                      archive_dir=archive_dir)
