@@ -29,9 +29,9 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--output", required=True)
     p.add_argument("--ledger", help="default: <output>/ledger")
     p.add_argument("--dims-format", choices=["parquet", "jdbc"], default="parquet")
-    p.add_argument("--customer", required=True, help="path (parquet) or table (jdbc)")
-    p.add_argument("--store", required=True)
-    p.add_argument("--sales-team", required=True)
+    p.add_argument("--customer", help="path (parquet) or table (jdbc); batch runs")
+    p.add_argument("--store", help="batch runs")
+    p.add_argument("--sales-team", help="batch runs")
     p.add_argument("--store-bounded", action="store_true",
                    help="the store table is small and fixed: always broadcast it")
     p.add_argument("--jdbc-url")
@@ -42,7 +42,10 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--on-open-files", choices=["reprocess", "fail"], default="reprocess")
     p.add_argument("--incremental", action="store_true", help="availableNow streaming ingest")
     p.add_argument("--checkpoint", help="stream checkpoint (incremental mode)")
-    return p.parse_args(argv)
+    a = p.parse_args(argv)
+    if not a.incremental and not (a.customer and a.store and a.sales_team):
+        p.error("a batch run needs --customer, --store and --sales-team")
+    return a
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -193,3 +193,27 @@ def test_rejected_files_are_not_routed_again(spark, tmp):
     write_text(f"{tmp}/landing/bad.csv", HDR + "\n1,121,tea,2024-01-05,1,3.50,2,7.00\n")
     res = run_pipeline(spark, conf, c, s, t, run_id=2, store_bounded=True)
     assert res.accepted_files == 1 and res.rejected_files == 0
+
+
+def test_pipeline_appends_monthly_marts_over_jdbc_with_run_id(spark, tmp):
+    url = f"jdbc:derby:{tmp}/derby;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    _drops(spark, f"{tmp}/landing", n_files=1, rows=40)
+    conf = PipelineConfig(landing=f"{tmp}/landing", output=f"{tmp}/out", ledger=f"{tmp}/ledger",
+                          jdbc_url=url, jdbc_properties=props)
+    c, s, t = _dims(spark)
+    res = run_pipeline(spark, conf, c, s, t, run_id=11, store_bounded=True)
+    back = tables.read_jdbc(spark, url, conf.sales_team_monthly_table, props)
+    assert back.count() == spark.read.parquet(res.outputs["sales_team_data_mart"]).count()
+    assert {r.RUN_ID if "RUN_ID" in back.columns else r.run_id for r in back.collect()} == {11}
+    cust = tables.read_jdbc(spark, url, conf.customer_monthly_table, props)
+    assert cust.count() == spark.read.parquet(res.outputs["customers_data_mart"]).count()
+
+
+def test_command_line_incremental_run(spark, tmp, capsys):
+    from martforge.__main__ import main
+    from martforge.streaming import incremental
+    write_text(f"{tmp}/landing/a.csv", HDR + "\n1,121,tea,2024-01-05,1,3.50,2,7.00\n")
+    rc = main(["--landing", f"{tmp}/landing", "--output", f"{tmp}/out", "--incremental"])
+    assert rc == 0
+    assert incremental.read_output(spark, f"{tmp}/out").count() == 1
