@@ -45,7 +45,9 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
     clock_id, clock_secs = run_clock()
     run_id = clock_id if run_id is None else run_id
 
-    listed = fsrc.manifest(spark, conf.landing)
+    # list the landing folder once (one row per file) and pin the listing:
+    # every later step sees the same files without listing the store again
+    listed = fsrc.manifest(spark, conf.landing).checkpoint(eager=True)
     if listed.isEmpty():
         raise NoInputError(f"no file below {conf.landing}")
     csv, _ = fsrc.split_by_extension(listed)
