@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -30,9 +31,29 @@ RUNTIME_CONF = {
 def tune(spark: SparkSession) -> SparkSession:
     for k, v in RUNTIME_CONF.items():
         spark.conf.set(k, v)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the workers, once per context, so that Python
+    functions run wherever the driver was started from."""
+    sc = spark.sparkContext
+    if getattr(sc, "_martforge_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    target = os.path.join(tempfile.mkdtemp(prefix="martforge-ship-"), "martforge.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)   # served to the workers by the driver
+    sc._martforge_shipped = True
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "martforge") -> SparkSession:
     """A local session for tests and benchmarks (UI off, UTC, AQE on)."""
