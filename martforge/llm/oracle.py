@@ -21,3 +21,33 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words,
        sha256(coalesce(kept.s, '')) AS kept_sha256
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
 """
+
+_ESCAPED = ("replace(replace(replace(coalesce(text, ''), '\\', '\\\\'), '</turn>', '<\\/turn>'), "
+            "'### ', '#\\## ')")
+
+SQL["op2_chat_format"] = f"""
+WITH t AS (SELECT conv_id, turn, role, text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+           UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+x AS (SELECT *, row_number() OVER w - 1 AS i, coalesce(lag(role) OVER w, '') AS before FROM t
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+y AS (SELECT *, (before || '>' || role) NOT IN ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user')
+      AS bad FROM x)
+SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY i)) AS turns_sha256,
+       coalesce(sum(length(coalesce(text, ''))) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(coalesce(text, ''), '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(4 + length(role) + 2 + length({_ESCAPED}) + 8)::BIGINT AS formatted_chars,
+       (count(*) FILTER (bad) = 0) AS valid, (min(i) FILTER (bad))::INTEGER AS first_bad
+FROM y GROUP BY conv_id
+"""
+
+SQL["op5_warc_index"] = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS body FROM pages),
+q AS (SELECT *, strlen(body) AS b, sha1(body) AS d FROM p),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY d, b) AS o FROM q)
+SELECT page_id, b::BIGINT AS payload_bytes, d AS payload_digest,
+       CASE WHEN b >= 1000 AND o <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN b >= 1000 AND o <> page_id THEN o END AS refers_to
+FROM r
+"""

@@ -75,5 +75,6 @@ def dense_order(spark: SparkSession, keys: DataFrame, cols: list[str], out: str)
     return done
 
 
-def mix64(*cols) -> F.Column:
-    return F.xxhash64(*cols)
+def settings(spark: SparkSession) -> None:
+    """Batches for Python workers are small: texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
