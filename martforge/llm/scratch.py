@@ -77,4 +77,4 @@ def dense_order(spark: SparkSession, keys: DataFrame, cols: list[str], out: str)
 
 def settings(spark: SparkSession) -> None:
     """Batches for Python workers are small: texts may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "250")

@@ -16,8 +16,8 @@ import pyarrow as pa
 U = np.uint64
 _P = 0x9E3779B97F4A7C15 | 1          # odd: has an inverse modulo 2**64
 _P_INV = pow(_P, -1, 1 << 64)
-SLICE_BYTES = 1 << 21                # text handled at once (a longer row goes alone)
-_BLOCK_BYTES = 1 << 18               # bytes hashed at once
+SLICE_BYTES = 1 << 20                # text handled at once (a longer row goes alone)
+_BLOCK_BYTES = 1 << 17               # bytes hashed at once
 
 _WORD_BYTE = np.ones(256, dtype=bool)
 _WORD_BYTE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
