@@ -18,10 +18,10 @@ Method
 * *Verification* on the full shingle multisets: similarity is the greater of
   plain and probability Jaccard, both computed exactly; 0.8 or more is a link.
 * Within a band bucket members are compared with one pivot, not with each
-  other.  Where the members of a bucket are then still in several classes,
-  each class of the bucket but its greatest is compared with the rest, so no
-  link between different classes is left out; pairs inside one class cannot
-  change the result.
+  other.  Where the members of a bucket are then still in several classes, an
+  exact prefix join (rarest shingles first, with size and position bounds)
+  finds every similar pair across classes among all such members; pairs
+  inside one class cannot change the result.
 
 Defined results: a null text is an empty one; empty texts are copies of each
 other; rows that repeat a doc_id are told apart by their text; the class id is
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martforge.llm import words as W
 from martforge.llm.components import components
-from martforge.llm.scratch import drop, save
+from martforge.llm.scratch import dense_order, drop, save
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -129,10 +129,10 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = np.searchsorted(row, np.arange(s.rows + 1))
             pack_s, pack_w = sh.tobytes(), weight.astype(np.uint32).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [b.column("dig").slice(s.lo, s.rows),
+                [b.column("node").slice(s.lo, s.rows),
                  pa.array([pack_s[8 * i:8 * j] for i, j in zip(first[:-1], first[1:])], pa.binary()),
                  pa.array([pack_w[4 * i:4 * j] for i, j in zip(first[:-1], first[1:])], pa.binary())],
-                names=["dig", "sh", "wt"])
+                names=["node", "sh", "wt"])
 
 
 def jaccards(sa: np.ndarray, wa: np.ndarray, sb: np.ndarray, wb: np.ndarray) -> tuple[float, float]:
@@ -169,57 +169,99 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _links(spark, pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar enough."""
-    a = sets.select(F.col("dig").alias("a"), F.col("sh").alias("a_sh"), F.col("wt").alias("a_wt"))
-    b = sets.select(F.col("dig").alias("b"), F.col("sh").alias("b_sh"), F.col("wt").alias("b_wt"))
+    a = sets.select(F.col("node").alias("a"), F.col("sh").alias("a_sh"), F.col("wt").alias("a_wt"))
+    b = sets.select(F.col("node").alias("b"), F.col("sh").alias("b_sh"), F.col("wt").alias("b_wt"))
     full = (pairs.join(a, "a").join(b, "b").select("a", "b", "a_sh", "a_wt", "b_sh", "b_wt"))
-    return save(spark, full.mapInArrow(_verify, "a binary, b binary"), "links")
+    return save(spark, full.mapInArrow(_verify, "a long, b long"), "links")
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sh = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column("sh")]
+        offs = np.cumsum([0] + [len(x) for x in sh]).astype(np.int32)
+        flat = np.concatenate(sh) if sh else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [b.column("node"), b.column("label"), b.column("minor"),
+             pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], names=["node", "label", "minor", "sh"])
+
+
+def _across_classes(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different classes that may be similar: an exact prefix
+    join.  ``rest`` has node, label and minor (whether the node is outside the
+    greatest class of some bucket).
+
+    Shingles of a text are put in order of their frequency here, rarest first.
+    Two texts of plain Jaccard 0.8 have a first common shingle, it lies among the
+    first fifth of each, and what follows it in either is enough for the overlap
+    they need; only such pairs come out.
+    """
+    lists = (rest.join(sets.select("node", "sh"), "node")
+             .mapInArrow(_unpack, "node long, label long, minor boolean, sh array<long>"))
+    flat = lists.select("node", "label", "minor", F.size("sh").alias("n"), F.explode("sh").alias("s"))
+    freq = flat.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    ranked = (flat.join(freq, "s").groupBy("node", "label", "minor", "n")
+              .agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("o")))
+    # shingles of this text alone come first and match nothing
+    alone = F.col("n") - F.size("o")
+    first = F.col("n") - F.ceil(F.lit(SIMILARITY) * F.col("n") - F.lit(1e-6)) + 1
+    prefix = (ranked.withColumn("alone", alone)
+              .withColumn("o", F.slice("o", 1, F.greatest((first - alone).cast("int"), F.lit(0))))
+              .select("node", "label", "minor", "n", F.posexplode("o").alias("i", "x"), "alone")
+              .select("node", "label", "minor", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("left"),
+                      F.col("x.s").alias("s")))
+    x, y = prefix.where("minor").alias("x"), prefix.alias("y")
+    need = F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("x.n") + F.col("y.n")) - F.lit(1e-6)
+    hit = ((F.col("x.s") == F.col("y.s")) & (F.col("x.label") != F.col("y.label"))
+           & (F.least("x.left", "y.left") >= need))
+    return x.join(y, hit).select(F.least("x.node", "y.node").alias("a"),
+                                 F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
-    """(dig, class_id): the class of each distinct text, by its digest.
-    ``dig`` is ``text_digest`` of the text."""
+    """(dig, class_id, rep): the class of each distinct text, by its digest.
+    ``dig`` is ``text_digest`` of the text, ``rep`` its least doc_id."""
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     keyed = keyed.withColumn("dig", text_digest("text"))
-    texts = save(spark, keyed.groupBy("dig").agg(F.min("doc_id").alias("rep")), "texts")
+    seen = save(spark, keyed.groupBy("dig").agg(F.min("doc_id").alias("rep")), "seen")
+    order = dense_order(spark, seen, ["dig"], "node")
+    texts = save(spark, seen.join(order, "dig"), "texts")
+    drop(spark, seen, order)
 
     bands = save(spark, keyed.select("dig", "text").mapInArrow(_band_rows, "dig binary, bands array<long>"),
                  "bands")
-    one = bands.groupBy("dig").agg(F.first("bands").alias("bands"))
-    flat = one.select("dig", F.explode("bands").alias("band"))
-    pivots = flat.groupBy("band").agg(F.min("dig").alias("pivot"), F.max("dig").alias("top")).where("pivot < top")
-    buckets = save(spark, flat.join(pivots.select("band", "pivot"), "band"), "buckets")
+    flat = (bands.select("dig", F.explode("bands").alias("band")).distinct()
+            .join(texts.select("dig", "node"), "dig").select("node", "band"))
+    pivots = (flat.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
+              .where("pivot < top").select("band", "pivot"))
+    buckets = save(spark, flat.join(pivots, "band"), "buckets")
     drop(spark, bands)
 
-    members = buckets.select("dig").distinct()
-    sets = save(spark, keyed.join(members, "dig").select("dig", "text")
-                .mapInArrow(_set_rows, "dig binary, sh binary, wt binary").dropDuplicates(["dig"]), "sets")
-    pairs = save(spark, buckets.where("dig <> pivot").select(F.col("pivot").alias("a"), F.col("dig").alias("b"))
-                 .distinct(), "pairs")
+    members = buckets.select("node").distinct().join(texts.select("dig", "node"), "node")
+    sets = save(spark, keyed.join(members, "dig").select("node", "text")
+                .mapInArrow(_set_rows, "node long, sh binary, wt binary").dropDuplicates(["node"]), "sets")
+    pairs = buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     links = _links(spark, pairs, sets)
     comp = components(spark, links)
 
     # buckets whose members are still in several classes
-    labelled = (buckets.join(comp.withColumnRenamed("node", "dig"), "dig", "left")
-                .select("band", "dig", F.coalesce("label", "dig").alias("label")))
+    labelled = (buckets.join(comp.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
+                .select("band", "node", F.coalesce("label", "node").alias("label")))
     sizes = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    split = (sizes.groupBy("band").agg(F.max(F.struct("n", "label")).alias("big"), F.sum("n").alias("total"),
+    greatest = F.max(F.struct("n", "label"))
+    split = (sizes.groupBy("band").agg(greatest.alias("big"), F.sum("n").alias("total"),
                                        F.count(F.lit(1)).alias("parts"))
              .where("parts > 1 and total > 2").select("band", F.col("big.label").alias("big")))
-    rest = save(spark, labelled.join(split, "band"), "rest")
-    small = rest.where("label <> big").select("band", F.col("dig").alias("x"), F.col("label").alias("lx"))
-    other = rest.select("band", F.col("dig").alias("y"), F.col("label").alias("ly"), "big")
-    more = (small.join(other, "band").where("lx <> ly and (ly = big or x < y)")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-            .join(pairs, ["a", "b"], "left_anti"))
-    links2 = _links(spark, more, sets)
-    drop(spark, sets, pairs, rest, buckets)
+    rest = save(spark, labelled.join(split, "band").groupBy("node", "label")
+                .agg(F.max(F.col("label") != F.col("big")).alias("minor")), "rest")
+    links2 = _links(spark, _across_classes(rest, sets), sets)
+    drop(spark, sets, rest, buckets)
     everything = comp.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links2)
     final = components(spark, everything)
     drop(spark, comp, links, links2)
-    least = (texts.join(final.withColumnRenamed("node", "dig"), "dig", "left")
-             .select("dig", "rep", F.coalesce("label", "dig").alias("label")))
+    least = (texts.join(final.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
+             .select("dig", "rep", F.coalesce("label", "node").alias("label")))
     ids = least.groupBy("label").agg(F.min("rep").alias("class_id"))
     return least.join(ids, "label").select("dig", "class_id", "rep")
 
