@@ -43,6 +43,7 @@ from martforge.llm.scratch import dense_order, drop, save
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 6
+TURNS = 2              # further pivots before the exact join
 REGISTERS = BANDS * ROWS
 
 
@@ -217,6 +218,18 @@ def _across_classes(rest: DataFrame, sets: DataFrame) -> DataFrame:
                                  F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
+def _unresolved(buckets: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every (band, node, label), and the greatest class (big) of the bands whose
+    members are still in several classes.  A bucket of two is settled."""
+    labelled = (buckets.join(comp.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
+                .select("band", "node", F.coalesce("label", "node").alias("label")))
+    sizes = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+    split = (sizes.groupBy("band").agg(F.max(F.struct("n", "label")).alias("big"), F.sum("n").alias("total"),
+                                       F.count(F.lit(1)).alias("parts"))
+             .where("parts > 1 and total > 2").select("band", F.col("big.label").alias("big")))
+    return labelled, split
+
+
 def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """(dig, class_id, rep): the class of each distinct text, by its digest.
@@ -225,9 +238,10 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     keyed = keyed.withColumn("dig", text_digest("text"))
     seen = save(spark, keyed.groupBy("dig").agg(F.min("doc_id").alias("rep")), "seen")
-    order = dense_order(spark, seen, ["dig"], "node")
+    # texts are numbered by their least doc_id: pivots are the earliest texts
+    order = dense_order(spark, seen, ["rep", "dig"], "node").select("dig", "node")
     texts = save(spark, seen.join(order, "dig"), "texts")
-    drop(spark, seen, order)
+    drop(spark, seen)
 
     bands = save(spark, keyed.select("dig", "text").mapInArrow(_band_rows, "dig binary, bands array<long>"),
                  "bands")
@@ -244,22 +258,27 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     pairs = buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     links = _links(spark, pairs, sets)
     comp = components(spark, links)
-
-    # buckets whose members are still in several classes
-    labelled = (buckets.join(comp.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
-                .select("band", "node", F.coalesce("label", "node").alias("label")))
-    sizes = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    greatest = F.max(F.struct("n", "label"))
-    split = (sizes.groupBy("band").agg(greatest.alias("big"), F.sum("n").alias("total"),
-                                       F.count(F.lit(1)).alias("parts"))
-             .where("parts > 1 and total > 2").select("band", F.col("big.label").alias("big")))
+    drop(spark, links)
+    for turn in range(TURNS):
+        # members outside the greatest class of their bucket meet another pivot of it
+        labelled, split = _unresolved(buckets, comp)
+        mixed = save(spark, labelled.join(split, "band"), "mixed")
+        pick = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node"))
+        pivot = mixed.where("label = big").groupBy("band").agg(pick.alias("p")).select("band", "p.node")
+        pairs = (mixed.where("label <> big").join(pivot.withColumnRenamed("node", "p"), "band")
+                 .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct())
+        links = _links(spark, pairs, sets)
+        grown = components(spark, comp.select("node", "label").union(links))
+        drop(spark, comp, links, mixed)
+        comp = grown
+    labelled, split = _unresolved(buckets, comp)
     rest = save(spark, labelled.join(split, "band").groupBy("node", "label")
                 .agg(F.max(F.col("label") != F.col("big")).alias("minor")), "rest")
     links2 = _links(spark, _across_classes(rest, sets), sets)
     drop(spark, sets, rest, buckets)
     everything = comp.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links2)
     final = components(spark, everything)
-    drop(spark, comp, links, links2)
+    drop(spark, comp, links2)
     least = (texts.join(final.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
              .select("dig", "rep", F.coalesce("label", "node").alias("label")))
     ids = least.groupBy("label").agg(F.min("rep").alias("class_id"))
