@@ -34,7 +34,7 @@ from martforge.llm.scratch import dense_order, drop, save
 WEIGHTS = (5.0, 2.0, 1.0)      # of the sources in order, repeating
 CAP = 3                        # a source, and a document, gives at most so many times its size
 QUALITY = {1: 2.0, 0: 0.5}     # weight of a labelled document; 1.0 without a label
-BUCKET_ROWS = 20_000           # documents of a source summed in one place
+BUCKET_ROWS = 2_000           # documents of a source summed in one place
 FILLS = 3                      # passes over what does not fit the first prefix
 WORD = r"[^\x20\x09-\x0D]+"
 
