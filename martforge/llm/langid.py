@@ -144,12 +144,15 @@ def fit(spark: SparkSession, train: DataFrame, sample: int = SAMPLE, clusters: i
         else:
             freq[r["dim"]] = r["n"]
     idf = np.log((1 + total) / (1 + freq)).astype(np.float32)
-    # every language's share that gives about ``sample`` documents
-    sizes = rows.groupBy(F.col(lang_col).alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
+    # every language's share that gives about ``sample`` documents; one number per
+    # language reaches the driver, as the centroids will, and no text is shuffled
+    sizes = {r["l"]: r["n"] for r in rows.groupBy(F.col(lang_col).alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return Model(idf, [], np.zeros((0, DIMS), np.float32), np.zeros(0))
     u = F.pmod(F.xxhash64(F.col(id_col), F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    share = F.create_map(*[F.lit(x) for l, n in sorted(sizes.items()) for x in (l, float(sample) / n)])
     picked = (rows.select(F.col(id_col), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-              .join(sizes, F.col("lang") == F.col("_l")).where(u < F.lit(float(sample)) / F.col("_n"))
-              .select("lang", "text"))
+              .where(u < F.try_element_at(share, F.col("lang"))).select("lang", "text"))
     found = (picked.mapInArrow(_vector_rows(idf), "lang string, vec binary").groupBy("lang")
              .applyInArrow(_cluster(clusters, reject), "lang string, centroid binary, low double")
              .collect())                    # CLUSTERS rows per language
