@@ -32,7 +32,7 @@ DIMS = 8192
 SAMPLE = 600           # training documents per language that are clustered, about
 CLUSTERS = 3
 REJECT = 0.001         # quantile of the sample's own similarity
-MARGIN = 0.6
+MARGIN = 0.25
 BLOCK_ROWS = 64
 
 _LOW = np.full(256, 0x20, dtype=np.uint8)          # bytes that are not letters: space

@@ -35,7 +35,7 @@ WEIGHTS = (5.0, 2.0, 1.0)      # of the sources in order, repeating
 CAP = 3                        # a source, and a document, gives at most so many times its size
 QUALITY = {1: 2.0, 0: 0.5}     # weight of a labelled document; 1.0 without a label
 BUCKET_ROWS = 2_000           # documents of a source summed in one place
-FILLS = 3                      # passes over what does not fit the first prefix
+FILLS = 4                      # passes over what does not fit the first prefix
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -111,13 +111,16 @@ def decisions(spark: SparkSession, docs: DataFrame, labels: DataFrame | None = N
     for i in range(FILLS):
         got = state.where("extra = 1").groupBy("sid").agg(F.sum("amount").alias("got"))
         gap = state.join(got, "sid", "left").withColumn("gap", F.col("room") - F.coalesce("got", F.lit(0))).drop("got")
-        last = i == FILLS - 1
-        # the last pass may go over by less than it would otherwise stay under
-        fits = F.col("amount") <= (F.col("gap") * 2 if last else F.col("gap"))
-        open_ = gap.where(F.col("extra") == 0).where(fits & (F.col("amount") > 0) & (F.col("epochs") < cap))
-        taken = _prefix(open_, ["doc_id", "th"])
-        ok = (F.col("end") - F.col("amount") / 2 <= F.col("gap")) if last else (F.col("end") <= F.col("gap"))
-        more = taken.where(ok).select(F.col("sid").alias("_s"), F.col("doc_id").alias("_d"), F.col("th").alias("_t"))
+        open_ = gap.where((F.col("extra") == 0) & (F.col("amount") > 0) & (F.col("epochs") < cap))
+        if i < FILLS - 1:
+            more = _prefix(open_.where("amount <= gap"), ["doc_id", "th"]).where("end <= gap")
+        else:       # the one document that leaves the source nearest to its target, if any does
+            off = F.abs(F.col("gap") - F.col("amount"))
+            near = (open_.where(off < F.col("gap")).groupBy("sid")
+                    .agg(F.min(F.struct(off, "key", F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "th")).alias("m")))
+            more = (open_.join(near.select(F.col("sid").alias("_n"), F.col("m.key").alias("_k"), F.col("m.th").alias("_m")),
+                               (F.col("sid") == F.col("_n")) & (F.col("key") == F.col("_k")) & (F.col("th") == F.col("_m"))))
+        more = more.select(F.col("sid").alias("_s"), F.col("doc_id").alias("_d"), F.col("th").alias("_t"))
         hit = (F.col("sid") == F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))
         nxt = save(spark, state.join(more, hit, "left")
                    .withColumn("extra", F.when(F.col("_s").isNotNull(), 1).otherwise(F.col("extra")))

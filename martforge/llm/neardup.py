@@ -24,7 +24,7 @@ Method
   inside one class cannot change the result.
 
 Defined results: a null text is an empty one; empty texts are copies of each
-other; rows that repeat a doc_id are told apart by their text; the class id is
+other, a text of white space alone is only like its copies; rows that repeat a doc_id are told apart by their text; the class id is
 the least doc_id of the class (null only if all are null).
 """
 
