@@ -232,8 +232,9 @@ def _unresolved(buckets: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFra
 
 def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
-    """(dig, class_id, rep): the class of each distinct text, by its digest.
-    ``dig`` is ``text_digest`` of the text, ``rep`` its least doc_id."""
+    """(dig, class_id, rep, cls): the class of each distinct text, by its digest.
+    ``dig`` is ``text_digest`` of the text, ``rep`` its least doc_id, ``cls`` a
+    number of the class (two classes may share a least id that rows repeat)."""
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     keyed = keyed.withColumn("dig", text_digest("text"))
@@ -282,7 +283,7 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     least = (texts.join(final.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
              .select("dig", "rep", F.coalesce("label", "node").alias("label")))
     ids = least.groupBy("label").agg(F.min("rep").alias("class_id"))
-    return least.join(ids, "label").select("dig", "class_id", "rep")
+    return least.join(ids, "label").select("dig", "class_id", "rep", F.col("label").alias("cls"))
 
 
 def text_digest(text) -> F.Column:
@@ -304,8 +305,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     that doc_id that differ elsewhere count as the same document, one stays)."""
     found = save(spark, classes(spark, docs, id_col, text_col), "classes")
     # the text that stands for a class: the least digest among those with its least id
-    best = found.where(F.col("rep").eqNullSafe(F.col("class_id")))
-    best = best.groupBy("class_id").agg(F.min("dig").alias("_dig")).select(F.col("_dig"), F.col("class_id").alias("_id"))
+    best = (found.where(F.col("rep").eqNullSafe(F.col("class_id"))).groupBy("cls")
+            .agg(F.min("dig").alias("_dig"), F.first("class_id").alias("_id")).select("_dig", "_id"))
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
     hit = (docs.select(row.alias("_row"), F.col(id_col).cast("long").alias("_own"),
                        text_digest(text_col).alias("_dig"))

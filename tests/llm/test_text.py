@@ -76,7 +76,7 @@ def test_mix_targets_and_budgets(s, docs):
         assert abs(r.target - want[source[r.doc_id]]) < 1e-6 and r.taken in (0, r.size, 2 * r.size, 3 * r.size)
         taken[source[r.doc_id]] += r.taken
     for x in sizes:
-        assert abs(taken[x] - want[x]) <= 0.02 * want[x] + 60
+        assert abs(taken[x] - want[x]) <= max(0.02 * want[x], 250)   # tiny sources: a document's size
     assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.mix_report(s, src, labels).collect()))
 
 
