@@ -72,7 +72,9 @@ def _prefix(rows: DataFrame, tie: list[str]) -> DataFrame:
     base = sums.select("sid", "bucket", F.coalesce(F.sum("b").over(before), F.lit(0)).alias("base"))
     inside = (Window.partitionBy("sid", "bucket").orderBy("key", *tie)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (rows.withColumn("_in", F.sum("amount").over(inside)).join(base, ["sid", "bucket"])
+    # dealt by both keys, even where the rows already lie by source
+    dealt = rows.repartition("sid", "bucket")
+    return (dealt.withColumn("_in", F.sum("amount").over(inside)).join(base, ["sid", "bucket"])
             .withColumn("end", F.col("base") + F.col("_in")).drop("_in", "base"))
 
 

@@ -85,10 +85,9 @@ def nnls(A: np.ndarray, y: np.ndarray, rounds: int = 400) -> np.ndarray:
     """x >= 0 with A x near y in least squares (Lawson-Hanson active set)."""
     x = np.zeros(A.shape[1])
     active = np.zeros(A.shape[1], dtype=bool)
-    AtA, Aty = A.T @ A, A.T @ y
-    tol = 1e-9 * max(1.0, float(np.abs(Aty).max(initial=0)))
+    tol = 1e-9 * max(1.0, float(np.abs(A.T @ y).max(initial=0)))
     for _ in range(rounds):
-        grad = Aty - AtA @ x
+        grad = A.T @ (y - A @ x)
         grad[active] = -np.inf
         j = int(np.argmax(grad))
         if not grad[j] > tol:
@@ -96,7 +95,7 @@ def nnls(A: np.ndarray, y: np.ndarray, rounds: int = 400) -> np.ndarray:
         active[j] = True
         while True:
             idx = np.flatnonzero(active)
-            z = np.linalg.lstsq(AtA[np.ix_(idx, idx)], Aty[idx], rcond=None)[0]
+            z = np.linalg.lstsq(A[:, idx], y, rcond=None)[0]
             if (z > tol * 1e-6).all():
                 x[:] = 0
                 x[idx] = z
