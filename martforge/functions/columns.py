@@ -6,6 +6,8 @@ codegen; nothing here runs Python per row.
 
 from __future__ import annotations
 
+from decimal import Decimal, InvalidOperation
+
 import time
 
 from pyspark.sql import Column
@@ -52,10 +54,26 @@ def incentive(rank_one: Column, total: str | Column, rate: str = "0.01") -> Colu
     Decimal arithmetic, rounded half-up to cents.  A NULL total at rank 1
     keeps a NULL incentive.
     """
-    return F.when(rank_one, (_c(total) * F.lit(rate).cast("decimal(4,4)")).cast(MONEY_SQL)) \
+    return F.when(rank_one, (_c(total) * F.lit(rate).cast(_rate_type(rate))).cast(MONEY_SQL)) \
         .otherwise(F.lit(0).cast(MONEY_SQL))
 
 
+def _rate_type(rate: str) -> str:
+    """The decimal type that holds ``rate`` exactly (checked once, here)."""
+    try:
+        value = Decimal(rate)
+    except InvalidOperation as e:
+        raise ValueError(f"rate {rate!r} is not a number") from e
+    if not value.is_finite() or value < 0:
+        raise ValueError(f"rate {rate!r} is not a finite, non-negative number")
+    _, digits, exponent = value.as_tuple()
+    scale = max(0, -exponent)
+    precision = max(len(digits) + max(0, exponent), scale, 1)
+    if precision > 10:
+        raise ValueError(f"rate {rate!r} has more than ten digits")
+    return f"decimal({precision},{scale})"
+
+
 def basename(path: str | Column) -> Column:
     """SCL-9: last path segment."""
     return F.element_at(F.split(_c(path), "/"), -1)

@@ -77,11 +77,12 @@ def unmatched_facts(fact: DataFrame, customer: DataFrame, store: DataFrame,
                     sales_team: DataFrame, store_bounded: bool = False) -> DataFrame:
     """Facts an inner star join would drop, with the dimension that misses.
 
-    One pass over the fact: a correlated ``EXISTS`` per dimension, which
-    Spark plans as an existence join (a semi join that keeps every fact row
-    and adds a match flag, so duplicate dimension keys neither multiply
-    rows nor need a ``distinct``).  A fact missing two dimensions is
-    reported once per dimension; a NULL key never matches.
+    One pass over the fact: a left outer join per dimension to its distinct
+    keys with a marker column.  Unlike an existence join this form is split
+    by adaptive execution where one (unknown) key is hot; duplicate dimension
+    keys cannot multiply rows, and a NULL key is dealt by its own row, so NULL
+    keys neither match nor meet in one task.  A fact missing two dimensions is
+    reported once per dimension.
     """
     # same order as the star join: a fact already partitioned by
     # salesperson is checked against sales_team without a new shuffle
@@ -90,14 +91,15 @@ def unmatched_facts(fact: DataFrame, customer: DataFrame, store: DataFrame,
         ("store", "store_id", store.select(F.col("id").alias("store_id")), store_bounded),
         ("customer", "customer_id", customer.select("customer_id"), False),
     )
-    flags = []
+    marked = fact
     for name, key, keys, bounded in checks:
-        side = keys.alias(f"_d_{name}")
-        if bounded or small_enough(keys):
-            side = F.broadcast(side)
-        match = F.col(f"_d_{name}.{key}") == F.col(f"_f.{key}").outer()
-        flags.append(side.where(match).exists().alias(f"_has_{name}"))
-    marked = fact.alias("_f").select("*", *flags)
+        # a hash of the row stands for a NULL key; the marker it may hit is not read
+        k = keys.where(F.col(key).isNotNull()).select(F.col(key).alias("_k")).distinct().withColumn("_hit", F.lit(True))
+        spread = F.coalesce(F.col(key), F.xxhash64(*[F.col(c) for c in fact.columns]))
+        side = F.broadcast(k) if bounded or small_enough(keys) else k
+        marked = (marked.withColumn("_s", spread).join(side, F.col("_s") == F.col("_k"), "left")
+                  .withColumn(f"_has_{name}", F.col("_hit").isNotNull() & F.col(key).isNotNull())
+                  .drop("_s", "_k", "_hit"))
     missing = F.filter(F.array(*[F.when(~F.col(f"_has_{n}"), F.lit(n)) for n, *_ in checks]),
                        lambda m: m.isNotNull())
     return marked.select(F.explode(missing).alias("missing_dimension"), *fact.columns)

@@ -5,14 +5,14 @@ group in one task.  When one group holds a large share of all rows that
 task becomes the job.  ``rank_within`` computes the same numbers with the
 group split across tasks:
 
-1. range-partition on (p, v) and checkpoint — Spark samples the keys, so a hot group is
-   cut into several contiguous, ordered slices; equal (p, v) keys always
-   land in the same slice, so ties are never split;
-2. rank inside each (slice, p) and count its rows (a window whose
-   partitions are at most one slice);
-3. per group, add the row counts of the earlier slices (a small table of
-   at most slices + groups rows);
-4. rank = local rank + offset.
+1. count the rows of each (p, v) with partial sums: equal values, and a
+   group that is one single tie, fold into one row per task;
+2. range-partition these counted values on (p, v) and checkpoint: Spark
+   samples the keys, so a hot group is cut into several contiguous slices;
+3. a running sum inside each (slice, p), plus the sums of the group's
+   earlier slices (a small table of at most slices + groups rows);
+4. join the rank of each (p, v) back to the rows (a hot value is split by
+   adaptive skew handling).
 
 ``top_of_group`` answers "is this row ranked 1?" without ranking at all:
 ``v <=> max(v)`` over the group, with the max computed by a partially
@@ -44,29 +44,30 @@ def rank_within(df: DataFrame, group: list[str], value: str, out: str = "rank",
     """SQL ``rank()`` per group, ordered by ``value`` (DESC NULLS LAST)."""
     spark = df.sparkSession
     n = slices or shuffle_partitions(spark)
-    order = _order(value, descending)
     # a non-null composite key: NULL group values stay a group of their own
-    gkey = F.struct(*[F.col(c) for c in group]).alias("_rk_g")
-    # Slice ids come from a sampled range partitioner: recomputing it on
-    # input that arrives in another order can move rows between slices, so
-    # the sliced frame is checkpointed once (to the shared checkpoint dir)
-    # and both the local ranks and the slice sizes are read from that copy.
+    keyed = df.withColumn("_rk_g", F.struct(*[F.col(c) for c in group]))
+    # Slice ids come from a sampled range partitioner: the sliced values are
+    # checkpointed once (to the shared checkpoint dir), so that running sums and
+    # slice totals read the same slices when a task is run again.
     shared_dir(spark)
-    ranged = (df.withColumn("_rk_g", gkey)
-              .repartitionByRange(n, F.col("_rk_g"), order)
+    counted = keyed.groupBy("_rk_g", F.col(value).alias("_rk_v")).agg(F.count(F.lit(1)).alias("_rk_n"))
+    order_v = _order("_rk_v", descending)
+    ranged = (counted.repartitionByRange(n, F.col("_rk_g"), order_v)
               .withColumn("_rk_s", F.spark_partition_id())
               .checkpoint(eager=True))
-    w = Window.partitionBy("_rk_s", "_rk_g").orderBy(order)
-    local = ranged.withColumn("_rk_l", F.rank().over(w))
-    # row counts per (slice, group): a partially aggregated count, so only
-    # one small row per task and group is shuffled
-    sizes = ranged.groupBy("_rk_s", "_rk_g").agg(F.count(F.lit(1)).alias("_rk_n"))
+    earlier = (Window.partitionBy("_rk_s", "_rk_g").orderBy(order_v)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    local = ranged.withColumn("_rk_l", F.coalesce(F.sum("_rk_n").over(earlier), F.lit(0)))
+    sizes = ranged.groupBy("_rk_s", "_rk_g").agg(F.sum("_rk_n").alias("_rk_t"))
     before = (Window.partitionBy("_rk_g").orderBy("_rk_s")
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select("_rk_s", "_rk_g",
-                           F.coalesce(F.sum("_rk_n").over(before), F.lit(0)).alias("_rk_o"))
-    ranked = join_dimension(local, offsets, ["_rk_s", "_rk_g"])
-    return ranked.select(*df.columns, (F.col("_rk_l") + F.col("_rk_o")).cast("int").alias(out))
+                           F.coalesce(F.sum("_rk_t").over(before), F.lit(0)).alias("_rk_o"))
+    ranks = (join_dimension(local, offsets, ["_rk_s", "_rk_g"])
+             .select(F.col("_rk_g").alias("_rk_h"), "_rk_v",
+                     (F.col("_rk_l") + F.col("_rk_o") + 1).cast("int").alias(out)))
+    ranked = keyed.join(ranks, (F.col("_rk_g") == F.col("_rk_h")) & F.col(value).eqNullSafe(F.col("_rk_v")))
+    return ranked.select(*df.columns, out)
 
 
 def top_of_group(df: DataFrame, group: list[str], value: str, out: str = "is_top") -> DataFrame:

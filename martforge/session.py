@@ -10,6 +10,7 @@ shared folder named by ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -98,6 +99,10 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """
     root = _checkpoint_dir(spark)
     if root is None:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share "
+                               f"(master {master!r} is not local)")
         root = tempfile.mkdtemp(prefix="martforge-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(root)

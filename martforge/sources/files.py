@@ -24,7 +24,7 @@ from martforge.functions.columns import basename
 from martforge.session import shuffle_partitions
 
 CORRUPT = "_corrupt_record"
-SNIFF_BYTES = 64 * 1024
+SNIFF_BYTES = 64 * 1024    # read at a time, until the header line ends
 
 
 def manifest(spark: SparkSession, landing: str | list[str], glob: str | None = None) -> DataFrame:
@@ -114,6 +114,23 @@ def arrow_file(uri: str, cache: dict):
     return cache[key], unquote(u.netloc + u.path)
 
 
+def _first_line(stream) -> str | None:
+    """The first line that is not blank, however long; None for no such line
+    (Spark's CSV reader takes the same line as header)."""
+    head = b""
+    while True:
+        more = stream.read(SNIFF_BYTES)
+        head += more
+        while b"\n" in head or not more:
+            line, _, rest = head.partition(b"\n")
+            text = line.rstrip(b"\r").decode("utf-8", errors="replace").lstrip("\ufeff")
+            if text.strip():
+                return text
+            if not rest and not more:
+                return None
+            head = rest
+
+
 def _sniff_partition(batches):
     """mapInPandas body: read the first line of each file in the batch."""
     import pandas as pd
@@ -124,12 +141,7 @@ def _sniff_partition(batches):
         for path in pdf["path"]:
             filesystem, p = arrow_file(path, cache)
             with filesystem.open_input_stream(p) as stream:
-                head = stream.read(SNIFF_BYTES)
-            if not head:
-                headers.append(None)
-                continue
-            line = head.split(b"\n", 1)[0].rstrip(b"\r")
-            headers.append(line.decode("utf-8", errors="replace").lstrip("\ufeff"))
+                headers.append(_first_line(stream))
         yield pd.DataFrame({"path": pdf["path"], "header": pd.Series(headers, dtype=object)})
 
 

@@ -62,3 +62,60 @@ def test_rank_of_a_hot_group_spreads_over_slices(spark):
     assert slices > 1                       # the hot group is cut into several slices
     want = ranking.rank_window(df, ["store_id", "sales_month"], "total_sales", out="rnk")
     assert ranked.exceptAll(want).count() == 0 and want.exceptAll(ranked).count() == 0
+
+
+def test_rank_of_a_single_tie_folds(spark):
+    df = spark.range(0, 6000).select(F.lit(1).alias("g"), F.col("id"), F.lit(None).cast("long").alias("v"))
+    ranked = ranking.rank_within(df, ["g"], "v", out="r", slices=8)
+    assert ranked.where("r <> 1").count() == 0 and ranked.count() == 6000
+
+
+def test_unmatched_report_splits_a_hot_unknown_key(spark):
+    def run():
+        fact = _skewed_fact(spark)
+        hot = fact.withColumn("customer_id", F.when(F.col("customer_id") == 1, F.lit(777777).cast("long"))
+                              .otherwise(F.col("customer_id")))
+        gone = hot.withColumn("customer_id", F.when(F.col("quantity") == 1, None).otherwise(F.col("customer_id")))
+        rep = enrich.unmatched_facts(gone, generate.customers(spark), generate.stores(spark),
+                                     generate.sales_team(spark))
+        n = rep.where("missing_dimension = 'customer'").count()
+        rep.collect()
+        return n, gone.where("customer_id = 777777 or customer_id is null").count(), \
+            rep._jdf.queryExecution().executedPlan().toString()
+    n, want, plan = _with_conf(spark, SKEW_CONF, run)
+    assert n == want and "skew=true" in plan
+
+
+def test_shared_dir_refuses_a_cluster_without_a_shared_folder(monkeypatch):
+    import pytest
+
+    from martforge import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Fake:
+        conf = Conf()
+
+        class sparkContext:
+            @staticmethod
+            def getCheckpointDir():
+                return None
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Fake())
+    from martforge.functions.columns import _rate_type
+    assert _rate_type("0.01") == "decimal(2,2)" and _rate_type("1.0") == "decimal(2,1)"
+    assert _rate_type("0.00004") == "decimal(5,5)"
+    with pytest.raises(ValueError):
+        _rate_type("NaN")
+
+
+def test_header_is_read_to_its_end():
+    import io
+
+    from martforge.sources.files import _first_line
+    long = ",".join(f"c{i}" for i in range(30_000))
+    assert _first_line(io.BytesIO(("\n \r\n" + long + "\r\nx").encode())) == long
+    assert _first_line(io.BytesIO(b"")) is None and _first_line(io.BytesIO(b"\n\n")) is None
+    assert _first_line(io.BytesIO("﻿a,b".encode())) == "a,b"
