@@ -111,7 +111,8 @@ def decisions(spark: SparkSession, docs: DataFrame, labels: DataFrame | None = N
     state = save(spark, first.withColumn("extra", (F.col("end") <= F.col("room")).cast("int")).drop("end"), "mix")
     drop(spark, base)
     for i in range(FILLS):
-        got = state.where("extra = 1").groupBy("sid").agg(F.sum("amount").alias("got"))
+        # written down, so that its true size decides whether it is broadcast
+        got = save(spark, state.where("extra = 1").groupBy("sid").agg(F.sum("amount").alias("got")), "got")
         gap = state.join(got, "sid", "left").withColumn("gap", F.col("room") - F.coalesce("got", F.lit(0))).drop("got")
         open_ = gap.where((F.col("extra") == 0) & (F.col("amount") > 0) & (F.col("epochs") < cap))
         if i < FILLS - 1:
@@ -127,7 +128,7 @@ def decisions(spark: SparkSession, docs: DataFrame, labels: DataFrame | None = N
         nxt = save(spark, state.join(more, hit, "left")
                    .withColumn("extra", F.when(F.col("_s").isNotNull(), 1).otherwise(F.col("extra")))
                    .drop("_s", "_d", "_t"), "mix")
-        drop(spark, state)
+        drop(spark, state, got)
         state = nxt
     return state.select("doc_id", "th", "source", "copies", "size", "source_size", "target", "key",
                         (F.col("epochs") + F.col("extra")).alias("times"))
