@@ -50,6 +50,7 @@ def rank_within(df: DataFrame, group: list[str], value: str, out: str = "rank",
     # checkpointed once (to the shared checkpoint dir), so that running sums and
     # slice totals read the same slices when a task is run again.
     shared_dir(spark)
+    keyed = keyed.checkpoint(eager=True)     # read twice: counted, and joined with the ranks
     counted = keyed.groupBy("_rk_g", F.col(value).alias("_rk_v")).agg(F.count(F.lit(1)).alias("_rk_n"))
     order_v = _order("_rk_v", descending)
     ranged = (counted.repartitionByRange(n, F.col("_rk_g"), order_v)
