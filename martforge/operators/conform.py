@@ -57,7 +57,7 @@ def route_files(files: DataFrame, headers: DataFrame | None = None,
                            .otherwise(cols))
                .withColumn("missing_columns", F.array_except(required, F.col("columns")))
                .withColumn("extra_columns", F.array_except(F.col("columns"), required))
-               .withColumn("reason", F.when(F.col("header").isNull() | (F.col("header") == ""), F.lit(EMPTY_FILE))
+               .withColumn("reason", F.when(F.col("header").isNull(), F.lit(EMPTY_FILE))
                            .when(stray_quote | F.array_contains("columns", ""),
                                  F.lit(UNSUPPORTED_HEADER))
                            .when(F.size(F.array_distinct("columns")) < F.size("columns"),
@@ -79,16 +79,16 @@ def empty_sales(spark: SparkSession) -> DataFrame:
 
 
 def conform(df: DataFrame, columns: list[str]) -> DataFrame:
-    """PRJ-1 + SCL-4 + T7: mandatory columns by name, typed; extras folded
-    in header order; ``_bad`` marks rows with a wrong field count or a
+    """PRJ-1 + SCL-4 + T7: mandatory columns at the places the header gives
+    them, typed; extras folded in header order; ``_bad`` marks rows with a wrong field count or a
     non-empty cell that does not parse; ``_raw`` keeps the row's text."""
-    extras = [c for c in columns if c not in MANDATORY]
-    raw = {c: F.col(f"`{c}`") for c in MANDATORY}
+    extras = [f"_c{i}" for i, c in enumerate(columns) if c not in MANDATORY]
+    raw = {c: F.col(f"_c{columns.index(c)}") for c in MANDATORY}
     typed = {c: raw[c].try_cast(f.dataType) for c, f in zip(MANDATORY, SALES.fields)}
     unparsed = [raw[c].isNotNull() & typed[c].isNull() for c in MANDATORY]
     bad = F.col(fsrc.CORRUPT).isNotNull() | reduce(lambda a, b: a | b, unparsed)
     text = F.coalesce(F.col(fsrc.CORRUPT),
-                      F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in columns]))
+                      F.concat_ws(",", *[F.coalesce(F.col(f"_c{i}"), F.lit("")) for i in range(len(columns))]))
     return df.select(*[typed[c].alias(c) for c in MANDATORY],
                      fold_extras(extras).alias(ADDITIONAL),
                      "source_file", bad.alias("_bad"), text.alias("_raw"))
@@ -112,13 +112,11 @@ def ingest(spark: SparkSession, routing: DataFrame) -> Ingested:
     parts = []
     for row in accepted:
         columns = list(row.columns)
-        raw = fsrc.read_signature(spark, columns, sorted(row.paths))
+        raw = fsrc.read_signature(spark, len(columns), sorted(row.paths))
         parts.append(conform(raw, columns))
     if not parts:
-        empty = empty_sales(spark)
-        return Ingested(empty.withColumn("source_file", F.lit(None).cast("string")),
-                        spark.createDataFrame([], "source_file string, raw string"), routing,
-                        None)
+        parts = [empty_sales(spark).select("*", F.lit(None).cast("string").alias("source_file"),
+                                           F.lit(False).alias("_bad"), F.lit(None).cast("string").alias("_raw"))]
     allrows = reduce(DataFrame.unionByName, parts)
     return split_conformed(allrows, routing)
 
@@ -131,19 +129,23 @@ def split_conformed(allrows: DataFrame, routing: DataFrame) -> Ingested:
 
 def quarantined_lines(spark: SparkSession, routing: DataFrame) -> DataFrame:
     """SNK-9 input: the data lines of every rejected, non-empty CSV file,
-    with the file and the reason; the header line is left out."""
+    with the file and the reason; the header line is left out, but not a
+    later line equal to it."""
     rejected = routing.where((F.col("reason") != ACCEPTED) & (F.col("reason") != NOT_CSV)
                              & (F.col("length") > 0))
-    paths = [r.path for r in rejected.select("path").collect()]
+    paths = [fsrc.readable(r.path) for r in rejected.select("path").collect()]
     if not paths:
         return spark.createDataFrame([], "path string, reason string, missing_columns array<string>, raw string")
     lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"),
                                           F.col("value").alias("raw"))
     info = rejected.select("path", "header", "reason", "missing_columns")
     joined = join_dimension(lines, info, "path")
-    first_line = F.regexp_replace(F.col("raw"), "^\ufeff", "")
-    return joined.where(~first_line.eqNullSafe(F.col("header"))).select(
-        "path", "reason", "missing_columns", "raw")
+    is_header = F.regexp_replace(F.col("raw"), "^\ufeff", "").eqNullSafe(F.col("header"))
+    keys = ["path", "reason", "missing_columns"]
+    # lines equal to the header are all alike: all but one of them stay
+    again = (joined.where(is_header).groupBy(*keys, "header").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+             .select(*keys, F.explode(F.array_repeat("header", (F.col("n") - 1).cast("int"))).alias("raw")))
+    return joined.where(~is_header).select(*keys, "raw").unionByName(again)
 
 
 def routing_summary(routing: DataFrame, ingested: Ingested, quarantined: DataFrame,

@@ -103,13 +103,17 @@ def q_daily_products_per_customer(spark, sf_dir):
     return marts.daily_products_per_customer(tpch.sales_fact(spark, sf_dir))
 
 
+ODD_FOLDER = "day #1 [a] 100%?"     # characters that URIs and globs treat apart
+
+
 def ingest_derived_drops(spark: SparkSession, sf_dir: str):
     """Write the canonical fact as three CSV drops (fresh folder in the
     shared checkpoint dir), then route and ingest them like a landing
     folder: SRC-1..4, FLT-1/4/5, PRJ-1, SET-1, SCL-4, SNK-11."""
-    root = shared_dir(spark, "drops")
+    root = f"{shared_dir(spark, 'drops')}/{ODD_FOLDER}"
     drops.derived_drops(tpch.sales_fact(spark, sf_dir), root)
-    routing = conform.route_files(fsrc.manifest(spark, root))
+    # pinned: every use below sees the same files and headers
+    routing = conform.route_files(fsrc.manifest(spark, fsrc.literal(root))).checkpoint(eager=True)
     return conform.ingest(spark, routing)
 
 
@@ -126,6 +130,14 @@ def q_csv_bad_rows(spark, sf_dir):
         F.element_at(F.split("source_file", "/"), -2).alias("drop_name"), "raw")
 
 
+def q_csv_quarantined_lines(spark, sf_dir):
+    """SNK-9: every data line of the rejected drop, with its text."""
+    ing = ingest_derived_drops(spark, sf_dir)
+    return conform.quarantined_lines(spark, ing.routing).select(
+        F.element_at(F.split("path", "/"), -2).alias("drop_name"), "reason",
+        F.array_join("missing_columns", ",").alias("missing_columns"), "raw")
+
+
 def q_csv_drop_routing(spark, sf_dir):
     ing = ingest_derived_drops(spark, sf_dir)
     quarantined = conform.quarantined_lines(spark, ing.routing)
@@ -137,7 +149,7 @@ def q_incremental_ingest(spark, sf_dir):
     about three micro-batches; the union of all batch outputs."""
     root = shared_dir(spark, "stream")
     drops.derived_drops(tpch.sales_fact(spark, sf_dir), f"{root}/landing")
-    n_files = fsrc.manifest(spark, f"{root}/landing", glob="*.csv").count()
+    n_files = fsrc.manifest(spark, f"{root}/landing").count()
     incremental.run_available(spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint",
                               max_files_per_trigger=max(1, -(-n_files // 3)))
     out = incremental.read_output(spark, f"{root}/out").drop("source_file", "batch_id")
@@ -222,6 +234,7 @@ QUERIES: dict[str, Query] = {
     "csv_drop_union": q_csv_drop_union,
     "csv_drop_routing": q_csv_drop_routing,
     "csv_bad_rows": q_csv_bad_rows,
+    "csv_quarantined_lines": q_csv_quarantined_lines,
     "incremental_ingest": q_incremental_ingest,
     "unmatched_facts": q_unmatched_facts,
     "ledger_state": q_ledger_state,

@@ -179,6 +179,16 @@ UNION ALL
 SELECT 'missing', 'missing_columns', 'store_id', 'payment_mode', COUNT(*)
 FROM fact WHERE sales_date >= DATE '2000-01-01'""")
 
+# the rejected drop lacks the store id; its lines as written
+SQL["csv_quarantined_lines"] = with_base("""
+SELECT 'missing' AS drop_name, 'missing_columns' AS reason, 'store_id' AS missing_columns,
+       concat_ws(',', CAST(customer_id AS VARCHAR), product_name, CAST(sales_date AS VARCHAR),
+                 CAST(sales_person_id AS VARCHAR),
+                 CAST(CAST(CAST((2 * CAST(total_cost * 100 AS BIGINT) + quantity) // (2 * quantity) AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS VARCHAR),
+                 CAST(quantity AS VARCHAR), CAST(total_cost AS VARCHAR),
+                 CASE WHEN quantity > 25 THEN 'UPI' ELSE 'cash' END) AS raw
+FROM fact WHERE sales_date >= DATE '2000-01-01'""")
+
 # the stream must ingest exactly the rows of the batch ingest
 SQL["incremental_ingest"] = SQL["csv_drop_union"]
 

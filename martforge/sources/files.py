@@ -3,82 +3,77 @@
 * ``manifest`` lists every file below a landing folder with Spark's own
   file index (``binaryFile`` with the ``content`` column pruned), so no
   file body is read and the listing is complete (no page limit).
-* ``header_signatures`` reads the first line of each file.  Only the
-  first few KiB of each file are read, in tasks spread over the files
+* ``header_signatures`` reads the first line of each file that is not blank.
+  Each file is read up to the end of that line, in tasks spread over the files
   (Arrow file systems inside ``mapInPandas``), so the cost grows with the
   number of files, not with their size.  ``method="scan"`` is a pure-JVM
-  alternative that reads every byte once.
+  alternative that reads every byte once and finds the same line.
 * ``read_signature`` reads all files that share one header with a single
-  CSV scan under an explicit schema; rows that do not parse are kept
-  aside in ``_corrupt_record`` instead of failing the job or silently
-  widening types.
+  CSV scan by position; rows that do not parse are kept aside in
+  ``_corrupt`` instead of failing the job or silently widening types.
 """
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martforge.functions.columns import basename
-from martforge.session import shuffle_partitions
+from martforge.session import ship, shuffle_partitions
 
-CORRUPT = "_corrupt_record"
+CORRUPT = "_corrupt"        # data columns are read as _c0, _c1, ...: no header name can clash
 SNIFF_BYTES = 64 * 1024    # read at a time, until the header line ends
 
 
+def literal(path: str) -> str:
+    """``path`` with the characters that Spark's readers take as glob escaped."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
+def readable(uri: str) -> str:
+    """The reader path of a file key (an encoded URI): decoded, no glob."""
+    return literal(unquote(uri))
+
+
 def manifest(spark: SparkSession, landing: str | list[str], glob: str | None = None) -> DataFrame:
     """SRC-1/2 + FLT-2: every file below ``landing`` (directories excluded).
 
-    Spark's file scans plan no split for a zero-byte file, so those are
-    found separately from a metadata-only listing and added with length 0
-    (they must be quarantined, not silently ignored).
+    ``path`` is the file's encoded URI, spelled as ``_metadata.file_path``
+    of any other scan: the one key of a file in the whole library.
+
+    Spark's file scans plan no split for a zero-byte file; those are in the
+    index of the same listing and are added with length 0 (they must be
+    quarantined, not silently ignored).
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    paths = [landing] if isinstance(landing, str) else list(landing)
-    df = reader.load(paths).select(
-        "path", basename("path").alias("file_name"), "length",
-        F.col("modificationTime").alias("modification_time"))
-    empties = _zero_byte_files(paths, glob)
-    if not empties:
+    found = reader.load([landing] if isinstance(landing, str) else list(landing))
+    df = found.select(F.col("_metadata.file_path").alias("path"), basename("path").alias("file_name"), "length",
+                      F.col("modificationTime").alias("modification_time"))
+    listed = found._jdf.inputFiles()       # stays in the JVM unless something is missing
+    if len(listed) == df.count():
         return df
-    extra = spark.createDataFrame(empties, "path string, length long, modification_time timestamp")
-    return df.unionByName(extra.select("path", basename("path").alias("file_name"),
-                                       "length", "modification_time"))
-
+    # the index writes an empty authority out, the metadata column does not
+    names = spark.createDataFrame([(re.sub(r"^([^:/]+):///", r"\1:/", x),) for x in listed], "path string")
+    empty = [r.path for r in names.join(df, "path", "left_anti").collect()]     # zero-byte files alone
+    extra = spark.createDataFrame(
+        [(x, unquote(x).rsplit("/", 1)[-1], 0, _modified(spark, x)) for x in empty],
+        "path string, file_name string, length long, millis long")
+    return df.unionByName(extra.select("path", "file_name", "length",
+                                       F.timestamp_millis("millis").alias("modification_time")))
 
-def _zero_byte_files(paths: list[str], glob: str | None) -> list[tuple]:
-    """(uri, 0, mtime) of empty, non-hidden files below ``paths``."""
-    import datetime
-    import fnmatch
-    from urllib.parse import urlparse
-
-    from pyarrow import fs as pafs
 
-    out = []
-    for root in paths:
-        u = urlparse(root)
-        try:
-            filesystem, base = arrow_file(root, {})
-            base = base.rstrip("/") or "/"
-            prefix = "file:" if u.scheme in ("", "file") else f"{u.scheme}://"
-            infos = filesystem.get_file_info(pafs.FileSelector(base, recursive=True))
-        except Exception:  # listing not possible from here: skip the check
-            continue
-        for info in infos:
-            name = info.base_name
-            if info.type != pafs.FileType.File or info.size != 0:
-                continue
-            rel = info.path[len(base):]
-            if name.startswith((".", "_")) or any(seg.startswith((".", "_")) for seg in rel.split("/")[:-1]):
-                continue
-            if glob and not fnmatch.fnmatch(name, glob):
-                continue
-            mtime = info.mtime or datetime.datetime.fromtimestamp(0, datetime.timezone.utc)
-            out.append((prefix + info.path, 0, mtime))
-    return out
+def _modified(spark: SparkSession, uri: str) -> int:
+    """Modification time of one file in epoch milliseconds, on any file system."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(unquote(uri))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(path).getModificationTime()
 
 
 def split_by_extension(files: DataFrame, ext: str = ".csv") -> tuple[DataFrame, DataFrame]:
@@ -96,7 +91,7 @@ ARROW_SCHEMES = {"": "", "file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3",
 def arrow_file(uri: str, cache: dict):
     """(Arrow file system, path) for a file URI; file systems are cached
     per bucket/host in ``cache``."""
-    from urllib.parse import unquote, urlparse
+    from urllib.parse import urlparse
 
     from pyarrow import fs as pafs
 
@@ -114,21 +109,26 @@ def arrow_file(uri: str, cache: dict):
     return cache[key], unquote(u.netloc + u.path)
 
 
+_LINE_END = re.compile(rb"[\r\n]")
+_BLANK = "".join(map(chr, range(0x21)))
+
+
 def _first_line(stream) -> str | None:
     """The first line that is not blank, however long; None for no such line
     (Spark's CSV reader takes the same line as header)."""
-    head = b""
+    head, seen = b"", 0
     while True:
         more = stream.read(SNIFF_BYTES)
         head += more
-        while b"\n" in head or not more:
-            line, _, rest = head.partition(b"\n")
-            text = line.rstrip(b"\r").decode("utf-8", errors="replace").lstrip("\ufeff")
-            if text.strip():
+        while (end := _LINE_END.search(head, seen)) or (not more and head):
+            line, head = (head[:end.start()], head[end.end():]) if end else (head, b"")
+            seen = 0
+            text = line.decode("utf-8", errors="replace").lstrip("\ufeff")
+            if text.strip(_BLANK):
                 return text
-            if not rest and not more:
-                return None
-            head = rest
+        if not more:
+            return None
+        seen = len(head)
 
 
 def _sniff_partition(batches):
@@ -146,59 +146,66 @@ def _sniff_partition(batches):
 
 
 def header_signatures(files: DataFrame, method: str = "auto") -> DataFrame:
-    """SRC-3: ``(path, header)`` per file; header is NULL for an empty file.
+    """SRC-3: ``(path, header)`` per file; header is NULL for a file without
+    a line that is not blank.
 
-    ``auto`` sniffs when the files live on a file system tasks can open
-    through Arrow (local, S3, GCS) and falls back to the JVM scan otherwise.
+    ``auto`` sniffs the files on a file system that tasks can open through
+    Arrow (local, S3, GCS) and scans the others; both find the same header.
     """
-    from urllib.parse import urlparse
-
-    spark = files.sparkSession
     paths = files.select("path")
-    if method == "auto":
-        first = paths.first()
-        method = "sniff" if first is None or urlparse(first.path).scheme in ARROW_SCHEMES else "scan"
     if method == "sniff":
-        n = shuffle_partitions(spark)
-        spread = paths.repartition(n, "path")
-        return spread.mapInPandas(_sniff_partition, "path string, header string")
-    if method != "scan":
+        return _sniffed(paths)
+    if method == "scan":
+        return _scanned(paths)
+    if method != "auto":
         raise ValueError(method)
-    # one pass over all bytes; the first line of a file is the line with the
-    # lowest row id in the split that starts at offset 0
-    path_list = [r.path for r in paths.collect()]
+    scheme = F.regexp_extract("path", r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    arrow = scheme.isin(*ARROW_SCHEMES)
+    return _sniffed(paths.where(arrow)).unionByName(_scanned(paths.where(~arrow)))
+
+
+def _sniffed(paths: DataFrame) -> DataFrame:
+    ship(paths.sparkSession)
+    n = shuffle_partitions(paths.sparkSession)
+    return paths.repartition(n, "path").mapInPandas(_sniff_partition, "path string, header string")
+
+
+def _scanned(paths: DataFrame) -> DataFrame:
+    """One pass over all bytes: the line that comes first (by the split it
+    starts in, then by its place there) among those not blank."""
+    spark = paths.sparkSession
+    path_list = [readable(r.path) for r in paths.collect()]
     if not path_list:
         return spark.createDataFrame([], "path string, header string")
     lines = (spark.read.text(path_list)
              .select("value", F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_block_start").alias("start"))
-             .where(F.col("start") == 0)
-             .withColumn("_id", F.monotonically_increasing_id()))
-    first = lines.groupBy("path").agg(F.min_by("value", "_id").alias("header"))
-    first = first.select("path", F.regexp_replace(
-        F.regexp_replace("header", "\r$", ""), "^\ufeff", "").alias("header"))
+                     F.struct(F.col("_metadata.file_block_start").alias("start"),
+                              F.monotonically_increasing_id().alias("id")).alias("at"))
+             .withColumn("value", F.regexp_replace("value", "^\ufeff", ""))
+             .where(F.col("value").rlike("[^\\x00-\\x20]")))
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
     # zero-byte files have no line at all
     return paths.join(first, "path", "left")
 
 
-def signature_schema(columns: list[str]) -> T.StructType:
-    """Read schema of one header: every column as text, in header order,
-    plus the corrupt-record column (rows with a wrong number of fields).
+def signature_schema(n_columns: int) -> T.StructType:
+    """Read schema of a header of ``n_columns``: every column as text, by
+    position, plus the corrupt-record column (rows with a wrong number of
+    fields).
 
     Typing happens afterwards with ``try_cast`` (see ``conform``), so a
     cell that does not parse marks its row bad instead of nulling it
     silently, and the bad-row filter always references data columns.
     """
-    fields = [T.StructField(c, T.StringType()) for c in columns]
+    fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(n_columns)]
     return T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
 
 
-def read_signature(spark: SparkSession, columns: list[str], paths: list[str]) -> DataFrame:
-    """SRC-4: one CSV scan for all files sharing one header."""
-    return (spark.read.schema(signature_schema(columns))
+def read_signature(spark: SparkSession, n_columns: int, paths: list[str]) -> DataFrame:
+    """SRC-4: one CSV scan, by position, for all files sharing one header."""
+    return (spark.read.schema(signature_schema(n_columns))
             .option("header", "true")
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("dateFormat", "yyyy-MM-dd")
-            .csv(paths)
+            .csv([readable(x) for x in paths])
             .withColumn("source_file", F.col("_metadata.file_path")))

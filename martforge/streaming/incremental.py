@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions.columns import basename
 from martforge.operators import conform
+from martforge.session import shared_dir
 from martforge.sinks import writers
 
 
@@ -29,19 +30,20 @@ from martforge.sinks import writers
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def file_stream(spark: SparkSession, landing: str, glob: str = "*.csv",
+def file_stream(spark: SparkSession, landing: str, glob: str | None = None,
                 max_files_per_trigger: int | None = None,
                 archive_dir: str | None = None) -> DataFrame:
     reader = (spark.readStream.format("binaryFile")
               .schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", glob)
               .option("recursiveFileLookup", "true"))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.load(landing).select(
-        "path", basename("path").alias("file_name"), "length",
+        F.col("_metadata.file_path").alias("path"), basename("path").alias("file_name"), "length",
         F.col("modificationTime").alias("modification_time"))
 
 
@@ -51,13 +53,13 @@ def ingest_batch(output: str, header_method: str = "auto"):
     ``batch_id=<id>``: the batch's CSV is parsed once."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        shared_dir(spark)  # checkpoint() needs the shared folder
         routing = conform.route_files(batch, method=header_method).checkpoint(eager=True)
         part = f"batch_id={batch_id}"
         writers.write(routing.drop("columns"), f"{output}/routing/{part}")
-        ing = conform.ingest(spark, routing)
-        if ing.conformed is not None:
-            rows = ing.conformed.withColumn("_raw", F.when(F.col("_bad"), F.col("_raw")))
-            writers.write(rows, f"{output}/rows/{part}")
+        writers.write(conform.quarantined_lines(spark, routing), f"{output}/quarantine/{part}")
+        rows = conform.ingest(spark, routing).conformed
+        writers.write(rows.withColumn("_raw", F.when(F.col("_bad"), F.col("_raw"))), f"{output}/rows/{part}")
     return run
 
 
@@ -77,10 +79,10 @@ def run_available(spark: SparkSession, landing: str, output: str, checkpoint: st
 
 
 def read_output(spark: SparkSession, output: str, what: str = "sales") -> DataFrame:
-    """All micro-batch outputs of one kind (``sales``, ``bad_rows`` or
-    ``routing``), with a ``batch_id`` column."""
-    if what == "routing":
-        return spark.read.parquet(f"{output}/routing")
+    """All micro-batch outputs of one kind (``sales``, ``bad_rows``,
+    ``routing`` or ``quarantine``), with a ``batch_id`` column."""
+    if what in ("routing", "quarantine"):
+        return spark.read.parquet(f"{output}/{what}")
     rows = spark.read.parquet(f"{output}/rows")
     if what == "sales":
         return rows.where(~F.col("_bad")).drop("_bad", "_raw")

@@ -144,3 +144,46 @@ def test_quoted_header_names(spark, tmp):
     assert r["comma.csv"].reason == "unsupported_header"
     ing = conform.ingest(spark, _route(spark, land))
     assert [x.customer_id for x in ing.sales.collect()] == [1]
+
+
+ODD_NAMES = ["good one.csv", "a#1.csv", "a%20b.csv", "a?b.csv", "a[1].csv", "c{x}.csv", "e*.csv", "p+q.csv"]
+
+
+def test_any_file_name_is_one_key(spark, tmp):
+    land = os.path.join(tmp, "odd names #1")
+    for i, n in enumerate(ODD_NAMES):
+        write_text(f"{land}/{n}", HDR + f"\n{i},121,tea,2024-01-05,1,3.50,2,7.00\n")
+        write_text(f"{land}/bad/{n}", f"customer_id\n{i}\ncustomer_id\n")
+    write_text(f"{land}/zero byte.csv", "")
+    for method in ("sniff", "scan", "auto"):
+        routing = _route(spark, land, method)
+        assert {(r.file_name, r.reason) for r in routing.collect()} == (
+            {(n, "accepted") for n in ODD_NAMES} | {(n, "missing_columns") for n in ODD_NAMES}
+            | {("zero byte.csv", "empty_file")}), method
+    ing = conform.ingest(spark, routing)
+    assert sorted(r.customer_id for r in ing.sales.collect()) == list(range(len(ODD_NAMES)))
+    lines = conform.quarantined_lines(spark, routing)
+    # a later line equal to the header is a line of data
+    assert sorted(r.raw for r in lines.collect()) == sorted([str(i) for i in range(len(ODD_NAMES))]
+                                                            + ["customer_id"] * len(ODD_NAMES))
+    summary = {(r.drop_name, r.reason): r.n_rows for r in conform.routing_summary(routing, ing, lines).collect()}
+    assert summary[("bad", "missing_columns")] == 2 * len(ODD_NAMES)
+
+
+def test_extra_columns_of_any_name_and_header_of_any_length(spark, tmp):
+    land = os.path.join(tmp, "extras")
+    row = "1,121,tea,2024-01-05,1,3.50,2,7.00"
+    for name in ("Price", "_corrupt_record", "_corrupt", "source_file", "_bad", "_raw", "_c0", "a`b", "a.b"):
+        write_text(f"{land}/x{name}.csv", f"{HDR},{name}\n{row},{name} cell\n")
+    many = [f"extra_{i:0300d}" for i in range(250)]          # beyond one read of the sniffer
+    write_text(f"{land}/wide.csv", HDR + "," + ",".join(many) + "\n" + row + "," * 249 + ",last\n")
+    write_text(f"{land}/blank.csv", "\n  \n" + HDR + "\n" + row + "\n")
+    write_text(f"{land}/mac.csv", (HDR + "\n" + row + "\n").replace("\n", "\r"))
+    for method in ("sniff", "scan"):
+        routing = _route(spark, land, method)
+        assert {r.reason for r in routing.collect()} == {"accepted"}, method
+    ing = conform.ingest(spark, routing)
+    got = {r.additional_column for r in ing.sales.collect()}
+    assert got == {f"{n} cell" for n in ("Price", "_corrupt_record", "_corrupt", "source_file", "_bad", "_raw", "_c0",
+                                         "a`b", "a.b")} | {"last", None}
+    assert ing.sales.count() == 12 and ing.bad_rows.count() == 0
