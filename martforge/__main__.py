@@ -68,7 +68,7 @@ def main(argv: list[str] | None = None) -> int:
     res = run_pipeline(spark, conf, read(a.customer), read(a.store), read(a.sales_team),
                        store_bounded=a.store_bounded)
     print(json.dumps({"run_id": res.run_id, "accepted_files": res.accepted_files,
-                      "rejected_files": res.rejected_files, "bad_rows": res.bad_rows,
+                      "rejected_files": res.rejected_files, "bad_rows": res.bad_rows, "failed_moves": res.failed_moves,
                       "outputs": res.outputs}))
     return 0
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from martforge.config import PipelineConfig
 from martforge.functions.columns import run_clock
 from martforge.operators import conform, enrich, ledger, marts
+from martforge.schemas import LEDGER_CLOSED, LEDGER_REJECTED
 from martforge.sinks import moves, writers
 from martforge.session import shared_dir
 from martforge.sources import files as fsrc
@@ -35,6 +36,7 @@ class RunResult:
     accepted_files: int
     rejected_files: int
     bad_rows: int
+    failed_moves: int = 0     # files that could not be moved: tried again by the next run
     outputs: dict[str, str] = field(default_factory=dict)
 
 
@@ -54,7 +56,8 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
     if csv.isEmpty():
         raise NoInputError(f"no CSV file below {conf.landing}")
 
-    current = ledger.state(ledger.read(spark, conf.ledger))
+    # as this run found it: its own events come after
+    current = ledger.state(ledger.read(spark, conf.ledger)).checkpoint(eager=True)
     if conf.on_open_files == "fail" and not ledger.open_files(listed, current).isEmpty():
         raise OpenFilesError("files of an unfinished run are still open")
     todo = ledger.pending(listed, current)
@@ -70,10 +73,13 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
 
     rejected = routing.where(F.col("reason") != conform.ACCEPTED)
     ledger.append(conf.ledger, ledger.rejected_events(rejected, run_id, clock_secs))
+    # rejected files leave the landing folder whether or not any file is accepted
+    failed = _move(spark, conf, rejected, current, LEDGER_REJECTED, listed, conf.error_dir, "rejected", run_id, outputs)
 
     accepted = routing.where(F.col("reason") == conform.ACCEPTED)
     n_accepted = accepted.count()
     if n_accepted == 0:
+        _move(spark, conf, accepted, current, LEDGER_CLOSED, listed, conf.processed_dir, "processed", run_id, outputs)
         raise NoInputError("no file passed the header check")
     ledger.append(conf.ledger, ledger.open_events(accepted, run_id, clock_secs))
 
@@ -124,13 +130,26 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
                            properties=conf.jdbc_properties)
 
     ledger.append(conf.ledger, ledger.close_events(accepted, run_id, run_clock()[1]))
-    # moves come after the close: a crash in between leaves closed files in
-    # the landing folder, which the next run skips (never lost open work)
-    if conf.error_dir:
-        outputs["moved_rejected"] = writers.write_snapshot(
-            moves.move_files(rejected, conf.landing, conf.error_dir), conf.path("moves/rejected"), run_id)
-    if conf.processed_dir:
-        outputs["moved_processed"] = writers.write_snapshot(
-            moves.move_files(accepted, conf.landing, conf.processed_dir), conf.path("moves/processed"), run_id)
+    # moves come after the close: what a crash in between leaves in the
+    # landing folder is closed, and moved by the next run
+    failed += _move(spark, conf, accepted, current, LEDGER_CLOSED, listed, conf.processed_dir, "processed", run_id,
+                    outputs)
     n_bad = spark.read.parquet(outputs["bad_rows"]).count()
-    return RunResult(run_id, n_accepted, routing.count() - n_accepted, n_bad, outputs)
+    return RunResult(run_id, n_accepted, routing.count() - n_accepted, n_bad, failed, outputs)
+
+
+def _move(spark: SparkSession, conf: PipelineConfig, files: DataFrame, before: DataFrame, status: str,
+          listed: DataFrame, target: str | None, name: str, run_id: int, outputs: dict[str, str]) -> int:
+    """Move ``files`` of this run, and the listed files that an earlier run
+    brought to ``status`` but did not move, below ``target``/run_id=...: a
+    later delivery of a name never replaces an earlier one.  Returns how many
+    could not be moved (the status table has the errors)."""
+    if not target:
+        return 0
+    done = before.where(F.col("status") == status).select(
+        F.col("file_path").alias("path"), "length", "modification_time")
+    left = listed.join(done, ["path", "length", "modification_time"], "left_semi").select("path")
+    outputs[f"moved_{name}"] = writers.write_snapshot(
+        moves.move_files(files.select("path").unionByName(left), conf.landing,
+                         writers.snapshot_path(target, run_id)), conf.path(f"moves/{name}"), run_id)
+    return spark.read.parquet(outputs[f"moved_{name}"]).where(~F.col("moved")).count()

@@ -10,23 +10,28 @@ its path relative to the source folder below the destination folder.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.functions.columns import rewrite_prefix
-from martforge.sources.files import arrow_file
-from martforge.session import shuffle_partitions
+from martforge.sources.files import ARROW_SCHEMES, arrow_file
+from martforge.session import ship, shuffle_partitions
 
 MOVE_SCHEMA = "path string, target string, moved boolean, error string"
 
 
 def qualify(spark: SparkSession, path: str) -> str:
-    """Fully qualified URI of ``path`` as Spark's file sources report it
+    """Fully qualified, encoded URI of ``path`` as file keys are spelled
     (``file:/tmp/x`` for a local ``/tmp/x``)."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.makeQualified(hpath).toString().rstrip("/")
+    uri = fs.makeQualified(hpath).toUri().toString().rstrip("/")
+    return re.sub(r"^([^:/]+):///", r"\1:/", uri)
 
 
 def _fs_and_path(uri: str, cache: dict):
@@ -76,13 +81,41 @@ def _move_partition(batches):
                             "moved": moved, "error": pd.Series(errors, dtype=object)})
 
 
+def arrow_scheme(uri: str) -> bool:
+    return uri.partition(":")[0] in ARROW_SCHEMES
+
+
 def move_files(files: DataFrame, source_dir: str, dest_dir: str) -> DataFrame:
     """Plan the move of every ``path`` of ``files`` from below ``source_dir``
     to the same relative place below ``dest_dir``; returns one status row
     per file (lazy: run it with an action, e.g. by writing the statuses)."""
     spark = files.sparkSession
+    ship(spark)
     src, dst = qualify(spark, source_dir), qualify(spark, dest_dir)
     n = shuffle_partitions(spark)
     targets = files.select("path", rewrite_prefix("path", src + "/", dst + "/").alias("target"))
     targets = targets.where(F.col("target") != F.col("path"))   # outside source_dir: left alone
-    return targets.repartition(n, "path").mapInPandas(_move_partition, MOVE_SCHEMA)
+    arrow = F.regexp_extract("path", r"^([A-Za-z][A-Za-z0-9+.-]*):", 1).isin(*ARROW_SCHEMES)
+    moved = targets.where(arrow).repartition(n, "path").mapInPandas(_move_partition, MOVE_SCHEMA)
+    if arrow_scheme(src) and arrow_scheme(dst):
+        return moved
+    return moved.unionByName(_renamed(spark, targets.where(~arrow)))
+
+
+def _renamed(spark: SparkSession, targets: DataFrame) -> DataFrame:
+    """Renames through Hadoop's file systems (HDFS, ABFS, ...): operations on
+    names alone, asked for by the driver one after the other."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    done = []
+    for r in targets.toLocalIterator():
+        src, dst = (jvm.org.apache.hadoop.fs.Path(unquote(x)) for x in (r.path, r.target))
+        error = None
+        try:
+            fs = src.getFileSystem(conf)
+            fs.mkdirs(dst.getParent())
+            if not fs.rename(src, dst) and not (fs.exists(dst) and not fs.exists(src)):
+                error = "rename was refused"
+        except Py4JJavaError as exc:
+            error = str(exc.java_exception)
+        done.append((r.path, r.target, error is None, error))
+    return spark.createDataFrame(done, MOVE_SCHEMA)

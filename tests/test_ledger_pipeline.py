@@ -131,8 +131,9 @@ def test_pipeline_moves_processed_and_rejected_files(spark, tmp):
                           processed_dir=f"{tmp}/processed", error_dir=f"{tmp}/error")
     c, s, t = _dims(spark)
     res = run_pipeline(spark, conf, c, s, t, run_id=1)
-    assert sorted(os.listdir(f"{tmp}/processed/day1")) == ["sales_0.csv", "sales_1.csv"]
-    assert os.listdir(f"{tmp}/error/day1") == ["bad.csv"]
+    assert sorted(os.listdir(f"{tmp}/processed/run_id=1/day1")) == ["sales_0.csv", "sales_1.csv"]
+    assert os.listdir(f"{tmp}/error/run_id=1/day1") == ["bad.csv"]
+    assert res.failed_moves == 0
     assert [f for _, _, fs in os.walk(f"{tmp}/landing") for f in fs] == []
     st = spark.read.parquet(res.outputs["moved_processed"])
     assert st.where("moved").count() == 2
@@ -217,3 +218,37 @@ def test_command_line_incremental_run(spark, tmp, capsys):
     rc = main(["--landing", f"{tmp}/landing", "--output", f"{tmp}/out", "--incremental"])
     assert rc == 0
     assert incremental.read_output(spark, f"{tmp}/out").count() == 1
+
+
+def _files(top):
+    return sorted(os.path.relpath(os.path.join(d, f), top) for d, _, fs in os.walk(top) for f in fs if f.endswith(".csv"))
+
+
+def test_unfinished_moves_are_taken_up_and_rejected_files_always_move(spark, tmp):
+    land = f"{tmp}/landing"
+    _drops(spark, land, n_files=1, rows=10)
+    write_text(f"{land}/bad one#1.csv", "customer_id\n1\n")
+    c, s, t = _dims(spark)
+    run_pipeline(spark, _conf(tmp), c, s, t, run_id=1)        # closes and rejects, moves nothing
+    write_text(f"{land}/worse.csv", "store_id\n1\n")
+    conf = _conf(tmp, processed_dir=f"{tmp}/processed", error_dir=f"{tmp}/error")
+    with pytest.raises(NoInputError):                          # nothing to accept, all to be moved
+        run_pipeline(spark, conf, c, s, t, run_id=2)
+    assert _files(land) == []
+    assert _files(f"{tmp}/error") == ["run_id=2/bad one#1.csv", "run_id=2/worse.csv"]
+    assert _files(f"{tmp}/processed") == ["run_id=2/sales_0.csv"]
+    # the next delivery of a name is kept beside the first
+    _drops(spark, land, n_files=1, rows=20)
+    assert run_pipeline(spark, conf, c, s, t, run_id=3).failed_moves == 0
+    assert _files(f"{tmp}/processed") == ["run_id=2/sales_0.csv", "run_id=3/sales_0.csv"]
+
+
+def test_moves_on_other_file_systems(spark, tmp):
+    from martforge.sinks import moves
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.m.link./x", f"file://{tmp}")
+    write_text(f"{tmp}/src/a b.csv", "x\n")
+    files = fsrc.manifest(spark, "viewfs://m/x/src")
+    out = moves.move_files(files, "viewfs://m/x/src", "viewfs://m/x/dst").collect()
+    assert [(r.moved, r.error) for r in out] == [(True, None)]
+    assert _files(f"{tmp}/dst") == ["a b.csv"] and _files(f"{tmp}/src") == []
