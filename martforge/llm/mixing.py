@@ -15,8 +15,11 @@ Method
   not yet taken that are small enough, and at last to the one that comes
   nearest.
 * Prefix sums never gather a source in one task: documents of a source are
-  dealt into buckets of the key, whose sums are accumulated over the (few)
-  buckets and whose members are accumulated inside the bucket.
+  dealt into about equal buckets in order of the key (by the distribution that
+  keys of its mix of quality weights have), buckets into groups; sums are
+  accumulated over the groups, over the buckets of a group and over the members
+  of a bucket, so that of n documents about the root of n / BUCKET_ROWS rows
+  meet in one window.
 
 Defined results: null text has size 0; documents of size 0 are taken in
 complete epochs and count nothing; a null source is a source of its own, last
@@ -34,7 +37,7 @@ from martforge.llm.scratch import dense_order, drop, save
 WEIGHTS = (5.0, 2.0, 1.0)      # of the sources in order, repeating
 CAP = 3                        # a source, and a document, gives at most so many times its size
 QUALITY = {1: 2.0, 0: 0.5}     # weight of a labelled document; 1.0 without a label
-BUCKET_ROWS = 2_000           # documents of a source summed in one place
+BUCKET_ROWS = 500             # documents of a source summed in one place
 FILLS = 4                      # passes over what does not fit the first prefix
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -44,12 +47,12 @@ def n_words(text: Column) -> Column:
 
 
 def source_targets(spark: SparkSession, sizes: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
-    """(source, source_size, n_docs, target) from (source, source_size, n_docs)."""
+    """``sizes`` (source, source_size, ...) with each source's target."""
     ranked = dense_order(spark, sizes.select(F.col("source").isNull().alias("last"), "source"),
                          ["last", "source"], "rank").withColumnRenamed("source", "_s")
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     t = save(spark, sizes.join(ranked, sizes["source"].eqNullSafe(F.col("_s")))
-             .select("source", "source_size", "n_docs", w.alias("w")), "sources")
+             .select(*[sizes[c] for c in sizes.columns], w.alias("w")), "sources")
     level = None
     total = t.agg(F.sum("source_size").alias("t")).first()["t"] or 0
     while True:
@@ -60,16 +63,20 @@ def source_targets(spark: SparkSession, sizes: DataFrame, weights=WEIGHTS, cap:
         if nxt == level or nxt is None:
             break
         level = nxt
-    return t.select("source", "source_size", "n_docs",
+    return t.select(*sizes.columns,
                     F.least(F.col("w") * F.lit(float(level or 0.0)),
                             (F.col("source_size") * cap).cast("double")).alias("target"))
 
 
 def _prefix(rows: DataFrame, tie: list[str]) -> DataFrame:
     """``end``: sum of ``amount`` up to and with each row in its source."""
-    sums = rows.groupBy("sid", "bucket").agg(F.sum("amount").alias("b"))
-    before = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select("sid", "bucket", F.coalesce(F.sum("b").over(before), F.lit(0)).alias("base"))
+    sums = rows.groupBy("sid", "lot", "bucket").agg(F.sum("amount").alias("b"))
+    before = Window.partitionBy("sid", "lot").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy("sid").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)
+    lots = (sums.groupBy("sid", "lot").agg(F.sum("b").alias("b"))
+            .select("sid", "lot", F.coalesce(F.sum("b").over(above), F.lit(0)).alias("lot_base")))
+    base = (sums.withColumn("base", F.coalesce(F.sum("b").over(before), F.lit(0))).join(lots, ["sid", "lot"])
+            .select("sid", "bucket", (F.col("base") + F.col("lot_base")).alias("base")))
     inside = (Window.partitionBy("sid", "bucket").orderBy("key", *tie)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # dealt by both keys, even where the rows already lie by source
@@ -95,17 +102,23 @@ def decisions(spark: SparkSession, docs: DataFrame, labels: DataFrame | None = N
     for k, v in QUALITY.items():
         q = F.when(F.col("_q") == k, F.lit(v)).otherwise(q)
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", "th", F.lit(seed)), 11).cast("double") + 0.5) * F.lit(2.0 ** -53)
-    base = save(spark, base.withColumn("key", -F.log(u) / q).drop("_q"), "mix")
+    base = save(spark, base.withColumn("q", q).withColumn("key", -F.log(u) / F.col("q")).drop("_q"), "mix")
+    kinds = sorted({1.0, *QUALITY.values()})
     sizes = base.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"),
-                                       F.count(F.lit(1)).alias("n_docs"))
+                                       F.count(F.lit(1)).alias("n_docs"),
+                                       F.array(*[F.avg((F.col("q") == k).cast("int")) for k in kinds]).alias("shares"))
     targets = source_targets(spark, sizes, weights, cap).withColumn("sid", F.xxhash64(F.col("source").isNull(), "source"))
     targets = targets.withColumnRenamed("source", "_src")
     full = F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(cap)).cast("long")
+    # the share of a source's documents that have a smaller key, as expected
+    below = 1 - sum((F.get("shares", F.lit(i)) * F.exp(F.col("key") * -k) for i, k in enumerate(kinds)), F.lit(0.0))
     rows = (base.join(targets, F.col("source").eqNullSafe(F.col("_src"))).drop("_src")
             .withColumn("epochs", F.when(F.col("source_size") > 0, full).otherwise(0))
             .withColumn("room", F.col("target") - F.col("epochs") * F.col("source_size"))
-            .withColumn("bucket", F.floor((1 - F.exp(-F.col("key")))
-                                          * F.ceil(F.col("n_docs") / F.lit(float(BUCKET_ROWS)))).cast("long"))
+            .withColumn("buckets", F.ceil(F.col("n_docs") / F.lit(float(BUCKET_ROWS))))
+            .withColumn("bucket", F.floor(below * F.col("buckets")).cast("long"))
+            .withColumn("lot", F.floor(F.col("bucket") / F.ceil(F.sqrt("buckets"))).cast("long"))
+            .drop("shares", "buckets", "q")
             .withColumn("amount", F.col("size") * F.col("copies")))
     first = _prefix(rows, ["doc_id", "th"])
     state = save(spark, first.withColumn("extra", (F.col("end") <= F.col("room")).cast("int")).drop("end"), "mix")
