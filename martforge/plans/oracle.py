@@ -238,8 +238,10 @@ ranked AS (
 ),
 state AS (SELECT * FROM ranked WHERE rn = 1),
 listing AS (
-  SELECT file_path AS path, file_name, length, modification_time FROM files
-  WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+  SELECT file_path AS path, file_name, length,
+         CASE WHEN o_orderpriority = '5-LOW' THEN modification_time + INTERVAL 2 DAY
+              ELSE modification_time END AS modification_time
+  FROM files
 )
 """
 
@@ -262,13 +264,14 @@ WHERE NOT EXISTS (SELECT 1 FROM state s WHERE s.status = 'I' AND l.path = s.file
                   AND l.length = s.length AND l.modification_time = s.modification_time)"""
 
 SQL["partitioned_mart_roundtrip"] = with_base("""
-SELECT * FROM (
-  SELECT store_id, sales_person_id, sales_person_first_name, sales_person_last_name,
-         store_manager_name, manager_id, is_manager, sales_person_address, sales_person_pincode,
-         sales_date, CAST(total_cost AS DOUBLE) AS total_cost,
-         substring(CAST(sales_date AS VARCHAR), 1, 7) AS sales_month
-  FROM enriched) m
-WHERE sales_month >= '1999-01'""")
+SELECT store_id, sales_person_id, sales_person_first_name, sales_person_last_name,
+       store_manager_name, manager_id, is_manager, sales_person_address, sales_person_pincode,
+       sales_date, CAST(total_cost AS DOUBLE) AS total_cost,
+       substring(CAST(sales_date AS VARCHAR), 1, 7) AS sales_month
+FROM enriched""")
+
+SQL["partitioned_mart_months"] = SQL["partitioned_mart_roundtrip"] + """
+WHERE substring(CAST(sales_date AS VARCHAR), 1, 7) >= '1999-01'"""
 
 SQL["snapshot_roundtrip"] = with_base(f"""
 SELECT store_id, sales_person_id, full_name, sales_month, CAST(total_sales AS DOUBLE) AS total_sales,

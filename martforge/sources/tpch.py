@@ -206,11 +206,13 @@ def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The drop files still in the landing folder: those of urgent and
-    high-priority orders (a manifest: path, file_name, length, mtime)."""
-    o = table(spark, sf_dir, "orders").where(
-        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    """The drop files in the landing folder: one per order.  Those of low
+    priority orders were delivered again two days later, under the same name
+    (a manifest: path, file_name, length, mtime)."""
+    o = table(spark, sf_dir, "orders")
     name = F.concat(F.lit("drop_"), F.col("o_orderkey").cast("string"), F.lit(".csv"))
+    first = F.col("o_orderdate").cast("timestamp")
     return o.select(F.concat(F.lit("landing/"), name).alias("path"), name.alias("file_name"),
                     (F.col("o_orderkey") + 1000).alias("length"),
-                    F.col("o_orderdate").cast("timestamp").alias("modification_time"))
+                    F.when(F.col("o_orderpriority") == "5-LOW", first + F.expr("INTERVAL 2 DAYS"))
+                    .otherwise(first).alias("modification_time"))
