@@ -13,8 +13,10 @@ Method
   shingles costs about n + M ln M arrivals instead of n * M.  The share of equal
   registers estimates the probability Jaccard similarity of the weights.
 * *Exact copies* are folded first: all later work is on distinct texts.
-* *Banding*: BANDS bands of ROWS registers; two texts of similarity 0.8 share
-  a band with probability 0.9993.
+* *Banding*: BANDS bands of ROWS registers.  A text that repeats a shingle has
+  the bands of its weights and those of its set (every weight 1); for any other
+  text they are the same.  Two texts of similarity 0.8, by plain or by
+  probability Jaccard, so share a band with probability 0.9993.
 * *Verification* on the full shingle multisets: similarity is the greater of
   plain and probability Jaccard, both computed exactly; 0.8 or more is a link.
 * Within a band bucket members are compared with one pivot, not with each
@@ -113,11 +115,17 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in W.slices(b.column("text")):
             row, sh, weight = shingle_sets(s)
             keys = _band_keys(signatures(row, sh, weight, s.rows), BANDS, ROWS)
-            has = np.zeros(s.rows, dtype=bool)
+            has, again = np.zeros(s.rows, dtype=bool), np.zeros(s.rows, dtype=bool)
             has[row] = True
-            at = np.flatnonzero(has)
+            again[row[weight > 1]] = True
+            at, twice = np.flatnonzero(has), np.flatnonzero(again)
+            # the sets of texts that repeat shingles, by the same arrivals at rate 1
+            own = again[row]
+            plain = _band_keys(signatures(np.searchsorted(twice, row[own]), sh[own], np.ones(int(own.sum())),
+                                          len(twice)), BANDS, ROWS)
+            keys, at = np.concatenate([keys[at], plain]), np.concatenate([at, twice])
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * BANDS),
-                                             W.signed(keys[at].reshape(-1)))
+                                             W.signed(keys.reshape(-1)))
             yield pa.RecordBatch.from_arrays([b.column("dig").take(pa.array(at + s.lo)), lists],
                                              names=["dig", "bands"])
 

@@ -95,6 +95,19 @@ def test_classes_of_a_group_of_edits(s):
     assert got == brute_classes(rows)
 
 
+def test_texts_alike_by_set_that_repeat_a_line(s):
+    """Plain Jaccard 0.98 whatever the number of repeats; probability Jaccard falls with it."""
+    rows = []
+    for g in range(12):
+        body = [f"g{g}w{i}" for i in range(204)]
+        line = [f"g{g}l{i}" for i in range(10)]
+        rows += [(10 * g + i, " ".join(body + line * n)) for i, n in enumerate((1, 50))]
+    df = s.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), str(r.class_id)) for r in neardup.near_duplicates(s, df).collect())
+    assert got == brute_classes(rows)
+    assert len({c for _, c in got}) == 12
+
+
 def test_keep_one_keeps_columns(s, odd, none):
     kept = neardup.keep_one(s, odd)
     assert kept.columns == odd.columns
