@@ -22,8 +22,8 @@ Method
 * Within a band bucket members are compared with one pivot, not with each
   other.  Where the members of a bucket are then still in several classes, an
   exact prefix join (rarest shingles first, with size and position bounds)
-  finds every similar pair across classes among all such members; pairs
-  inside one class cannot change the result.
+  finds every pair across classes, similar by plain or by probability Jaccard,
+  among all such members; pairs inside one class cannot change the result.
 
 Defined results: a null text is an empty one; empty texts are copies of each
 other, a text of white space alone is only like its copies; rows that repeat a doc_id are told apart by their text; the class id is
@@ -187,11 +187,35 @@ def _links(spark, pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sh = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column("sh")]
-        offs = np.cumsum([0] + [len(x) for x in sh]).astype(np.int32)
-        flat = np.concatenate(sh) if sh else np.zeros(0, np.int64)
+        wt = [np.frombuffer(x.as_buffer(), np.uint32).astype(np.int64) for x in b.column("wt")]
+        offs = pa.array(np.cumsum([0] + [len(x) for x in sh]).astype(np.int32))
+        parts = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (sh, wt)]
         yield pa.RecordBatch.from_arrays(
             [b.column("node"), b.column("label"), b.column("minor"),
-             pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], names=["node", "label", "minor", "sh"])
+             pa.array([int(x.sum()) for x in wt], pa.int64()),
+             pa.ListArray.from_arrays(offs, pa.StructArray.from_arrays(parts, names=["s", "w"]))],
+            names=["node", "label", "minor", "total", "o"])
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first shingles of each text that a similar text may share first, with
+    the share of the text that stands from there on: of its set and of its weights."""
+    for b in batches:
+        size = b.column("o").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = b.column("o").flatten()
+        w = flat.field("w").to_numpy(zero_copy_only=False)
+        n, total = (b.column(c).to_numpy(zero_copy_only=False) for c in ("n", "total"))
+        row, end = np.repeat(np.arange(len(size)), size), np.cumsum(size)
+        # shingles of this text alone come first and match nothing: what follows one is counted from the end
+        ends = np.append(0, np.cumsum(w))
+        plain = (end[row] - np.arange(len(row))) / n[row]
+        prob = (ends[end[row]] - ends[:-1]) / total[row]
+        at = np.flatnonzero(np.maximum(plain, prob) >= SIMILARITY - 1e-6)
+        own = pa.array(row[at])
+        yield pa.RecordBatch.from_arrays(
+            [b.column("node").take(own), b.column("label").take(own), b.column("minor").take(own),
+             flat.field("s").take(pa.array(at)), pa.array(plain[at], pa.float64()), pa.array(prob[at], pa.float64())],
+            names=["node", "label", "minor", "s", "plain", "prob"])
 
 
 def _across_classes(rest: DataFrame, sets: DataFrame) -> DataFrame:
@@ -200,28 +224,26 @@ def _across_classes(rest: DataFrame, sets: DataFrame) -> DataFrame:
     greatest class of some bucket).
 
     Shingles of a text are put in order of their frequency here, rarest first.
-    Two texts of plain Jaccard 0.8 have a first common shingle, it lies among the
-    first fifth of each, and what follows it in either is enough for the overlap
-    they need; only such pairs come out.
+    Let two texts have the shares X and Y of their shingles (of their weights) in
+    common.  Their plain (probability) Jaccard is at most 1 / (1/X + 1/Y - 1): for
+    a common i, the sum of max(x_j / x_i, y_j / y_i) is at least 1 / x_i +
+    (1 - Y) / y_i, and the harmonic mean is concave.  X and Y are at most what
+    stands from their first common shingle on, so this is at least 0.8 of either
+    text, and only pairs whose bound reaches 0.8 come out.
     """
-    lists = (rest.join(sets.select("node", "sh"), "node")
-             .mapInArrow(_unpack, "node long, label long, minor boolean, sh array<long>"))
-    flat = lists.select("node", "label", "minor", F.size("sh").alias("n"), F.explode("sh").alias("s"))
+    lists = (rest.join(sets.select("node", "sh", "wt"), "node")
+             .mapInArrow(_unpack, "node long, label long, minor boolean, total long, o array<struct<s:long,w:long>>"))
+    flat = (lists.select("node", "label", "minor", "total", F.size("o").alias("n"), F.explode("o").alias("x"))
+            .select("node", "label", "minor", "total", "n", "x.s", "x.w"))
     freq = flat.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    ranked = (flat.join(freq, "s").groupBy("node", "label", "minor", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("o")))
-    # shingles of this text alone come first and match nothing
-    alone = F.col("n") - F.size("o")
-    first = F.col("n") - F.ceil(F.lit(SIMILARITY) * F.col("n") - F.lit(1e-6)) + 1
-    prefix = (ranked.withColumn("alone", alone)
-              .withColumn("o", F.slice("o", 1, F.greatest((first - alone).cast("int"), F.lit(0))))
-              .select("node", "label", "minor", "n", F.posexplode("o").alias("i", "x"), "alone")
-              .select("node", "label", "minor", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("left"),
-                      F.col("x.s").alias("s")))
+    ranked = (flat.join(freq, "s").groupBy("node", "label", "minor", "total", "n")
+              .agg(F.sort_array(F.collect_list(F.struct("f", "s", "w"))).alias("o")))
+    prefix = ranked.mapInArrow(_prefixes, "node long, label long, minor boolean, s long, plain double, prob double")
     x, y = prefix.where("minor").alias("x"), prefix.alias("y")
-    need = F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("x.n") + F.col("y.n")) - F.lit(1e-6)
+    most = F.lit(1 + 1 / SIMILARITY + 1e-6)
     hit = ((F.col("x.s") == F.col("y.s")) & (F.col("x.label") != F.col("y.label"))
-           & (F.least("x.left", "y.left") >= need))
+           & ((1 / F.col("x.plain") + 1 / F.col("y.plain") <= most)
+              | (1 / F.col("x.prob") + 1 / F.col("y.prob") <= most)))
     return x.join(y, hit).select(F.least("x.node", "y.node").alias("a"),
                                  F.greatest("x.node", "y.node").alias("b")).distinct()
 

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from martforge.llm import neardup, spans
 from martforge.llm import words as W
@@ -108,6 +109,25 @@ def test_texts_alike_by_set_that_repeat_a_line(s):
     assert len({c for _, c in got}) == 12
 
 
+def test_across_classes_finds_pairs_alike_by_weight(s):
+    """The join alone: every pair of brute force comes out, also those of plain Jaccard below 0.8."""
+    rng = np.random.default_rng(11)
+    texts = []
+    for i in range(120):
+        line = [f"l{i % 3}w{j}" for j in range(int(rng.integers(5, 9)))]
+        own = [f"o{i if i % 2 else i % 6}x{j}" for j in range(int(rng.integers(0, 25)))]
+        texts.append(" ".join(own + line * int(rng.integers(1, 60))))
+    df = s.createDataFrame(list(enumerate(texts)), "node long, text string").repartition(3)
+    sets = df.mapInArrow(neardup._set_rows, "node long, sh binary, wt binary")
+    rest = df.select("node", F.col("node").alias("label"), F.lit(True).alias("minor"))
+    got = {(r.a, r.b) for r in neardup._across_classes(rest, sets).collect()}
+    bags = [shingles(t) for t in texts]
+    want = {(a, b) for b in range(120) for a in range(b) if similarity(bags[a], bags[b]) >= 0.8}
+    plain = {(a, b) for a, b in want
+             if len(bags[a].keys() & bags[b].keys()) >= 0.8 * len(bags[a].keys() | bags[b].keys())}
+    assert len(want - plain) > 20 and not want - got
+
+
 def test_keep_one_keeps_columns(s, odd, none):
     kept = neardup.keep_one(s, odd)
     assert kept.columns == odd.columns
