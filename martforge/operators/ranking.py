@@ -34,7 +34,7 @@ def _order(value: str, descending: bool) -> Column:
 
 def rank_window(df: DataFrame, group: list[str], value: str, out: str = "rank",
                 descending: bool = True) -> DataFrame:
-    """Plain window form (one task per group); for small groups and checks."""
+    """Plain window form (one task per group); for checks, no query takes it."""
     w = Window.partitionBy(*group).orderBy(_order(value, descending))
     return df.withColumn(out, F.rank().over(w))
 

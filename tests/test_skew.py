@@ -64,6 +64,16 @@ def test_rank_of_a_hot_group_spreads_over_slices(spark):
     assert ranked.exceptAll(want).count() == 0 and want.exceptAll(ranked).count() == 0
 
 
+def test_window_rank_of_the_mart_sorts_no_whole_group(spark):
+    df = spark.range(0, 4000).select(
+        F.lit(1).cast("long").alias("store_id"), F.lit("2024-01").alias("sales_month"),
+        F.col("id").alias("sales_person_id"), (F.col("id") * 31 % 500).cast("decimal(28,2)").alias("total_sales"))
+    ranked = marts.sales_team_rank(df, method="window")
+    assert "rank(" not in ranked._jdf.queryExecution().optimizedPlan().toString()
+    want = ranking.rank_window(df, ["store_id", "sales_month"], "total_sales", out="rnk")
+    assert ranked.exceptAll(want).count() == 0 and want.exceptAll(ranked).count() == 0
+
+
 def test_rank_of_a_single_tie_folds(spark):
     df = spark.range(0, 6000).select(F.lit(1).alias("g"), F.col("id"), F.lit(None).cast("long").alias("v"))
     ranked = ranking.rank_within(df, ["g"], "v", out="r", slices=8)
