@@ -92,6 +92,7 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
                   staged_rows)
     ing = conform.split_conformed(spark.read.parquet(staged_rows), routing)
     outputs["conformed"] = staged_rows
+    _preview(spark, conf, staged_rows)
     outputs["bad_rows"] = writers.write_snapshot(ing.bad_rows, conf.path("bad_rows"), run_id)
 
     enriched = enrich.enrich_sales(ing.sales, customer, store, sales_team,
@@ -99,15 +100,16 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
     staged = writers.write_snapshot(enriched, conf.path("staging/enriched"), run_id)
     enriched = spark.read.parquet(staged)
     outputs["enriched"] = staged
+    _preview(spark, conf, staged)
 
     cmart = marts.customer_mart(enriched)
     smart = marts.sales_team_mart(enriched)
-    writers.preview(cmart, enabled=conf.preview)
     outputs["customer_mart"] = writers.write_snapshot(cmart, conf.path("customer_data_mart"), run_id)
     outputs["sales_team_mart"] = writers.write_snapshot(smart, conf.path("sales_team_data_mart"), run_id)
     outputs["sales_team_mart_partitioned"] = writers.write_snapshot(
         smart, conf.path("sales_partitioned_data_mart"), run_id,
         partition_by=["sales_month", "store_id"], tiebreak=["sales_person_id"])
+    _preview(spark, conf, outputs["customer_mart"], outputs["sales_team_mart"])
 
     cmonthly = marts.customer_monthly(cmart)
     incentives = marts.sales_team_incentive(marts.sales_team_monthly(smart), conf.incentive_rate)
@@ -115,6 +117,7 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
         cmonthly, conf.path("customers_data_mart"), run_id)
     outputs["sales_team_data_mart"] = writers.write_snapshot(
         incentives, conf.path("sales_team_data_mart_monthly"), run_id)
+    _preview(spark, conf, outputs["customers_data_mart"], outputs["sales_team_data_mart"])
     if conf.monthly_report_csv:
         report = marts.incentive_report(spark.read.parquet(outputs["sales_team_data_mart"]))
         outputs["incentive_report_csv"] = writers.write_csv_report(
@@ -138,6 +141,13 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
     return RunResult(run_id, n_accepted, routing.count() - n_accepted, n_bad, failed, outputs)
 
 
+def _preview(spark: SparkSession, conf: PipelineConfig, *paths: str) -> None:
+    """Show the snapshots just written, each read back: nothing is computed again."""
+    if conf.preview:
+        for path in paths:
+            writers.preview(spark.read.parquet(path), enabled=True)
+
+
 def _move(spark: SparkSession, conf: PipelineConfig, files: DataFrame, before: DataFrame, status: str,
           listed: DataFrame, target: str | None, name: str, run_id: int, outputs: dict[str, str]) -> int:
     """Move ``files`` of this run, and the listed files that an earlier run

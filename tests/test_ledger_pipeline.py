@@ -47,6 +47,17 @@ def test_one_open_event_per_file(spark, tmp):
     assert ledger.pending(m, st).count() == 0
 
 
+def test_preview_shows_each_stage(spark, tmp, monkeypatch):
+    _drops(spark, f"{tmp}/landing", n_files=1, rows=50)
+    shown = []
+    monkeypatch.setattr(writers, "preview",
+                        lambda df, n=20, enabled=False: enabled and shown.append(df.inputFiles()[0]))
+    c, s, t = _dims(spark)
+    res = run_pipeline(spark, _conf(tmp, preview=True), c, s, t, run_id=1, store_bounded=True)
+    stages = ["conformed", "enriched", "customer_mart", "sales_team_mart", "customers_data_mart", "sales_team_data_mart"]
+    assert [sum(f"{res.outputs[x]}/" in f for f in shown) for x in stages] == [1] * 6 and len(shown) == 6
+
+
 def test_pipeline_end_to_end_and_rerun(spark, tmp):
     _drops(spark, f"{tmp}/landing")
     write_text(f"{tmp}/landing/bad.csv", "customer_id,product_name\n1,tea\n")
