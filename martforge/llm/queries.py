@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martforge.llm import (chat, fingerprint, langid, mixing, neardup, oracle, packing, quality, spans, tokens,
-                           warc)
+from martforge.llm import (chat, fim, fingerprint, langid, mixing, neardup, oracle, packing, piecebpe, quality, spans,
+                           tokens, warc, whitening)
 from martforge.llm.scratch import settings
 
 
@@ -60,8 +60,21 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.removal_report(spark, _table(spark, sf_dir, "documents"))
 
 
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piecebpe.piece_report(_table(spark, sf_dir, "documents"), tokens.model_path(piecebpe.MODEL))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(spark, _table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup, op2_chat_format, op3_source_mix, op4_quality_forest, op5_warc_index, op6_language_id,
-    op7_fingerprint, op8_token_count, op9_best_fit_packing, op10_substring_dedup)}
+    op7_fingerprint, op8_token_count, op9_best_fit_packing, op10_substring_dedup, op11_piece_bpe,
+    op12_whitening, op13_fill_in_middle)}
 
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

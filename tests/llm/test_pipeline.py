@@ -30,7 +30,8 @@ def test_pipeline_of_odd_rows(s, odd, none, tmp):
         assert all(r.offset + r.length <= 4096 for r in rows)
 
 
-@pytest.mark.parametrize("name", ["op2_chat_format", "op5_warc_index", "op10_substring_dedup"])
+@pytest.mark.parametrize("name", ["op2_chat_format", "op5_warc_index", "op10_substring_dedup",
+                                  "op13_fill_in_middle"])
 def test_queries_equal_their_sql(s, name):
     got = entry.queries()[name](s, SF)
     cols = sorted(got.columns)
@@ -45,4 +46,4 @@ def test_queries_equal_their_sql(s, name):
 
 def test_one_query_per_operator():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
