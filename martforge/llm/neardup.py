@@ -12,7 +12,8 @@ Method
   latest register of its document (early termination), so a document of n
   shingles costs about n + M ln M arrivals instead of n * M.  The share of equal
   registers estimates the probability Jaccard similarity of the weights.
-* *Exact copies* are folded first: all later work is on distinct texts.
+* *Exact copies* are folded: a task hashes most texts once, all later work is on distinct
+  texts.
 * *Banding*: BANDS bands of ROWS registers.  A text that repeats a shingle has
   the bands of its weights and those of its set (every weight 1); for any other
   text they are the same.  Two texts of similarity 0.8, by plain or by
@@ -20,10 +21,12 @@ Method
 * *Verification* on the full shingle multisets: similarity is the greater of
   plain and probability Jaccard, both computed exactly; 0.8 or more is a link.
 * Within a band bucket members are compared with one pivot, not with each
-  other.  Where the members of a bucket are then still in several classes, an
-  exact prefix join (rarest shingles first, with size and position bounds)
-  finds every pair across classes, similar by plain or by probability Jaccard,
-  among all such members; pairs inside one class cannot change the result.
+  other.  Members of buckets that are then still in several classes are closed
+  exactly, by plain and by probability Jaccard: each meets the hubs of its rarest shingles
+  (the text of the commonest shingles with that one; two similar texts have a hub in common), and texts
+  of one hub in different classes are joined on their differences from it
+  (``_across_classes``), so the work follows the rare differences, not the square of a
+  group.  Pairs inside one class cannot change the result and are left out.
 
 Defined results: a null text is an empty one; empty texts are copies of each
 other, a text of white space alone is only like its copies; rows that repeat a doc_id are told apart by their text; the class id is
@@ -47,6 +50,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 6
 TURNS = 2              # further pivots before the exact join
 REGISTERS = BANDS * ROWS
+REMEMBERED = 1 << 17   # texts whose copies a task skips
 
 
 def shingle_sets(s: W.Slice, k: int = SHINGLE):
@@ -110,24 +114,44 @@ def _band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return W.mix(key + np.arange(1, bands + 1, dtype=np.uint64) * W.U(0x9E3779B97F4A7C15))
 
 
+def _once(b: pa.RecordBatch, seen: set) -> pa.RecordBatch:
+    """The rows of a batch whose text this task has not seen, as far as it remembers."""
+    if len(seen) > REMEMBERED:
+        seen.clear()
+    new = []
+    for i, d in enumerate(b.column("dig").to_pylist()):
+        if d not in seen:
+            seen.add(d)
+            new.append(i)
+    return b if len(new) == b.num_rows else b.take(pa.array(new, pa.int64()))
+
+
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Text and bands of each text, once for most of its copies in the partition."""
+    seen: set = set()
     for b in batches:
+        b = _once(b, seen)
         for s in W.slices(b.column("text")):
             row, sh, weight = shingle_sets(s)
             keys = _band_keys(signatures(row, sh, weight, s.rows), BANDS, ROWS)
             has, again = np.zeros(s.rows, dtype=bool), np.zeros(s.rows, dtype=bool)
             has[row] = True
             again[row[weight > 1]] = True
-            at, twice = np.flatnonzero(has), np.flatnonzero(again)
+            twice = np.flatnonzero(again)
             # the sets of texts that repeat shingles, by the same arrivals at rate 1
             own = again[row]
             plain = _band_keys(signatures(np.searchsorted(twice, row[own]), sh[own], np.ones(int(own.sum())),
                                           len(twice)), BANDS, ROWS)
-            keys, at = np.concatenate([keys[at], plain]), np.concatenate([at, twice])
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * BANDS),
-                                             W.signed(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([b.column("dig").take(pa.array(at + s.lo)), lists],
-                                             names=["dig", "bands"])
+            size = np.where(has, BANDS, 0) + np.where(again, BANDS, 0)
+            ends = np.cumsum(size)
+            flat = np.empty(int(ends[-1]), dtype=np.uint64)
+            at = np.flatnonzero(has)
+            flat[((ends - size)[at][:, None] + np.arange(BANDS)).reshape(-1)] = keys[at].reshape(-1)
+            flat[((ends - BANDS)[twice][:, None] + np.arange(BANDS)).reshape(-1)] = plain.reshape(-1)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), W.signed(flat))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("dig").slice(s.lo, s.rows), b.column("text").slice(s.lo, s.rows), lists],
+                names=["dig", "text", "bands"])
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,68 +208,167 @@ def _links(spark, pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return save(spark, full.mapInArrow(_verify, "a long, b long"), "links")
 
 
+def _packed(x: pa.Array, kind) -> list[np.ndarray]:
+    return [np.frombuffer(v.as_buffer(), kind) for v in x]
+
+
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    offs = pa.array(np.cumsum([0] + [len(v) for v in values]).astype(np.int32))
+    return pa.ListArray.from_arrays(offs, pa.array(np.concatenate(values) if values else np.zeros(0, np.int64)))
+
+
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sh = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column("sh")]
-        wt = [np.frombuffer(x.as_buffer(), np.uint32).astype(np.int64) for x in b.column("wt")]
-        offs = pa.array(np.cumsum([0] + [len(x) for x in sh]).astype(np.int32))
-        parts = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (sh, wt)]
+        sh, wt = _packed(b.column("sh"), np.int64), _packed(b.column("wt"), np.uint32)
+        s, w = _lists(sh), _lists([x.astype(np.int64) for x in wt])
         yield pa.RecordBatch.from_arrays(
-            [b.column("node"), b.column("label"), b.column("minor"),
-             pa.array([int(x.sum()) for x in wt], pa.int64()),
-             pa.ListArray.from_arrays(offs, pa.StructArray.from_arrays(parts, names=["s", "w"]))],
-            names=["node", "label", "minor", "total", "o"])
+            [b.column("node"), pa.array([int(x.sum()) for x in wt], pa.int64()),
+             pa.ListArray.from_arrays(s.offsets, pa.StructArray.from_arrays([s.values, w.values], names=["s", "w"]))],
+            names=["node", "total", "o"])
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first shingles of each text that a similar text may share first, with
-    the share of the text that stands from there on: of its set and of its weights."""
+    """The first shingles of each text that a similar text may share first (those from
+    which on at least 0.8 of its set or of its weights stands), and how common the
+    shingles of the text are on the whole."""
     for b in batches:
         size = b.column("o").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         flat = b.column("o").flatten()
-        w = flat.field("w").to_numpy(zero_copy_only=False)
+        w, f = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("w", "f"))
         n, total = (b.column(c).to_numpy(zero_copy_only=False) for c in ("n", "total"))
         row, end = np.repeat(np.arange(len(size)), size), np.cumsum(size)
         # shingles of this text alone come first and match nothing: what follows one is counted from the end
-        ends = np.append(0, np.cumsum(w))
+        ends, seen = np.append(0, np.cumsum(w)), np.append(0, np.cumsum(f))
         plain = (end[row] - np.arange(len(row))) / n[row]
         prob = (ends[end[row]] - ends[:-1]) / total[row]
+        common = (seen[end] - seen[end - size] + n - size) / n
         at = np.flatnonzero(np.maximum(plain, prob) >= SIMILARITY - 1e-6)
-        own = pa.array(row[at])
         yield pa.RecordBatch.from_arrays(
-            [b.column("node").take(own), b.column("label").take(own), b.column("minor").take(own),
-             flat.field("s").take(pa.array(at)), pa.array(plain[at], pa.float64()), pa.array(prob[at], pa.float64())],
-            names=["node", "label", "minor", "s", "plain", "prob"])
-
-
-def _across_classes(rest: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different classes that may be similar: an exact prefix
-    join.  ``rest`` has node, label and minor (whether the node is outside the
-    greatest class of some bucket).
-
-    Shingles of a text are put in order of their frequency here, rarest first.
-    Let two texts have the shares X and Y of their shingles (of their weights) in
-    common.  Their plain (probability) Jaccard is at most 1 / (1/X + 1/Y - 1): for
-    a common i, the sum of max(x_j / x_i, y_j / y_i) is at least 1 / x_i +
-    (1 - Y) / y_i, and the harmonic mean is concave.  X and Y are at most what
-    stands from their first common shingle on, so this is at least 0.8 of either
-    text, and only pairs whose bound reaches 0.8 come out.
-    """
-    lists = (rest.join(sets.select("node", "sh", "wt"), "node")
-             .mapInArrow(_unpack, "node long, label long, minor boolean, total long, o array<struct<s:long,w:long>>"))
-    flat = (lists.select("node", "label", "minor", "total", F.size("o").alias("n"), F.explode("o").alias("x"))
-            .select("node", "label", "minor", "total", "n", "x.s", "x.w"))
+            [b.column("node").take(pa.array(row[at])), flat.field("s").take(pa.array(at)),
+             pa.array(common[row[at]], pa.float64())], names=["node", "s", "common"])
+
+
+def _hubs(spark: SparkSession, lists: DataFrame) -> DataFrame:
+    """(node, q): the hubs of each text.  Shingles are put in order of their frequency,
+    rarest first; two similar texts share one of the first shingles of both.  The hub of
+    a shingle is, of the texts that have it among their first, the one whose shingles are
+    the most common, so the one with the fewest edits of a group; two similar texts have a
+    hub in common."""
+    flat = (lists.select("node", "total", F.size("o").alias("n"), F.explode("o").alias("x"))
+            .select("node", "total", "n", "x.s", "x.w"))
     freq = flat.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    ranked = (flat.join(freq, "s").groupBy("node", "label", "minor", "total", "n")
+    ranked = (flat.join(freq, "s").groupBy("node", "total", "n")
               .agg(F.sort_array(F.collect_list(F.struct("f", "s", "w"))).alias("o")))
-    prefix = ranked.mapInArrow(_prefixes, "node long, label long, minor boolean, s long, plain double, prob double")
-    x, y = prefix.where("minor").alias("x"), prefix.alias("y")
-    most = F.lit(1 + 1 / SIMILARITY + 1e-6)
-    hit = ((F.col("x.s") == F.col("y.s")) & (F.col("x.label") != F.col("y.label"))
-           & ((1 / F.col("x.plain") + 1 / F.col("y.plain") <= most)
-              | (1 / F.col("x.prob") + 1 / F.col("y.prob") <= most)))
-    return x.join(y, hit).select(F.least("x.node", "y.node").alias("a"),
-                                 F.greatest("x.node", "y.node").alias("b")).distinct()
+    prefix = save(spark, ranked.mapInArrow(_prefixes, "node long, s long, common double"), "prefix")
+    best = prefix.groupBy("s").agg(F.max(F.struct("common", F.negate("node").alias("minus"))).alias("m"))
+    out = save(spark, prefix.join(best, "s").select("node", F.negate("m.minus").alias("q"))
+               .where("node <> q").distinct(), "hubs")
+    drop(spark, prefix)
+    return out
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a text adds to its hub, and what of the hub it lacks (as the complement, so
+    that no shingle is both)."""
+    for b in batches:
+        own, hub = _packed(b.column("sh"), np.int64), _packed(b.column("hub"), np.int64)
+        total = [int(x.sum()) for x in _packed(b.column("wt"), np.uint32)]
+        more = [np.setdiff1d(x, y, assume_unique=True) for x, y in zip(own, hub)]
+        less = [np.setdiff1d(y, x, assume_unique=True) for x, y in zip(own, hub)]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(c) for c in ("q", "node", "label", "minor")]
+            + [pa.array(list(map(len, v)), pa.int64()) for v in (own, more, less)] + [pa.array(total, pa.int64())]
+            + [_lists(more), _lists(less)],
+            names=["q", "node", "label", "minor", "n", "more", "less", "total", "plus", "minus"])
+
+
+def _open_groups(hubs: DataFrame, comp: DataFrame, rest: DataFrame) -> DataFrame:
+    """(q, node, label, minor) of the hubs whose texts are still in several classes."""
+    named = comp.withColumnRenamed("node", "m")
+    own = (hubs.join(rest.select("node", "minor"), "node").join(named, F.col("node") == F.col("m"), "left")
+           .select("q", "node", "minor", F.coalesce("label", "node").alias("label")))
+    still = (own.groupBy("q").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("minor").alias("c"))
+             .where("a <> b and c").select("q"))
+    return own.join(still, "q")
+
+
+def _common_at_most(k) -> F.Column:
+    """Whether x and y, which differ from their hub in at most ``k`` ways at once, may be similar."""
+    lost_x = F.col("x.more") + F.col("y.less") - k
+    lost_y = F.col("y.more") + F.col("x.less") - k
+    return ((lost_x < F.col("x.total")) & (lost_y < F.col("y.total"))
+            & (1 / (1 - F.greatest(lost_x, F.lit(0)) / F.col("x.total"))
+               + 1 / (1 - F.greatest(lost_y, F.lit(0)) / F.col("y.total")) <= 1 + 1 / SIMILARITY + 1e-6))
+
+
+def _across_classes(spark: SparkSession, open_groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different classes under one hub that may be similar: an exact
+    join on what texts do *not* share with their hub.
+
+    Let x lack ``less`` shingles of the hub and hold ``more`` others, and let x and y
+    have k of these differences in common.  Then ``x.more + y.less - k`` shingles of x are
+    not in y, and the other way round.  A similarity of 0.8 (plain, or by weights, each
+    of which is at least one) bounds both losses: with the shares X and Y of their weights in
+    common it is at most 1 / (1/X + 1/Y - 1), as for a common i the sum of
+    max(x_j / x_i, y_j / y_i) is at least 1 / x_i + (1 - Y) / y_i, and the harmonic mean is
+    concave; for sets (all weights one) this is plain Jaccard itself.  So similar texts of
+    a large group have differences in common, which are far rarer than the shingles
+    of the group: they are joined on those, rarest first, as long as enough of
+    them follow.  Texts that may be similar with no difference in common (k = 0) are, if
+    neither repeats a shingle, both similar to the hub and so of one class already; the
+    few others are met by hub.
+    """
+    kinds = ("q long, node long, label long, minor boolean, n long, more long, less long, total long, "
+             "plus array<long>, minus array<long>")
+    wide = (open_groups.join(sets.select("node", "sh", "wt"), "node")
+            .join(sets.select(F.col("node").alias("q"), F.col("sh").alias("hub")), "q")
+            .mapInArrow(_differences, kinds))
+    wide = save(spark, wide, "differences")
+    facts = ["q", "node", "label", "minor", "more", "less", "total"]
+    flat = wide.select(*facts, F.explode(F.concat(
+        F.transform("plus", lambda s: F.struct(s.alias("s"), F.lit(True).alias("own"))),
+        F.transform("minus", lambda s: F.struct(s.alias("s"), F.lit(False).alias("own"))))).alias("d")
+    ).select(*facts, "d.s", "d.own")
+    shared = flat.groupBy("q", "s", "own").agg(F.count(F.lit(1)).alias("f"), F.min("label").alias("a"),
+                                               F.max("label").alias("b")).where("a <> b")
+    ranked = (flat.join(shared.select("q", "s", "own", "f"), ["q", "s", "own"]).groupBy(*facts)
+              .agg(F.sort_array(F.collect_list(F.struct("f", "s", "own"))).alias("o")))
+    # a difference shared by nobody comes first and matches nothing: what follows is counted from the end
+    first = (ranked.select(*facts, F.size("o").alias("m"), F.posexplode("o").alias("at", "d"))
+             .select(*facts, (F.col("m") - F.col("at")).alias("left"), "d.s", "d.own"))
+    # of two texts of totals up to ``most``, the differences they do not share are at most a quarter of that
+    most = wide.groupBy("q").agg(F.max("total").alias("most"))
+    first = first.join(most, "q").where(
+        F.col("more") + F.col("less") - F.col("left") <= (1 / SIMILARITY - 1 + 1e-6) * F.col("most")).drop("most")
+    x, y = first.where("minor").alias("x"), first.alias("y")
+    apart = (F.col("x.q") == F.col("y.q")) & (F.col("x.label") != F.col("y.label"))
+    by_difference = x.join(y, apart & (F.col("x.s") == F.col("y.s")) & (F.col("x.own") == F.col("y.own"))
+                           & _common_at_most(F.least("x.left", "y.left")))
+    free = wide.select(*facts, (F.col("total") > F.col("n")).alias("again")).where(
+        F.col("more") <= (1 - SIMILARITY + 1e-6) * F.col("total"))
+    meet = apart & _common_at_most(F.lit(0))
+    pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
+    by_hub = (free.where("minor").alias("x").join(free.where("again").alias("y"), meet).select(*pair)
+              .union(free.where("minor and again").alias("x").join(free.alias("y"), meet).select(*pair)))
+    out = save(spark, by_difference.select(*pair).union(by_hub).distinct(), "across")
+    drop(spark, wide)
+    return out
+
+
+def _closed(spark: SparkSession, rest: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
+    """Components of ``comp`` with every link between the texts of ``rest`` (node, minor:
+    whether it is outside the greatest class of some bucket) that joins two of them."""
+    lists = (rest.select("node").join(sets.select("node", "sh", "wt"), "node")
+             .mapInArrow(_unpack, "node long, total long, o array<struct<s:long,w:long>>"))
+    hubs = _hubs(spark, lists)
+    links = _links(spark, hubs.select(F.least("q", "node").alias("a"), F.greatest("q", "node").alias("b")).distinct(), sets)
+    grown = components(spark, comp.select("node", "label").union(links))
+    drop(spark, comp, links)
+    across = _across_classes(spark, _open_groups(hubs, grown, rest), sets)
+    links = _links(spark, across, sets)
+    out = components(spark, grown.select("node", "label").union(links))
+    drop(spark, hubs, across, links, grown)
+    return out
 
 
 def _unresolved(buckets: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -274,18 +397,18 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     texts = save(spark, seen.join(order, "dig"), "texts")
     drop(spark, seen)
 
-    bands = save(spark, keyed.select("dig", "text").mapInArrow(_band_rows, "dig binary, bands array<long>"),
-                 "bands")
+    bands = save(spark, keyed.select("dig", "text")
+                 .mapInArrow(_band_rows, "dig binary, text string, bands array<long>"), "bands")
     flat = (bands.select("dig", F.explode("bands").alias("band")).distinct()
             .join(texts.select("dig", "node"), "dig").select("node", "band"))
     pivots = (flat.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
               .where("pivot < top").select("band", "pivot"))
     buckets = save(spark, flat.join(pivots, "band"), "buckets")
-    drop(spark, bands)
 
     members = buckets.select("node").distinct().join(texts.select("dig", "node"), "node")
-    sets = save(spark, keyed.join(members, "dig").select("node", "text")
+    sets = save(spark, bands.select("dig", "text").join(members, "dig").select("node", "text")
                 .mapInArrow(_set_rows, "node long, sh binary, wt binary").dropDuplicates(["node"]), "sets")
+    drop(spark, bands)
     pairs = buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     links = _links(spark, pairs, sets)
     comp = components(spark, links)
@@ -303,13 +426,11 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         drop(spark, comp, links, mixed)
         comp = grown
     labelled, split = _unresolved(buckets, comp)
-    rest = save(spark, labelled.join(split, "band").groupBy("node", "label")
+    rest = save(spark, labelled.join(split, "band").groupBy("node")
                 .agg(F.max(F.col("label") != F.col("big")).alias("minor")), "rest")
-    links2 = _links(spark, _across_classes(rest, sets), sets)
-    drop(spark, sets, rest, buckets)
-    everything = comp.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links2)
-    final = components(spark, everything)
-    drop(spark, comp, links2)
+    drop(spark, buckets)
+    final = _closed(spark, rest, sets, comp)
+    drop(spark, sets, rest)
     least = (texts.join(final.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
              .select("dig", "rep", F.coalesce("label", "node").alias("label")))
     ids = least.groupBy("label").agg(F.min("rep").alias("class_id"))

@@ -29,7 +29,15 @@ def similarity(a, b):
     return max(plain, prob)
 
 
-def brute_classes(rows):
+def fast_similarity(a, b):
+    """As ``similarity``, by the function that the first test compares with it."""
+    key = {k: i for i, k in enumerate(sorted(a.keys() | b.keys()))}
+    side = [sorted((key[k], v) for k, v in x.items()) for x in (a, b)]
+    arrays = [np.array(v, t) for x in side for v, t in zip(zip(*x), (np.uint64, float))]
+    return max(neardup.jaccards(*arrays))
+
+
+def brute_classes(rows, similarity=similarity):
     parent = list(range(len(rows)))
 
     def find(i):
@@ -109,23 +117,74 @@ def test_texts_alike_by_set_that_repeat_a_line(s):
     assert len({c for _, c in got}) == 12
 
 
-def test_across_classes_finds_pairs_alike_by_weight(s):
-    """The join alone: every pair of brute force comes out, also those of plain Jaccard below 0.8."""
+def _closed_from_nothing(s, texts):
+    """Classes by the closing join alone, every text a class of its own before."""
+    df = s.createDataFrame(list(enumerate(texts)), "node long, text string").repartition(3)
+    sets = df.mapInArrow(neardup._set_rows, "node long, sh binary, wt binary")
+    rest = df.select("node", F.lit(True).alias("minor"))
+    comp = s.createDataFrame([], "node long, label long")
+    found = {r.node: r.label for r in neardup._closed(s, rest, sets, comp).collect()}
+    return sorted((str(i), str(found.get(i, i))) for i in range(len(texts)))
+
+
+def test_closing_join_finds_pairs_alike_by_weight(s):
+    """The join alone: the classes of brute force come out, also by pairs of plain Jaccard below 0.8."""
     rng = np.random.default_rng(11)
     texts = []
     for i in range(120):
         line = [f"l{i % 3}w{j}" for j in range(int(rng.integers(5, 9)))]
         own = [f"o{i if i % 2 else i % 6}x{j}" for j in range(int(rng.integers(0, 25)))]
         texts.append(" ".join(own + line * int(rng.integers(1, 60))))
-    df = s.createDataFrame(list(enumerate(texts)), "node long, text string").repartition(3)
-    sets = df.mapInArrow(neardup._set_rows, "node long, sh binary, wt binary")
-    rest = df.select("node", F.col("node").alias("label"), F.lit(True).alias("minor"))
-    got = {(r.a, r.b) for r in neardup._across_classes(rest, sets).collect()}
-    bags = [shingles(t) for t in texts]
-    want = {(a, b) for b in range(120) for a in range(b) if similarity(bags[a], bags[b]) >= 0.8}
-    plain = {(a, b) for a, b in want
-             if len(bags[a].keys() & bags[b].keys()) >= 0.8 * len(bags[a].keys() | bags[b].keys())}
-    assert len(want - plain) > 20 and not want - got
+    assert _closed_from_nothing(s, texts) == brute_classes(list(enumerate(texts)), fast_similarity)
+
+
+def test_closing_join_of_edited_groups(s):
+    """Groups about 0.6 to 0.9 alike that share lines, with and without repeated lines."""
+    rng = np.random.default_rng(12)
+    texts = []
+    for g in range(4):
+        base = [f"g{g}w{i}" for i in range(80)] + [f"line{g // 2}x{i}" for i in range(12)] * (1 + g % 2 * 3)
+        for i in range(35):
+            t = list(base)
+            for p in rng.integers(0, len(t), int(rng.integers(0, 9))):
+                # edits recur, so that texts away from the hub are alike as well
+                t[p] = f"e{g}_{p}_{int(rng.integers(0, 3))}"
+            texts.append(" ".join(t[int(rng.integers(0, 15)):]))
+    want = brute_classes(list(enumerate(texts)), fast_similarity)
+    assert _closed_from_nothing(s, texts) == want
+    assert 10 < len({c for _, c in want}) < 130
+
+
+def test_closing_join_does_not_grow_with_the_square_of_a_group(s, monkeypatch):
+    """Outliers of a large group, 0.6 to 0.75 alike to every member: few pairs come out."""
+    rng = np.random.default_rng(13)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(400):
+        t = list(base)
+        for j, p in enumerate(rng.choice(150, 1 if i % 4 else 7, replace=False)):
+            t[p] = f"e{i}_{j}"
+        texts.append(" ".join(t))
+    made = []
+    orig = neardup._across_classes
+
+    def counted(*args):
+        out = orig(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "_across_classes", counted)
+    assert len(_closed_from_nothing(s, texts)) == 400
+    assert made[0] < 400        # a join on common shingles makes some 30,000 pairs
+
+
+def test_copies_are_folded(s):
+    df = s.createDataFrame([(i, "a b c d e f " * 3) for i in range(500)] + [(900, None), (901, "")],
+                           "doc_id long, text string").repartition(2)
+    keyed = df.select(neardup.text_digest("text").alias("dig"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = keyed.mapInArrow(neardup._band_rows, "dig binary, text string, bands array<long>").collect()
+    assert len(rows) <= 4 and {len(r.bands) for r in rows if r.text} == {2 * neardup.BANDS}
+    assert all(r.bands == [] for r in rows if not r.text)
 
 
 def test_keep_one_keeps_columns(s, odd, none):
