@@ -65,6 +65,7 @@ def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
                 cols.append(pa.array(blobs, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names=names)
+        enc.units.empty()
     return run
 
 
@@ -81,13 +82,19 @@ def patterns(classes: int, most: int = 3) -> list[tuple[int, ...]]:
     return out
 
 
-def nnls(A: np.ndarray, y: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """x >= 0 with A x near y in least squares (Lawson-Hanson active set)."""
+def nnls(A: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """x >= 0 with A x near y in least squares (Lawson-Hanson active set).  Ends at the
+    least, or when a round no longer brings the squares down by more than rounding."""
     x = np.zeros(A.shape[1])
     active = np.zeros(A.shape[1], dtype=bool)
     tol = 1e-9 * max(1.0, float(np.abs(A.T @ y).max(initial=0)))
-    for _ in range(rounds):
-        grad = A.T @ (y - A @ x)
+    least = np.inf
+    while True:
+        off = y - A @ x
+        if not off @ off < least * (1 - 1e-12):
+            break
+        least = off @ off
+        grad = A.T @ off
         grad[active] = -np.inf
         j = int(np.argmax(grad))
         if not grad[j] > tol:

@@ -45,6 +45,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from martforge.llm.memory import BoundedMemory
+
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 UNIT_BYTES = 96 << 20      # results of units remembered by a worker
@@ -52,27 +54,6 @@ PAIR_BYTES = 48 << 20      # pairs remembered by a worker
 DECODE_SLICE = 1 << 16     # ids decoded at once
 
 
-class BoundedMemory:
-    """What was used of late, in two generations of at most half of ``limit`` bytes:
-    when the young one is full, it becomes the old one and the old one goes."""
-
-    ENTRY = 150            # a slot, and the headers of key and value
-
-    def __init__(self, limit: int):
-        self.half = limit // 2
-        self.empty()
-
-    def empty(self) -> None:
-        self.young, self.old, self.used = {}, {}, 0
-
-    def keep(self, key, value, size: int = 0) -> None:
-        size += self.ENTRY
-        if self.used + size > self.half:
-            self.young, self.old, self.used = {}, self.young, 0
-        self.young[key] = value
-        self.used += size
-
-
 class PieceTable:
     """Ids of one model file; one per worker and file."""
 

@@ -1,24 +1,23 @@
 """Token ids of whole texts with a public tokenizer file, and token counts.
 
-Two devices keep whole texts cheap and bounded in memory:
-
-* *Independent units.*  The tokenizer's pre-tokenizer never joins text across
-  ASCII white space and its normalizer maps that white space to one space, so
-  the ids of a text are those of its white-space-separated units in turn.
-  ``unit_safe`` checks that the file at hand has this form; otherwise texts are
-  encoded whole.  Units are encoded by the library itself and remembered (a
-  bounded memory per worker that is emptied when full); plain letter, digit
-  and sign runs are remembered by run.
-* *Overlap resynchronisation* for huge texts: overlapping chunks are encoded
-  with offsets; two neighbours are spliced at a boundary at which both
-  have the same tokens at the same places on either side and which lies at
+* *Overlap resynchronisation* (token counts): overlapping chunks of a text are
+  encoded by the library with offsets; two neighbours are spliced at a boundary at which
+  both have the same tokens at the same places on either side and which lies at
   white space (nothing the tokenizer does reaches across, so the boundary is
   stable: a longer chunk would give the same tokens).  Where there is no such
   boundary the overlap is widened, in the end to the whole text.
+* *Independent units* (ids, for packing).  The tokenizer's pre-tokenizer never joins
+  text across ASCII white space and its normalizer maps that white space to one space, so
+  the ids of a text are those of its white-space-separated units in turn.  Units are
+  encoded by the library itself and remembered, as are plain letter, digit and sign runs,
+  in memories that are bounded in bytes and emptied with each partition.
+
+``unit_safe`` checks that the file at hand has this form; otherwise texts are encoded
+whole.
 
 Defined results: a null or empty text has no tokens; special strings inside a
 text are what the library makes of them by default; nothing is added, cut
-or padded.
+or padded.  Rows are independent of each other.
 """
 
 from __future__ import annotations
@@ -31,11 +30,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from martforge.llm.memory import ENTRY, BoundedMemory
+
 MODEL = "word_bpe_49k.json"
-CHUNK = 32_768        # code points of a chunk; longer texts are huge
-OVERLAP = 512         # code points shared by neighbouring chunks, at first
+CHUNK = 2_048         # code points of a chunk
+OVERLAP = 128         # code points shared by neighbouring chunks, at first
 AGREE = 8             # tokens that must agree on each side of a splice
-MEMORY = 700_000      # units, and runs, remembered by a worker
+UNIT_BYTES = 32 << 20     # units remembered by a worker
+RUN_BYTES = 16 << 20      # runs remembered by a worker
 
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 # Units of these letters only are made of runs that the pre-tokenizer splits
@@ -68,38 +70,53 @@ def unit_safe(path: str) -> bool:
 
 
 class _Units(dict):
-    """unit (bytes) -> its ids as little-endian uint32 bytes."""
+    """unit (bytes) -> its ids as little-endian uint32 bytes: the young generation of a
+    bounded memory, as a dict, for lookups without Python code."""
 
-    def __init__(self, tok):
+    def __init__(self, tok, unit_bytes: int = UNIT_BYTES, run_bytes: int = RUN_BYTES):
         super().__init__()
-        self.tok = tok
-        self.runs: dict[str, bytes] = {}
+        self.tok, self.half = tok, unit_bytes // 2
+        self.runs = BoundedMemory(run_bytes)
+        self.empty()
         from tokenizers.pre_tokenizers import ByteLevel
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         plain = [c for c in map(chr, range(0x21, 0x100)) if _PLAIN.fullmatch(c)]
         self.bytes_of = {ord(c): level.pre_tokenize_str(c)[0][0] for c in plain}
 
+    def empty(self) -> None:
+        self.clear()
+        self.old, self.used = {}, 0
+        self.runs.empty()
+
     def _library(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __missing__(self, unit: bytes) -> bytes:
-        text = unit.decode()
-        if len(text) <= 64 and _PLAIN.fullmatch(text):
-            ids = b"".join([self.runs.get(r) or self._run(r) for r in _RUNS.findall(text.lower())])
-        else:
-            ids = self._library(text)
+        ids = self.old.get(unit)
+        if ids is None:
+            text = unit.decode()
+            if len(text) <= 64 and _PLAIN.fullmatch(text):
+                ids = b"".join([self._run(r) for r in _RUNS.findall(text.lower())])
+            else:
+                ids = self._library(text)
         if len(unit) <= 64:
-            if len(self) >= MEMORY:
+            size = len(unit) + len(ids) + ENTRY
+            if self.used + size > self.half:
+                self.old, self.used = dict(self), 0
                 self.clear()
             self[unit] = ids
+            self.used += size
         return ids
 
     def _run(self, run: str) -> bytes:
-        if len(self.runs) >= MEMORY:
-            self.runs.clear()
-        # one run is one pre-token: straight to the library's BPE
-        found = self.tok.model.tokenize(run.translate(self.bytes_of))
-        self.runs[run] = ids = np.array([t.id for t in found], dtype="<u4").tobytes()
+        ids = self.runs.young.get(run)
+        if ids is None:
+            ids = self.runs.old.get(run)
+            if ids is None:
+                # one run is one pre-token: straight to the library's BPE
+                found = self.tok.model.tokenize(run.translate(self.bytes_of))
+                ids = np.array([t.id for t in found], dtype="<u4").tobytes()
+            self.runs.keep(run, ids, len(run) + len(ids))
         return ids
 
 
@@ -134,11 +151,11 @@ class UnitEncoder:
         at = np.array(e.offsets, dtype=np.int64).reshape(-1, 2) + lo
         return np.array(e.ids, dtype="<u4"), at[:, 0], at[:, 1]
 
-    def spliced(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> np.ndarray:
-        """Ids of a huge text from overlapping chunks."""
+    def spliced(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> tuple[np.ndarray, int]:
+        """Ids of a whole text from overlapping chunks, and the number of splices."""
         n = len(text)
         if not self.safe or n <= chunk:
-            return self._part(text, 0, n)[0]
+            return self._part(text, 0, n)[0], 0
         out, lo, hi = [], 0, min(n, chunk)
         ids, starts, ends = self._part(text, lo, hi)
         keep_from = 0                       # first place not yet given out
@@ -157,7 +174,7 @@ class UnitEncoder:
                     ids, starts, ends = self._part(text, keep_from, hi_wide)
                     if hi_wide == n:
                         out.append(ids[starts >= keep_from])
-                        return np.concatenate(out)
+                        return np.concatenate(out), len(out) - 1
                     hi, width = hi_wide, overlap
                     continue
                 width *= 4
@@ -167,7 +184,7 @@ class UnitEncoder:
             rest = starts2 >= cut
             ids, starts, ends = ids2[rest], starts2[rest], ends2[rest]
         out.append(ids)
-        return np.concatenate(out)
+        return np.concatenate(out), len(out) - 1
 
 
 def _splice(text: str, lo: int, hi: int, a, b) -> int | None:
@@ -192,23 +209,23 @@ def _splice(text: str, lo: int, hi: int, a, b) -> int | None:
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048, chunk: int = CHUNK,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit, n_chunks of every row."""
+    """doc_id, n_bytes, n_tokens, over_limit, n_splices of every row."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = UnitEncoder.of(path)
         for b in batches:
-            sizes, counts, chunks = [], [], []
+            sizes, counts, splices = [], [], []
             for x in b.column("text"):
                 text = x.as_py() or ""
-                raw = text.encode()
-                sizes.append(len(raw))
-                chunks.append(max(1, -(-len(text) // chunk)))
-                counts.append(len(enc.spliced(text, chunk)) if len(text) > chunk else len(enc.ids(raw)) // 4)
+                ids, n = enc.spliced(text, chunk)
+                sizes.append(len(text.encode()))
+                counts.append(len(ids))
+                splices.append(n)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()),
-                 pa.array([c > limit for c in counts]), pa.array(chunks, pa.int32())],
-                names=["doc_id", "n_bytes", "n_tokens", "over_limit", "n_chunks"])
+                 pa.array([c > limit for c in counts], pa.bool_()), pa.array(splices, pa.int32())],
+                names=["doc_id", "n_bytes", "n_tokens", "over_limit", "n_splices"])
 
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean, n_chunks int"))
+            .mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean, n_splices int"))

@@ -26,11 +26,14 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "p" not in _powers or len(_powers["p"]) < n:
-        size = max(n, _BLOCK_BYTES + 4096)
+    def table(size):
         p = np.full(size, U(_P)); p[0] = 1
         q = np.full(size, U(_P_INV)); q[0] = 1
-        _powers["p"], _powers["q"] = np.cumprod(p), np.cumprod(q)
+        return np.cumprod(p), np.cumprod(q)
+    if n > _BLOCK_BYTES + 4096:         # a huge word: for this once
+        return table(n)
+    if "p" not in _powers:
+        _powers["p"], _powers["q"] = table(_BLOCK_BYTES + 4096)
     return _powers["p"], _powers["q"]
 
 

@@ -263,6 +263,18 @@ def test_next_row_over_many_ranges(s, monkeypatch):
 
 # -- tokens and packing -------------------------------------------------------
 
+def test_small_memories_change_no_ids():
+    path = tokens.model_path(tokens.MODEL)
+    e = tokens.UnitEncoder(path)
+    e.units = tokens._Units(e.tok, 3000, 1500)
+    text = " ".join(f"word{i % 37} Été{i} x-{i}y" for i in range(400))
+    assert np.frombuffer(e.ids(text.encode()), "<u4").tolist() == library(e, text)
+    assert e.units.used <= 1500 and e.units.runs.used <= 750 and len(e.units) < 20
+    e.units.empty()
+    assert not e.units and not e.units.old and not e.units.runs.young
+
+
+
 @pytest.fixture(scope="module")
 def enc():
     return tokens.UnitEncoder.of(tokens.model_path(tokens.MODEL))
@@ -284,15 +296,19 @@ def test_spliced_ids_are_the_librarys(enc, docs):
     for text in ["".join(texts), " ".join(texts[:9]) + "q" * 9000 + " " + texts[3], "x" * 7000, "the the " * 3000,
                  "<|endoftext|>" * 900, ("'s don't" + "é ́" * 5 + "\t") * 600]:
         for chunk, overlap in ((700, 60), (3000, 512)):
-            assert enc.spliced(text, chunk, overlap).tolist() == library(enc, text)
+            ids, splices = enc.spliced(text, chunk, overlap)
+            assert ids.tolist() == library(enc, text)
+            assert (splices == 0) if text == "x" * 7000 else splices > len(text) // chunk // 2
 
 
 def test_token_counts_of_rows(s, enc, docs, odd, none):
     path = tokens.model_path(tokens.MODEL)
-    for df in (docs, odd):
+    for df, chunk in ((docs, tokens.CHUNK), (odd, tokens.CHUNK), (docs, 300)):
         text = Counter((str(r.doc_id), len((r.text or "").encode()), len(library(enc, r.text or ""))) for r in df.collect())
-        got = Counter((str(r.doc_id), r.n_bytes, r.n_tokens) for r in tokens.token_counts(df, path, chunk=5000).collect())
-        assert got == text
+        out = tokens.token_counts(df, path, chunk=chunk).collect()
+        assert Counter((str(r.doc_id), r.n_bytes, r.n_tokens) for r in out) == text
+        assert sum(r.n_splices > 0 for r in out) >= sum(len(r.text or "") > 2 * chunk for r in df.collect())
+        assert all(r.over_limit == (r.n_tokens > 2048) for r in out)
     assert tokens.token_counts(none, path).count() == 0
 
 
