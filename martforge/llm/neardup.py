@@ -48,7 +48,6 @@ from martforge.llm.scratch import dense_order, drop, save
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 6
-TURNS = 2              # further pivots before the exact join
 REGISTERS = BANDS * ROWS
 REMEMBERED = 1 << 17   # texts whose copies a task skips
 
@@ -256,14 +255,16 @@ def _hubs(spark: SparkSession, lists: DataFrame) -> DataFrame:
     hub in common."""
     flat = (lists.select("node", "total", F.size("o").alias("n"), F.explode("o").alias("x"))
             .select("node", "total", "n", "x.s", "x.w"))
-    freq = flat.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    # counts are tables, so that a join with them can be split at a hot shingle
+    freq = save(spark, flat.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1"), "freq")
     ranked = (flat.join(freq, "s").groupBy("node", "total", "n")
               .agg(F.sort_array(F.collect_list(F.struct("f", "s", "w"))).alias("o")))
     prefix = save(spark, ranked.mapInArrow(_prefixes, "node long, s long, common double"), "prefix")
-    best = prefix.groupBy("s").agg(F.max(F.struct("common", F.negate("node").alias("minus"))).alias("m"))
+    best = save(spark, prefix.groupBy("s").agg(F.max(F.struct("common", F.negate("node").alias("minus"))).alias("m")),
+                "best")
     out = save(spark, prefix.join(best, "s").select("node", F.negate("m.minus").alias("q"))
                .where("node <> q").distinct(), "hubs")
-    drop(spark, prefix)
+    drop(spark, prefix, freq, best)
     return out
 
 
@@ -330,8 +331,9 @@ def _across_classes(spark: SparkSession, open_groups: DataFrame, sets: DataFrame
         F.transform("minus", lambda s: F.struct(s.alias("s"), F.lit(False).alias("own"))))).alias("d")
     ).select(*facts, "d.s", "d.own")
     shared = flat.groupBy("q", "s", "own").agg(F.count(F.lit(1)).alias("f"), F.min("label").alias("a"),
-                                               F.max("label").alias("b")).where("a <> b")
-    ranked = (flat.join(shared.select("q", "s", "own", "f"), ["q", "s", "own"]).groupBy(*facts)
+                                               F.max("label").alias("b")).where("a <> b").select("q", "s", "own", "f")
+    shared = save(spark, shared, "shared")
+    ranked = (flat.join(shared, ["q", "s", "own"]).groupBy(*facts)
               .agg(F.sort_array(F.collect_list(F.struct("f", "s", "own"))).alias("o")))
     # a difference shared by nobody comes first and matches nothing: what follows is counted from the end
     first = (ranked.select(*facts, F.size("o").alias("m"), F.posexplode("o").alias("at", "d"))
@@ -351,7 +353,7 @@ def _across_classes(spark: SparkSession, open_groups: DataFrame, sets: DataFrame
     by_hub = (free.where("minor").alias("x").join(free.where("again").alias("y"), meet).select(*pair)
               .union(free.where("minor and again").alias("x").join(free.alias("y"), meet).select(*pair)))
     out = save(spark, by_difference.select(*pair).union(by_hub).distinct(), "across")
-    drop(spark, wide)
+    drop(spark, wide, shared)
     return out
 
 
@@ -413,18 +415,6 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     links = _links(spark, pairs, sets)
     comp = components(spark, links)
     drop(spark, links)
-    for turn in range(TURNS):
-        # members outside the greatest class of their bucket meet another pivot of it
-        labelled, split = _unresolved(buckets, comp)
-        mixed = save(spark, labelled.join(split, "band"), "mixed")
-        pick = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node"))
-        pivot = mixed.where("label = big").groupBy("band").agg(pick.alias("p")).select("band", "p.node")
-        pairs = (mixed.where("label <> big").join(pivot.withColumnRenamed("node", "p"), "band")
-                 .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct())
-        links = _links(spark, pairs, sets)
-        grown = components(spark, comp.select("node", "label").union(links))
-        drop(spark, comp, links, mixed)
-        comp = grown
     labelled, split = _unresolved(buckets, comp)
     rest = save(spark, labelled.join(split, "band").groupBy("node")
                 .agg(F.max(F.col("label") != F.col("big")).alias("minor")), "rest")
