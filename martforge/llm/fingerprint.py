@@ -2,7 +2,7 @@
 
 Method: a text's five-word shingles (a text of one to four words is one
 shingle) are hashed to 64 bits and every hash below a fixed fraction of the
-hash range is kept.  Two such sketches merge by union, and the share of one
+hash range is kept.  Two such sketches merge by union (``merged``), and the share of one
 sketch that lies in another estimates containment however unequal the texts
 are.  A text none of whose hashes falls below the bound keeps its least one,
 so that only empty texts have an empty fingerprint.
@@ -51,6 +51,13 @@ def with_fingerprint(df: DataFrame, text: str, out: str, fraction: int = FRACTIO
                           .otherwise(F.col("_f"))).drop("_h", "_s", "_f"))
 
 
+def merged(a: str, b: str, fraction: int = FRACTION) -> Column:
+    """The sketch of the shingles of both texts: the union of what was kept by the
+    bound.  A least hash that was kept for want of any is not part of it, so it is
+    what the bound keeps of the joined shingles, in whatever order sketches are merged."""
+    return F.array_sort(F.array_union(*[F.filter(c, lambda x: x < F.lit(_threshold(fraction))) for c in (a, b)]))
+
+
 def likeness(a: str, b: str) -> Column:
     """Estimated resemblance of two fingerprints."""
     both = F.size(F.array_intersect(a, b))

@@ -149,10 +149,11 @@ def fit(spark: SparkSession, train: DataFrame, sample: int = SAMPLE, clusters: i
     sizes = {r["l"]: r["n"] for r in rows.groupBy(F.col(lang_col).alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return Model(idf, [], np.zeros((0, DIMS), np.float32), np.zeros(0))
-    u = F.pmod(F.xxhash64(F.col(id_col), F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    # by id and text, so that rows without an id are sampled as all others; copies of a row are folded
+    u = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*[F.lit(x) for l, n in sorted(sizes.items()) for x in (l, float(sample) / n)])
     picked = (rows.select(F.col(id_col), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-              .where(u < F.try_element_at(share, F.col("lang"))).select("lang", "text"))
+              .where(u < F.try_element_at(share, F.col("lang"))).select("lang", "text").distinct())
     found = (picked.mapInArrow(_vector_rows(idf), "lang string, vec binary").groupBy("lang")
              .applyInArrow(_cluster(clusters, reject), "lang string, centroid binary, low double")
              .collect())                    # CLUSTERS rows per language

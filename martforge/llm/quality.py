@@ -189,7 +189,9 @@ def anomaly(forest: list[dict[str, np.ndarray]], x: np.ndarray, subsample: int)
 
 
 def fit_forest(spark: SparkSession, stats: DataFrame, trees: int = TREES, subsample: int = SUBSAMPLE):
-    """(forest, subsample): grown on at most about trees * subsample documents."""
+    """(forest, subsample): grown on about trees * subsample documents, whatever the
+    ids: rows that repeat a document count once."""
+    stats = stats.dropDuplicates(["_id", "_th"])
     n = stats.count()
     if n == 0:
         return [], subsample

@@ -51,7 +51,6 @@ from martforge.llm.scratch import dense_order, drop, save
 
 K = 20            # words of a window
 G = 6             # words of a minimizer gram
-POS_BITS = 27     # words of one document: 2**27; documents: 2**36
 
 
 def _window_min(g: np.ndarray, width: int, fold=np.minimum) -> np.ndarray:
@@ -108,7 +107,7 @@ def _minimizer_rows(k: int, g: int):
     return run
 
 
-def _window_rows(k: int, g: int):
+def _window_rows(k: int, g: int, bits: int):
     """Windows whose minimizer is among the repeated ones of their document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -116,8 +115,6 @@ def _window_rows(k: int, g: int):
             ms = b.column("ms")
             for s in W.slices(b.column("text")):
                 w = W.find_words(s)
-                if len(w.starts) and np.diff(w.first).max() >= 1 << POS_BITS:
-                    raise ValueError(f"a document has more than 2**{POS_BITS} words")
                 h = W.span_hashes(s.buf, w.starts, w.ends)
                 _, least, ok = _minimizers(h, w.row, k, g)
                 if not ok.any():
@@ -140,7 +137,7 @@ def _window_rows(k: int, g: int):
                 after = np.zeros(len(win), dtype=np.uint64)
                 after[:-1] = np.where(ok[1:] & (w.row[1:] == w.row[:-1]), win[1:], 0)
                 row = w.row[at]
-                place = (order[row + s.lo] << POS_BITS) | (at - w.first[row])
+                place = (order[row + s.lo] << bits) | (at - w.first[row])
                 yield pa.RecordBatch.from_arrays(
                     [W.signed(win[at]), W.signed(after[at]), pa.array(place)],
                     names=["h", "nxt", "at"])
@@ -151,7 +148,7 @@ def _digest(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
-def _path_digests(k: int):
+def _path_digests(k: int, bits: int):
     """Digest of the words of each path at its first source coordinates."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -160,7 +157,7 @@ def _path_digests(k: int):
             for i in range(b.num_rows):
                 words = (texts[i].as_py() or "").encode().split()
                 for p in paths[i].as_py():
-                    at = p["at"] & ((1 << POS_BITS) - 1)
+                    at = p["at"] & ((1 << bits) - 1)
                     out_h.append(p["h"]); out_l.append(p["n"]); out_a.append(p["at"])
                     out_d.append(_digest(words[at:at + p["n"] + k - 1]))
             yield pa.RecordBatch.from_arrays(
@@ -210,12 +207,24 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.xxhash64(F.col(text_col)).alias("th"))
 
 
+def position_bits(keyed: DataFrame) -> int:
+    """Bits of a source coordinate that hold a word's place in its document (a text of n
+    bytes has at most (n + 1) / 2 words); the rest numbers the documents.  Raises
+    where a long cannot hold both, which takes 2**63 words in all if all were as long."""
+    r = keyed.agg(F.max(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    bits = max(1, ((r["b"] or 0) // 2 + 1).bit_length())
+    if r["n"] >> (63 - bits):
+        raise ValueError(f"{r['n']} documents of up to {r['b']} bytes are beyond the coordinates of a long")
+    return bits
+
+
 def repeated_paths(spark: SparkSession, docs: DataFrame, k: int = K, g: int = G,
                    id_col: str = "doc_id", text_col: str = "text"):
     """(paths, spans, order): the compacted repeated paths (h, n edges, first
     coordinate, digest), every later occurrence of each (h, n, ord, pos,
     digest), and the numbering of documents (doc_id, th, ord)."""
     keyed = _keyed(docs, id_col, text_col)
+    bits = position_bits(keyed)
     long_enough = keyed.where(F.length("text") >= 2 * k - 1)
 
     # 1. repeated minimizers, back to their documents
@@ -233,7 +242,7 @@ def repeated_paths(spark: SparkSession, docs: DataFrame, k: int = K, g: int = G,
     cand = save(spark, cand, "candidates")
     drop(spark, occ)
     with_ms = (long_enough.join(cand, same(long_enough, cand)).select("ord", "ms", "text"))
-    windows = save(spark, with_ms.mapInArrow(_window_rows(k, g), "h long, nxt long, at long"), "windows")
+    windows = save(spark, with_ms.mapInArrow(_window_rows(k, g, bits), "h long, nxt long, at long"), "windows")
     drop(spark, cand)
     edges = save(spark, windows.groupBy("h").agg(
         F.count(F.lit(1)).alias("n"), F.min("at").alias("at"),
@@ -244,7 +253,7 @@ def repeated_paths(spark: SparkSession, docs: DataFrame, k: int = K, g: int = G,
     linked = (edges.select("h", "n", "at").join(a, "h", "left")
               # an edge has one predecessor of its own multiplicity at most
               .groupBy("h", "at").agg(F.max(F.coalesce(F.col("n") == F.col("n_from"), F.lit(False))).alias("linked")))
-    by_doc = Window.partitionBy(F.shiftright("at", POS_BITS)).orderBy("at")
+    by_doc = Window.partitionBy(F.shiftright("at", bits)).orderBy("at")
     runs = (linked.withColumn("start", F.when(~F.col("linked"), F.col("at")))
             .withColumn("head", F.last("start", ignorenulls=True).over(by_doc)))
     paths = (runs.groupBy("head").agg(F.count(F.lit(1)).alias("n"),
@@ -254,16 +263,16 @@ def repeated_paths(spark: SparkSession, docs: DataFrame, k: int = K, g: int = G,
     drop(spark, edges)
 
     # 4. digests at the first coordinates, then every other occurrence
-    firsts = (paths.withColumn("ord", F.shiftright("at", POS_BITS)).groupBy("ord")
+    firsts = (paths.withColumn("ord", F.shiftright("at", bits)).groupBy("ord")
               .agg(F.collect_list(F.struct("h", "n", "at")).alias("paths"))
               .join(order, "ord").select("doc_id", "th", "paths"))
     digests = (long_enough.join(firsts, same(long_enough, firsts)).select("text", "paths")
-               .mapInArrow(_path_digests(k), "h long, n long, first long, digest binary")
+               .mapInArrow(_path_digests(k, bits), "h long, n long, first long, digest binary")
                .dropDuplicates(["h"]))   # rows that repeat a document
     digests = save(spark, digests, "digests")
     spans = (windows.select("h", "at").join(digests, "h").where("at <> first")
-             .select("h", "n", "digest", F.shiftright("at", POS_BITS).alias("ord"),
-                     F.col("at").bitwiseAND((1 << POS_BITS) - 1).alias("pos")))
+             .select("h", "n", "digest", F.shiftright("at", bits).alias("ord"),
+                     F.col("at").bitwiseAND((1 << bits) - 1).alias("pos")))
     spans = save(spark, spans, "spans")
     drop(spark, windows, paths)
     return digests, spans, order

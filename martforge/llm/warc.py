@@ -36,6 +36,7 @@ from martforge.session import shared_dir
 
 REVISIT_BYTES = 1000          # smaller payloads are always written in full
 RECORDS_PER_FILE = 4000
+FILE_BYTES = 128 << 20        # payloads of an archive at most (a larger one goes alone)
 RANGE_ROWS = 50_000           # captures merged in one place
 EPOCH = 1_704_067_200         # time of id 0 where captures have no time
 CRLF = "\r\n"
@@ -83,9 +84,17 @@ def write_archives(spark: SparkSession, pages: DataFrame, path: str, id_col: str
         ("Content-Type", "application/http; msgtype=response"),
         ("Content-Length", F.octet_length("block").cast("string")))
     record = F.concat(head, F.lit(CRLF), F.col("block"))
-    (src.withColumn("block", block).select(record.alias("value")).write
-     .option("lineSep", CRLF + CRLF).option("compression", "gzip")
-     .option("maxRecordsPerFile", per_file).text(path))
+    written = src.withColumn("block", block).select("bytes", record.alias("value"))
+    # an archive is read as a whole, so it is bounded in bytes: larger payloads, fewer to a file
+    most = pages.agg(F.max(F.octet_length(body)).alias("m")).first()["m"] or 0
+    low, high = -1, FILE_BYTES // per_file
+    while True:
+        part = written if low < 0 and most <= high else written.where((F.col("bytes") > low) & (F.col("bytes") <= high))
+        (part.select("value").write.mode("append").option("lineSep", CRLF + CRLF).option("compression", "gzip")
+         .option("maxRecordsPerFile", max(1, min(per_file, FILE_BYTES // high))).text(path))
+        if most <= high:
+            break
+        low, high = high, max(high * 16, 1 << 20)
 
 
 def url_key(url: str) -> str:
@@ -127,7 +136,7 @@ def parse_records(stream) -> Iterator[tuple[int, dict[str, str], bytes]]:
 
 
 INDEX = ("url_key string, time string, id long, run string, offset long, record_type string, url string, "
-         "refers_to long, payload_digest string, payload_bytes long")
+         "refers_to long, payload_digest string, payload_bytes long, seq long")
 
 
 def _number(name: str | None) -> int | None:
@@ -150,6 +159,7 @@ def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                              hashlib.sha1(payload).hexdigest() if full else head["warc-payload-digest"][5:],
                              len(payload) if full else None))
             rows.sort(key=_order)        # the run
+            rows = [(*r, seq) for seq, r in enumerate(rows)]
             yield pa.RecordBatch.from_pylist([dict(zip(_NAMES, r)) for r in rows], schema=_SCHEMA)
 
 
@@ -214,16 +224,23 @@ class LoserTree:
             self._play(i)
 
 
+def in_order(blocks: list[list]) -> list:
+    """A run from the blocks it came in: stretches of its rows in order, that follow each
+    other by the number of their first row."""
+    return [row for block in sorted(blocks, key=lambda b: b[0][-1]) for row in block]
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    runs: dict[str, list] = {}
+    runs: dict[str, list[list]] = {}
     for b in batches:
         for row in zip(*[b.column(n).to_pylist() for n in _NAMES]):
-            runs.setdefault(row[3], []).append(row)
-    for rows in runs.values():             # rows of a run may come in several blocks
-        if any(_order(x) > _order(y) for x, y in zip(rows, rows[1:])):
-            rows.sort(key=_order)
+            blocks = runs.setdefault(row[3], [])
+            if blocks and blocks[-1][-1][-1] < row[-1]:
+                blocks[-1].append(row)
+            else:
+                blocks.append([row])
     out = []
-    for row in LoserTree([runs[r] for r in sorted(runs)], _order):
+    for row in LoserTree([in_order(runs[r]) for r in sorted(runs)], _order):
         out.append(row)
         if len(out) == 10_000:
             yield pa.RecordBatch.from_pylist([dict(zip(_NAMES, r)) for r in out], schema=_SCHEMA)
@@ -247,8 +264,9 @@ def archive_report(spark: SparkSession, pages: DataFrame) -> DataFrame:
     path = shared_dir(spark, "llm-archives")
     write_archives(spark, pages, path)
     merged = merged_index(spark, read_archives(spark, path))
-    full = (merged.where("record_type = 'response'").groupBy(F.col("id").alias("_o"))
+    # repeated ids may stand for several payloads: a revisit's is that of its digest
+    full = (merged.where("record_type = 'response'").groupBy(F.col("id").alias("_o"), F.col("payload_digest").alias("_d"))
             .agg(F.max("payload_bytes").alias("_n")))
-    return (merged.join(full, F.col("refers_to") == F.col("_o"), "left")
+    return (merged.join(full, (F.col("refers_to") == F.col("_o")) & (F.col("payload_digest") == F.col("_d")), "left")
             .select(F.col("id").alias("page_id"), F.coalesce("payload_bytes", "_n").alias("payload_bytes"),
                     "payload_digest", "record_type", "refers_to"))
