@@ -1,10 +1,10 @@
 """Header routing, conforming and union of sales drops (FLT-4/5/8,
 PRJ-1, SET-1/2, SCL-4, SRC-6, SNK-9 inputs).
 
-Routing is decided on the small per-file header table with Spark array
-functions; only the list of distinct headers with their file paths
-(bounded by the number of files, never by rows) reaches the driver, to
-open one CSV scan per distinct header.
+Routing is decided on the per-file header table with Spark array functions.
+One scan reads the lines of all accepted files; each line is joined to its file's
+header shape by the file's key and parsed by position, so the plan does not grow
+with files or shapes.  Only the width of the widest header reaches the driver.
 """
 
 from __future__ import annotations
@@ -78,20 +78,36 @@ def empty_sales(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], SALES)
 
 
-def conform(df: DataFrame, columns: list[str]) -> DataFrame:
-    """PRJ-1 + SCL-4 + T7: mandatory columns at the places the header gives
-    them, typed; extras folded in header order; ``_bad`` marks rows with a wrong field count or a
-    non-empty cell that does not parse; ``_raw`` keeps the row's text."""
-    extras = [f"_c{i}" for i, c in enumerate(columns) if c not in MANDATORY]
-    raw = {c: F.col(f"_c{columns.index(c)}") for c in MANDATORY}
+#: Put behind each line as one more cell: its place is the number of cells of the line.
+END_CELL = "\x01"
+
+
+def shapes(routing: DataFrame) -> DataFrame:
+    """The accepted files with their header shape: the places of the mandatory columns
+    (``at``) and of the extras (``more``, in header order), and the number of columns."""
+    place = lambda c: (F.array_position("columns", c) - 1).cast("int")
+    return routing.where(F.col("reason") == ACCEPTED).select(
+        *fsrc.IDENTITY, F.array(*[place(F.lit(c)) for c in MANDATORY]).alias("at"),
+        F.transform("extra_columns", place).alias("more"), F.size("columns").alias("width"))
+
+
+def conform(lines: DataFrame, width: int) -> DataFrame:
+    """PRJ-1 + SCL-4 + T7: ``lines`` (``raw`` with its file's shape, of at most ``width``
+    columns) as the mandatory columns, typed, and the extras folded in header order; ``_bad``
+    marks lines with a wrong number of cells (also by a quote that does not close) and those with
+    a non-empty cell that does not parse; ``_raw`` keeps the line."""
+    schema = ", ".join(f"_c{i} string" for i in range(width + 1))
+    parsed = F.from_csv(F.concat("raw", F.lit("," + END_CELL)), F.lit(schema))
+    df = lines.withColumn("_p", parsed).withColumn("_cells", F.array(*[F.col(f"_p._c{i}") for i in range(width + 1)]))
+    cell = lambda p: F.get("_cells", p)
+    raw = {c: cell(F.get("at", F.lit(i))) for i, c in enumerate(MANDATORY)}
     typed = {c: raw[c].try_cast(f.dataType) for c, f in zip(MANDATORY, SALES.fields)}
     unparsed = [raw[c].isNotNull() & typed[c].isNull() for c in MANDATORY]
-    bad = F.col(fsrc.CORRUPT).isNotNull() | reduce(lambda a, b: a | b, unparsed)
-    text = F.coalesce(F.col(fsrc.CORRUPT),
-                      F.concat_ws(",", *[F.coalesce(F.col(f"_c{i}"), F.lit("")) for i in range(len(columns))]))
-    return df.select(*[typed[c].alias(c) for c in MANDATORY],
-                     fold_extras(extras).alias(ADDITIONAL),
-                     "source_file", bad.alias("_bad"), text.alias("_raw"))
+    count = F.array_position("_cells", END_CELL) - 1
+    bad = reduce(lambda a, b: a | b, unparsed, F.coalesce(count != F.col("width"), F.lit(True)))
+    extras = F.when(F.size("more") > 0, F.concat_ws(", ", F.transform("more", cell)))
+    return df.select(*[typed[c].alias(c) for c in MANDATORY], extras.alias(ADDITIONAL),
+                     F.col("path").alias("source_file"), bad.alias("_bad"), F.col("raw").alias("_raw"))
 
 
 @dataclass
@@ -102,22 +118,16 @@ class Ingested:
     conformed: DataFrame | None = None   # all rows with _bad and _raw (one scan)
 
 
-def ingest(spark: SparkSession, routing: DataFrame) -> Ingested:
-    """SRC-4 + SET-1: one CSV scan per distinct accepted header shape, each
-    conformed, all unioned by name.  Only headers and file paths are
-    collected to plan the scans."""
-    accepted = (routing.where(F.col("reason") == ACCEPTED)
-                .groupBy("columns").agg(F.collect_list("path").alias("paths"))
-                .collect())
-    parts = []
-    for row in accepted:
-        columns = list(row.columns)
-        raw = fsrc.read_signature(spark, len(columns), sorted(row.paths))
-        parts.append(conform(raw, columns))
-    if not parts:
-        parts = [empty_sales(spark).select("*", F.lit(None).cast("string").alias("source_file"),
-                                           F.lit(False).alias("_bad"), F.lit(None).cast("string").alias("_raw"))]
-    allrows = reduce(DataFrame.unionByName, parts)
+def ingest(spark: SparkSession, routing: DataFrame, landing: str | list[str] | None = None) -> Ingested:
+    """SRC-4 + SET-1: the rows of all accepted files, whatever their headers, by one
+    scan of ``landing`` (default: the files' common folder)."""
+    info = shapes(routing)
+    width = info.agg(F.max("width").alias("w")).first()["w"]
+    if width is None:
+        allrows = empty_sales(spark).select("*", F.lit(None).cast("string").alias("source_file"),
+                                            F.lit(False).alias("_bad"), F.lit(None).cast("string").alias("_raw"))
+    else:
+        allrows = conform(join_dimension(fsrc.data_lines(spark, info, landing), info, fsrc.IDENTITY), width)
     return split_conformed(allrows, routing)
 
 
@@ -127,25 +137,15 @@ def split_conformed(allrows: DataFrame, routing: DataFrame) -> Ingested:
     return Ingested(good, bad, routing, allrows)
 
 
-def quarantined_lines(spark: SparkSession, routing: DataFrame) -> DataFrame:
-    """SNK-9 input: the data lines of every rejected, non-empty CSV file,
-    with the file and the reason; the header line is left out, but not a
-    later line equal to it."""
-    rejected = routing.where((F.col("reason") != ACCEPTED) & (F.col("reason") != NOT_CSV)
-                             & (F.col("length") > 0))
-    paths = [fsrc.readable(r.path) for r in rejected.select("path").collect()]
-    if not paths:
-        return spark.createDataFrame([], "path string, reason string, missing_columns array<string>, raw string")
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"),
-                                          F.col("value").alias("raw"))
-    info = rejected.select("path", "header", "reason", "missing_columns")
-    joined = join_dimension(lines, info, "path")
-    is_header = F.regexp_replace(F.col("raw"), "^\ufeff", "").eqNullSafe(F.col("header"))
-    keys = ["path", "reason", "missing_columns"]
-    # lines equal to the header are all alike: all but one of them stay
-    again = (joined.where(is_header).groupBy(*keys, "header").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-             .select(*keys, F.explode(F.array_repeat("header", (F.col("n") - 1).cast("int"))).alias("raw")))
-    return joined.where(~is_header).select(*keys, "raw").unionByName(again)
+def quarantined_lines(spark: SparkSession, routing: DataFrame,
+                      landing: str | list[str] | None = None) -> DataFrame:
+    """SNK-9 input: the data lines of every rejected CSV file, with the file and the
+    reason; the header line and blank lines are left out, but not a later line equal
+    to the header."""
+    info = routing.where((F.col("reason") != ACCEPTED) & (F.col("reason") != NOT_CSV) & (F.col("length") > 0))
+    info = info.select(*fsrc.IDENTITY, "reason", "missing_columns")
+    return join_dimension(fsrc.data_lines(spark, info, landing), info, fsrc.IDENTITY).select(
+        "path", "reason", "missing_columns", "raw")
 
 
 def routing_summary(routing: DataFrame, ingested: Ingested, quarantined: DataFrame,

@@ -144,6 +144,16 @@ def q_csv_drop_routing(spark, sf_dir):
     return conform.routing_summary(ing.routing, ing, quarantined)
 
 
+def q_csv_many_shapes(spark, sf_dir):
+    """SRC-4 + SET-1 over ``drops.SHAPES`` header shapes: every row of the fact comes back
+    through one scan and a plan that knows no shape."""
+    root = shared_dir(spark, "shapes")
+    drops.many_shapes(tpch.sales_fact(spark, sf_dir), root)
+    routing = conform.route_files(fsrc.manifest(spark, root)).checkpoint(eager=True)
+    ing = conform.ingest(spark, routing, root)
+    return _doubles(ing.sales.drop("source_file"), "price", "total_cost")
+
+
 def q_incremental_ingest(spark, sf_dir):
     """STR-1..3: the same drops ingested by an availableNow file stream in
     about three micro-batches; the union of all batch outputs."""
@@ -247,6 +257,7 @@ QUERIES: dict[str, Query] = {
     "csv_drop_routing": q_csv_drop_routing,
     "csv_bad_rows": q_csv_bad_rows,
     "csv_quarantined_lines": q_csv_quarantined_lines,
+    "csv_many_shapes": q_csv_many_shapes,
     "incremental_ingest": q_incremental_ingest,
     "unmatched_facts": q_unmatched_facts,
     "ledger_state": q_ledger_state,

@@ -189,6 +189,14 @@ SELECT 'missing' AS drop_name, 'missing_columns' AS reason, 'store_id' AS missin
                  CASE WHEN quantity > 25 THEN 'UPI' ELSE 'cash' END) AS raw
 FROM fact WHERE sales_date >= DATE '2000-01-01'""")
 
+# 8 rotations, 2 directions, 0 to 12 extras: only the extras show in the rows
+SQL["csv_many_shapes"] = with_base(f"""
+SELECT {DROP_COLS},
+       CASE WHEN shape >= 16 THEN array_to_string(
+            list_transform(range(shape // 16), j -> CAST(shape AS VARCHAR) || '-' || CAST(j AS VARCHAR)), ', ')
+       END AS additional_column
+FROM (SELECT *, (customer_id * 7 + quantity) % 208 AS shape FROM fact)""")
+
 # the stream must ingest exactly the rows of the batch ingest
 SQL["incremental_ingest"] = SQL["csv_drop_union"]
 

@@ -67,7 +67,7 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
     routing = conform.route_files(todo, method=conf.header_method).checkpoint(eager=True)
     outputs: dict[str, str] = {}
 
-    quarantined = conform.quarantined_lines(spark, routing)
+    quarantined = conform.quarantined_lines(spark, routing, conf.landing)
     outputs.update({f"quarantine_{k}": v for k, v in writers.write_quarantine(
         routing, quarantined, conf.path("quarantine"), run_id).items()})
 
@@ -86,7 +86,7 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
     # parse the CSV once: stage every conformed row with its bad-row flag
     # (bad ones keep their text), then split from the Parquet copy.  Not
     # partitioned by the flag: a partitioned write would sort every row.
-    ing = conform.ingest(spark, routing)
+    ing = conform.ingest(spark, routing, conf.landing)
     staged_rows = writers.snapshot_path(conf.path("staging/conformed"), run_id)
     writers.write(ing.conformed.withColumn("_raw", F.when(F.col("_bad"), F.col("_raw"))),
                   staged_rows)

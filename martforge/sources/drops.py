@@ -71,3 +71,36 @@ def derived_drops(fact: DataFrame, root: str) -> dict[str, str]:
                               [c for c in MANDATORY if c != "store_id"] + [payment_mode().alias(EXTRA_FRONT)]),
     }
     return out
+
+
+#: Header shapes of the many-shape drop set: 8 rotations x 2 directions x 13 numbers of extras.
+SHAPES = 8 * 2 * 13
+
+
+def shape_columns(shape: int) -> list[str]:
+    """The header of a shape: ``shape // 16`` extras in front of the mandatory columns,
+    which are turned by ``shape % 8`` places and reversed for every other eight."""
+    turn = shape % 8
+    cols = MANDATORY[turn:] + MANDATORY[:turn]
+    return [f"extra_{j}" for j in range(shape // 16)] + (cols[::-1] if shape // 8 % 2 else cols)
+
+
+def many_shapes(fact: DataFrame, root: str) -> str:
+    """Every row of the fact in a drop of one of ``SHAPES`` header shapes (by customer and
+    quantity), one folder per shape; the extras hold the shape and their number."""
+    shape = F.pmod(F.col("customer_id") * 7 + F.col("quantity"), F.lit(SHAPES)).cast("int")
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    cells = F.map_from_arrays(F.array(*[F.lit(c) for c in MANDATORY]), F.array(*[cell(c) for c in MANDATORY]))
+    headers = fact.sparkSession.createDataFrame([(i, shape_columns(i)) for i in range(SHAPES)],
+                                                "shape int, columns array<string>")
+    # a fixed table of SHAPES rows
+    rows = (fact.select(shape.alias("shape"), cells.alias("cells")).join(F.broadcast(headers), "shape")
+            .select("shape", F.lit(1).alias("place"), F.concat_ws(",", F.transform("columns", lambda c: F.coalesce(
+                F.try_element_at("cells", c), F.concat(F.col("shape").cast("string"), F.lit("-"),
+                                                       F.substring(c, 7, 10))))).alias("value")))
+    lines = headers.select("shape", F.lit(0).alias("place"), F.concat_ws(",", "columns").alias("value")).union(rows)
+    # the header is the first line of its file: sorted by shape, which the writer asks for anyway
+    (lines.repartition(SHAPES, "shape").sortWithinPartitions("shape", "place").drop("place")
+     .select("value", F.col("shape").alias("drop")).write.partitionBy("drop").option("quote", "")
+     .option("sep", "\x01").csv(root))
+    return root

@@ -8,9 +8,9 @@
   (Arrow file systems inside ``mapInPandas``), so the cost grows with the
   number of files, not with their size.  ``method="scan"`` is a pure-JVM
   alternative that reads every byte once and finds the same line.
-* ``read_signature`` reads all files that share one header with a single
-  CSV scan by position; rows that do not parse are kept aside in
-  ``_corrupt`` instead of failing the job or silently widening types.
+* ``data_lines`` reads the data lines of all files, whatever their headers, with one
+  scan of their folder; the files a run wants are joined by their key, so neither
+  their paths nor a scan per header shape reach the driver or the plan.
 """
 
 from __future__ import annotations
@@ -20,12 +20,11 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martforge.functions.columns import basename
 from martforge.session import ship, shuffle_partitions
 
-CORRUPT = "_corrupt"        # data columns are read as _c0, _c1, ...: no header name can clash
+IDENTITY = ["path", "length", "modification_time"]      # a file as it was listed
 SNIFF_BYTES = 64 * 1024    # read at a time, until the header line ends
 
 
@@ -188,24 +187,35 @@ def _scanned(paths: DataFrame) -> DataFrame:
     return paths.join(first, "path", "left")
 
 
-def signature_schema(n_columns: int) -> T.StructType:
-    """Read schema of a header of ``n_columns``: every column as text, by
-    position, plus the corrupt-record column (rows with a wrong number of
-    fields).
+def common_folder(files: DataFrame) -> str | None:
+    """The deepest folder that holds every file (a single file: itself): what the least
+    and the greatest path have in common."""
+    r = files.agg(F.min("path").alias("a"), F.max("path").alias("b")).first()
+    if r["a"] is None or r["a"] == r["b"]:
+        return r["a"]
+    n = next((i for i, (x, y) in enumerate(zip(r["a"], r["b"])) if x != y), min(len(r["a"]), len(r["b"])))
+    return r["a"][:n].rpartition("/")[0]
 
-    Typing happens afterwards with ``try_cast`` (see ``conform``), so a
-    cell that does not parse marks its row bad instead of nulling it
-    silently, and the bad-row filter always references data columns.
+
+def data_lines(spark: SparkSession, files: DataFrame, landing: str | list[str] | None = None) -> DataFrame:
+    """SRC-4: (path, length, modification_time, raw) of every line behind the header of
+    the CSV files below ``landing`` (default: their common folder), in one scan.
+
+    Each line is one cell of a CSV file without quotes whose separator never occurs: the
+    reader takes out the header (the first line that is not blank) and blank lines,
+    nothing else.  Files outside the time window of ``files`` are left out of the scan by
+    their metadata; joining by ``IDENTITY`` picks the files wanted, as they were listed.
     """
-    fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(n_columns)]
-    return T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
-
-
-def read_signature(spark: SparkSession, n_columns: int, paths: list[str]) -> DataFrame:
-    """SRC-4: one CSV scan, by position, for all files sharing one header."""
-    return (spark.read.schema(signature_schema(n_columns))
-            .option("header", "true")
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .csv([readable(x) for x in paths])
-            .withColumn("source_file", F.col("_metadata.file_path")))
+    folder = common_folder(files) if landing is None else None
+    roots = [readable(folder)] if folder else [landing] if isinstance(landing, str) else list(landing or [])
+    if not roots:
+        return spark.createDataFrame([], "path string, length long, modification_time timestamp, raw string")
+    window = files.agg(F.min("modification_time").alias("a"), F.max("modification_time").alias("b")).first()
+    lines = (spark.read.schema("raw string, _torn string").option("header", "true").option("sep", "\x01")
+             .option("quote", "").option("columnNameOfCorruptRecord", "_torn")
+             .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(roots))
+    meta = F.col("_metadata.file_modification_time")
+    if window["a"] is not None:
+        lines = lines.where((meta >= F.lit(window["a"])) & (meta <= F.lit(window["b"])))
+    return lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"),
+                        meta.alias("modification_time"), F.coalesce("_torn", "raw").alias("raw"))

@@ -47,7 +47,7 @@ def file_stream(spark: SparkSession, landing: str, glob: str | None = None,
         F.col("modificationTime").alias("modification_time"))
 
 
-def ingest_batch(output: str, header_method: str = "auto"):
+def ingest_batch(output: str, header_method: str = "auto", landing: str | None = None):
     """foreachBatch body: one micro-batch of new files → routing, and every
     conformed row with its bad-row flag (bad ones keep their text) below
     ``batch_id=<id>``: the batch's CSV is parsed once."""
@@ -57,8 +57,8 @@ def ingest_batch(output: str, header_method: str = "auto"):
         routing = conform.route_files(batch, method=header_method).checkpoint(eager=True)
         part = f"batch_id={batch_id}"
         writers.write(routing.drop("columns"), f"{output}/routing/{part}")
-        writers.write(conform.quarantined_lines(spark, routing), f"{output}/quarantine/{part}")
-        rows = conform.ingest(spark, routing).conformed
+        writers.write(conform.quarantined_lines(spark, routing, landing), f"{output}/quarantine/{part}")
+        rows = conform.ingest(spark, routing, landing).conformed
         writers.write(rows.withColumn("_raw", F.when(F.col("_bad"), F.col("_raw"))), f"{output}/rows/{part}")
     return run
 
@@ -69,7 +69,7 @@ def run_available(spark: SparkSession, landing: str, output: str, checkpoint: st
     """Process every file not yet seen, then stop (``availableNow``)."""
     q = (file_stream(spark, landing, max_files_per_trigger=max_files_per_trigger,
                      archive_dir=archive_dir)
-         .writeStream.foreachBatch(ingest_batch(output, header_method))
+         .writeStream.foreachBatch(ingest_batch(output, header_method, landing))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
