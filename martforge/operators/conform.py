@@ -98,7 +98,9 @@ def conform(lines: DataFrame, width: int) -> DataFrame:
     a non-empty cell that does not parse; ``_raw`` keeps the line."""
     schema = ", ".join(f"_c{i} string" for i in range(width + 1))
     parsed = F.from_csv(F.concat("raw", F.lit("," + END_CELL)), F.lit(schema))
-    df = lines.withColumn("_p", parsed).withColumn("_cells", F.array(*[F.col(f"_p._c{i}") for i in range(width + 1)]))
+    # generators, so that a line is parsed once: projections would be merged and parse it for every cell
+    df = lines.select("*", F.inline(F.array(parsed))).withColumn(
+        "_cells", F.explode(F.array(F.array(*[F.col(f"_c{i}") for i in range(width + 1)]))))
     cell = lambda p: F.get("_cells", p)
     raw = {c: cell(F.get("at", F.lit(i))) for i, c in enumerate(MANDATORY)}
     typed = {c: raw[c].try_cast(f.dataType) for c, f in zip(MANDATORY, SALES.fields)}

@@ -56,14 +56,25 @@ def append(ledger_path: str, ev: DataFrame) -> None:
     ev.select(*LEDGER.fieldNames()).write.mode("append").parquet(ledger_path)
 
 
+def append_once(ledger_path: str, ev: DataFrame, run_id: int) -> None:
+    """``append`` without the events that this run has in the ledger already (a run taken
+    up again after a crash between its append and its record of it)."""
+    have = read(ev.sparkSession, ledger_path).where(F.col("run_id") == run_id).select(*IDENTITY, "status")
+    append(ledger_path, ev.join(have, [*IDENTITY, "status"], "left_anti"))
+
+
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A Parquet dataset of ours; empty (typed) when nothing was written yet."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def read(spark: SparkSession, ledger_path: str) -> DataFrame:
     """The ledger events; empty (typed) when nothing was written yet."""
-    try:
-        return spark.read.schema(LEDGER).parquet(ledger_path)
-    except Exception as exc:  # path does not exist yet
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], LEDGER)
-        raise
+    return read_or_empty(spark, ledger_path, LEDGER)
 
 
 def state(ledger: DataFrame) -> DataFrame:

@@ -13,7 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martforge.config import PipelineConfig
 from martforge.operators import conform, enrich, ledger, marts
+from martforge.plans.pipeline import run_pipeline
 from martforge.sinks import writers
 from martforge.session import shared_dir
 from martforge.sources import drops, files as fsrc, tpch
@@ -238,6 +240,47 @@ def q_snapshot_roundtrip(spark, sf_dir):
     return _doubles(back, "total_sales", "incentive")
 
 
+PIPELINE_RUN_ID = 1700000000001
+
+
+def _pipeline_run(spark, sf_dir):
+    """ORC-1: a landing folder with the derived drops (a clean one, one with bad cells, one
+    to be rejected), brought to marts by one run that moves what it consumed."""
+    root = shared_dir(spark, "run")
+    drops.derived_drops(tpch.sales_fact(spark, sf_dir), f"{root}/landing")
+    conf = PipelineConfig(landing=f"{root}/landing", output=f"{root}/out", ledger=f"{root}/ledger",
+                          processed_dir=f"{root}/processed", error_dir=f"{root}/error")
+    dims = tpch.dimensions(spark, sf_dir)
+    result = run_pipeline(spark, conf, dims["customer"], dims["store"], dims["sales_team"],
+                          run_id=PIPELINE_RUN_ID, store_bounded=True)
+    return conf, result
+
+
+def q_pipeline_customer_mart(spark, sf_dir):
+    """ORC-1: the customer mart of a whole run."""
+    _, result = _pipeline_run(spark, sf_dir)
+    return _doubles(spark.read.parquet(result.outputs["customer_mart"]), "total_cost")
+
+
+def _drop_of(path: str):
+    return F.element_at(F.split(path, "/"), -2).alias("drop_name")
+
+
+def q_pipeline_ledger(spark, sf_dir):
+    """SNK-6/7, SNK-9/10 in a run: lines of each drop by the state that the ledger ends
+    with, whether they parsed, and whether the file was moved."""
+    conf, result = _pipeline_run(spark, sf_dir)
+    state = ledger.state(ledger.read(spark, conf.ledger)).select(F.col("file_path").alias("path"), "status", "n_events")
+    moved = (spark.read.parquet(result.outputs["moved_processed"])
+             .union(spark.read.parquet(result.outputs["moved_rejected"])).select("path", "moved"))
+    rows = spark.read.parquet(result.outputs["conformed"]).select(F.col("source_file").alias("path"),
+                                                                 F.col("_bad").alias("bad"))
+    lines = spark.read.parquet(result.outputs["quarantine_lines"]).select("path", F.lit(False).alias("bad"))
+    per_file = rows.union(lines).groupBy("path", "bad").agg(F.count(F.lit(1)).alias("n"))
+    return (per_file.join(state, "path").join(moved, "path")
+            .groupBy(_drop_of("path"), "status", "n_events", "moved", "bad").agg(F.sum("n").alias("n_rows")))
+
+
 QUERIES: dict[str, Query] = {
     "conformed_sales": q_conformed_sales,
     "enriched_sales": q_enriched_sales,
@@ -259,6 +302,8 @@ QUERIES: dict[str, Query] = {
     "csv_quarantined_lines": q_csv_quarantined_lines,
     "csv_many_shapes": q_csv_many_shapes,
     "incremental_ingest": q_incremental_ingest,
+    "pipeline_customer_mart": q_pipeline_customer_mart,
+    "pipeline_ledger": q_pipeline_ledger,
     "unmatched_facts": q_unmatched_facts,
     "ledger_state": q_ledger_state,
     "ledger_open_files": q_ledger_open_files,

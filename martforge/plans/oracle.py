@@ -191,11 +191,27 @@ FROM fact WHERE sales_date >= DATE '2000-01-01'""")
 
 # 8 rotations, 2 directions, 0 to 12 extras: only the extras show in the rows
 SQL["csv_many_shapes"] = with_base(f"""
-SELECT {DROP_COLS},
-       CASE WHEN shape >= 16 THEN array_to_string(
-            list_transform(range(shape // 16), j -> CAST(shape AS VARCHAR) || '-' || CAST(j AS VARCHAR)), ', ')
-       END AS additional_column
-FROM (SELECT *, (customer_id * 7 + quantity) % 208 AS shape FROM fact)""")
+, shapes AS (SELECT s, string_agg(CAST(s AS VARCHAR) || '-' || CAST(j AS VARCHAR), ', ' ORDER BY j) AS extras
+             FROM range(208) t(s), range(12) u(j) WHERE j < s // 16 GROUP BY s)
+SELECT {DROP_COLS}, extras AS additional_column
+FROM fact LEFT JOIN shapes ON s = (customer_id * 7 + quantity) % 208""")
+
+# the rows that parse of the accepted drops: before 2000, but for quantity 50 of the extra drop
+SQL["pipeline_customer_mart"] = with_base("""
+SELECT customer_id, first_name, last_name, address, pincode, phone_number, f.sales_date,
+       CAST(f.total_cost AS DOUBLE) AS total_cost
+FROM fact f JOIN dim_customer USING (customer_id) JOIN dim_store USING (store_id)
+JOIN dim_sales_team USING (sales_person_id)
+WHERE f.sales_date < DATE '1998-01-01' OR (f.sales_date < DATE '2000-01-01' AND f.quantity <> 50)""")
+
+SQL["pipeline_ledger"] = with_base("""
+SELECT CASE WHEN sales_date < DATE '1998-01-01' THEN 'clean' WHEN sales_date < DATE '2000-01-01' THEN 'extra'
+       ELSE 'missing' END AS drop_name,
+       CASE WHEN sales_date < DATE '2000-01-01' THEN 'I' ELSE 'R' END AS status,
+       CAST(CASE WHEN sales_date < DATE '2000-01-01' THEN 2 ELSE 1 END AS BIGINT) AS n_events, TRUE AS moved,
+       (sales_date >= DATE '1998-01-01' AND sales_date < DATE '2000-01-01' AND quantity = 50) AS bad,
+       CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM fact GROUP BY ALL""")
 
 # the stream must ingest exactly the rows of the batch ingest
 SQL["incremental_ingest"] = SQL["csv_drop_union"]

@@ -4,6 +4,9 @@ list → skip finished files → route headers → quarantine → open ledger
 events → one typed scan per header → enrich (written once as a staging
 snapshot and read back, so the marts do not recompute the joins) →
 marts and monthly aggregates → close ledger events.
+
+Each stage is recorded in a manifest (``runlog``) once its outputs stand, so a call
+after a crash takes the run up behind its last finished stage.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from pyspark.sql import functions as F
 from martforge.config import PipelineConfig
 from martforge.functions.columns import run_clock
 from martforge.operators import conform, enrich, ledger, marts
+from martforge.plans import runlog
 from martforge.schemas import LEDGER_CLOSED, LEDGER_REJECTED
 from martforge.sinks import moves, writers
 from martforge.session import shared_dir
@@ -43,102 +47,126 @@ class RunResult:
 def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
                  store: DataFrame, sales_team: DataFrame, run_id: int | None = None,
                  store_bounded: bool = False) -> RunResult:
+    """One run over all files not yet processed; a run that an earlier call did not
+    finish is taken up behind its last finished stage, under its own id."""
     shared_dir(spark)  # checkpoint() needs the shared folder
     clock_id, clock_secs = run_clock()
-    run_id = clock_id if run_id is None else run_id
-
-    # list the landing folder once (one row per file) and pin the listing:
-    # every later step sees the same files without listing the store again
-    listed = fsrc.manifest(spark, conf.landing).checkpoint(eager=True)
-    if listed.isEmpty():
-        raise NoInputError(f"no file below {conf.landing}")
-    csv, _ = fsrc.split_by_extension(listed)
-    if csv.isEmpty():
-        raise NoInputError(f"no CSV file below {conf.landing}")
-
-    # as this run found it: its own events come after
-    current = ledger.state(ledger.read(spark, conf.ledger)).checkpoint(eager=True)
-    if conf.on_open_files == "fail" and not ledger.open_files(listed, current).isEmpty():
-        raise OpenFilesError("files of an unfinished run are still open")
-    todo = ledger.pending(listed, current)
-
-    # routing is small (one row per file) and read several times: pin it
-    # once in the shared checkpoint dir so every step sees the same headers
-    routing = conform.route_files(todo, method=conf.header_method).checkpoint(eager=True)
+    again = runlog.unfinished(spark, conf.path("runs")) if run_id is None else None
+    run_id, clock_secs = again or (clock_id if run_id is None else run_id, clock_secs)
+    log = runlog.RunLog(spark, conf.path("runs"), run_id)
     outputs: dict[str, str] = {}
-
-    quarantined = conform.quarantined_lines(spark, routing, conf.landing)
-    outputs.update({f"quarantine_{k}": v for k, v in writers.write_quarantine(
-        routing, quarantined, conf.path("quarantine"), run_id).items()})
-
+    snap = lambda name: writers.snapshot_path(conf.path(name), run_id)
+
+    # routing is small (one row per file); it and the moves that earlier runs left are
+    # pinned in the run's own folder, so every stage, of whatever call, sees the same files
+    if not log.finished("route"):
+        _route(spark, conf, log, snap, clock_secs)
+    routing = spark.read.parquet(snap("staging/routing"))
+    due = spark.read.parquet(snap("staging/due"))
     rejected = routing.where(F.col("reason") != conform.ACCEPTED)
-    ledger.append(conf.ledger, ledger.rejected_events(rejected, run_id, clock_secs))
+    accepted = routing.where(F.col("reason") == conform.ACCEPTED)
+
+    outputs["quarantine_files"], outputs["quarantine_lines"] = snap("quarantine/files"), snap("quarantine/lines")
+    if not log.finished("quarantine"):
+        quarantined = conform.quarantined_lines(spark, routing, conf.landing)
+        writers.write_quarantine(routing, quarantined, conf.path("quarantine"), run_id)
+        log.finish("quarantine")
+    if not log.finished("reject"):
+        ledger.append_once(conf.ledger, ledger.rejected_events(rejected, run_id, clock_secs), run_id)
+        log.finish("reject")
     # rejected files leave the landing folder whether or not any file is accepted
-    failed = _move(spark, conf, rejected, current, LEDGER_REJECTED, listed, conf.error_dir, "rejected", run_id, outputs)
+    failed = _move(spark, conf, log, rejected, due.where(F.col("status") == LEDGER_REJECTED), conf.error_dir,
+                   "rejected", outputs)
 
-    accepted = routing.where(F.col("reason") == conform.ACCEPTED)
     n_accepted = accepted.count()
     if n_accepted == 0:
-        _move(spark, conf, accepted, current, LEDGER_CLOSED, listed, conf.processed_dir, "processed", run_id, outputs)
+        _move(spark, conf, log, accepted, due.where(F.col("status") == LEDGER_CLOSED), conf.processed_dir, "processed",
+              outputs)
+        log.finish(runlog.DONE)
         raise NoInputError("no file passed the header check")
-    ledger.append(conf.ledger, ledger.open_events(accepted, run_id, clock_secs))
+    if not log.finished("open"):
+        ledger.append_once(conf.ledger, ledger.open_events(accepted, run_id, clock_secs), run_id)
+        log.finish("open")
+
+    def stage(name: str, folder: str, make, partition_by=None, tiebreak=None) -> DataFrame:
+        """The snapshot of a stage: written by ``make`` unless the run has it, read back."""
+        outputs[name] = snap(folder)
+        if not log.finished(name):
+            writers.write_snapshot(make(), conf.path(folder), run_id, partition_by=partition_by, tiebreak=tiebreak)
+            log.finish(name)
+        return spark.read.parquet(outputs[name])
 
     # parse the CSV once: stage every conformed row with its bad-row flag
     # (bad ones keep their text), then split from the Parquet copy.  Not
     # partitioned by the flag: a partitioned write would sort every row.
-    ing = conform.ingest(spark, routing, conf.landing)
-    staged_rows = writers.snapshot_path(conf.path("staging/conformed"), run_id)
-    writers.write(ing.conformed.withColumn("_raw", F.when(F.col("_bad"), F.col("_raw"))),
-                  staged_rows)
-    ing = conform.split_conformed(spark.read.parquet(staged_rows), routing)
-    outputs["conformed"] = staged_rows
-    _preview(spark, conf, staged_rows)
-    outputs["bad_rows"] = writers.write_snapshot(ing.bad_rows, conf.path("bad_rows"), run_id)
-
-    enriched = enrich.enrich_sales(ing.sales, customer, store, sales_team,
-                                   store_bounded=store_bounded)
-    staged = writers.write_snapshot(enriched, conf.path("staging/enriched"), run_id)
-    enriched = spark.read.parquet(staged)
-    outputs["enriched"] = staged
-    _preview(spark, conf, staged)
+    rows = stage("conformed", "staging/conformed", lambda: conform.ingest(spark, routing, conf.landing).conformed
+                 .withColumn("_raw", F.when(F.col("_bad"), F.col("_raw"))))
+    ing = conform.split_conformed(rows, routing)
+    _preview(spark, conf, outputs["conformed"])
+    bad = stage("bad_rows", "bad_rows", lambda: ing.bad_rows)
+
+    enriched = stage("enriched", "staging/enriched", lambda: enrich.enrich_sales(
+        ing.sales, customer, store, sales_team, store_bounded=store_bounded))
+    _preview(spark, conf, outputs["enriched"])
 
     cmart = marts.customer_mart(enriched)
     smart = marts.sales_team_mart(enriched)
-    outputs["customer_mart"] = writers.write_snapshot(cmart, conf.path("customer_data_mart"), run_id)
-    outputs["sales_team_mart"] = writers.write_snapshot(smart, conf.path("sales_team_data_mart"), run_id)
-    outputs["sales_team_mart_partitioned"] = writers.write_snapshot(
-        smart, conf.path("sales_partitioned_data_mart"), run_id,
-        partition_by=["sales_month", "store_id"], tiebreak=["sales_person_id"])
+    stage("customer_mart", "customer_data_mart", lambda: cmart)
+    stage("sales_team_mart", "sales_team_data_mart", lambda: smart)
+    stage("sales_team_mart_partitioned", "sales_partitioned_data_mart", lambda: smart,
+          ["sales_month", "store_id"], ["sales_person_id"])
     _preview(spark, conf, outputs["customer_mart"], outputs["sales_team_mart"])
 
-    cmonthly = marts.customer_monthly(cmart)
-    incentives = marts.sales_team_incentive(marts.sales_team_monthly(smart), conf.incentive_rate)
-    outputs["customers_data_mart"] = writers.write_snapshot(
-        cmonthly, conf.path("customers_data_mart"), run_id)
-    outputs["sales_team_data_mart"] = writers.write_snapshot(
-        incentives, conf.path("sales_team_data_mart_monthly"), run_id)
+    cmonthly = stage("customers_data_mart", "customers_data_mart", lambda: marts.customer_monthly(cmart))
+    incentives = stage("sales_team_data_mart", "sales_team_data_mart_monthly", lambda: marts.sales_team_incentive(
+        marts.sales_team_monthly(smart), conf.incentive_rate))
     _preview(spark, conf, outputs["customers_data_mart"], outputs["sales_team_data_mart"])
     if conf.monthly_report_csv:
-        report = marts.incentive_report(spark.read.parquet(outputs["sales_team_data_mart"]))
-        outputs["incentive_report_csv"] = writers.write_csv_report(
-            report, writers.snapshot_path(conf.path("reports/incentive"), run_id),
-            partition_by=["sales_month"])
+        outputs["incentive_report_csv"] = snap("reports/incentive")
+        if not log.finished("report"):
+            writers.write_csv_report(marts.incentive_report(incentives), outputs["incentive_report_csv"],
+                                     partition_by=["sales_month"])
+            log.finish("report")
     if conf.jdbc_url:
         stamp = F.lit(run_id).cast("long").alias("run_id")
-        writers.write_jdbc(spark.read.parquet(outputs["customers_data_mart"]).select("*", stamp),
-                           conf.jdbc_url, conf.customer_monthly_table,
-                           properties=conf.jdbc_properties)
-        writers.write_jdbc(spark.read.parquet(outputs["sales_team_data_mart"]).select("*", stamp),
-                           conf.jdbc_url, conf.sales_team_monthly_table,
-                           properties=conf.jdbc_properties)
-
-    ledger.append(conf.ledger, ledger.close_events(accepted, run_id, run_clock()[1]))
+        for name, table, df in (("jdbc customer", conf.customer_monthly_table, cmonthly),
+                                ("jdbc sales team", conf.sales_team_monthly_table, incentives)):
+            if not log.finished(name):
+                writers.write_jdbc(df.select("*", stamp), conf.jdbc_url, table, properties=conf.jdbc_properties)
+                log.finish(name)
+
+    if not log.finished("close"):
+        ledger.append_once(conf.ledger, ledger.close_events(accepted, run_id, run_clock()[1]), run_id)
+        log.finish("close")
     # moves come after the close: what a crash in between leaves in the
-    # landing folder is closed, and moved by the next run
-    failed += _move(spark, conf, accepted, current, LEDGER_CLOSED, listed, conf.processed_dir, "processed", run_id,
-                    outputs)
-    n_bad = spark.read.parquet(outputs["bad_rows"]).count()
-    return RunResult(run_id, n_accepted, routing.count() - n_accepted, n_bad, failed, outputs)
+    # landing folder is closed, and moved when the run is taken up or by the next
+    failed += _move(spark, conf, log, accepted, due.where(F.col("status") == LEDGER_CLOSED), conf.processed_dir,
+                    "processed", outputs)
+    result = RunResult(run_id, n_accepted, rejected.count(), bad.count(), failed, outputs)
+    log.finish(runlog.DONE)
+    return result
+
+
+def _route(spark: SparkSession, conf: PipelineConfig, log: runlog.RunLog, snap, clock_secs: int) -> None:
+    """The first stage: the files of the run with their headers, and the listed files
+    that an earlier run brought to an end but did not move."""
+    # list the landing folder once (one row per file) and pin the listing
+    listed = fsrc.manifest(spark, conf.landing).checkpoint(eager=True)
+    if listed.isEmpty():
+        raise NoInputError(f"no file below {conf.landing}")
+    csv, _ = fsrc.split_by_extension(listed)
+    if csv.isEmpty():
+        raise NoInputError(f"no CSV file below {conf.landing}")
+    current = ledger.state(ledger.read(spark, conf.ledger)).checkpoint(eager=True)
+    if conf.on_open_files == "fail" and not ledger.open_files(listed, current).isEmpty():
+        raise OpenFilesError("files of an unfinished run are still open")
+    done = current.where(F.col("status").isin(LEDGER_REJECTED, LEDGER_CLOSED)).select(
+        F.col("file_path").alias("path"), "length", "modification_time", "status")
+    writers.write(listed.join(done, fsrc.IDENTITY).select("path", "status"), snap("staging/due"))
+    writers.write(conform.route_files(ledger.pending(listed, current), method=conf.header_method),
+                  snap("staging/routing"))
+    log.finish(runlog.STARTED, clock_secs)
+    log.finish("route")
 
 
 def _preview(spark: SparkSession, conf: PipelineConfig, *paths: str) -> None:
@@ -148,18 +176,17 @@ def _preview(spark: SparkSession, conf: PipelineConfig, *paths: str) -> None:
             writers.preview(spark.read.parquet(path), enabled=True)
 
 
-def _move(spark: SparkSession, conf: PipelineConfig, files: DataFrame, before: DataFrame, status: str,
-          listed: DataFrame, target: str | None, name: str, run_id: int, outputs: dict[str, str]) -> int:
-    """Move ``files`` of this run, and the listed files that an earlier run
-    brought to ``status`` but did not move, below ``target``/run_id=...: a
-    later delivery of a name never replaces an earlier one.  Returns how many
-    could not be moved (the status table has the errors)."""
+def _move(spark: SparkSession, conf: PipelineConfig, log: runlog.RunLog, files: DataFrame, left: DataFrame,
+          target: str | None, name: str, outputs: dict[str, str]) -> int:
+    """Move ``files`` of this run, and those that an earlier run ``left`` behind, below
+    ``target``/run_id=...: a later delivery of a name never replaces an earlier one.
+    Returns how many could not be moved (the status table has the errors)."""
     if not target:
         return 0
-    done = before.where(F.col("status") == status).select(
-        F.col("file_path").alias("path"), "length", "modification_time")
-    left = listed.join(done, ["path", "length", "modification_time"], "left_semi").select("path")
-    outputs[f"moved_{name}"] = writers.write_snapshot(
-        moves.move_files(files.select("path").unionByName(left), conf.landing,
-                         writers.snapshot_path(target, run_id)), conf.path(f"moves/{name}"), run_id)
+    outputs[f"moved_{name}"] = writers.snapshot_path(conf.path(f"moves/{name}"), log.run_id)
+    if not log.finished(f"move {name}"):
+        writers.write_snapshot(
+            moves.move_files(files.select("path").unionByName(left.select("path")), conf.landing,
+                             writers.snapshot_path(target, log.run_id)), conf.path(f"moves/{name}"), log.run_id)
+        log.finish(f"move {name}")
     return spark.read.parquet(outputs[f"moved_{name}"]).where(~F.col("moved")).count()

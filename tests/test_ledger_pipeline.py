@@ -263,3 +263,83 @@ def test_moves_on_other_file_systems(spark, tmp):
     out = moves.move_files(files, "viewfs://m/x/src", "viewfs://m/x/dst").collect()
     assert [(r.moved, r.error) for r in out] == [(True, None)]
     assert _files(f"{tmp}/dst") == ["a b.csv"] and _files(f"{tmp}/src") == []
+
+
+class _Killed(RuntimeError):
+    pass
+
+
+def test_a_killed_run_is_taken_up_behind_its_last_stage(spark, tmp, monkeypatch):
+    """Killed before and after each stage is recorded, a run ends as one that was not."""
+    from martforge.plans import runlog
+    for land in ("one/landing", "two/landing"):
+        _drops(spark, f"{tmp}/{land}", n_files=2, rows=40)
+        write_text(f"{tmp}/{land}/bad.csv", "customer_id,product_name\n1,tea\n")
+    c, s, t = _dims(spark)
+
+    def conf(name):
+        root = f"{tmp}/{name}"
+        return PipelineConfig(landing=f"{root}/landing", output=f"{root}/out", ledger=f"{root}/ledger",
+                              processed_dir=f"{root}/processed", error_dir=f"{root}/error")
+
+    whole = run_pipeline(spark, conf("one"), c, s, t, store_bounded=True)
+    finish, write = runlog.RunLog.finish, writers.write_snapshot
+    killed, written, stages = set(), [], []
+
+    def deadly(self, stage, clock=0):
+        if (stage, "before") not in killed:
+            killed.add((stage, "before"))
+            raise _Killed(stage)
+        finish(self, stage, clock)
+        stages.append(stage)
+        if stage != runlog.DONE and (stage, "after") not in killed:
+            killed.add((stage, "after"))
+            raise _Killed(stage)
+
+    def counted(df, base, run_id, **kw):
+        written.append(os.path.relpath(base, tmp))
+        return write(df, base, run_id, **kw)
+
+    monkeypatch.setattr(runlog.RunLog, "finish", deadly)
+    monkeypatch.setattr(writers, "write_snapshot", counted)
+    res, calls = None, 0
+    while res is None:
+        calls += 1
+        try:
+            res = run_pipeline(spark, conf("two"), c, s, t, store_bounded=True)
+        except _Killed:
+            continue
+    assert calls > 25 and {"route", "conformed", "customer_mart", "close", "move processed"} <= set(stages)
+    # a stage is written at most twice: once killed before its record, once for good
+    assert max(written.count(x) for x in set(written)) <= 2
+    assert (res.accepted_files, res.rejected_files, res.bad_rows, res.failed_moves) == (2, 1, 0, 0)
+
+    def rows(path):
+        return sorted(map(str, spark.read.parquet(path).drop("source_file").collect()))
+    for name in ("enriched", "customer_mart", "sales_team_mart", "customers_data_mart", "sales_team_data_mart"):
+        assert rows(res.outputs[name]) == rows(whole.outputs[name])
+    state = {x: sorted((os.path.basename(r.file_path), r.status, r.n_events)
+                       for r in ledger.state(ledger.read(spark, conf(x).ledger)).collect()) for x in ("one", "two")}
+    assert state["one"] == state["two"] and [n for _, _, n in state["two"]] == [1, 2, 2]
+    assert len(_files(f"{tmp}/two/processed")) == 2 and len(_files(f"{tmp}/two/error")) == 1
+    assert not _files(f"{tmp}/two/landing")
+    monkeypatch.undo()
+    with pytest.raises(NoInputError):       # nothing is left to take up
+        run_pipeline(spark, conf("two"), c, s, t, store_bounded=True)
+
+
+def test_many_header_shapes_do_not_grow_the_plan(spark, tmp):
+    from martforge.operators import conform
+    from martforge.sources import drops
+    small = spark.createDataFrame([(i, 1, "tea", "2024-01-01", 2, "1.50", i % 40 + 1, "3.00") for i in range(2000)],
+                                  "customer_id long, store_id long, product_name string, sales_date string, "
+                                  "sales_person_id long, price string, quantity int, total_cost string")
+    drops.many_shapes(small, f"{tmp}/many")
+    routing = conform.route_files(fsrc.manifest(spark, f"{tmp}/many")).checkpoint()
+    assert routing.select("header").distinct().count() == drops.SHAPES
+    ing = conform.ingest(spark, routing, f"{tmp}/many")
+    few = conform.ingest(spark, routing.where("size(columns) = 20").checkpoint(), f"{tmp}/many")
+    size = lambda x: len(x.sales._jdf.queryExecution().optimizedPlan().toString())
+    assert abs(size(ing) - size(few)) < 0.02 * size(ing)
+    assert ing.sales.count() == 2000 and ing.bad_rows.count() == 0
+    assert few.sales.where("size(split(additional_column, ', ')) <> 12").count() == 0 < few.sales.count()
