@@ -49,6 +49,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 6
 REGISTERS = BANDS * ROWS
+NEAR = 0.3             # likeness to a hub from which on texts are joined by their differences
 REMEMBERED = 1 << 17   # texts whose copies a task skips
 
 
@@ -244,11 +245,13 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.flatnonzero(np.maximum(plain, prob) >= SIMILARITY - 1e-6)
         yield pa.RecordBatch.from_arrays(
             [b.column("node").take(pa.array(row[at])), flat.field("s").take(pa.array(at)),
-             pa.array(common[row[at]], pa.float64())], names=["node", "s", "common"])
+             pa.array(common[row[at]], pa.float64()), pa.array(plain[at], pa.float64()), pa.array(prob[at], pa.float64())],
+            names=["node", "s", "common", "plain", "prob"])
 
 
 def _hubs(spark: SparkSession, lists: DataFrame) -> DataFrame:
-    """(node, q): the hubs of each text.  Shingles are put in order of their frequency,
+    """(node, s, plain, prob, q): the first shingles of each text, the share of its set and
+    of its weights that stands from there on, and their hubs.  Shingles are put in order of their frequency,
     rarest first; two similar texts share one of the first shingles of both.  The hub of
     a shingle is, of the texts that have it among their first, the one whose shingles are
     the most common, so the one with the fewest edits of a group; two similar texts have a
@@ -259,11 +262,11 @@ def _hubs(spark: SparkSession, lists: DataFrame) -> DataFrame:
     freq = save(spark, flat.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1"), "freq")
     ranked = (flat.join(freq, "s").groupBy("node", "total", "n")
               .agg(F.sort_array(F.collect_list(F.struct("f", "s", "w"))).alias("o")))
-    prefix = save(spark, ranked.mapInArrow(_prefixes, "node long, s long, common double"), "prefix")
+    prefix = save(spark, ranked.mapInArrow(
+        _prefixes, "node long, s long, common double, plain double, prob double"), "prefix")
     best = save(spark, prefix.groupBy("s").agg(F.max(F.struct("common", F.negate("node").alias("minus"))).alias("m")),
                 "best")
-    out = save(spark, prefix.join(best, "s").select("node", F.negate("m.minus").alias("q"))
-               .where("node <> q").distinct(), "hubs")
+    out = save(spark, prefix.join(best, "s").select("node", "s", "plain", "prob", F.negate("m.minus").alias("q")), "hubs")
     drop(spark, prefix, freq, best)
     return out
 
@@ -302,7 +305,7 @@ def _common_at_most(k) -> F.Column:
                + 1 / (1 - F.greatest(lost_y, F.lit(0)) / F.col("y.total")) <= 1 + 1 / SIMILARITY + 1e-6))
 
 
-def _across_classes(spark: SparkSession, open_groups: DataFrame, sets: DataFrame) -> DataFrame:
+def _across_classes(spark: SparkSession, open_groups: DataFrame, firsts: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) of different classes under one hub that may be similar: an exact
     join on what texts do *not* share with their hub.
 
@@ -318,41 +321,61 @@ def _across_classes(spark: SparkSession, open_groups: DataFrame, sets: DataFrame
     them follow.  Texts that may be similar with no difference in common (k = 0) are, if
     neither repeats a shingle, both similar to the hub and so of one class already; the
     few others are met by hub.
+
+    Texts far from their hub (a common line is all they share) differ from it in nearly
+    everything; they are joined on the shingle that named the hub, with the same bound
+    for the shares X and Y that stand from it on.  As 1 - Jaccard is a metric, the
+    likeness of two similar texts to a hub differs by 0.2 at most, so that every pair is
+    of the near or of the far (texts that repeat shingles are taken as both).
     """
     kinds = ("q long, node long, label long, minor boolean, n long, more long, less long, total long, "
              "plus array<long>, minus array<long>")
     wide = (open_groups.join(sets.select("node", "sh", "wt"), "node")
             .join(sets.select(F.col("node").alias("q"), F.col("sh").alias("hub")), "q")
             .mapInArrow(_differences, kinds))
-    wide = save(spark, wide, "differences")
+    wide = save(spark, wide.withColumn("again", F.col("total") > F.col("n"))
+                .withColumn("near", (F.col("n") - F.col("more")) / (F.col("n") + F.col("less"))), "differences")
+    slack, most_sum = 1e-6, F.lit(1 + 1 / SIMILARITY + 1e-6)
+    pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
+    apart = (F.col("x.q") == F.col("y.q")) & (F.col("x.label") != F.col("y.label"))
+
+    # near the hub: by differences in common
     facts = ["q", "node", "label", "minor", "more", "less", "total"]
-    flat = wide.select(*facts, F.explode(F.concat(
+    most = wide.groupBy("q").agg(F.max("total").alias("most"))
+    close = wide.where(F.col("again") | (F.col("near") >= NEAR - slack)).join(most, "q")
+    flat = close.select(*facts, "most", F.explode(F.concat(
         F.transform("plus", lambda s: F.struct(s.alias("s"), F.lit(True).alias("own"))),
         F.transform("minus", lambda s: F.struct(s.alias("s"), F.lit(False).alias("own"))))).alias("d")
-    ).select(*facts, "d.s", "d.own")
+    ).select(*facts, "most", "d.s", "d.own")
     shared = flat.groupBy("q", "s", "own").agg(F.count(F.lit(1)).alias("f"), F.min("label").alias("a"),
                                                F.max("label").alias("b")).where("a <> b").select("q", "s", "own", "f")
     shared = save(spark, shared, "shared")
-    ranked = (flat.join(shared, ["q", "s", "own"]).groupBy(*facts)
+    ranked = (flat.join(shared, ["q", "s", "own"]).groupBy(*facts, "most")
               .agg(F.sort_array(F.collect_list(F.struct("f", "s", "own"))).alias("o")))
-    # a difference shared by nobody comes first and matches nothing: what follows is counted from the end
-    first = (ranked.select(*facts, F.size("o").alias("m"), F.posexplode("o").alias("at", "d"))
+    # a difference shared by nobody comes first and matches nothing: what follows is counted from the end.
+    # Of two texts of totals up to ``most``, the differences they do not share are at most a quarter of that
+    need = F.col("more") + F.col("less") - (1 / SIMILARITY - 1 + slack) * F.col("most")
+    first = (ranked.withColumn("m", F.size("o"))
+             .withColumn("o", F.slice("o", 1, F.greatest(F.least(F.col("m"), F.floor(F.col("m") - need + 1)), F.lit(0))
+                                      .cast("int")))
+             .select(*facts, "m", F.posexplode("o").alias("at", "d"))
              .select(*facts, (F.col("m") - F.col("at")).alias("left"), "d.s", "d.own"))
-    # of two texts of totals up to ``most``, the differences they do not share are at most a quarter of that
-    most = wide.groupBy("q").agg(F.max("total").alias("most"))
-    first = first.join(most, "q").where(
-        F.col("more") + F.col("less") - F.col("left") <= (1 / SIMILARITY - 1 + 1e-6) * F.col("most")).drop("most")
     x, y = first.where("minor").alias("x"), first.alias("y")
-    apart = (F.col("x.q") == F.col("y.q")) & (F.col("x.label") != F.col("y.label"))
     by_difference = x.join(y, apart & (F.col("x.s") == F.col("y.s")) & (F.col("x.own") == F.col("y.own"))
-                           & _common_at_most(F.least("x.left", "y.left")))
-    free = wide.select(*facts, (F.col("total") > F.col("n")).alias("again")).where(
-        F.col("more") <= (1 - SIMILARITY + 1e-6) * F.col("total"))
+                           & _common_at_most(F.least("x.left", "y.left"))).select(*pair)
+    free = wide.where(F.col("more") <= (1 - SIMILARITY + slack) * F.col("total")).select(*facts, "again")
     meet = apart & _common_at_most(F.lit(0))
-    pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
     by_hub = (free.where("minor").alias("x").join(free.where("again").alias("y"), meet).select(*pair)
               .union(free.where("minor and again").alias("x").join(free.alias("y"), meet).select(*pair)))
-    out = save(spark, by_difference.select(*pair).union(by_hub).distinct(), "across")
+
+    # far from it: by the shingle that named the hub
+    far = (wide.where(F.col("again") | (F.col("near") <= NEAR + 1 - SIMILARITY + slack)).select("q", "node", "label", "minor")
+           .join(firsts, ["q", "node"]))
+    x, y = far.where("minor").alias("x"), far.alias("y")
+    by_shingle = x.join(y, apart & (F.col("x.s") == F.col("y.s"))
+                        & ((1 / F.col("x.plain") + 1 / F.col("y.plain") <= most_sum)
+                           | (1 / F.col("x.prob") + 1 / F.col("y.prob") <= most_sum))).select(*pair)
+    out = save(spark, by_difference.union(by_hub).union(by_shingle).distinct(), "across")
     drop(spark, wide, shared)
     return out
 
@@ -362,14 +385,15 @@ def _closed(spark: SparkSession, rest: DataFrame, sets: DataFrame, comp: DataFra
     whether it is outside the greatest class of some bucket) that joins two of them."""
     lists = (rest.select("node").join(sets.select("node", "sh", "wt"), "node")
              .mapInArrow(_unpack, "node long, total long, o array<struct<s:long,w:long>>"))
-    hubs = _hubs(spark, lists)
+    firsts = _hubs(spark, lists)
+    hubs = firsts.where("node <> q").select("node", "q").distinct()
     links = _links(spark, hubs.select(F.least("q", "node").alias("a"), F.greatest("q", "node").alias("b")).distinct(), sets)
     grown = components(spark, comp.select("node", "label").union(links))
     drop(spark, comp, links)
-    across = _across_classes(spark, _open_groups(hubs, grown, rest), sets)
+    across = _across_classes(spark, _open_groups(hubs, grown, rest), firsts, sets)
     links = _links(spark, across, sets)
     out = components(spark, grown.select("node", "label").union(links))
-    drop(spark, hubs, across, links, grown)
+    drop(spark, firsts, across, links, grown)
     return out
 
 

@@ -129,13 +129,13 @@ def fit_patterns(hist: np.ndarray, capacity: int, unit: int) -> list[tuple[tuple
     pats = [p for p in patterns(classes) if all(have[c] for c in p)]
     if not pats:
         return []
+    # large classes weigh as their tokens: a sequence is lost for each
+    w = np.sqrt(np.arange(1, classes + 1))
     A = np.zeros((classes, len(pats)))
     for j, p in enumerate(pats):
         for c in p:
-            A[c - 1, j] += 1
-    # large classes weigh as their tokens: a sequence is lost for each
-    w = np.sqrt(np.arange(1, classes + 1))[:, None]
-    x = nnls(A * w, have[1:] * w[:, 0])
+            A[c - 1, j] += w[c - 1]
+    x = nnls(A, have[1:] * w)
     out, left = [], have.copy()
     for j in np.argsort(-x, kind="stable"):
         n = int(x[j])
