@@ -272,18 +272,21 @@ def _hubs(spark: SparkSession, lists: DataFrame) -> DataFrame:
 
 
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What a text adds to its hub, and what of the hub it lacks (as the complement, so
-    that no shingle is both)."""
+    """What a text adds to its hub, what of the hub it lacks, and its likeness to the hub
+    by plain and by probability Jaccard."""
     for b in batches:
         own, hub = _packed(b.column("sh"), np.int64), _packed(b.column("hub"), np.int64)
-        total = [int(x.sum()) for x in _packed(b.column("wt"), np.uint32)]
+        wt, hub_wt = (_packed(b.column(c), np.uint32) for c in ("wt", "hub_wt"))
+        total = [int(x.sum()) for x in wt]
+        like = [jaccards(x.view(np.uint64), v.astype(float), y.view(np.uint64), w.astype(float))
+                for x, v, y, w in zip(own, wt, hub, hub_wt)]
         more = [np.setdiff1d(x, y, assume_unique=True) for x, y in zip(own, hub)]
         less = [np.setdiff1d(y, x, assume_unique=True) for x, y in zip(own, hub)]
         yield pa.RecordBatch.from_arrays(
             [b.column(c) for c in ("q", "node", "label", "minor")]
             + [pa.array(list(map(len, v)), pa.int64()) for v in (own, more, less)] + [pa.array(total, pa.int64())]
-            + [_lists(more), _lists(less)],
-            names=["q", "node", "label", "minor", "n", "more", "less", "total", "plus", "minus"])
+            + [pa.array([f(x) for x in like], pa.float64()) for f in (max, min)] + [_lists(more), _lists(less)],
+            names=["q", "node", "label", "minor", "n", "more", "less", "total", "near", "far", "plus", "minus"])
 
 
 def _open_groups(hubs: DataFrame, comp: DataFrame, rest: DataFrame) -> DataFrame:
@@ -324,17 +327,17 @@ def _across_classes(spark: SparkSession, open_groups: DataFrame, firsts: DataFra
 
     Texts far from their hub (a common line is all they share) differ from it in nearly
     everything; they are joined on the shingle that named the hub, with the same bound
-    for the shares X and Y that stand from it on.  As 1 - Jaccard is a metric, the
-    likeness of two similar texts to a hub differs by 0.2 at most, so that every pair is
-    of the near or of the far (texts that repeat shingles are taken as both).
+    for the shares X and Y that stand from it on.  One minus either Jaccard is a metric, so
+    the likeness of two similar texts to a hub differs by 0.2 at most, and every pair is
+    of the near or of the far (texts that are one by plain and the other by probability
+    Jaccard, or in between, are taken as both).
     """
     kinds = ("q long, node long, label long, minor boolean, n long, more long, less long, total long, "
-             "plus array<long>, minus array<long>")
+             "near double, far double, plus array<long>, minus array<long>")
     wide = (open_groups.join(sets.select("node", "sh", "wt"), "node")
-            .join(sets.select(F.col("node").alias("q"), F.col("sh").alias("hub")), "q")
+            .join(sets.select(F.col("node").alias("q"), F.col("sh").alias("hub"), F.col("wt").alias("hub_wt")), "q")
             .mapInArrow(_differences, kinds))
-    wide = save(spark, wide.withColumn("again", F.col("total") > F.col("n"))
-                .withColumn("near", (F.col("n") - F.col("more")) / (F.col("n") + F.col("less"))), "differences")
+    wide = save(spark, wide.withColumn("again", F.col("total") > F.col("n")), "differences")
     slack, most_sum = 1e-6, F.lit(1 + 1 / SIMILARITY + 1e-6)
     pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
     apart = (F.col("x.q") == F.col("y.q")) & (F.col("x.label") != F.col("y.label"))
@@ -342,7 +345,7 @@ def _across_classes(spark: SparkSession, open_groups: DataFrame, firsts: DataFra
     # near the hub: by differences in common
     facts = ["q", "node", "label", "minor", "more", "less", "total"]
     most = wide.groupBy("q").agg(F.max("total").alias("most"))
-    close = wide.where(F.col("again") | (F.col("near") >= NEAR - slack)).join(most, "q")
+    close = wide.where(F.col("near") >= NEAR - slack).join(most, "q")
     flat = close.select(*facts, "most", F.explode(F.concat(
         F.transform("plus", lambda s: F.struct(s.alias("s"), F.lit(True).alias("own"))),
         F.transform("minus", lambda s: F.struct(s.alias("s"), F.lit(False).alias("own"))))).alias("d")
@@ -360,6 +363,7 @@ def _across_classes(spark: SparkSession, open_groups: DataFrame, firsts: DataFra
                                       .cast("int")))
              .select(*facts, "m", F.posexplode("o").alias("at", "d"))
              .select(*facts, (F.col("m") - F.col("at")).alias("left"), "d.s", "d.own"))
+    first = save(spark, first, "first")
     x, y = first.where("minor").alias("x"), first.alias("y")
     by_difference = x.join(y, apart & (F.col("x.s") == F.col("y.s")) & (F.col("x.own") == F.col("y.own"))
                            & _common_at_most(F.least("x.left", "y.left"))).select(*pair)
@@ -369,14 +373,14 @@ def _across_classes(spark: SparkSession, open_groups: DataFrame, firsts: DataFra
               .union(free.where("minor and again").alias("x").join(free.alias("y"), meet).select(*pair)))
 
     # far from it: by the shingle that named the hub
-    far = (wide.where(F.col("again") | (F.col("near") <= NEAR + 1 - SIMILARITY + slack)).select("q", "node", "label", "minor")
+    far = (wide.where(F.col("far") <= NEAR + 1 - SIMILARITY + slack).select("q", "node", "label", "minor")
            .join(firsts, ["q", "node"]))
     x, y = far.where("minor").alias("x"), far.alias("y")
     by_shingle = x.join(y, apart & (F.col("x.s") == F.col("y.s"))
                         & ((1 / F.col("x.plain") + 1 / F.col("y.plain") <= most_sum)
                            | (1 / F.col("x.prob") + 1 / F.col("y.prob") <= most_sum))).select(*pair)
     out = save(spark, by_difference.union(by_hub).union(by_shingle).distinct(), "across")
-    drop(spark, wide, shared)
+    drop(spark, wide, shared, first)
     return out
 
 
