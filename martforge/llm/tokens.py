@@ -1,16 +1,16 @@
 """Token ids of whole texts with a public tokenizer file, and token counts.
 
-* *Overlap resynchronisation* (token counts): overlapping chunks of a text are
-  encoded by the library with offsets; two neighbours are spliced at a boundary at which
-  both have the same tokens at the same places on either side and which lies at
-  white space (nothing the tokenizer does reaches across, so the boundary is
-  stable: a longer chunk would give the same tokens).  Where there is no such
-  boundary the overlap is widened, in the end to the whole text.
-* *Independent units* (ids, for packing).  The tokenizer's pre-tokenizer never joins
-  text across ASCII white space and its normalizer maps that white space to one space, so
-  the ids of a text are those of its white-space-separated units in turn.  Units are
-  encoded by the library itself and remembered, as are plain letter, digit and sign runs,
-  in memories that are bounded in bytes and emptied with each partition.
+* *Independent units.*  The tokenizer's pre-tokenizer never joins text across ASCII
+  white space and its normalizer maps that white space to one space, so the ids of a text
+  are those of its white-space-separated units in turn.  Units are encoded by the library
+  itself and remembered, as are plain letter, digit and sign runs, in memories that are
+  bounded in bytes and emptied with each partition.
+* *Overlap resynchronisation* (token counts): a text is encoded in overlapping chunks that
+  end anywhere, so the units at their ends may be cut and have other tokens.  Two neighbours
+  are spliced at a unit of the overlap around which both have the same tokens at the same
+  places; it starts behind white space, and nothing the tokenizer does reaches across, so
+  the boundary is stable: a longer chunk would give the same tokens.  Where there is no
+  such boundary the overlap is widened, in the end to the whole text.
 
 ``unit_safe`` checks that the file at hand has this form; otherwise texts are encoded
 whole.
@@ -35,11 +35,11 @@ from martforge.llm.memory import ENTRY, BoundedMemory
 MODEL = "word_bpe_49k.json"
 CHUNK = 2_048         # code points of a chunk
 OVERLAP = 128         # code points shared by neighbouring chunks, at first
-AGREE = 8             # tokens that must agree on each side of a splice
+AGREE = 3             # units whose tokens must agree on each side of a splice
 UNIT_BYTES = 32 << 20     # units remembered by a worker
 RUN_BYTES = 16 << 20      # runs remembered by a worker
 
-ASCII_SPACE = " \t\n\x0b\x0c\r"
+_UNIT = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 # Units of these letters only are made of runs that the pre-tokenizer splits
 # the same way wherever they stand (no apostrophe, no special string).
 _PLAIN = re.compile(r"[!-&(-;=-~À-ÖØ-öø-ÿ]+")
@@ -145,66 +145,49 @@ class UnitEncoder:
             return b"".join(map(self.units.__getitem__, text.split()))
         return np.array(self.tok.encode(text.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _part(self, text: str, lo: int, hi: int):
-        """(ids, starts, ends) of text[lo:hi], places in the whole text."""
-        e = self.tok.encode(text[lo:hi], add_special_tokens=False)
-        at = np.array(e.offsets, dtype=np.int64).reshape(-1, 2) + lo
-        return np.array(e.ids, dtype="<u4"), at[:, 0], at[:, 1]
+    def _part(self, text: str, lo: int, hi: int) -> list[bytes]:
+        """Ids of each unit of text[lo:hi]; units cut by its ends come out as they are cut."""
+        return list(map(self.units.__getitem__, text[lo:hi].encode().split()))
 
-    def spliced(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> tuple[np.ndarray, int]:
+    def spliced(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> tuple[bytes, int]:
         """Ids of a whole text from overlapping chunks, and the number of splices."""
         n = len(text)
-        if not self.safe or n <= chunk:
-            return self._part(text, 0, n)[0], 0
-        out, lo, hi = [], 0, min(n, chunk)
-        ids, starts, ends = self._part(text, lo, hi)
-        keep_from = 0                       # first place not yet given out
+        if not self.safe:
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), 0
+        out: list[bytes] = []
+        # the chunk at hand starts at lo; all before it is given out; tokens before floor are settled
+        splices, lo, floor, hi = 0, 0, 0, min(n, chunk)
+        units = self._part(text, lo, hi)
         while hi < n:
             width = overlap
             while True:
-                back = max(keep_from, hi - width)
+                back = max(floor, hi - width)
                 nxt_hi = min(n, back + chunk + width)
-                ids2, starts2, ends2 = self._part(text, back, nxt_hi)
-                cut = _splice(text, back, hi, (ids, starts, ends), (ids2, starts2, ends2))
+                units2 = self._part(text, back, nxt_hi)
+                places = [m.start() for m in _UNIT.finditer(text, back, hi)]
+                cut = _splice(units[len(units) - len(places):], units2[:len(places)]) if len(places) <= len(units) else None
                 if cut is not None:
                     break
-                if back <= keep_from:       # nothing left to widen backwards: encode further ahead
+                if back <= floor:                 # nothing left to widen backwards: encode further ahead
                     chunk = chunk * 2
-                    hi_wide = min(n, max(hi, nxt_hi) + chunk)
-                    ids, starts, ends = self._part(text, keep_from, hi_wide)
-                    if hi_wide == n:
-                        out.append(ids[starts >= keep_from])
-                        return np.concatenate(out), len(out) - 1
-                    hi, width = hi_wide, overlap
+                    hi = min(n, max(hi, nxt_hi) + chunk)
+                    units = self._part(text, lo, hi)
+                    if hi == n:
+                        return b"".join(out + units), splices
+                    width = overlap
                     continue
                 width *= 4
-            take = (starts >= keep_from) & (ends <= cut)
-            out.append(ids[take])
-            keep_from, hi = cut, nxt_hi
-            rest = starts2 >= cut
-            ids, starts, ends = ids2[rest], starts2[rest], ends2[rest]
-        out.append(ids)
-        return np.concatenate(out), len(out) - 1
-
-
-def _splice(text: str, lo: int, hi: int, a, b) -> int | None:
-    """A place in (lo, hi) at ASCII white space with AGREE equal tokens (or the
-    text's own ends) on either side in both encodings; None if there is none."""
-    ids_a, st_a, en_a = a
-    ids_b, st_b, en_b = b
-    in_a, in_b = (st_a >= lo) & (en_a <= hi), (st_b >= lo) & (en_b <= hi)
-    key_a = {(int(s), int(e), int(i)): p for p, (s, e, i) in enumerate(zip(st_a[in_a], en_a[in_a], ids_a[in_a]))}
-    same = [key_a.get((int(s), int(e), int(i)), -1) for s, e, i in zip(st_b[in_b], en_b[in_b], ids_b[in_b])]
-    run_end = st_b[in_b]
-    best, mid = None, (lo + hi) // 2
-    for p in range(AGREE, len(same) - AGREE + 1):
-        window = same[p - AGREE:p + AGREE]
-        if min(window) < 0 or any(y - x != 1 for x, y in zip(window, window[1:])):
-            continue
-        place = int(run_end[p])
-        if place > 0 and text[place - 1] in ASCII_SPACE and (best is None or abs(place - mid) < abs(best - mid)):
-            best = place
-    return best
+            out += units[:len(units) - len(places) + cut]
+            lo, floor, hi, units, splices = places[cut], hi, nxt_hi, units2[cut:], splices + 1
+        return b"".join(out + units), splices
+
+
+def _splice(a: list[bytes], b: list[bytes]) -> int | None:
+    """A unit of the overlap, nearest to its middle, before which and from which on AGREE
+    units at the same places have the same tokens in both encodings; None if there is none."""
+    same = [x == y for x, y in zip(a, b)]
+    fits = [p for p in range(AGREE, len(same) - AGREE + 1) if all(same[p - AGREE:p + AGREE])]
+    return min(fits, key=lambda p: abs(2 * p - len(same)), default=None)
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048, chunk: int = CHUNK,
@@ -220,12 +203,13 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, chunk: int = CHU
                 text = x.as_py() or ""
                 ids, n = enc.spliced(text, chunk)
                 sizes.append(len(text.encode()))
-                counts.append(len(ids))
+                counts.append(len(ids) // 4)
                 splices.append(n)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()),
                  pa.array([c > limit for c in counts], pa.bool_()), pa.array(splices, pa.int32())],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit", "n_splices"])
+        enc.units.empty()
 
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
             .mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean, n_splices int"))
