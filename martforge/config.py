@@ -22,5 +22,8 @@ class PipelineConfig:
     error_dir: str | None = None      # SNK-9: move rejected files here
     monthly_report_csv: bool = True   # EXT-1: per-month CSV incentive report
 
+    compact_ledger: bool = False      # SNK-6/7: snapshot the ledger's state after a run
+    check_dimensions: str = "off"     # "report" or "fail": shapes and keys of the dimensions
+
     def path(self, name: str) -> str:
         return f"{self.output.rstrip('/')}/{name}"

@@ -5,8 +5,8 @@ Instead of INSERT-then-UPDATE on a status table, every state change is an
 appended event ``(file identity, status, event_ts, seq)``.  A file is
 identified by ``(file_path, length, modification_time)``, so a file
 re-delivered under the same name with other content is new work.  The
-current state of a file is its latest event, ``max_by(status,
-struct(event_ts, seq))`` — ``seq`` orders events that share a timestamp.
+current state of a file is its latest event, the greatest ``(event_ts,
+seq, run_id, status)`` — ``seq`` orders events that share a timestamp.
 """
 
 from __future__ import annotations
@@ -77,16 +77,27 @@ def read(spark: SparkSession, ledger_path: str) -> DataFrame:
     return read_or_empty(spark, ledger_path, LEDGER)
 
 
+def as_states(events: DataFrame) -> DataFrame:
+    """Each event as the state of a file that has this event alone."""
+    return events.select(*IDENTITY, F.struct("event_ts", "seq", "run_id", "status", "file_name").alias("last"),
+                         F.col("event_ts").alias("created_ts"), F.lit(1).cast("long").alias("n_events"))
+
+
+def merged(states: DataFrame) -> DataFrame:
+    """States of parts of a file's events brought together: one row per file identity.
+    Merging in any order, or in steps, gives the same rows."""
+    return states.groupBy(*IDENTITY).agg(
+        F.max("last").alias("last"), F.min("created_ts").alias("created_ts"), F.sum("n_events").alias("n_events"))
+
+
+def shown(states: DataFrame) -> DataFrame:
+    return states.select(*IDENTITY, "last.file_name", "last.status", "last.run_id", "created_ts",
+                         F.col("last.event_ts").alias("updated_ts"), "n_events")
+
+
 def state(ledger: DataFrame) -> DataFrame:
     """Latest status per file identity, with first and last event time."""
-    order = F.struct("event_ts", "seq")
-    return ledger.groupBy(*IDENTITY).agg(
-        F.max_by("file_name", order).alias("file_name"),
-        F.max_by("status", order).alias("status"),
-        F.max_by("run_id", order).alias("run_id"),
-        F.min("event_ts").alias("created_ts"),
-        F.max("event_ts").alias("updated_ts"),
-        F.count(F.lit(1)).alias("n_events"))
+    return shown(merged(as_states(ledger)))
 
 
 def _identity(files: DataFrame) -> DataFrame:

@@ -8,18 +8,21 @@ SQL in ``martforge.plans.oracle``.
 
 from __future__ import annotations
 
+import calendar
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.config import PipelineConfig
-from martforge.operators import conform, enrich, ledger, marts
-from martforge.plans.pipeline import run_pipeline
-from martforge.sinks import writers
+from martforge.operators import compaction, conform, contracts, enrich, ledger, marts
+from martforge.plans.pipeline import REPORT_ORDER, run_pipeline
+from martforge.schemas import MANDATORY
+from martforge.sinks import moves, writers
 from martforge.session import shared_dir
 from martforge.sources import drops, files as fsrc, tpch
-from martforge.streaming import incremental
+from martforge.streaming import arrivals, incremental, monthly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -168,6 +171,68 @@ def q_incremental_ingest(spark, sf_dir):
     return _doubles(out, "price", "total_cost")
 
 
+def _streamed_marts(spark, sf_dir):
+    """The whole fact as drops of many shapes, streamed in about three micro-batches with
+    monthly partial sums, merged every two batches; returns the output folder."""
+    root = shared_dir(spark, "monthly")
+    drops.many_shapes(tpch.sales_fact(spark, sf_dir), f"{root}/landing")
+    n_files = fsrc.manifest(spark, f"{root}/landing").count()
+    dims = tpch.dimensions(spark, sf_dir)
+    incremental.run_available(
+        spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint", max_files_per_trigger=max(1, -(-n_files // 3)),
+        dims=monthly.Dimensions(dims["customer"], dims["store"], dims["sales_team"], store_bounded=True,
+                                merge_every=2))
+    return f"{root}/out"
+
+
+def q_incremental_customer_monthly(spark, sf_dir):
+    """STR-1 + AGG-1: monthly spend per customer, summed over micro-batches."""
+    return _doubles(monthly.customer_monthly(spark, _streamed_marts(spark, sf_dir)), "total_sales")
+
+
+def q_incremental_sales_team_incentive(spark, sf_dir):
+    """STR-1 + AGG-2 + WIN-4: incentives on the monthly totals of all micro-batches."""
+    return _doubles(monthly.sales_team_incentive(spark, _streamed_marts(spark, sf_dir)), "total_sales", "incentive")
+
+
+def q_redelivered(spark, sf_dir):
+    """STR-2 + T16: the clean drop is ingested; files of the rest of the fact then replace
+    files of its names (part by part); the next call ingests the new deliveries, a third
+    one finds nothing.  All rows of both deliveries."""
+    root = shared_dir(spark, "again")
+    fact = tpch.sales_fact(spark, sf_dir)
+    early = F.col("sales_date") < F.lit(drops.CLEAN_BEFORE).cast("date")
+    drops.write_drop(fact.where(early), f"{root}/landing", MANDATORY)
+    ingest = lambda: arrivals.run_available(spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint")
+    ingest()
+    drops.write_drop(fact.where(~early), f"{root}/next", MANDATORY)
+    part = F.regexp_extract("path", r"/(part-\d+)-[^/]*$", 1)
+    old = fsrc.manifest(spark, f"{root}/landing").select(F.col("path").alias("target"), part.alias("part"))
+    new = fsrc.manifest(spark, f"{root}/next").select("path", "file_name", part.alias("part"))
+    own = F.concat(F.lit(moves.qualify(spark, f"{root}/landing") + "/"), "file_name")
+    pairs = new.join(old, "part", "left").select("path", F.coalesce("target", own).alias("target"))
+    left = moves.move_pairs(pairs.checkpoint(eager=True)).where(~F.col("moved")).count()
+    if left:
+        raise RuntimeError(f"{left} files could not be delivered")
+    ingest()
+    ingest()
+    out = incremental.read_output(spark, f"{root}/out").drop("source_file", "batch_id")
+    return _doubles(out, "price", "total_cost")
+
+
+def q_dimension_violations(spark, sf_dir):
+    """DDL-1 + AGG-1's condition on dimensions as a careless export gives them: customers
+    of two segments stand twice (those of one with another pincode), salespeople of nation 0
+    have no key, the store lacks a column and has another of a wrong type."""
+    dims = tpch.dimensions(spark, sf_dir)
+    c = dims["customer"]
+    moved = c.where("address = 'BUILDING'").withColumn("pincode", F.lit(None).cast("string"))
+    customer = c.unionByName(moved).unionByName(c.where("address = 'MACHINERY'"))
+    sales_team = dims["sales_team"].withColumn("id", F.when(F.col("manager_id") != 0, F.col("id")))
+    store = dims["store"].drop("reviews").withColumn("store_pincode", F.col("store_pincode").cast("int"))
+    return contracts.dimension_violations({"customer": customer, "store": store, "sales_team": sales_team})
+
+
 def q_unmatched_facts(spark, sf_dir):
     """JN-4 report: facts an inner star join drops.  The dimensions are
     stale snapshots: customers of the BUILDING segment and the stores
@@ -204,6 +269,34 @@ def q_ledger_pending(spark, sf_dir):
     return pend.select("path", "file_name", "length", _ts_text("modification_time"))
 
 
+def q_ledger_compacted(spark, sf_dir):
+    """SNK-6/7, T13, T16: three runs over the landing folder of orders, each at its own
+    instant: new files are rejected or opened, and closed; those of status P are closed only
+    by the run after the one that opened them; files delivered later are never seen.  After
+    the first two runs the ledger is compacted, and what both snapshots cover is set aside;
+    the state is read from the last snapshot and the events of the third run."""
+    path = shared_dir(spark, "ledger")
+    delivered = tpch.deliveries(spark, sf_dir)
+    for run_id, end in tpch.LEDGER_RUNS:
+        clock = calendar.timegm(time.strptime(end, "%Y-%m-%d"))
+        current = compaction.current_state(spark, path)
+        again = current.where("status = 'A'").select(F.col("file_path").alias("path"), "length", "modification_time",
+                                                     F.lit(True).alias("again"))
+        todo = (ledger.pending(tpch.listing_at(delivered, end), current)
+                .join(again, fsrc.IDENTITY, "left").checkpoint(eager=True))
+        rejects = F.col("o_orderpriority") == tpch.LEDGER_REJECTS
+        opened = todo.where(~rejects)
+        ledger.append(path, ledger.rejected_events(todo.where(rejects), run_id, clock))
+        ledger.append(path, ledger.open_events(opened, run_id, clock))
+        ledger.append(path, ledger.close_events(opened.where("o_orderstatus <> 'P' or again"), run_id, clock + 3600))
+        if run_id < tpch.LEDGER_RUNS[-1][0]:
+            compaction.compact(spark, path)
+            compaction.set_aside(spark, path)
+    return compaction.current_state(spark, path).select(
+        "file_name", "file_path", "length", _ts_text("modification_time"), "status", "run_id",
+        _ts_text("created_ts"), _ts_text("updated_ts"), "n_events")
+
+
 def _partitioned_mart(spark, sf_dir):
     """The sales-team mart written partitioned by (sales_month, store_id)
     and read back."""
@@ -240,6 +333,18 @@ def q_snapshot_roundtrip(spark, sf_dir):
     return _doubles(back, "total_sales", "incentive")
 
 
+def q_incentive_report_csv(spark, sf_dir):
+    """EXT-1: the report written as CSV by month from the staged monthly mart, read back."""
+    base = shared_dir(spark, "report")
+    mart = writers.write(marts.sales_team_incentive(sales_team_monthly(spark, sf_dir)), f"{base}/mart")
+    path = writers.write_csv_report(marts.incentive_report(spark.read.parquet(mart)), f"{base}/csv",
+                                    partition_by=["sales_month"], order=REPORT_ORDER)
+    back = spark.read.option("header", "true").schema(
+        "sales_person_name string, sales_person_store_id long, total_billing double, total_incentive double, "
+        "sales_month string").csv(path)
+    return back
+
+
 PIPELINE_RUN_ID = 1700000000001
 
 
@@ -302,6 +407,12 @@ QUERIES: dict[str, Query] = {
     "csv_quarantined_lines": q_csv_quarantined_lines,
     "csv_many_shapes": q_csv_many_shapes,
     "incremental_ingest": q_incremental_ingest,
+    "incremental_customer_monthly": q_incremental_customer_monthly,
+    "incremental_sales_team_incentive": q_incremental_sales_team_incentive,
+    "redelivered": q_redelivered,
+    "dimension_violations": q_dimension_violations,
+    "incentive_report_csv": q_incentive_report_csv,
+    "ledger_compacted": q_ledger_compacted,
     "pipeline_customer_mart": q_pipeline_customer_mart,
     "pipeline_ledger": q_pipeline_ledger,
     "unmatched_facts": q_unmatched_facts,

@@ -306,3 +306,60 @@ FROM incentives""")
 SQL["customer_monthly_window"] = SQL["customer_monthly"]
 SQL["sales_team_monthly_window"] = SQL["sales_team_monthly"]
 SQL["sales_team_rank_window"] = SQL["sales_team_rank"]
+
+# three runs at their instants; P files stay open until the next run that lists them
+SQL["ledger_compacted"] = """
+WITH deliveries AS (
+  SELECT 'drop_' || CAST(o_orderkey AS VARCHAR) || '.csv' AS file_name,
+         'landing/drop_' || CAST(o_orderkey AS VARCHAR) || '.csv' AS file_path, o_orderkey + 1000 AS length,
+         CAST(o_orderdate AS TIMESTAMP) AS delivered, o_orderstatus, o_orderpriority FROM orders
+  UNION ALL
+  SELECT 'drop_' || CAST(o_orderkey AS VARCHAR) || '.csv',
+         'landing/drop_' || CAST(o_orderkey AS VARCHAR) || '.csv', o_orderkey + 1000,
+         CAST(o_orderdate AS TIMESTAMP) + INTERVAL 2 DAY, o_orderstatus, o_orderpriority
+  FROM orders WHERE o_orderpriority = '5-LOW'
+),
+runs AS (
+  SELECT 1 AS run_id, TIMESTAMP '1997-01-01' AS ends UNION ALL SELECT 2, TIMESTAMP '1999-01-01'
+  UNION ALL SELECT 3, TIMESTAMP '2001-01-01'
+),
+listed AS (
+  SELECT run_id, ends, file_name, file_path, length, o_orderstatus, o_orderpriority,
+         MAX(delivered) AS modification_time
+  FROM deliveries JOIN runs ON delivered < ends GROUP BY ALL
+),
+nth AS (SELECT *, run_id - MIN(run_id) OVER (PARTITION BY file_path, modification_time) AS n FROM listed),
+events AS (
+  SELECT *, 'R' AS status, ends AS event_ts, 0 AS seq FROM nth
+  WHERE o_orderpriority = '4-NOT SPECIFIED' AND n = 0
+  UNION ALL
+  SELECT *, 'A', ends, 0 FROM nth
+  WHERE o_orderpriority <> '4-NOT SPECIFIED' AND (n = 0 OR (n = 1 AND o_orderstatus = 'P'))
+  UNION ALL
+  SELECT *, 'I', ends + INTERVAL 1 HOUR, 1 FROM nth
+  WHERE o_orderpriority <> '4-NOT SPECIFIED'
+    AND n = CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END
+)
+SELECT file_name, file_path, length, strftime(modification_time, '%Y-%m-%d %H:%M:%S') AS modification_time,
+       arg_max(status, (event_ts, seq)) AS status, CAST(MAX(run_id) AS BIGINT) AS run_id,
+       strftime(MIN(event_ts), '%Y-%m-%d %H:%M:%S') AS created_ts,
+       strftime(MAX(event_ts), '%Y-%m-%d %H:%M:%S') AS updated_ts, COUNT(*) AS n_events
+FROM events GROUP BY file_name, file_path, length, events.modification_time"""
+
+# the marts of the stream are those of the batch
+SQL["incremental_customer_monthly"] = SQL["customer_monthly"]
+SQL["incremental_sales_team_incentive"] = SQL["sales_team_incentive"]
+SQL["incentive_report_csv"] = SQL["incentive_report"]
+
+# both deliveries together are the whole fact
+SQL["redelivered"] = SQL["conformed_sales"]
+
+SQL["dimension_violations"] = """
+SELECT 'customer' AS dimension, 'duplicate key' AS problem, CAST(c_custkey AS VARCHAR) AS subject,
+       CAST(2 AS BIGINT) AS n_rows, c_mktsegment = 'BUILDING' AS rows_differ
+FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
+UNION ALL
+SELECT 'sales_team', 'null key', 'NULL', COUNT(*), COUNT(DISTINCT s_name) > 1
+FROM supplier WHERE s_nationkey = 0 HAVING COUNT(*) > 0
+UNION ALL SELECT 'store', 'missing column', 'reviews', NULL, NULL
+UNION ALL SELECT 'store', 'type', 'store_pincode', NULL, NULL"""

@@ -18,14 +18,17 @@ from pyspark.sql import functions as F
 
 from martforge.config import PipelineConfig
 from martforge.functions.columns import run_clock
-from martforge.operators import conform, enrich, ledger, marts
+from martforge.operators import compaction, conform, contracts, enrich, ledger, marts
 from martforge.plans import runlog
-from martforge.schemas import LEDGER_CLOSED, LEDGER_REJECTED
+from martforge.schemas import CUSTOMER_MONTHLY, LEDGER_CLOSED, LEDGER_REJECTED, SALES_TEAM_MONTHLY
 from martforge.sinks import moves, writers
 from martforge.session import shared_dir
 from martforge.sources import files as fsrc
 
 
+REPORT_ORDER = ["sales_person_store_id", "sales_person_name", "total_billing"]
+
+
 class NoInputError(RuntimeError):
     """FLT-8: nothing to process (no file, no CSV, or no valid CSV)."""
 
@@ -55,6 +58,14 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
     run_id, clock_secs = again or (clock_id if run_id is None else run_id, clock_secs)
     log = runlog.RunLog(spark, conf.path("runs"), run_id)
     outputs: dict[str, str] = {}
+    if conf.check_dimensions != "off":
+        outputs["dimension_violations"] = writers.snapshot_path(conf.path("dimension_violations"), run_id)
+        if not log.finished("dimensions"):
+            found = contracts.dimension_violations({"customer": customer, "store": store, "sales_team": sales_team})
+            writers.write(found, outputs["dimension_violations"])
+            if conf.check_dimensions == "fail":
+                contracts.refuse(spark.read.parquet(outputs["dimension_violations"]))
+            log.finish("dimensions")
     snap = lambda name: writers.snapshot_path(conf.path(name), run_id)
 
     # routing is small (one row per file); it and the moves that earlier runs left are
@@ -88,11 +99,11 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
         ledger.append_once(conf.ledger, ledger.open_events(accepted, run_id, clock_secs), run_id)
         log.finish("open")
 
-    def stage(name: str, folder: str, make, partition_by=None, tiebreak=None) -> DataFrame:
+    def stage(name: str, folder: str, make, partition_by=None, order=None) -> DataFrame:
         """The snapshot of a stage: written by ``make`` unless the run has it, read back."""
         outputs[name] = snap(folder)
         if not log.finished(name):
-            writers.write_snapshot(make(), conf.path(folder), run_id, partition_by=partition_by, tiebreak=tiebreak)
+            writers.write_snapshot(make(), conf.path(folder), run_id, partition_by=partition_by, order=order)
             log.finish(name)
         return spark.read.parquet(outputs[name])
 
@@ -117,15 +128,16 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
           ["sales_month", "store_id"], ["sales_person_id"])
     _preview(spark, conf, outputs["customer_mart"], outputs["sales_team_mart"])
 
-    cmonthly = stage("customers_data_mart", "customers_data_mart", lambda: marts.customer_monthly(cmart))
+    cmonthly = stage("customers_data_mart", "customers_data_mart", lambda: marts.customer_monthly(cmart)
+                     .select(*CUSTOMER_MONTHLY))
     incentives = stage("sales_team_data_mart", "sales_team_data_mart_monthly", lambda: marts.sales_team_incentive(
-        marts.sales_team_monthly(smart), conf.incentive_rate))
+        marts.sales_team_monthly(smart), conf.incentive_rate).select(*SALES_TEAM_MONTHLY))
     _preview(spark, conf, outputs["customers_data_mart"], outputs["sales_team_data_mart"])
     if conf.monthly_report_csv:
         outputs["incentive_report_csv"] = snap("reports/incentive")
         if not log.finished("report"):
             writers.write_csv_report(marts.incentive_report(incentives), outputs["incentive_report_csv"],
-                                     partition_by=["sales_month"])
+                                     partition_by=["sales_month"], order=REPORT_ORDER)
             log.finish("report")
     if conf.jdbc_url:
         stamp = F.lit(run_id).cast("long").alias("run_id")
@@ -144,6 +156,9 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
                     "processed", outputs)
     result = RunResult(run_id, n_accepted, rejected.count(), bad.count(), failed, outputs)
     log.finish(runlog.DONE)
+    if conf.compact_ledger:   # what a crash in here leaves undone, the next run does
+        compaction.compact(spark, conf.ledger, runlog.open_runs(spark, conf.path("runs")))
+        compaction.set_aside(spark, conf.ledger)
     return result
 
 
@@ -157,7 +172,7 @@ def _route(spark: SparkSession, conf: PipelineConfig, log: runlog.RunLog, snap,
     csv, _ = fsrc.split_by_extension(listed)
     if csv.isEmpty():
         raise NoInputError(f"no CSV file below {conf.landing}")
-    current = ledger.state(ledger.read(spark, conf.ledger)).checkpoint(eager=True)
+    current = compaction.current_state(spark, conf.ledger).checkpoint(eager=True)
     if conf.on_open_files == "fail" and not ledger.open_files(listed, current).isEmpty():
         raise OpenFilesError("files of an unfinished run are still open")
     done = current.where(F.col("status").isin(LEDGER_REJECTED, LEDGER_CLOSED)).select(

@@ -24,11 +24,19 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, path, RUNS)
 
 
+def _per_run(spark: SparkSession, path: str) -> DataFrame:
+    return read(spark, path).groupBy("run_id").agg(
+        F.max(F.col("stage") == DONE).alias("done"), F.min(F.when(F.col("stage") == STARTED, F.col("clock"))).alias("c"))
+
+
+def open_runs(spark: SparkSession, path: str) -> DataFrame:
+    """Ids of the runs that have a record but are not done."""
+    return _per_run(spark, path).where("not done").select("run_id")
+
+
 def unfinished(spark: SparkSession, path: str) -> tuple[int, int] | None:
     """(run id, epoch seconds of its start) of the latest run that started and is not done."""
-    runs = read(spark, path).groupBy("run_id").agg(
-        F.max(F.col("stage") == DONE).alias("done"), F.min(F.when(F.col("stage") == STARTED, F.col("clock"))).alias("c"))
-    r = runs.where("not done and c is not null").orderBy(F.desc("run_id")).limit(1).first()
+    r = _per_run(spark, path).where("not done and c is not null").orderBy(F.desc("run_id")).limit(1).first()
     return (r["run_id"], r["c"]) if r else None
 
 

@@ -89,6 +89,21 @@ LEDGER = T.StructType([
     T.StructField("event_ts", T.TimestampType()),
     T.StructField("seq", T.IntegerType()),
 ])
+# State of a file identity: its latest event, its first time, its number of events.
+LEDGER_STATE = T.StructType([
+    T.StructField("file_path", T.StringType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("modification_time", T.TimestampType()),
+    T.StructField("last", T.StructType([
+        T.StructField("event_ts", T.TimestampType()),
+        T.StructField("seq", T.IntegerType()),
+        T.StructField("run_id", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("file_name", T.StringType()),
+    ])),
+    T.StructField("created_ts", T.TimestampType()),
+    T.StructField("n_events", T.LongType()),
+])
 LEDGER_OPEN = "A"
 LEDGER_CLOSED = "I"
 LEDGER_REJECTED = "R"   # quarantined: not processed, not looked at again

@@ -50,6 +50,26 @@ def _already_moved(src: str, dst: str, cache: dict) -> bool:
         return False
 
 
+def _checksum(path: str) -> str:
+    """Where Hadoop keeps the checksums of a local file."""
+    folder, _, name = path.rpartition("/")
+    return f"{folder}/.{name}.crc"
+
+
+def _move_checksum(sfs, sp: str, dfs, dp: str) -> None:
+    """The checksums of a moved local file follow it; those of a file that stood at the
+    target go (readers would hold them against the new one)."""
+    from pyarrow import fs as pafs
+
+    for fs, path in ((sfs, sp), (dfs, dp)):
+        if not isinstance(fs, pafs.LocalFileSystem):
+            return
+    if sfs.get_file_info(_checksum(sp)).type == pafs.FileType.File:
+        sfs.move(_checksum(sp), _checksum(dp))
+    elif dfs.get_file_info(_checksum(dp)).type == pafs.FileType.File:
+        dfs.delete_file(_checksum(dp))
+
+
 def _move_partition(batches):
     import pandas as pd
 
@@ -68,10 +88,15 @@ def _move_partition(batches):
                     from pyarrow import fs as pafs
                     pafs.copy_files(sp, dp, source_filesystem=sfs, destination_filesystem=dfs)
                     sfs.delete_file(sp)
+                _move_checksum(sfs, sp, dfs, dp)
                 moved.append(True)
                 errors.append(None)
             except Exception as exc:  # reported per file, the job goes on
                 if _already_moved(src, dst, cache):   # a retried task
+                    sfs, sp = _fs_and_path(src, cache)
+                    dfs, dp = _fs_and_path(dst, cache)
+                    if sfs.get_file_info(_checksum(sp)).is_file:
+                        _move_checksum(sfs, sp, dfs, dp)
                     moved.append(True)
                     errors.append(None)
                     continue
@@ -90,16 +115,21 @@ def move_files(files: DataFrame, source_dir: str, dest_dir: str) -> DataFrame:
     to the same relative place below ``dest_dir``; returns one status row
     per file (lazy: run it with an action, e.g. by writing the statuses)."""
     spark = files.sparkSession
-    ship(spark)
     src, dst = qualify(spark, source_dir), qualify(spark, dest_dir)
-    n = shuffle_partitions(spark)
     targets = files.select("path", rewrite_prefix("path", src + "/", dst + "/").alias("target"))
-    targets = targets.where(F.col("target") != F.col("path"))   # outside source_dir: left alone
+    # outside source_dir: left alone
+    return move_pairs(targets.where(F.col("target") != F.col("path")), arrow_scheme(src) and arrow_scheme(dst))
+
+
+def move_pairs(pairs: DataFrame, only_arrow: bool = False) -> DataFrame:
+    """``move_files`` with a target of its own for each path (both encoded URIs); a file
+    that stands at the target is replaced."""
+    spark = pairs.sparkSession
+    ship(spark)
+    n = shuffle_partitions(spark)
     arrow = F.regexp_extract("path", r"^([A-Za-z][A-Za-z0-9+.-]*):", 1).isin(*ARROW_SCHEMES)
-    moved = targets.where(arrow).repartition(n, "path").mapInPandas(_move_partition, MOVE_SCHEMA)
-    if arrow_scheme(src) and arrow_scheme(dst):
-        return moved
-    return moved.unionByName(_renamed(spark, targets.where(~arrow)))
+    moved = pairs.where(arrow).repartition(n, "path").mapInPandas(_move_partition, MOVE_SCHEMA)
+    return moved if only_arrow else moved.unionByName(_renamed(spark, pairs.where(~arrow)))
 
 
 def _renamed(spark: SparkSession, targets: DataFrame) -> DataFrame:

@@ -25,25 +25,38 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite
     return path
 
 
+def _folder_text(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Text partition columns without NULL.  NULL and empty text share one folder anyway;
+    a column that Spark knows to hold no NULL keeps the order of its rows in the writer,
+    which otherwise rewrites it and sorts once more."""
+    text = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in partition_by if c in text})
+
+
 def cluster_for_partitions(df: DataFrame, partition_by: list[str],
-                           tiebreak: list[str] | None = None,
-                           partitions: int | None = None) -> DataFrame:
-    """Lay rows out so each output directory is written by few tasks.
-
-    A hash repartition on the partition columns would send a hot
-    (month, store) to a single task; a range repartition samples the keys
-    and splits a hot directory over several tasks instead, each writing
-    one contiguous slice (few files per directory, balanced tasks).
+                           order: list[str] | None = None) -> DataFrame:
+    """Lay rows out so each output directory is written by few tasks, each of even size.
+
+    One shuffle by the partition columns, read as adaptive execution sees fit: small
+    directories share a task, and one beyond the advisory size is cut along the map
+    outputs it came from (so a hot salesperson's month is cut too).  The sizes are those
+    of the shuffle files: the input is run once, no sample of it is taken.  Within a task
+    rows are sorted by ``partition_by`` and ``order``, the one sort that the writer needs.
     """
     spark = df.sparkSession
-    n = partitions or shuffle_partitions(spark)
-    return df.repartitionByRange(n, *partition_by, *(tiebreak or []))
+    named = ", ".join(f"`{c}`" for c in partition_by)
+    if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() != "true":
+        raise ValueError("a partitioned write needs spark.sql.adaptive.enabled: without it a hot directory "
+                         "would be written by one task")
+    spread = spark.sql(f"SELECT /*+ REBALANCE({named}) */ * FROM {{rows}}", rows=_folder_text(df, partition_by))
+    return spread.sortWithinPartitions(*partition_by, *(order or []))
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
-                      tiebreak: list[str] | None = None, mode: str = "overwrite") -> str:
-    """SNK-2: Parquet partitioned by ``partition_by`` (e.g. sales_month, store_id)."""
-    clustered = cluster_for_partitions(df, partition_by, tiebreak)
+                      order: list[str] | None = None, mode: str = "overwrite") -> str:
+    """SNK-2: Parquet partitioned by ``partition_by`` (e.g. sales_month, store_id), the
+    rows of a file in ``order`` (readers skip row groups by it)."""
+    clustered = cluster_for_partitions(df, partition_by, order)
     return write(clustered, path, "parquet", mode, partition_by=partition_by)
 
 
@@ -53,11 +66,11 @@ def snapshot_path(base: str, run_id: int) -> str:
 
 def write_snapshot(df: DataFrame, base: str, run_id: int,
                    partition_by: list[str] | None = None,
-                   tiebreak: list[str] | None = None) -> str:
+                   order: list[str] | None = None) -> str:
     """SNK-4/5: publish ``df`` as run ``run_id`` below ``base``."""
     path = snapshot_path(base, run_id)
     if partition_by:
-        return write_partitioned(df, path, partition_by, tiebreak)
+        return write_partitioned(df, path, partition_by, order)
     return write(df, path)
 
 
@@ -69,10 +82,25 @@ def read_snapshot(spark, base: str, run_id: int | None = None) -> DataFrame:
 
 
 def write_csv_report(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                     mode: str = "overwrite") -> str:
-    """EXT-1: a headed CSV report, one folder per ``partition_by`` value."""
-    out = cluster_for_partitions(df, partition_by) if partition_by else df
-    return write(out, path, "csv", mode, partition_by=partition_by, header="true")
+                     order: list[str] | None = None, mode: str = "overwrite",
+                     rows_per_file: int = 1_000_000) -> str:
+    """EXT-1: a headed CSV report, one folder per ``partition_by`` value.
+
+    With ``order`` the rows are cut into ranges of (``partition_by``, ``order``), so a hot
+    folder is written by several tasks; its files, by name, hold one order from the first
+    row of the first to the last row of the last, each at most ``rows_per_file`` rows.
+    ``df`` is run once more for the bounds of the ranges: pass a table that stands
+    (``run_pipeline`` passes the snapshot of the monthly mart).
+    """
+    keys = [*(partition_by or []), *(order or [])]
+    out = df
+    if order:
+        n = shuffle_partitions(df.sparkSession)
+        out = _folder_text(df, partition_by or []).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    elif partition_by:
+        out = cluster_for_partitions(df, partition_by)
+    return write(out, path, "csv", mode, partition_by=partition_by, header="true",
+                 maxRecordsPerFile=str(rows_per_file))
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",

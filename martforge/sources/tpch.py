@@ -216,3 +216,29 @@ def landing_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("o_orderkey") + 1000).alias("length"),
                     F.when(F.col("o_orderpriority") == "5-LOW", first + F.expr("INTERVAL 2 DAYS"))
                     .otherwise(first).alias("modification_time"))
+
+
+# The runs of the ledger's life (id, instant; files delivered before it are
+# listed), and the priority whose files are rejected.
+LEDGER_RUNS = [(1, "1997-01-01"), (2, "1999-01-01"), (3, "2001-01-01")]
+LEDGER_REJECTS = "4-NOT SPECIFIED"
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every delivery of a drop file: one per order, and for low priority orders a second
+    one under the same name two days later."""
+    o = table(spark, sf_dir, "orders")
+    name = F.concat(F.lit("drop_"), F.col("o_orderkey").cast("string"), F.lit(".csv"))
+    first = F.col("o_orderdate").cast("timestamp")
+    times = F.when(F.col("o_orderpriority") == "5-LOW", F.array(first, first + F.expr("INTERVAL 2 DAYS"))) \
+        .otherwise(F.array(first))
+    return o.select(F.concat(F.lit("landing/"), name).alias("path"), name.alias("file_name"),
+                    (F.col("o_orderkey") + 1000).alias("length"), F.explode(times).alias("modification_time"),
+                    "o_orderstatus", "o_orderpriority")
+
+
+def listing_at(delivered: DataFrame, end: str) -> DataFrame:
+    """The landing folder at an instant: the latest delivery of each name before it."""
+    keys = [c for c in delivered.columns if c != "modification_time"]
+    return (delivered.where(F.col("modification_time") < F.lit(end).cast("timestamp"))
+            .groupBy(*keys).agg(F.max("modification_time").alias("modification_time")))

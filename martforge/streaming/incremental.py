@@ -24,6 +24,7 @@ from martforge.functions.columns import basename
 from martforge.operators import conform
 from martforge.session import shared_dir
 from martforge.sinks import writers
+from martforge.streaming import monthly
 
 
 # the fixed schema of Spark's binaryFile source
@@ -47,10 +48,12 @@ def file_stream(spark: SparkSession, landing: str, glob: str | None = None,
         F.col("modificationTime").alias("modification_time"))
 
 
-def ingest_batch(output: str, header_method: str = "auto", landing: str | None = None):
+def ingest_batch(output: str, header_method: str = "auto", landing: str | None = None,
+                 dims: monthly.Dimensions | None = None):
     """foreachBatch body: one micro-batch of new files → routing, and every
     conformed row with its bad-row flag (bad ones keep their text) below
-    ``batch_id=<id>``: the batch's CSV is parsed once."""
+    ``batch_id=<id>``: the batch's CSV is parsed once.  With ``dims`` the batch's
+    sales are also added to the monthly marts."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         shared_dir(spark)  # checkpoint() needs the shared folder
@@ -60,16 +63,20 @@ def ingest_batch(output: str, header_method: str = "auto", landing: str | None =
         writers.write(conform.quarantined_lines(spark, routing, landing), f"{output}/quarantine/{part}")
         rows = conform.ingest(spark, routing, landing).conformed
         writers.write(rows.withColumn("_raw", F.when(F.col("_bad"), F.col("_raw"))), f"{output}/rows/{part}")
+        if dims is not None:
+            good = spark.read.parquet(f"{output}/rows/{part}").where(~F.col("_bad")).drop("_bad", "_raw")
+            monthly.add_batch(spark, output, good, batch_id, dims)
     return run
 
 
 def run_available(spark: SparkSession, landing: str, output: str, checkpoint: str,
                   max_files_per_trigger: int | None = None,
-                  archive_dir: str | None = None, header_method: str = "auto") -> None:
+                  archive_dir: str | None = None, header_method: str = "auto",
+                  dims: monthly.Dimensions | None = None) -> None:
     """Process every file not yet seen, then stop (``availableNow``)."""
     q = (file_stream(spark, landing, max_files_per_trigger=max_files_per_trigger,
                      archive_dir=archive_dir)
-         .writeStream.foreachBatch(ingest_batch(output, header_method, landing))
+         .writeStream.foreachBatch(ingest_batch(output, header_method, landing, dims))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
