@@ -140,11 +140,10 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig, customer: DataFrame,
                                      partition_by=["sales_month"], order=REPORT_ORDER)
             log.finish("report")
     if conf.jdbc_url:
-        stamp = F.lit(run_id).cast("long").alias("run_id")
         for name, table, df in (("jdbc customer", conf.customer_monthly_table, cmonthly),
                                 ("jdbc sales team", conf.sales_team_monthly_table, incentives)):
             if not log.finished(name):
-                writers.write_jdbc(df.select("*", stamp), conf.jdbc_url, table, properties=conf.jdbc_properties)
+                writers.write_jdbc_run(df, conf.jdbc_url, table, run_id, properties=conf.jdbc_properties)
                 log.finish(name)
 
     if not log.finished("close"):

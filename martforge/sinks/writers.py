@@ -118,6 +118,43 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     w.write.jdbc(url, table, mode=mode, properties=props)
 
 
+def write_jdbc_run(df: DataFrame, url: str, table: str, run_id: int, properties: dict | None = None,
+                   batch_size: int = 10000, num_partitions: int | None = None) -> None:
+    """SNK-3 / T14: the rows of run ``run_id`` in ``table``, exactly once.
+
+    Tasks write to a staging table of the run (made anew, so what a failed attempt left
+    there goes); one transaction of the database then replaces the run's rows of ``table``
+    by it.  A failure before its commit leaves ``table`` as it was; a second call leaves it
+    as after the first.  ``df`` gets a column ``run_id``; no row passes the driver.
+    """
+    spark = df.sparkSession
+    stamped = df.withColumn("run_id", F.lit(run_id).cast("long"))
+    staging = f"{table}_run_{run_id}"
+    write_jdbc(stamped, url, staging, "overwrite", properties, batch_size, num_partitions)
+    write_jdbc(stamped.limit(0), url, table, "append", properties)     # made when it is missing
+    jvm = spark.sparkContext._jvm
+    dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
+    columns = ", ".join(dialect.quoteIdentifier(c) for c in stamped.columns)
+    own = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        own.setProperty(k, v)
+    connection = jvm.java.sql.DriverManager.getConnection(url, own)
+    try:
+        connection.setAutoCommit(False)
+        sql = connection.createStatement()
+        try:
+            sql.executeUpdate(f"DELETE FROM {table} WHERE {dialect.quoteIdentifier('run_id')} = {run_id}")
+            sql.executeUpdate(f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staging}")
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
+        sql.executeUpdate(f"DROP TABLE {staging}")
+        connection.commit()
+    finally:
+        connection.close()
+
+
 def write_quarantine(routing: DataFrame, lines: DataFrame, base: str, run_id: int) -> dict[str, str]:
     """SNK-9: rejected files (with reason and missing columns) and their raw
     lines, as datasets below ``base`` keyed by run."""
