@@ -8,6 +8,8 @@ re-run with the same id overwrites only its own folder (idempotent).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from martforge.session import shuffle_partitions
@@ -52,12 +54,30 @@ def cluster_for_partitions(df: DataFrame, partition_by: list[str],
     return spread.sortWithinPartitions(*partition_by, *(order or []))
 
 
+@contextmanager
+def _small_tasks(spark):
+    """Adaptive execution joins small shuffle partitions only below this size meanwhile: a
+    folder costs its file however few rows it has, so a small write with many folders is
+    spread over all cores too."""
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "32k")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
                       order: list[str] | None = None, mode: str = "overwrite") -> str:
     """SNK-2: Parquet partitioned by ``partition_by`` (e.g. sales_month, store_id), the
     rows of a file in ``order`` (readers skip row groups by it)."""
     clustered = cluster_for_partitions(df, partition_by, order)
-    return write(clustered, path, "parquet", mode, partition_by=partition_by)
+    with _small_tasks(df.sparkSession):
+        return write(clustered, path, "parquet", mode, partition_by=partition_by)
 
 
 def snapshot_path(base: str, run_id: int) -> str:
