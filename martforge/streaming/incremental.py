@@ -11,8 +11,8 @@ were seen; ``archive_dir`` moves consumed files out of the landing
 folder (``cleanSource=archive``).
 
 File identity in streaming mode is the path: a file rewritten under the
-same name is not picked up again (deliver new names; the batch pipeline's
-ledger handles re-deliveries).
+same name is not picked up again (``streaming.arrivals`` ingests it, as the
+batch pipeline's ledger does).
 """
 
 from __future__ import annotations
