@@ -4,15 +4,18 @@ Method
 ------
 * Rule statistics of every whole text, exactly (``STATS``), and scale-free
   features made of them (``FEATURES``).
-* *Forest*: each of ``TREES`` trees is grown on its own ``SUBSAMPLE`` documents
+* *Forests*: one for each group of features (``GROUPS``), so that a rare value of one kind
+  (a repeated line) does not hide another (symbols on every word).  Each of the ``TREES`` trees of a forest is
+  grown on its own ``SUBSAMPLE`` documents
   (picked by a hash of the document, so the sample is bounded and the same at
   every run) by random splits down to the usual depth limit; the anomaly score of
   a document is ``2 ** (-E[path length] / c(SUBSAMPLE))``.
-* *Threshold*: scores of all labelled rows are counted in ``BINS`` bins per label;
-  the threshold is the one that rejects most bad documents among those that
-  reject no more than ``FALSE_SHARE`` of the good ones.  Without labels of both kinds no
-  document is rejected by the forest.
-* A document stays if it passes the base rules and the forest.
+* *Thresholds*: scores of all labelled rows that pass the base rules are counted in ``BINS``
+  bins per group and label.  A group's threshold gains most where a bad document rejected gains
+  one and a good one rejected costs ``GOOD_COST``, among those that reject no more than ``FALSE_SHARE`` of the
+  good ones.  A group that so catches less than ``LEAST_CAUGHT`` of the bad ones rejects nothing; without
+  labels of both kinds none does.
+* A document stays if it passes the base rules and every forest.
 
 Defined results: a null text is an empty one (no words: the base rules fail);
 several labels of a document count as the best one; rows that repeat a document are
@@ -33,7 +36,9 @@ from martforge.llm.scratch import save
 TREES = 100
 SUBSAMPLE = 256
 BINS = 2000
-FALSE_SHARE = 0.005
+FALSE_SHARE = 0.005        # of the good labelled documents, for each group
+GOOD_COST = 5              # bad documents that a good one lost outweighs
+LEAST_CAUGHT = 0.02        # of the bad labelled documents, for a group to count
 MIN_WORDS = 50
 MAX_REPEAT = 50            # percent of words in repeated windows
 WINDOW = 3
@@ -41,6 +46,8 @@ SYMBOLS = b"#*$%&|<>"
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FEATURES = ["word_len", "symbols", "dup_lines", "repeats", "upper", "digits", "marks", "line_words"]
+GROUPS = {"words": ["word_len", "symbols"], "repeats": ["dup_lines", "repeats"],
+          "shape": ["upper", "digits", "marks", "line_words"]}
 
 _SYM = np.zeros(256, dtype=np.int64)
 _SYM[list(SYMBOLS)] = 1
@@ -188,67 +195,84 @@ def anomaly(forest: list[dict[str, np.ndarray]], x: np.ndarray, subsample: int)
     return 2.0 ** (-(mean / len(forest)) / float(average_path(subsample)))
 
 
-def fit_forest(spark: SparkSession, stats: DataFrame, trees: int = TREES, subsample: int = SUBSAMPLE):
-    """(forest, subsample): grown on about trees * subsample documents, whatever the
+def fit_forests(spark: SparkSession, stats: DataFrame, groups: dict[str, list[str]] = GROUPS, trees: int = TREES,
+                subsample: int = SUBSAMPLE):
+    """({group: forest}, subsample): grown on about trees * subsample documents, whatever the
     ids: rows that repeat a document count once."""
     stats = stats.dropDuplicates(["_id", "_th"])
     n = stats.count()
     if n == 0:
-        return [], subsample
+        return {g: [] for g in groups}, subsample
     share = min(1.0, 1.1 * trees * subsample / n)
     u = F.pmod(F.xxhash64("_id", "_th", F.lit(5)), F.lit(1 << 40)) / float(1 << 40)
     rows = (stats.withColumn("_u", u).where(F.col("_u") < share).select("_u", *FEATURES)
             .orderBy("_u", *FEATURES).collect())                 # bounded by the parameters
-    x = np.array([[r[c] for c in FEATURES] for r in rows])
-    if not len(x):
-        return [], subsample
-    rng = np.random.default_rng(17)
-    size = min(subsample, len(x))
-    order = np.arange(len(x))
-    forest = []
-    for t in range(trees):
-        pick = (order[t * size:(t + 1) * size] if (t + 1) * size <= len(x)
-                else rng.choice(len(x), size, replace=False))
-        forest.append(grow(x[pick], rng, int(np.ceil(np.log2(max(2, size))))))
-    return forest, size
-
-
-def _score_rows(forest, size: int, names: list[str]):
+    if not rows:
+        return {g: [] for g in groups}, subsample
+    size = min(subsample, len(rows))
+    forests = {}
+    for g, names in groups.items():
+        x = np.array([[r[c] for c in names] for r in rows])
+        rng = np.random.default_rng(17)
+        order = np.arange(len(x))
+        forests[g] = []
+        for t in range(trees):
+            pick = (order[t * size:(t + 1) * size] if (t + 1) * size <= len(x)
+                    else rng.choice(len(x), size, replace=False))
+            forests[g].append(grow(x[pick], rng, int(np.ceil(np.log2(max(2, size))))))
+    return forests, size
+
+
+def fit_forest(spark: SparkSession, stats: DataFrame, trees: int = TREES, subsample: int = SUBSAMPLE):
+    """(forest, subsample): one forest of all features."""
+    forests, size = fit_forests(spark, stats, {"all": FEATURES}, trees, subsample)
+    return forests["all"], size
+
+
+def _score_rows(forests, size: int, names: list[str], groups: dict[str, list[str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in FEATURES], axis=1)
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in names] + [pa.array(anomaly(forest, x, size))],
-                                             names=names + ["anomaly"])
+            scores = [anomaly(forests[g], np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in f], axis=1), size)
+                      for g, f in groups.items()]
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in names] + [pa.array(x) for x in scores],
+                                             names=names + [f"anomaly_{g}" for g in groups])
     return run
 
 
-def threshold(scored: DataFrame, labels: DataFrame, false_share: float = FALSE_SHARE, bins: int = BINS) -> float:
-    """The least score that is rejected (above 1: nothing is)."""
+def thresholds(scored: DataFrame, labels: DataFrame, groups=GROUPS, false_share: float = FALSE_SHARE,
+               good_cost: float = GOOD_COST, least: float = LEAST_CAUGHT, bins: int = BINS) -> dict[str, float]:
+    """The least score that each group rejects (above 1: nothing is)."""
     best = labels.groupBy(F.col("doc_id").alias("_l")).agg(F.max("quality").alias("_q")).where("_q is not null")
+    each = F.array(*[F.struct(F.lit(g).alias("g"), F.floor(F.col(f"anomaly_{g}") * bins).alias("bin")) for g in groups])
     hist = (scored.where("not base_failed").join(best, F.col("_id") == F.col("_l"))
-            .groupBy(F.floor(F.col("anomaly") * bins).alias("bin"), (F.col("_q") > 0).alias("good"))
-            .agg(F.count(F.lit(1)).alias("n")).collect())        # two counts per bin
-    good, bad = np.zeros(bins + 1), np.zeros(bins + 1)
+            .select(F.explode(each).alias("e"), (F.col("_q") > 0).alias("good")).groupBy("e.g", "e.bin", "good")
+            .agg(F.count(F.lit(1)).alias("n")).collect())        # two counts per bin and group
+    count = {g: np.zeros((2, bins + 1)) for g in groups}
     for r in hist:
-        (good if r["good"] else bad)[int(r["bin"])] += r["n"]
-    if not good.sum() or not bad.sum():
-        return 2.0
-    lost = np.cumsum(good[::-1])[::-1] / good.sum()              # good rows at or above a bin
-    ok = np.flatnonzero(lost <= false_share)
-    return float(ok[0]) / bins if len(ok) else 2.0
+        count[r["g"]][int(r["good"]), int(r["bin"])] += r["n"]
+    out = {}
+    for g, (bad, good) in count.items():
+        caught, lost = (np.cumsum(x[::-1])[::-1] for x in (bad, good))      # rows at or above a bin
+        gain = np.where(lost <= false_share * good.sum(), caught - good_cost * lost, -1.0)
+        at = bins - int(np.argmax(gain[::-1]))                   # of equal gains the highest
+        found = good.sum() and bad.sum() and gain[at] > 0 and caught[at] >= least * bad.sum()
+        out[g] = at / bins if found else 2.0
+    return out
 
 
 def judged(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """doc_id, STATS, base_failed, anomaly, kept of every row."""
+    """doc_id, STATS, base_failed, the score by each group, kept of every row."""
     keyed = docs.withColumn("_th_", F.xxhash64(text_col))
     stats = rule_statistics(keyed, {"_id": id_col, "_th": "_th_"}, text_col)
     stats = save(spark, stats.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                                          | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))), "stats")
-    forest, size = fit_forest(spark, stats)
-    names = ["_id", *STATS, "base_failed"]
-    schema = ", ".join(f"`{n}` {t}" for n, t in stats.select(*names).dtypes) + ", anomaly double"
-    scored = save(spark, stats.select(*names, *FEATURES).mapInArrow(_score_rows(forest, size, names), schema), "scored")
-    cut = threshold(scored, labels)
-    return scored.select(F.col("_id").alias("doc_id"), *STATS, "base_failed", "anomaly",
-                         (~F.col("base_failed") & (F.col("anomaly") < F.lit(cut))).alias("kept"))
+    forests, size = fit_forests(spark, stats)
+    names, scores = ["_id", *STATS, "base_failed"], [f"anomaly_{g}" for g in GROUPS]
+    schema = ", ".join([f"`{n}` {t}" for n, t in stats.select(*names).dtypes] + [f"{c} double" for c in scores])
+    scored = save(spark, stats.select(*names, *FEATURES)
+                  .mapInArrow(_score_rows(forests, size, names, GROUPS), schema), "scored")
+    kept = ~F.col("base_failed")
+    for g, cut in thresholds(scored, labels).items():
+        kept = kept & (F.floor(F.col(f"anomaly_{g}") * BINS) < F.lit(round(cut * BINS)))
+    return scored.select(F.col("_id").alias("doc_id"), *STATS, "base_failed", *scores, kept.alias("kept"))

@@ -160,6 +160,50 @@ def test_quality_of_documents(s, odd, none):
     assert quality.judged(s, docs, labels.limit(0)).where("not kept and not base_failed").count() == 0
 
 
+def test_path_lengths_equal_a_plain_walk():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 2)).round(1)
+    tree = quality.grow(x[:64], rng, 6)
+
+    def walk(row, node=0):
+        f = tree["feat"][node]
+        return tree["length"][node] if f < 0 else walk(row, tree["left"][node] + (row[f] >= tree["cut"][node]))
+
+    assert quality.path_length(tree, x, 6).tolist() == [walk(r) for r in x]
+
+
+def plain_kept(rows, best):
+    """kept of each row, from its scores and the labels: every cut is tried."""
+    labelled = [r for r in rows if not r.base_failed and r.doc_id in best]
+    good, bad = ([r for r in labelled if (best[r.doc_id] > 0) == x] for x in (True, False))
+    cuts = {}
+    for c in [f"anomaly_{g}" for g in quality.GROUPS]:
+        of = lambda group: sorted((int(r[c] * 2000) for r in group), reverse=True)  # noqa: B023,E731
+        tried = []
+        for cut in range(2001):
+            caught, lost = (sum(x >= cut for x in of(group)) for group in (bad, good))
+            if lost <= 0.005 * len(good) and caught >= 0.02 * len(bad) and caught > 5 * lost:
+                tried.append((caught - 5 * lost, cut))
+        cuts[c] = max(tried)[1] if tried else 4000
+    return [not r.base_failed and all(int(r[c] * 2000) < cut for c, cut in cuts.items()) for r in rows]
+
+
+def test_verdict_and_what_the_forest_adds(s):
+    """The verdict from the labels of even documents equals a plain version; on the
+    labels of odd documents, which set no threshold, the forests catch bad ones and spare good ones."""
+    docs = s.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = s.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = quality.judged(s, docs, labels.where("doc_id % 2 = 0")).collect()
+    best = {}
+    for r in labels.where("quality is not null").collect():
+        best[r.doc_id] = max(r.quality, best.get(r.doc_id, 0))
+    assert [r.kept for r in rows] == plain_kept(rows, {d: q for d, q in best.items() if d % 2 == 0})
+    odd = [r for r in rows if not r.base_failed and r.doc_id % 2 and r.doc_id in best]
+    good, bad = ([r.kept for r in odd if (best[r.doc_id] > 0) == x] for x in (True, False))
+    print("bad caught", bad.count(False), "of", len(bad), "good lost", good.count(False), "of", len(good))
+    assert 2 * bad.count(False) >= len(bad) > 5 and good.count(False) <= 0.02 * len(good)
+
+
 # -- archives -----------------------------------------------------------------
 
 PAGES = "page_id long, url string, html string, body string"
