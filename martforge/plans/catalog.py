@@ -35,9 +35,9 @@ def _doubles(df: DataFrame, *money_cols: str) -> DataFrame:
 def enriched(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     dims = tpch.dimensions(spark, sf_dir)
     # stores are the nations: a fixed, 25-row table, always broadcast
-    return enrich.enrich_sales(tpch.sales_fact(spark, sf_dir), dims["customer"],
-                               dims["store"], dims["sales_team"], store_bounded=True,
-                               keep=keep)
+    fact = tpch.sales_fact(spark, sf_dir, products="product_name" in (keep or []))
+    return enrich.enrich_sales(fact, dims["customer"], dims["store"], dims["sales_team"],
+                               store_bounded=True, keep=keep)
 
 
 def q_conformed_sales(spark, sf_dir):

@@ -73,28 +73,34 @@ def price_cents_expr(total_cost: str = "total_cost", quantity: str = "quantity")
     return f"(2 * {cents} + {quantity}) DIV (2 * {quantity})"
 
 
-def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_fact(spark: SparkSession, sf_dir: str, products: bool = True) -> DataFrame:
     """The conformed sales fact (schema ``schemas.SALES``).
 
-    lineitem ⋈ orders ⋈ part ⋈ supplier.  orders, supplier and part all
+    lineitem ⋈ orders ⋈ supplier, with the name of the part (null if it is unknown: no
+    sale is lost for it).  Without ``products`` the name is null and ``part`` is neither
+    read nor joined; where it is too large to be broadcast, that is one shuffle of the
+    fact less.  orders, supplier and part all
     grow with the scale factor, so none is broadcast unconditionally:
     ``join_dimension`` broadcasts only below a checked size and otherwise
     leaves a shuffle join that AQE may still convert at run time.
     """
     li = ensure_parallelism(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"))
+        "l_orderkey", *(["l_partkey"] if products else []), "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"))
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"))
     supplier = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("long").alias("store_id"))
-    part = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("product_name"))
 
     # supplier last: when these are shuffle joins, the fact leaves this
     # step hash-partitioned by l_suppkey (= sales_person_id), which the
     # sales-team join of the enrichment then reuses without a new shuffle
     f = join_dimension(li, orders, "l_orderkey")
-    f = join_dimension(f, part, "l_partkey")
+    if products:
+        part = table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("product_name"))
+        f = join_dimension(f, part, "l_partkey", how="left")
+    else:
+        f = f.withColumn("product_name", F.lit(None).cast("string"))
     f = join_dimension(f, supplier, "l_suppkey")
     f = f.select(
         F.col("customer_id"),

@@ -13,7 +13,7 @@ def _plan(df):
 def test_scans_are_pruned_and_nation_is_broadcast(spark):
     p = _plan(catalog.q_sales_team_incentive(spark, SF_SMALL))
     assert "ReadSchema: struct<n_nationkey:int>" in p
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_extendedprice:double,l_shipdate" in p
+    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_extendedprice:double,l_shipdate" in p
     assert "BroadcastHashJoin" in p
 
 
@@ -49,3 +49,17 @@ def test_spread_only_small_under_split_inputs(spark):
     assert "RoundRobinPartitioning(8)" in _plan(spread)
     assert ensure_parallelism(li, min_partitions=8, max_bytes=1024) is li     # too big: unchanged
     assert ensure_parallelism(li, min_partitions=1) is li                     # enough splits
+
+
+def test_marts_read_no_part(spark):
+    """The name of the product is in none of the marts: part is joined for it alone."""
+    from martforge.sources import tpch
+
+    for fn in (catalog.q_customer_monthly, catalog.q_sales_team_monthly, catalog.q_enriched_sales):
+        assert "p_partkey" not in fn(spark, SF_SMALL)._jdf.queryExecution().toString()
+    with_names = catalog.enriched(spark, SF_SMALL, keep=["product_name"])
+    assert with_names.where("product_name is null").count() == 0
+    assert with_names.count() == catalog.enriched(spark, SF_SMALL).count()
+    whole, bare = (tpch.sales_fact(spark, SF_SMALL, products=x) for x in (True, False))
+    assert whole.schema == bare.schema
+    assert whole.drop("product_name").exceptAll(bare.drop("product_name")).count() == 0
