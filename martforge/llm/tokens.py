@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +37,8 @@ MODEL = "word_bpe_49k.json"
 CHUNK = 2_048         # code points of a chunk
 OVERLAP = 128         # code points shared by neighbouring chunks, at first
 AGREE = 3             # units whose tokens must agree on each side of a splice
-UNIT_BYTES = 32 << 20     # units remembered by a worker
-RUN_BYTES = 16 << 20      # runs remembered by a worker
+UNIT_BYTES = 160 << 20    # units remembered by a worker: most of a partition's, whatever the corpus
+RUN_BYTES = 64 << 20      # runs remembered by a worker
 
 _UNIT = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 # Units of these letters only are made of runs that the pre-tokenizer splits
@@ -96,7 +97,8 @@ class _Units(dict):
         if ids is None:
             text = unit.decode()
             if len(text) <= 64 and _PLAIN.fullmatch(text):
-                ids = b"".join([self._run(r) for r in _RUNS.findall(text.lower())])
+                known = self.runs.young
+                ids = b"".join([known.get(r) or self._run(r) for r in _RUNS.findall(text.lower())])
             else:
                 ids = self._library(text)
         if len(unit) <= 64:
@@ -115,7 +117,7 @@ class _Units(dict):
             if ids is None:
                 # one run is one pre-token: straight to the library's BPE
                 found = self.tok.model.tokenize(run.translate(self.bytes_of))
-                ids = np.array([t.id for t in found], dtype="<u4").tobytes()
+                ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
             self.runs.keep(run, ids, len(run) + len(ids))
         return ids
 
