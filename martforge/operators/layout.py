@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from martforge.operators.joins import estimated_bytes
+from martforge.operators.joins import _parse_bytes, estimated_bytes
+from martforge.session import put_back, shuffle_partitions
 
 # Inputs up to this size may be re-spread with a round-robin shuffle.
 SPREAD_MAX_BYTES = 1 << 30
@@ -42,3 +43,29 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
     if n is None or n >= min_partitions:
         return df
     return df.repartition(min_partitions)
+
+
+# Shuffled bytes that adaptive execution gives a task at most (its rows take
+# some 17 times as much when they are sorted), and input bytes for each shuffle partition.
+TASK_BYTES = 16 << 20
+INPUT_BYTES = 2 << 20
+
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffles(df: DataFrame) -> int:
+    """Let the number of shuffle partitions follow the size of ``df``, the largest input of
+    the queries to come, so that a task's memory does not: shuffles start with a partition
+    for each ``INPUT_BYTES``, never fewer than the session's, and adaptive execution joins
+    them up to ``TASK_BYTES`` (or what the session asks for, if that is less).  The next
+    ``tune`` puts the session's own settings back."""
+    spark = df.sparkSession
+    put_back(spark)
+    before = {k: spark.conf.get(k, None) for k in (_INITIAL, _ADVISORY)}
+    n = max(int(before[_INITIAL] or shuffle_partitions(spark)), -(-(estimated_bytes(df) or 0) // INPUT_BYTES))
+    spark.conf.set(_INITIAL, str(n))
+    if _parse_bytes(before[_ADVISORY] or "64m") > TASK_BYTES:
+        spark.conf.set(_ADVISORY, str(TASK_BYTES))
+    spark._martforge_sized = before
+    return n

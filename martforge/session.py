@@ -29,7 +29,18 @@ RUNTIME_CONF = {
 }
 
 
+def put_back(spark: SparkSession) -> None:
+    """The settings that ``layout.size_shuffles`` replaced for an earlier query."""
+    for k, v in getattr(spark, "_martforge_sized", {}).items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+    spark._martforge_sized = {}
+
+
 def tune(spark: SparkSession) -> SparkSession:
+    put_back(spark)
     for k, v in RUNTIME_CONF.items():
         spark.conf.set(k, v)
     ship(spark)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions.columns import money
 from martforge.operators.joins import join_dimension
-from martforge.operators.layout import ensure_parallelism
+from martforge.operators.layout import ensure_parallelism, size_shuffles
 
 
 # Parquet schemas already inferred in this process, keyed by the file's
@@ -94,6 +94,7 @@ def sales_fact(spark: SparkSession, sf_dir: str, products: bool = True) -> DataF
     # supplier last: when these are shuffle joins, the fact leaves this
     # step hash-partitioned by l_suppkey (= sales_person_id), which the
     # sales-team join of the enrichment then reuses without a new shuffle
+    size_shuffles(li)
     f = join_dimension(li, orders, "l_orderkey")
     if products:
         part = table(spark, sf_dir, "part").select(
