@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.functions.columns import fold_extras
-from martforge.operators.joins import join_dimension
 from martforge.schemas import ADDITIONAL, MANDATORY, SALES
 from martforge.sources import files as fsrc
 
@@ -129,7 +128,7 @@ def ingest(spark: SparkSession, routing: DataFrame, landing: str | list[str] | N
         allrows = empty_sales(spark).select("*", F.lit(None).cast("string").alias("source_file"),
                                             F.lit(False).alias("_bad"), F.lit(None).cast("string").alias("_raw"))
     else:
-        allrows = conform(join_dimension(fsrc.data_lines(spark, info, landing), info, fsrc.IDENTITY), width)
+        allrows = conform(fsrc.lines_of(spark, info, landing), width)
     return split_conformed(allrows, routing)
 
 
@@ -146,7 +145,7 @@ def quarantined_lines(spark: SparkSession, routing: DataFrame,
     to the header."""
     info = routing.where((F.col("reason") != ACCEPTED) & (F.col("reason") != NOT_CSV) & (F.col("length") > 0))
     info = info.select(*fsrc.IDENTITY, "reason", "missing_columns")
-    return join_dimension(fsrc.data_lines(spark, info, landing), info, fsrc.IDENTITY).select(
+    return fsrc.lines_of(spark, info, landing).select(
         "path", "reason", "missing_columns", "raw")
 
 

@@ -67,9 +67,15 @@ def enrich_sales(fact: DataFrame, customer: DataFrame, store: DataFrame,
     # the bounded store table as a broadcast, customer last.  The monthly
     # sales-team aggregate then gets its own exchange with map-side partial
     # sums, and the customer aggregate reuses the customer partitioning.
-    e = join_dimension(f, sales_team_side(sales_team), "sales_person_id")
-    e = join_dimension(e, store_side(store), "store_id", bounded=store_bounded)
-    e = join_dimension(e, customer_side(customer), "customer_id")
+    # A sales_team that is broadcast comes behind the customer, as the store
+    # does: what they add to a row is then not shuffled with it.
+    sides = [(sales_team_side(sales_team), "sales_person_id", False), (store_side(store), "store_id", store_bounded),
+             (customer_side(customer), "customer_id", False)]
+    if small_enough(sides[0][0]):
+        sides = sides[::-1]
+    e = f
+    for side, key, bounded in sides:
+        e = join_dimension(e, side, key, bounded=bounded)
     return e.select(*ENRICHED, *(keep or []))
 
 

@@ -50,19 +50,21 @@ BROADCAST_HEADROOM = 4
 
 
 def small_enough(df: DataFrame, max_bytes: int | None = None,
-                 headroom: int = BROADCAST_HEADROOM) -> bool:
-    """True when the estimated size (times ``headroom``) is within the limit
+                 headroom: int = BROADCAST_HEADROOM, size: int | None = None) -> bool:
+    """True when the estimated size (or ``size``; times ``headroom``) is within the limit
     (the session's broadcast threshold unless ``max_bytes`` is given)."""
     limit = broadcast_limit(df) if max_bytes is None else max_bytes
     if limit < 0:
         return False
-    size = estimated_bytes(df)
+    size = estimated_bytes(df) if size is None else size
     return size is not None and size * headroom <= limit
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   bounded: bool = False, max_broadcast_bytes: int | None = None) -> DataFrame:
-    """``fact`` ⋈ ``dim``; broadcast ``dim`` only behind a size check."""
-    if bounded or small_enough(dim, max_broadcast_bytes):
+                   bounded: bool = False, max_broadcast_bytes: int | None = None,
+                   size: int | None = None) -> DataFrame:
+    """``fact`` ⋈ ``dim``; broadcast ``dim`` only behind a size check (of ``size``
+    bytes, where the caller measured them)."""
+    if bounded or small_enough(dim, max_broadcast_bytes, size=size):
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.functions.columns import basename
+from martforge.operators.joins import join_dimension
 from martforge.session import ship, shuffle_partitions
 
 IDENTITY = ["path", "length", "modification_time"]      # a file as it was listed
@@ -204,13 +205,15 @@ def data_lines(spark: SparkSession, files: DataFrame, landing: str | list[str] |
     Each line is one cell of a CSV file without quotes whose separator never occurs: the
     reader takes out the header (the first line that is not blank) and blank lines,
     nothing else.  Files outside the time window of ``files`` are left out of the scan by
-    their metadata; joining by ``IDENTITY`` picks the files wanted, as they were listed.
+    their metadata; joining by ``IDENTITY`` (``lines_of``) picks the files wanted, as they
+    were listed.
     """
     folder = common_folder(files) if landing is None else None
     roots = [readable(folder)] if folder else [landing] if isinstance(landing, str) else list(landing or [])
-    if not roots:
+    window = files.agg(F.min("modification_time").alias("a"), F.max("modification_time").alias("b"),
+                       F.count(F.lit(1)).alias("n")).first()
+    if not roots or not window["n"]:     # no file wanted: nothing is read
         return spark.createDataFrame([], "path string, length long, modification_time timestamp, raw string")
-    window = files.agg(F.min("modification_time").alias("a"), F.max("modification_time").alias("b")).first()
     lines = (spark.read.schema("raw string, _torn string").option("header", "true").option("sep", "\x01")
              .option("quote", "").option("columnNameOfCorruptRecord", "_torn")
              .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(roots))
@@ -219,3 +222,14 @@ def data_lines(spark: SparkSession, files: DataFrame, landing: str | list[str] |
         lines = lines.where((meta >= F.lit(window["a"])) & (meta <= F.lit(window["b"])))
     return lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"),
                         meta.alias("modification_time"), F.coalesce("_torn", "raw").alias("raw"))
+
+
+def lines_of(spark: SparkSession, files: DataFrame, landing: str | list[str] | None = None) -> DataFrame:
+    """``data_lines`` joined to ``files`` (one row per file, with columns of its own).
+
+    The optimizer knows no size of a checkpointed table, so the rows of ``files`` are
+    measured as text: below the broadcast limit they go to the lines, which are then not
+    shuffled; beyond it the join is a shuffle join.
+    """
+    size = files.agg(F.sum(F.length(F.to_json(F.struct("*")))).alias("b")).first()["b"]
+    return join_dimension(data_lines(spark, files, landing), files, IDENTITY, size=size or 0)
