@@ -16,6 +16,7 @@ def _partitions(df):
 
 
 def test_shuffle_partitions_follow_the_input(spark, monkeypatch):
+    tune(spark)                 # what earlier tests sized is put back
     own = int(spark.conf.get("spark.sql.shuffle.partitions"))
     before = spark.conf.get(INITIAL, None), spark.conf.get(ADVISORY, None)
     assert _partitions(catalog.q_customer_monthly_window(spark, SF_SMALL)) == {own}      # small: the session's
