@@ -4,8 +4,9 @@ Each round joins every node to the least node of its neighbourhood: first
 its greater neighbours (large star), then its smaller ones (small star).
 The edges stay as many as before or fewer, a hub only ever sends and gets one
 minimum, and the rounds needed grow with the logarithm of the longest chain.
-Rounds are written to the shared folder; only a count and a checksum reach
-the driver.
+The steps of a round are written to the shared folder, so that the size of a
+table of minima decides whether it is broadcast; only the answer whether a node
+is left that is no star's reaches the driver.
 """
 
 from __future__ import annotations
@@ -15,35 +16,62 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from martforge.llm.scratch import drop, save
 
 
-def _large(e: DataFrame) -> DataFrame:
+def _least(spark: SparkSession, e: DataFrame) -> DataFrame:
+    """(u, m, loose): each node with the least of itself and its neighbours, and whether it
+    is more than the centre or a leaf of a star around its least node."""
     both = e.select("u", "v").union(e.select(F.col("v"), F.col("u")).toDF("u", "v"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return (both.where("v > u").join(least, "u").where("v <> m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+    less, more = F.count_if(F.col("v") < F.col("u")), F.count_if(F.col("v") > F.col("u"))
+    return save(spark, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
+                                             ((less > 1) | ((less > 0) & (more > 0))).alias("loose")), "least")
 
 
-def _small(e: DataFrame) -> DataFrame:
-    down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = (down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+def _large(spark: SparkSession, e: DataFrame, least: DataFrame) -> DataFrame:
+    down = e.select(F.greatest("u", "v").alias("g"), F.least("u", "v").alias("u"))
+    return save(spark, down.join(least, "u").select(F.col("g").alias("u"), F.col("m").alias("v")), "large")
+
+
+def _small(spark: SparkSession, e: DataFrame) -> DataFrame:
+    least = save(spark, e.groupBy("u").agg(F.min("v").alias("m")), "small")
+    moved = e.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    out = save(spark, moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+    drop(spark, least)
+    return out
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, label) of every node that has an edge; label is the least node
     of its component.  ``edges`` has two columns of one type that sorts."""
     cur = save(spark, edges.toDF("u", "v").where("u <> v").distinct(), "edges")
-    seen = None
     while True:
-        nxt = save(spark, _small(_large(cur)), "edges")
-        drop(spark, cur)
-        cur = nxt
-        # the fixed point is a star around every least node
-        now = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen:
+        least = _least(spark, cur)
+        if least.where("loose").isEmpty():
             break
-        seen = now
-    stars = cur.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    out = stars.union(stars.select(F.col("label").alias("node"), "label")).distinct()
-    out._scratch = cur._scratch
+        large = _large(spark, cur, least)
+        nxt = _small(spark, large)
+        drop(spark, cur, least, large)
+        cur = nxt
+    drop(spark, cur)
+    out = least.select(F.col("u").alias("node"), F.col("m").alias("label"))
+    out._scratch = least._scratch
+    return out
+
+
+def grown(spark: SparkSession, comp: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components of ``comp`` (made by ``components``) with more ``edges`` (a written table):
+    only what the edges join is contracted.  ``comp`` is dropped unless nothing is joined."""
+    a, b = edges.columns
+    label = comp.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
+    e = edges
+    for c in (a, b):
+        e = e.join(label, F.col(c) == F.col("_n"), "left").withColumn(c, F.coalesce("_l", c)).drop("_n", "_l")
+    joined = components(spark, e)
+    if joined.isEmpty():
+        drop(spark, joined)
+        return comp
+    new = joined.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
+    old = (comp.join(new, F.col("label") == F.col("_n"), "left")
+           .select("node", F.coalesce("_l", "label").alias("label")))
+    alone = joined.join(comp.select("node"), "node", "left_anti")
+    out = save(spark, old.union(alone.select("node", "label")), "components")
+    drop(spark, comp, joined)
     return out

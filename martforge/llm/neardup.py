@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martforge.llm import words as W
-from martforge.llm.components import components
+from martforge.llm.components import components, grown
 from martforge.llm.scratch import dense_order, drop, save
 
 SHINGLE = 5
@@ -393,13 +393,13 @@ def _closed(spark: SparkSession, rest: DataFrame, sets: DataFrame, comp: DataFra
     firsts = _hubs(spark, lists)
     hubs = firsts.where("node <> q").select("node", "q").distinct()
     links = _links(spark, hubs.select(F.least("q", "node").alias("a"), F.greatest("q", "node").alias("b")).distinct(), sets)
-    grown = components(spark, comp.select("node", "label").union(links))
-    drop(spark, comp, links)
-    across = _across_classes(spark, _open_groups(hubs, grown, rest), firsts, sets)
+    comp = grown(spark, comp, links)
+    drop(spark, links)
+    across = _across_classes(spark, _open_groups(hubs, comp, rest), firsts, sets)
     links = _links(spark, across, sets)
-    out = components(spark, grown.select("node", "label").union(links))
-    drop(spark, firsts, across, links, grown)
-    return out
+    comp = grown(spark, comp, links)
+    drop(spark, firsts, across, links)
+    return comp
 
 
 def _unresolved(buckets: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -448,19 +448,21 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         # members outside the greatest class of their bucket meet another pivot of it
         labelled, split = _unresolved(buckets, comp)
         mixed = save(spark, labelled.join(split, "band"), "mixed")
+        if mixed.isEmpty():
+            drop(spark, mixed)
+            break
         pick = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node"))
         pivot = mixed.where("label = big").groupBy("band").agg(pick.alias("p")).select("band", "p.node")
         pairs = (mixed.where("label <> big").join(pivot.withColumnRenamed("node", "p"), "band")
                  .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct())
         links = _links(spark, pairs, sets)
-        grown = components(spark, comp.select("node", "label").union(links))
-        drop(spark, comp, links, mixed)
-        comp = grown
+        comp = grown(spark, comp, links)
+        drop(spark, links, mixed)
     labelled, split = _unresolved(buckets, comp)
     rest = save(spark, labelled.join(split, "band").groupBy("node")
                 .agg(F.max(F.col("label") != F.col("big")).alias("minor")), "rest")
     drop(spark, buckets)
-    final = _closed(spark, rest, sets, comp)
+    final = comp if rest.isEmpty() else _closed(spark, rest, sets, comp)
     drop(spark, sets, rest)
     least = (texts.join(final.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
              .select("dig", "rep", F.coalesce("label", "node").alias("label")))

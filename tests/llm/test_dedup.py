@@ -5,9 +5,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from martforge.llm import neardup, spans
+from martforge.llm import components as stars, neardup, spans
 from martforge.llm import words as W
-from martforge.llm.components import components
+from martforge.llm.components import components, grown
+from martforge.llm.scratch import save
 
 
 def shingles(text):
@@ -201,6 +202,27 @@ def test_components_of_chains(s):
     assert all(got[i] == 0 for i in range(201)) and got[500] == got[400] == got[300] == 300
 
 
+def test_settled_stars_take_no_round(s, monkeypatch):
+    written = []
+    monkeypatch.setattr(stars, "save", lambda spark, df, name: written.append(name) or save(spark, df, name))
+    edges = [(1, i) for i in range(2, 30)] + [(100 + i, 50) for i in range(20)]
+    got = {r.node: r.label for r in components(s, s.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 1 for i in range(1, 30)}, 50: 50, **{100 + i: 50 for i in range(20)}}
+    assert written == ["edges", "least"]
+
+
+def test_components_grown_by_links(s):
+    rng = np.random.default_rng(5)
+    first, more = ([(int(a), int(b)) for a, b in rng.integers(0, 200, (n, 2))] for n in (70, 40))
+    more += [(900, 901), (3, 3)]        # nodes without an edge so far
+    table = lambda rows: s.createDataFrame(rows, "a long, b long")
+    want = {r.node: r.label for r in components(s, table(first + more)).collect()}
+    comp = components(s, table(first))
+    assert {r.node: r.label for r in grown(s, comp, table(more)).collect()} == want
+    comp = components(s, table(first))
+    assert grown(s, comp, table(first[::-1])) is comp and comp.count() > 0
+
+
 def brute_removed(rows, k):
     """rows: (doc_id, text) in order; the words of each that stay."""
     seen, out = {}, []
