@@ -75,6 +75,12 @@ def dense_order(spark: SparkSession, keys: DataFrame, cols: list[str], out: str)
     return done
 
 
+PLAN_TEXT = "spark.sql.maxPlanStringLength"
+
+
 def settings(spark: SparkSession) -> None:
-    """Batches for Python workers are small: texts may be long."""
+    """Batches for Python workers are small: texts may be long.  The driver keeps the text of
+    a thousand plans: each is cut, unless the session has a limit of its own."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "250")
+    if spark.conf.get(PLAN_TEXT, None) is None:
+        spark.conf.set(PLAN_TEXT, "8192")

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 from martforge.llm import langid
+from martforge.llm.scratch import PLAN_TEXT, settings
 from martforge.llm.tokens import MODEL, model_path
 
 from .test_dedup import brute_classes, brute_removed, fast_similarity
@@ -209,3 +210,14 @@ def test_packed(stages):
         else:
             room.append(4096 - n)
     assert len(sequences) <= len(room) * 1.02 + 1
+
+
+def test_plan_texts_are_cut_unless_the_session_says_so(s):
+    before = s.conf.get(PLAN_TEXT, None)
+    try:
+        for own in (None, "123456"):
+            s.conf.unset(PLAN_TEXT) if own is None else s.conf.set(PLAN_TEXT, own)
+            settings(s)
+            assert s.conf.get(PLAN_TEXT) == (own or "8192")
+    finally:
+        s.conf.unset(PLAN_TEXT) if before is None else s.conf.set(PLAN_TEXT, before)
