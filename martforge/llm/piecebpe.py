@@ -21,11 +21,13 @@ Code points that no piece holds stand alone and become their UTF-8 byte pieces.
 
 Where no piece of the file has a space mark behind another character
 (``parted``), no join crosses such a place, so the table of a text falls apart
-into those of its units (space marks with what follows).  What the tables of short
-units gave is remembered in a memory bounded in bytes, emptied with each partition;
-a file without this property has tables over whole texts.  Compatibility of a pair
-is found by running the joins of both pieces in turn and looking for an earlier one
-across their border; it is a fact of the file, remembered in a bounded memory too.
+into those of its units (space marks with what follows).  Where no piece has a letter
+beside another sign than the mark either (``unit_pattern``), units end between those too,
+so that a word is one unit with and without a comma.  What the tables of short units gave
+is remembered in a memory bounded in bytes, emptied with each partition; a file that is not
+``parted`` has tables over whole texts.  Compatibility of a pair is found by running the
+joins of both pieces in turn and looking for an earlier one across their border; it is a
+fact of the file, remembered in a bounded memory too.
 
 Normalising (``normalize``) and decoding (``decode``) are the library's; ids are
 decoded in slices, so that a huge text needs no huge list.
@@ -39,7 +41,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+import struct
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +54,19 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 UNIT_BYTES = 96 << 20      # results of units remembered by a worker
 PAIR_BYTES = 48 << 20      # pairs remembered by a worker
+SHORT = 64                 # code points of a unit that is remembered
 DECODE_SLICE = 1 << 16     # ids decoded at once
 
 
+def unit_pattern(pieces: Iterable[str]) -> re.Pattern:
+    """What cuts a text into units, between which no join of these pieces crosses, if none
+    has a space mark behind another character."""
+    odd = "".join(sorted({c for p in pieces for c in p if re.match(r"[^\W\d_]", c) and not c.isalpha()}))
+    runs = re.compile(rf"{SPACE}*[^\W\d_{odd}]+|{SPACE}*(?:[^\w{SPACE}]|[\d_{odd}])+|{SPACE}+")
+    # each piece then stands in one of the runs
+    return runs if all(runs.fullmatch(p) for p in pieces) else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+
+
 class PieceTable:
     """Ids of one model file; one per worker and file."""
 
@@ -73,6 +86,7 @@ class PieceTable:
         if sp.piece_to_id("<0x00>") == sp.unk_id() or any(not singles.issuperset(p) for p in self.id_of):
             raise ValueError("the model needs byte pieces and a piece for every character of its pieces")
         self.parted = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.id_of)
+        self.cut = unit_pattern(self.id_of).findall
         self.pairs, self.units = BoundedMemory(pair_bytes), BoundedMemory(unit_bytes)
         self.shift = n.bit_length()
         self.steps = {}
@@ -149,32 +163,29 @@ class PieceTable:
             else:
                 ids += [self.bytes[bytes([x])] for x in reversed(text[at].encode())]
                 at -= 1
-        return np.array(ids[::-1], dtype="<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids[::-1])
+
+    def unit(self, text: str) -> bytes:
+        """``encode_unit`` of a unit that the young memory did not have."""
+        known = self.units
+        found = known.young.get(text)      # it may have come since
+        if found is None:
+            found = known.old.get(text) or self.encode_unit(text)
+            if len(text) <= SHORT:
+                known.keep(text, found, len(text) * 2 + len(found))
+        return found
 
     def ids(self, text: str) -> bytes:
         """Ids of a whole text, without begin and end, as little-endian uint32 bytes."""
         text = self.sp.normalize(text)
         if not self.parted:
             return self.encode_unit(text) if text else b""
-        known, out = self.units, []
-        parts = text.split(SPACE)
-        if parts[0]:
-            out.append(self.encode_unit(parts[0]))
-        marks = 1
-        for word in parts[1:]:             # a run of marks belongs to the unit of the word behind it
-            if not word:
-                marks += 1
-                continue
-            unit = SPACE * marks + word if marks > 1 else word
-            found = known.young.get(unit)
-            if found is None:
-                found = known.old.get(unit) or self.encode_unit(unit if marks > 1 else SPACE + word)
-                if len(unit) <= 64:
-                    known.keep(unit, found, len(unit) * 2 + len(found))
-            out.append(found)
-            marks = 1
-        if marks > 1:                      # marks at the end of the text
-            out.append(self.encode_unit(SPACE * (marks - 1)))
+        units = self.cut(text)
+        out = list(map(self.units.young.get, units))
+        if None in out:
+            for i, found in enumerate(out):
+                if found is None:
+                    out[i] = self.unit(units[i])
         return b"".join(out)
 
     def decode(self, ids: np.ndarray) -> Iterator[str]:

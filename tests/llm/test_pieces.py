@@ -63,6 +63,23 @@ def test_small_memories_change_nothing(table):
     assert small.units.used <= 2000 and small.pairs.used <= 1000
 
 
+def test_a_word_has_one_table_with_and_without_signs(monkeypatch):
+    table, made = piecebpe.PieceTable(MODEL), []
+    plain = table.encode_unit
+    monkeypatch.setattr(table, "encode_unit", lambda text: made.append(text) or plain(text))
+    words = [f"{a}{b}{c}" for a in ("zor", "quib", "lan") for b in ("tep", "mu", "vax") for c in ("ish", "orn")]
+    text = " ".join(w + x for x in ("", ",", ".", "!\n", " (") for w in words)
+    assert np.frombuffer(table.ids(text), "<u4").tolist() == table.sp.encode(text)
+    assert len(made) <= len(words) + 10 and len(set(made)) == len(made)
+
+
+def test_units_end_only_where_no_piece_goes_on():
+    cut = piecebpe.unit_pattern
+    assert cut(["a", "▁a", ",", "▁▁(", "²."]).findall("▁▁ab,c▁(²a") == ["▁▁ab", ",", "c", "▁(²", "a"]
+    assert cut(["a", "a,"]).findall("▁▁ab,c▁(²a▁") == ["▁▁ab,c", "▁(²a", "▁"]
+    assert cut(["a", "1a"]).findall("x1a▁▁") == ["x1a", "▁▁"]
+
+
 def test_decoding_in_slices(table, monkeypatch):
     monkeypatch.setattr(piecebpe, "DECODE_SLICE", 5)
     rng = random.Random(3)
