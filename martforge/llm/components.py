@@ -2,8 +2,9 @@
 
 Each round joins every node to the least node of its neighbourhood: first
 its greater neighbours (large star), then its smaller ones (small star).
-The edges stay as many as before or fewer, a hub only ever sends and gets one
-minimum, and the rounds needed grow with the logarithm of the longest chain.
+The edges stay as many as before (those that have become equal are not sought
+out, which would take a shuffle), a hub only ever sends and gets one minimum,
+and the rounds needed grow with the logarithm of the longest chain.
 The steps of a round are written to the shared folder, so that the size of a
 table of minima decides whether it is broadcast; only the answer whether a node
 is left that is no star's reaches the driver.
@@ -20,9 +21,10 @@ def _least(spark: SparkSession, e: DataFrame) -> DataFrame:
     """(u, m, loose): each node with the least of itself and its neighbours, and whether it
     is more than the centre or a leaf of a star around its least node."""
     both = e.select("u", "v").union(e.select(F.col("v"), F.col("u")).toDF("u", "v"))
-    less, more = F.count_if(F.col("v") < F.col("u")), F.count_if(F.col("v") > F.col("u"))
-    return save(spark, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
-                                             ((less > 1) | ((less > 0) & (more > 0))).alias("loose")), "least")
+    less, more = F.when(F.col("v") < F.col("u"), F.col("v")), F.count_if(F.col("v") > F.col("u"))
+    # an edge may stand several times
+    loose = F.coalesce((F.max(less) != F.min(less)) | (F.min(less).isNotNull() & (more > 0)), F.lit(False))
+    return save(spark, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), loose.alias("loose")), "least")
 
 
 def _large(spark: SparkSession, e: DataFrame, least: DataFrame) -> DataFrame:
@@ -32,8 +34,10 @@ def _large(spark: SparkSession, e: DataFrame, least: DataFrame) -> DataFrame:
 
 def _small(spark: SparkSession, e: DataFrame) -> DataFrame:
     least = save(spark, e.groupBy("u").agg(F.min("v").alias("m")), "small")
-    moved = e.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    out = save(spark, moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+    # the edge to the least neighbour stays, any other one moves to it
+    moved = e.join(least, "u").select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"),
+                                      F.col("m").alias("v"))
+    out = save(spark, moved, "edges")
     drop(spark, least)
     return out
 
@@ -41,7 +45,7 @@ def _small(spark: SparkSession, e: DataFrame) -> DataFrame:
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, label) of every node that has an edge; label is the least node
     of its component.  ``edges`` has two columns of one type that sorts."""
-    cur = save(spark, edges.toDF("u", "v").where("u <> v").distinct(), "edges")
+    cur = save(spark, edges.toDF("u", "v").where("u <> v"), "edges")
     while True:
         least = _least(spark, cur)
         if least.where("loose").isEmpty():

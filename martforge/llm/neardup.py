@@ -424,21 +424,23 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     keyed = keyed.withColumn("dig", text_digest("text"))
     seen = save(spark, keyed.groupBy("dig").agg(F.min("doc_id").alias("rep")), "seen")
     # texts are numbered by their least doc_id: pivots are the earliest texts
-    order = dense_order(spark, seen, ["rep", "dig"], "node").select("dig", "node")
-    texts = save(spark, seen.join(order, "dig"), "texts")
-    drop(spark, seen)
+    order = dense_order(spark, seen, ["rep", "dig"], "node")
+    texts = save(spark, order.select("dig", "rep", "node"), "texts")
+    drop(spark, seen, order)
 
     bands = save(spark, keyed.select("dig", "text")
                  .mapInArrow(_band_rows, "dig binary, text string, bands array<long>"), "bands")
-    flat = (bands.select("dig", F.explode("bands").alias("band")).distinct()
-            .join(texts.select("dig", "node"), "dig").select("node", "band"))
+    # copies that tasks did not see of each other go where their text meets its number
+    flat = save(spark, bands.select("dig", "bands").dropDuplicates(["dig"]).join(texts.select("dig", "node"), "dig")
+                .select("node", F.explode(F.array_distinct("bands")).alias("band")), "flat")
     pivots = (flat.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
               .where("pivot < top").select("band", "pivot"))
     buckets = save(spark, flat.join(pivots, "band"), "buckets")
+    drop(spark, flat)
 
     members = buckets.select("node").distinct().join(texts.select("dig", "node"), "node")
-    sets = save(spark, bands.select("dig", "text").join(members, "dig").select("node", "text")
-                .mapInArrow(_set_rows, "node long, sh binary, wt binary").dropDuplicates(["node"]), "sets")
+    sets = save(spark, bands.select("dig", "text").join(members, "dig").dropDuplicates(["dig", "node"])
+                .select("node", "text").mapInArrow(_set_rows, "node long, sh binary, wt binary"), "sets")
     drop(spark, bands)
     pairs = buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     links = _links(spark, pairs, sets)

@@ -211,6 +211,41 @@ def test_settled_stars_take_no_round(s, monkeypatch):
     assert written == ["edges", "least"]
 
 
+def _plans(monkeypatch, *modules):
+    """Name and optimized plan of each table that is written from now on."""
+    seen = []
+
+    def kept(spark, df, name):
+        seen.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return save(spark, df, name)
+
+    for m in modules:
+        monkeypatch.setattr(m, "save", kept)
+    return seen
+
+
+def test_rounds_aggregate_for_minima_only(s, monkeypatch):
+    seen = _plans(monkeypatch, stars)
+    edges = [(i, i + 1) for i in range(40)] * 3 + [(i + 1, i) for i in range(40)] + [(90, i) for i in range(91, 99)] * 2
+    got = {r.node: r.label for r in components(s, s.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, **{i: 90 for i in range(90, 99)}}
+    rounds = [plan for name, plan in seen if name == "edges"]
+    assert len(rounds) > 1 and not any("Aggregate" in plan for plan in rounds)
+
+
+def test_each_text_is_numbered_and_shingled_once(s, monkeypatch):
+    seen = _plans(monkeypatch, neardup)
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{base} end{i % 3}") for i in range(12)] + [(50, "alone in the world it stands")]
+    df = s.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(s, df).collect()}
+    assert got == {**{i: 0 for i in range(12)}, 50: 50}
+    plans = dict(seen)
+    # numbers come with the order, without a join with the texts by digest; copies go before shingling
+    assert "dig" not in "".join(x for x in plans["texts"].split("\n") if "Join" in x)
+    assert 0 <= plans["sets"].find("MapInArrow") < plans["sets"].find("Aggregate [dig")
+
+
 def test_components_grown_by_links(s):
     rng = np.random.default_rng(5)
     first, more = ([(int(a), int(b)) for a, b in rng.integers(0, 200, (n, 2))] for n in (70, 40))
