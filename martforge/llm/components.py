@@ -4,7 +4,8 @@ Each round joins every node to the least node of its neighbourhood: first
 its greater neighbours (large star), then its smaller ones (small star).
 The edges stay as many as before (those that have become equal are not sought
 out, which would take a shuffle), a hub only ever sends and gets one minimum,
-and the rounds needed grow with the logarithm of the longest chain.
+and the rounds needed grow with the logarithm of the longest chain.  A task first
+joins the edges that it holds to stars, so a small list needs few rounds.
 The steps of a round are written to the shared folder, so that the size of a
 table of minima decides whether it is broadcast; only the answer whether a node
 is left that is no star's reaches the driver.
@@ -12,11 +13,59 @@ is left that is no star's reaches the driver.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martforge.llm.scratch import drop, save
 
 
+HELD = 1 << 18         # edges that a task joins at once
+
+
+def star_edges(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (node, least node) of the components of the edges (u, v)."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    label = np.arange(len(nodes))
+    a, b = at[:len(u)], at[len(u):]
+    while True:
+        a, b = label[a], label[b]
+        apart = a != b
+        if not apart.any():
+            break
+        a, b = a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label = label[label]
+    leaf = label != np.arange(len(nodes))
+    return nodes[leaf], nodes[label[leaf]]
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges of the same components, joined to stars as far as a task holds them together."""
+    kept, rows = [], 0
+
+    def stars():
+        t = pa.Table.from_batches(kept)
+        out = star_edges(*(c.to_numpy() for c in t.columns))
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, t.schema)], names=["u", "v"])
+
+    for b in batches:
+        kept.append(b)
+        rows += b.num_rows
+        if rows >= HELD:
+            yield stars()
+            kept, rows = [], 0
+    if rows:
+        yield stars()
+
+
+def _stars(e: DataFrame) -> DataFrame:
+    return e.mapInArrow(_held, e.schema)
+
+
 def _least(spark: SparkSession, e: DataFrame) -> DataFrame:
     """(u, m, loose): each node with the least of itself and its neighbours, and whether it
     is more than the centre or a leaf of a star around its least node."""
@@ -37,7 +86,7 @@ def _small(spark: SparkSession, e: DataFrame) -> DataFrame:
     # the edge to the least neighbour stays, any other one moves to it
     moved = e.join(least, "u").select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"),
                                       F.col("m").alias("v"))
-    out = save(spark, moved, "edges")
+    out = save(spark, _stars(moved), "edges")
     drop(spark, least)
     return out
 
@@ -45,7 +94,11 @@ def _small(spark: SparkSession, e: DataFrame) -> DataFrame:
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, label) of every node that has an edge; label is the least node
     of its component.  ``edges`` has two columns of one type that sorts."""
-    cur = save(spark, edges.toDF("u", "v").where("u <> v"), "edges")
+    cur = save(spark, _stars(edges.toDF("u", "v").where("u <> v")), "edges")
+    if cur.isEmpty():
+        none = cur.toDF("node", "label")
+        none._scratch = cur._scratch
+        return none
     while True:
         least = _least(spark, cur)
         if least.where("loose").isEmpty():

@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martforge.llm import words as W
@@ -52,6 +53,7 @@ REGISTERS = BANDS * ROWS
 TURNS = 2              # further pivots before the exact join
 NEAR = 0.3             # likeness to a hub from which on texts are joined by their differences
 REMEMBERED = 1 << 17   # texts whose copies a task skips
+MASK = 0x9E3779B97F4A7C15   # deals out the further pivots
 
 
 def shingle_sets(s: W.Slice, k: int = SHINGLE):
@@ -202,13 +204,18 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(spark, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar enough."""
+    """The pairs (a, b) that are similar enough.  Pairs that are dealt out by b stay there for the first join."""
     a = sets.select(F.col("node").alias("a"), F.col("sh").alias("a_sh"), F.col("wt").alias("a_wt"))
     b = sets.select(F.col("node").alias("b"), F.col("sh").alias("b_sh"), F.col("wt").alias("b_wt"))
-    full = (pairs.join(a, "a").join(b, "b").select("a", "b", "a_sh", "a_wt", "b_sh", "b_wt"))
+    full = (pairs.join(b, "b").join(a, "a").select("a", "b", "a_sh", "a_wt", "b_sh", "b_wt"))
     return save(spark, full.mapInArrow(_verify, "a long, b long"), "links")
 
 
+def _by_member(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs of a pivot (a) and a member (b) of its bucket, dealt out by the member, which is in few buckets."""
+    return pairs.repartition("b").distinct()
+
+
 def _packed(x: pa.Array, kind) -> list[np.ndarray]:
     return [np.frombuffer(v.as_buffer(), kind) for v in x]
 
@@ -245,14 +252,15 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = (seen[end] - seen[end - size] + n - size) / n
         at = np.flatnonzero(np.maximum(plain, prob) >= SIMILARITY - 1e-6)
         yield pa.RecordBatch.from_arrays(
-            [b.column("node").take(pa.array(row[at])), flat.field("s").take(pa.array(at)),
+            [b.column("node").take(pa.array(row[at])), pa.array(total[row[at]]), flat.field("s").take(pa.array(at)),
              pa.array(common[row[at]], pa.float64()), pa.array(plain[at], pa.float64()), pa.array(prob[at], pa.float64())],
-            names=["node", "s", "common", "plain", "prob"])
+            names=["node", "total", "s", "common", "plain", "prob"])
 
 
 def _hubs(spark: SparkSession, lists: DataFrame) -> DataFrame:
-    """(node, s, plain, prob, q): the first shingles of each text, the share of its set and
-    of its weights that stands from there on, and their hubs.  Shingles are put in order of their frequency,
+    """(q, node, total, firsts): each text with each of its hubs, the sum of its weights, and the first shingles
+    (s, plain, prob) that lead there with the share of its set and of its weights that stands from there
+    on.  Shingles are put in order of their frequency,
     rarest first; two similar texts share one of the first shingles of both.  The hub of
     a shingle is, of the texts that have it among their first, the one whose shingles are
     the most common, so the one with the fewest edits of a group; two similar texts have a
@@ -264,10 +272,11 @@ def _hubs(spark: SparkSession, lists: DataFrame) -> DataFrame:
     ranked = (flat.join(freq, "s").groupBy("node", "total", "n")
               .agg(F.sort_array(F.collect_list(F.struct("f", "s", "w"))).alias("o")))
     prefix = save(spark, ranked.mapInArrow(
-        _prefixes, "node long, s long, common double, plain double, prob double"), "prefix")
+        _prefixes, "node long, total long, s long, common double, plain double, prob double"), "prefix")
     best = save(spark, prefix.groupBy("s").agg(F.max(F.struct("common", F.negate("node").alias("minus"))).alias("m")),
                 "best")
-    out = save(spark, prefix.join(best, "s").select("node", "s", "plain", "prob", F.negate("m.minus").alias("q")), "hubs")
+    out = save(spark, prefix.join(best, "s").groupBy(F.negate("m.minus").alias("q"), "node")
+               .agg(F.first("total").alias("total"), F.collect_list(F.struct("s", "plain", "prob")).alias("firsts")), "hubs")
     drop(spark, prefix, freq, best)
     return out
 
@@ -279,25 +288,50 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, hub = _packed(b.column("sh"), np.int64), _packed(b.column("hub"), np.int64)
         wt, hub_wt = (_packed(b.column(c), np.uint32) for c in ("wt", "hub_wt"))
         total = [int(x.sum()) for x in wt]
-        like = [jaccards(x.view(np.uint64), v.astype(float), y.view(np.uint64), w.astype(float))
-                for x, v, y, w in zip(own, wt, hub, hub_wt)]
+        sides = [((x.view(np.uint64), v.astype(float)), (y.view(np.uint64), w.astype(float)))
+                 for x, v, y, w in zip(own, wt, hub, hub_wt)]
+        # the earlier text first, as in _verify: sums of floats depend on the order
+        first = pc.less(b.column("node"), b.column("q")).to_pylist()
+        like = [jaccards(*x, *y) if f else jaccards(*y, *x) for (x, y), f in zip(sides, first)]
         more = [np.setdiff1d(x, y, assume_unique=True) for x, y in zip(own, hub)]
         less = [np.setdiff1d(y, x, assume_unique=True) for x, y in zip(own, hub)]
         yield pa.RecordBatch.from_arrays(
-            [b.column(c) for c in ("q", "node", "label", "minor")]
+            [b.column(c) for c in ("q", "node", "minor", "most", "firsts")]
             + [pa.array(list(map(len, v)), pa.int64()) for v in (own, more, less)] + [pa.array(total, pa.int64())]
             + [pa.array([f(x) for x in like], pa.float64()) for f in (max, min)] + [_lists(more), _lists(less)],
-            names=["q", "node", "label", "minor", "n", "more", "less", "total", "near", "far", "plus", "minus"])
+            names=["q", "node", "minor", "most", "firsts", "n", "more", "less", "total", "near", "far", "plus", "minus"])
+
+
+def _named(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """``rows`` with the label of their node."""
+    named = comp.select(F.col("node").alias("m"), F.col("label").alias("l"))
+    return (rows.join(named, F.col("node") == F.col("m"), "left")
+            .withColumn("label", F.coalesce("l", "node")).drop("m", "l"))
+
+
+def _from_hubs(spark: SparkSession, hubs: DataFrame, comp: DataFrame, rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """The texts of hubs that, with the hub, are in several classes, and how they differ from it
+    (``most``: the greatest total of the hub's texts)."""
+    own = _named(hubs.join(rest.select("node", "minor"), "node"), comp)
+    still = (own.groupBy("q").agg(F.min("label").alias("a"), F.max("label").alias("b"),
+                                  F.max(F.when(F.col("node") != F.col("q"), F.col("total"))).alias("most"))
+             .where("a <> b").select("q", "most"))
+    kinds = ("q long, node long, minor boolean, most long, firsts array<struct<s:long,plain:double,prob:double>>, "
+             "n long, more long, less long, total long, near double, far double, plus array<long>, minus array<long>")
+    wide = (own.where("node <> q").select("q", "node", "minor", "firsts").join(still, "q")
+            .join(sets.select("node", "sh", "wt"), "node")
+            .join(sets.select(F.col("node").alias("q"), F.col("sh").alias("hub"), F.col("wt").alias("hub_wt")), "q")
+            .mapInArrow(_differences, kinds))
+    return save(spark, wide.withColumn("again", F.col("total") > F.col("n")), "differences")
 
 
-def _open_groups(hubs: DataFrame, comp: DataFrame, rest: DataFrame) -> DataFrame:
-    """(q, node, label, minor) of the hubs whose texts are still in several classes."""
-    named = comp.withColumnRenamed("node", "m")
-    own = (hubs.join(rest.select("node", "minor"), "node").join(named, F.col("node") == F.col("m"), "left")
-           .select("q", "node", "minor", F.coalesce("label", "node").alias("label")))
+def _open_groups(spark: SparkSession, wide: DataFrame, comp: DataFrame) -> DataFrame:
+    """What is left of ``wide``, with labels: the hubs whose texts are still in several classes, one of them
+    outside the greatest class of a bucket."""
+    own = _named(wide, comp)
     still = (own.groupBy("q").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("minor").alias("c"))
              .where("a <> b and c").select("q"))
-    return own.join(still, "q")
+    return save(spark, own.join(still, "q"), "open")
 
 
 def _common_at_most(k) -> F.Column:
@@ -309,7 +343,7 @@ def _common_at_most(k) -> F.Column:
                + 1 / (1 - F.greatest(lost_y, F.lit(0)) / F.col("y.total")) <= 1 + 1 / SIMILARITY + 1e-6))
 
 
-def _across_classes(spark: SparkSession, open_groups: DataFrame, firsts: DataFrame, sets: DataFrame) -> DataFrame:
+def _across_classes(spark: SparkSession, wide: DataFrame) -> DataFrame:
     """Pairs (a, b) of different classes under one hub that may be similar: an exact
     join on what texts do *not* share with their hub.
 
@@ -333,20 +367,10 @@ def _across_classes(spark: SparkSession, open_groups: DataFrame, firsts: DataFra
     of the near or of the far (texts that are one by plain and the other by probability
     Jaccard, or in between, are taken as both).
     """
-    kinds = ("q long, node long, label long, minor boolean, n long, more long, less long, total long, "
-             "near double, far double, plus array<long>, minus array<long>")
-    wide = (open_groups.join(sets.select("node", "sh", "wt"), "node")
-            .join(sets.select(F.col("node").alias("q"), F.col("sh").alias("hub"), F.col("wt").alias("hub_wt")), "q")
-            .mapInArrow(_differences, kinds))
-    wide = save(spark, wide.withColumn("again", F.col("total") > F.col("n")), "differences")
     slack, most_sum = 1e-6, F.lit(1 + 1 / SIMILARITY + 1e-6)
-    pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
-    apart = (F.col("x.q") == F.col("y.q")) & (F.col("x.label") != F.col("y.label"))
-
     # near the hub: by differences in common
     facts = ["q", "node", "label", "minor", "more", "less", "total"]
-    most = wide.groupBy("q").agg(F.max("total").alias("most"))
-    close = wide.where(F.col("near") >= NEAR - slack).join(most, "q")
+    close = wide.where(F.col("near") >= NEAR - slack)
     flat = close.select(*facts, "most", F.explode(F.concat(
         F.transform("plus", lambda s: F.struct(s.alias("s"), F.lit(True).alias("own"))),
         F.transform("minus", lambda s: F.struct(s.alias("s"), F.lit(False).alias("own"))))).alias("d")
@@ -364,24 +388,32 @@ def _across_classes(spark: SparkSession, open_groups: DataFrame, firsts: DataFra
                                       .cast("int")))
              .select(*facts, "m", F.posexplode("o").alias("at", "d"))
              .select(*facts, (F.col("m") - F.col("at")).alias("left"), "d.s", "d.own"))
-    first = save(spark, first, "first")
-    x, y = first.where("minor").alias("x"), first.alias("y")
-    by_difference = x.join(y, apart & (F.col("x.s") == F.col("y.s")) & (F.col("x.own") == F.col("y.own"))
-                           & _common_at_most(F.least("x.left", "y.left"))).select(*pair)
-    free = wide.where(F.col("more") <= (1 - SIMILARITY + slack) * F.col("total")).select(*facts, "again")
-    meet = apart & _common_at_most(F.lit(0))
-    by_hub = (free.where("minor").alias("x").join(free.where("again").alias("y"), meet).select(*pair)
-              .union(free.where("minor and again").alias("x").join(free.alias("y"), meet).select(*pair)))
-
+    no = F.lit(None).cast("double")
+    by_difference = first.select(*facts, "left", F.when(F.col("own"), 0).otherwise(1).alias("kind"), "s",
+                                 F.col("minor").alias("x"), F.lit(True).alias("y"), no.alias("plain"), no.alias("prob"))
+    # with none in common: texts that repeat a shingle (y) and those that may be similar to them, or the other way round
+    free = wide.where(F.col("more") <= (1 - SIMILARITY + slack) * F.col("total"))
+    meets = F.array(F.struct(F.lit(2).alias("kind"), F.col("minor").alias("x"), F.col("again").alias("y")),
+                    F.struct(F.lit(3).alias("kind"), (F.col("minor") & F.col("again")).alias("x"), F.lit(True).alias("y")))
+    by_hub = (free.select(*facts, F.explode(meets).alias("m")).where("m.x or m.y")
+              .select(*facts, F.lit(0).cast("long").alias("left"), "m.kind", F.lit(0).cast("long").alias("s"),
+                      "m.x", "m.y", no.alias("plain"), no.alias("prob")))
     # far from it: by the shingle that named the hub
-    far = (wide.where(F.col("far") <= NEAR + 1 - SIMILARITY + slack).select("q", "node", "label", "minor")
-           .join(firsts, ["q", "node"]))
-    x, y = far.where("minor").alias("x"), far.alias("y")
-    by_shingle = x.join(y, apart & (F.col("x.s") == F.col("y.s"))
-                        & ((1 / F.col("x.plain") + 1 / F.col("y.plain") <= most_sum)
-                           | (1 / F.col("x.prob") + 1 / F.col("y.prob") <= most_sum))).select(*pair)
-    out = save(spark, by_difference.union(by_hub).union(by_shingle).distinct(), "across")
-    drop(spark, wide, shared, first)
+    far = wide.where(F.col("far") <= NEAR + 1 - SIMILARITY + slack)
+    by_shingle = (far.select(*facts, F.explode("firsts").alias("m"))
+                  .select(*facts, F.lit(0).cast("long").alias("left"), F.lit(4).alias("kind"), "m.s",
+                          F.col("minor").alias("x"), F.lit(True).alias("y"), "m.plain", "m.prob"))
+    # all in one join, each kind by itself
+    meet = save(spark, by_difference.unionByName(by_hub).unionByName(by_shingle), "meet")
+    similar = F.when(F.col("x.kind") == 4, (1 / F.col("x.plain") + 1 / F.col("y.plain") <= most_sum)
+                     | (1 / F.col("x.prob") + 1 / F.col("y.prob") <= most_sum)
+                     ).otherwise(_common_at_most(F.least("x.left", "y.left")))
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("q", "kind", "s")]
+    pairs = (meet.where("x").alias("x").join(meet.where("y").alias("y"),
+                                             same[0] & same[1] & same[2] & (F.col("x.label") != F.col("y.label")) & similar)
+             .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")))
+    out = save(spark, pairs.distinct(), "across")
+    drop(spark, shared, meet)
     return out
 
 
@@ -390,28 +422,29 @@ def _closed(spark: SparkSession, rest: DataFrame, sets: DataFrame, comp: DataFra
     whether it is outside the greatest class of some bucket) that joins two of them."""
     lists = (rest.select("node").join(sets.select("node", "sh", "wt"), "node")
              .mapInArrow(_unpack, "node long, total long, o array<struct<s:long,w:long>>"))
-    firsts = _hubs(spark, lists)
-    hubs = firsts.where("node <> q").select("node", "q").distinct()
-    links = _links(spark, hubs.select(F.least("q", "node").alias("a"), F.greatest("q", "node").alias("b")).distinct(), sets)
-    comp = grown(spark, comp, links)
-    drop(spark, links)
-    across = _across_classes(spark, _open_groups(hubs, comp, rest), firsts, sets)
+    hubs = _hubs(spark, lists)
+    wide = _from_hubs(spark, hubs, comp, rest, sets)
+    comp = grown(spark, comp, wide.where(F.col("near") >= SIMILARITY).select("q", "node"))
+    left = _open_groups(spark, wide, comp)
+    drop(spark, hubs, wide)
+    across = _across_classes(spark, left)
     links = _links(spark, across, sets)
     comp = grown(spark, comp, links)
-    drop(spark, firsts, across, links)
+    drop(spark, left, across, links)
     return comp
 
 
-def _unresolved(buckets: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Every (band, node, label), and the greatest class (big) of the bands whose
-    members are still in several classes.  A bucket of two is settled."""
-    labelled = (buckets.join(comp.withColumnRenamed("node", "m"), F.col("node") == F.col("m"), "left")
-                .select("band", "node", F.coalesce("label", "node").alias("label")))
-    sizes = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    split = (sizes.groupBy("band").agg(F.max(F.struct("n", "label")).alias("big"), F.sum("n").alias("total"),
+def _unresolved(buckets: DataFrame, comp: DataFrame, turn: int = 0) -> DataFrame:
+    """(band, node, label, big, pivot) of the bands whose members are still in several classes, with
+    the greatest class (big) and a member of it, another one each turn.  A bucket of two is settled."""
+    labelled = _named(buckets.select("band", "node"), comp)
+    mask = F.lit(MASK * (turn + 1) % (1 << 62))      # puts the members in another order, and can be undone
+    sizes = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"), F.min(F.col("node").bitwiseXOR(mask)).alias("h"))
+    split = (sizes.groupBy("band").agg(F.max(F.struct("n", "label", "h")).alias("big"), F.sum("n").alias("total"),
                                        F.count(F.lit(1)).alias("parts"))
-             .where("parts > 1 and total > 2").select("band", F.col("big.label").alias("big")))
-    return labelled, split
+             .where("parts > 1 and total > 2")
+             .select("band", F.col("big.label").alias("big"), F.col("big.h").bitwiseXOR(mask).alias("pivot")))
+    return labelled.join(split, "band")
 
 
 def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
@@ -424,7 +457,7 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     keyed = keyed.withColumn("dig", text_digest("text"))
     seen = save(spark, keyed.groupBy("dig").agg(F.min("doc_id").alias("rep")), "seen")
     # texts are numbered by their least doc_id: pivots are the earliest texts
-    order = dense_order(spark, seen, ["rep", "dig"], "node")
+    order = dense_order(spark, seen, ["rep", "dig"], "node", distinct=True)
     texts = save(spark, order.select("dig", "rep", "node"), "texts")
     drop(spark, seen, order)
 
@@ -442,26 +475,21 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     sets = save(spark, bands.select("dig", "text").join(members, "dig").dropDuplicates(["dig", "node"])
                 .select("node", "text").mapInArrow(_set_rows, "node long, sh binary, wt binary"), "sets")
     drop(spark, bands)
-    pairs = buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = _links(spark, pairs, sets)
+    pairs = buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    links = _links(spark, _by_member(pairs), sets)
     comp = components(spark, links)
     drop(spark, links)
     for turn in range(TURNS):
         # members outside the greatest class of their bucket meet another pivot of it
-        labelled, split = _unresolved(buckets, comp)
-        mixed = save(spark, labelled.join(split, "band"), "mixed")
+        mixed = save(spark, _unresolved(buckets, comp, turn).where("label <> big")
+                     .select(F.col("pivot").alias("a"), F.col("node").alias("b")), "mixed")
         if mixed.isEmpty():
             drop(spark, mixed)
             break
-        pick = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node"))
-        pivot = mixed.where("label = big").groupBy("band").agg(pick.alias("p")).select("band", "p.node")
-        pairs = (mixed.where("label <> big").join(pivot.withColumnRenamed("node", "p"), "band")
-                 .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct())
-        links = _links(spark, pairs, sets)
+        links = _links(spark, _by_member(mixed), sets)
         comp = grown(spark, comp, links)
         drop(spark, links, mixed)
-    labelled, split = _unresolved(buckets, comp)
-    rest = save(spark, labelled.join(split, "band").groupBy("node")
+    rest = save(spark, _unresolved(buckets, comp).groupBy("node")
                 .agg(F.max(F.col("label") != F.col("big")).alias("minor")), "rest")
     drop(spark, buckets)
     final = comp if rest.isEmpty() else _closed(spark, rest, sets, comp)

@@ -51,21 +51,22 @@ def drop(spark: SparkSession, *tables: DataFrame | None) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def dense_order(spark: SparkSession, keys: DataFrame, cols: list[str], out: str) -> DataFrame:
-    """Number distinct rows 0, 1, ... in ascending order of ``cols``.
+def dense_order(spark: SparkSession, keys: DataFrame, cols: list[str], out: str, distinct: bool = False) -> DataFrame:
+    """Number distinct rows 0, 1, ... in ascending order of ``cols``; ``distinct`` says that they are so already.
 
     Range-partitioned sort; only one count per partition is summed (a table
     of as many rows as partitions).  The numbered table is materialised, so
     the numbers do not change when a task is run again.
     """
     n = shuffle_partitions(spark)
-    ranged = (keys.select(*cols).distinct().repartitionByRange(n, *cols)
+    keys = keys.select(*cols) if distinct else keys.select(*cols).distinct()
+    ranged = (keys.repartitionByRange(n, *cols)
               .sortWithinPartitions(*cols)
               .withColumn("_at", F.monotonically_increasing_id()))
     t = save(spark, ranged, "order")
     pid = F.shiftright(F.col("_at"), 33)
-    counts = t.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition of the sort: bounded by the partition count
+    # one row per partition of the sort, bounded by the partition count: one task adds them up
+    counts = t.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).coalesce(1)
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     done = (t.withColumn("_pid", pid).join(F.broadcast(starts), "_pid")

@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from martforge.llm import components as stars, neardup, spans
+from martforge.llm import components as stars, neardup, scratch, spans
 from martforge.llm import words as W
 from martforge.llm.components import components, grown
 from martforge.llm.scratch import save
@@ -258,6 +258,57 @@ def test_components_grown_by_links(s):
     assert grown(s, comp, table(first[::-1])) is comp and comp.count() > 0
 
 
+def test_star_edges_join_all_that_a_task_holds(s, monkeypatch):
+    rng = np.random.default_rng(6)
+    u, v = rng.integers(0, 300, 220), rng.integers(0, 300, 220)
+    u, v = u[u != v], v[u != v]
+    least = {int(x): int(x) for x in np.concatenate([u, v])}
+    for _ in least:
+        for a, b in zip(u.tolist(), v.tolist()):
+            least[a] = least[b] = min(least[a], least[b])
+    node, label = stars.star_edges(u, v)
+    assert sorted(zip(node.tolist(), label.tolist())) == sorted((a, b) for a, b in least.items() if a != b)
+    # a chain in one partition is a star before the first round
+    written = []
+    monkeypatch.setattr(stars, "save", lambda spark, df, name: written.append(name) or save(spark, df, name))
+    chain = s.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long").coalesce(1)
+    assert {r.label for r in components(s, chain).collect()} == {0} and written == ["edges", "least"]
+
+
+def test_no_edges_take_no_shuffle(s, monkeypatch):
+    written = []
+    monkeypatch.setattr(stars, "save", lambda spark, df, name: written.append(name) or save(spark, df, name))
+    none = components(s, s.createDataFrame([(4, 4)], "a long, b long"))
+    assert none.columns == ["node", "label"] and none.count() == 0 and written == ["edges"]
+
+
+def test_further_pivots_are_of_the_greatest_class(s):
+    buckets = s.createDataFrame([(1, n) for n in range(10)] + [(2, 1), (2, 2), (3, 20), (3, 21)], "band long, node long")
+    comp = s.createDataFrame([(n, 3) for n in range(3, 8)] + [(8, 8), (9, 8)], "node long, label long")
+    for turn in range(2):
+        rows = neardup._unresolved(buckets, comp, turn).collect()
+        assert len(rows) == 10 and {r.band for r in rows} == {1} and {r.big for r in rows} == {3}
+        assert len({r.pivot for r in rows}) == 1 and 3 <= rows[0].pivot < 8
+
+
+def test_closing_join_meets_its_hubs_once(s, monkeypatch):
+    """Likeness to the hubs comes with the differences from them, and all kinds of pairs from one join."""
+    seen = _plans(monkeypatch, neardup)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base[i % 7:] + [f"e{i}"] * (i % 3)) for i in range(20)]
+    assert _closed_from_nothing(s, texts) == brute_classes(list(enumerate(texts)), fast_similarity)
+    names = [name for name, _ in seen]
+    assert names.count("links") == 1 and names.count("differences") == 1
+    assert sum(x.strip(" +-:").startswith("Join") for x in dict(seen)["across"].split("\n")) == 1
+
+
+def test_texts_are_not_made_distinct_again(s, monkeypatch):
+    seen = _plans(monkeypatch, scratch)
+    df = s.createDataFrame([(i % 4, f"a b c d e f {i % 5}") for i in range(20)], "doc_id long, text string")
+    got = neardup.classes(s, df).collect()
+    assert len(got) == 5 and [("Aggregate" in plan) for name, plan in seen if name == "order"] == [False]
+
+
 def brute_removed(rows, k):
     """rows: (doc_id, text) in order; the words of each that stay."""
     seen, out = {}, []
