@@ -54,12 +54,15 @@ def sales_team_side(sales_team: DataFrame) -> DataFrame:
 
 def enrich_sales(fact: DataFrame, customer: DataFrame, store: DataFrame,
                  sales_team: DataFrame, store_bounded: bool = False,
-                 keep: list[str] | None = None) -> DataFrame:
+                 keep: list[str] | None = None, last: str | None = None) -> DataFrame:
     """JN-4: fact ⋈ customer ⋈ store ⋈ sales_team (inner, equi).
 
     ``store_bounded`` declares the store dimension to be of fixed small
     size (always broadcast).  ``keep`` carries extra fact columns through
-    (e.g. ``quantity`` for the per-day product report).
+    (e.g. ``quantity`` for the per-day product report).  ``last`` ("customer" or
+    "sales_team") is the dimension to join last, for a mart of that side alone: the names
+    of the other are then not read, and where ``last`` is too large to be broadcast the
+    rows leave the join as the sums of that side need them.
     """
     f = fact.select(*FACT_KEEP, *(keep or []))
     # Inner joins commute; the order is chosen for the shuffle plan:
@@ -71,7 +74,7 @@ def enrich_sales(fact: DataFrame, customer: DataFrame, store: DataFrame,
     # does: what they add to a row is then not shuffled with it.
     sides = [(sales_team_side(sales_team), "sales_person_id", False), (store_side(store), "store_id", store_bounded),
              (customer_side(customer), "customer_id", False)]
-    if small_enough(sides[0][0]):
+    if last == "sales_team" or (last is None and small_enough(sides[0][0])):
         sides = sides[::-1]
     e = f
     for side, key, bounded in sides:

@@ -153,7 +153,7 @@ def q_csv_many_shapes(spark, sf_dir):
     """SRC-4 + SET-1 over ``drops.SHAPES`` header shapes: every row of the fact comes back
     through one scan and a plan that knows no shape."""
     root = shared_dir(spark, "shapes")
-    drops.many_shapes(tpch.sales_fact(spark, sf_dir), root)
+    drops.many_shapes(tpch.sales_rows(spark, sf_dir), root, {"price": tpch.price()})
     routing = conform.route_files(fsrc.manifest(spark, root)).checkpoint(eager=True)
     ing = conform.ingest(spark, routing, root)
     return _doubles(ing.sales.drop("source_file"), "price", "total_cost")
@@ -175,7 +175,7 @@ def _streamed_marts(spark, sf_dir):
     """The whole fact as drops of many shapes, streamed in about three micro-batches with
     monthly partial sums, merged every two batches; returns the output folder."""
     root = shared_dir(spark, "monthly")
-    drops.many_shapes(tpch.sales_fact(spark, sf_dir), f"{root}/landing")
+    drops.many_shapes(tpch.sales_rows(spark, sf_dir), f"{root}/landing", {"price": tpch.price()})
     n_files = fsrc.manifest(spark, f"{root}/landing").count()
     dims = tpch.dimensions(spark, sf_dir)
     incremental.run_available(

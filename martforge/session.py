@@ -14,6 +14,7 @@ import re
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +48,25 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def dropping_shuffles(spark: SparkSession):
+    """Writes made meanwhile delete their shuffle files once they end.  Otherwise these stay
+    until the driver happens to collect garbage, and a run of many writes holds the sum of
+    all their shuffles on disk, not the largest."""
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def ship(spark: SparkSession) -> None:
     """Send the package to the workers, once per context, so that Python
     functions run wherever the driver was started from."""

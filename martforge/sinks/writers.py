@@ -12,18 +12,20 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from martforge.session import shuffle_partitions
+from martforge.session import dropping_shuffles, shuffle_partitions
 
 
 def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
           partition_by: list[str] | None = None, **options: str) -> str:
-    """SNK-1: ``df`` in ``fmt`` under ``path``; errors propagate."""
+    """SNK-1: ``df`` in ``fmt`` under ``path``; errors propagate.  The shuffle files of the
+    write go when it ends."""
     w = df.write.format(fmt).mode(mode)
     for k, v in options.items():
         w = w.option(k, v)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    with dropping_shuffles(df.sparkSession):
+        w.save(path)
     return path
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martforge.schemas import MANDATORY
-from martforge.session import shared_dir
+from martforge.session import dropping_shuffles, shared_dir
 
 # Drop boundaries and shapes of the derived drop set.
 CLEAN_BEFORE = "1998-01-01"
@@ -44,7 +44,8 @@ def corrupt_store_id() -> Column:
 
 def write_drop(df: DataFrame, path: str, columns: list[str | Column]) -> str:
     """Write ``df`` as headed CSV files below ``path`` (one file per task)."""
-    df.select(*columns).write.mode("errorifexists").option("header", "true").csv(path)
+    with dropping_shuffles(df.sparkSession):
+        df.select(*columns).write.mode("errorifexists").option("header", "true").csv(path)
     return path
 
 
@@ -85,22 +86,36 @@ def shape_columns(shape: int) -> list[str]:
     return [f"extra_{j}" for j in range(shape // 16)] + (cols[::-1] if shape // 8 % 2 else cols)
 
 
-def many_shapes(fact: DataFrame, root: str) -> str:
-    """Every row of the fact in a drop of one of ``SHAPES`` header shapes (by customer and
-    quantity), one folder per shape; the extras hold the shape and their number."""
+def shape_lines(fact: DataFrame, derived: dict[str, Column] | None = None) -> DataFrame:
+    """(value, drop): the lines of ``many_shapes`` with their shape, each shape in one
+    partition and its header first.
+
+    The rows go to their shape as they are and become text there: the text, with its
+    extras, takes more room in the shuffle files.  ``derived`` are columns that ``fact``
+    lacks, from others of the same row; they are computed there too."""
     shape = F.pmod(F.col("customer_id") * 7 + F.col("quantity"), F.lit(SHAPES)).cast("int")
-    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    spark = fact.sparkSession
+    headers = spark.createDataFrame([(i, shape_columns(i)) for i in range(SHAPES)], "shape int, columns array<string>")
+    derived = derived or {}
+    kept = [c for c in MANDATORY if c not in derived]
+    rows = fact.select(shape.alias("shape"), F.lit(1).alias("place"), *kept)
+    heads = headers.select("shape", F.lit(0).alias("place"),
+                           *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in kept])
+    cell = lambda c: F.coalesce(derived.get(c, F.col(c)).cast("string"), F.lit(""))
     cells = F.map_from_arrays(F.array(*[F.lit(c) for c in MANDATORY]), F.array(*[cell(c) for c in MANDATORY]))
-    headers = fact.sparkSession.createDataFrame([(i, shape_columns(i)) for i in range(SHAPES)],
-                                                "shape int, columns array<string>")
+    line = F.concat_ws(",", F.transform("columns", lambda c: F.coalesce(
+        F.try_element_at("cells", c), F.concat(F.col("shape").cast("string"), F.lit("-"), F.substring(c, 7, 10)))))
     # a fixed table of SHAPES rows
-    rows = (fact.select(shape.alias("shape"), cells.alias("cells")).join(F.broadcast(headers), "shape")
-            .select("shape", F.lit(1).alias("place"), F.concat_ws(",", F.transform("columns", lambda c: F.coalesce(
-                F.try_element_at("cells", c), F.concat(F.col("shape").cast("string"), F.lit("-"),
-                                                       F.substring(c, 7, 10))))).alias("value")))
-    lines = headers.select("shape", F.lit(0).alias("place"), F.concat_ws(",", "columns").alias("value")).union(rows)
+    lines = (heads.union(rows).repartition(SHAPES, "shape").withColumn("cells", cells)
+             .join(F.broadcast(headers), "shape")
+             .select("shape", "place", F.when(F.col("place") == 0, F.concat_ws(",", "columns")).otherwise(line).alias("value")))
     # the header is the first line of its file: sorted by shape, which the writer asks for anyway
-    (lines.repartition(SHAPES, "shape").sortWithinPartitions("shape", "place").drop("place")
-     .select("value", F.col("shape").alias("drop")).write.partitionBy("drop").option("quote", "")
-     .option("sep", "\x01").csv(root))
+    return lines.sortWithinPartitions("shape", "place").select("value", F.col("shape").alias("drop"))
+
+
+def many_shapes(fact: DataFrame, root: str, derived: dict[str, Column] | None = None) -> str:
+    """Every row of the fact in a drop of one of ``SHAPES`` header shapes (by customer and
+    quantity), one folder per shape; the extras hold the shape and their number."""
+    with dropping_shuffles(fact.sparkSession):
+        shape_lines(fact, derived).write.partitionBy("drop").option("quote", "").option("sep", "\x01").csv(root)
     return root

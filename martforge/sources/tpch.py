@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.functions.columns import money
@@ -73,8 +73,21 @@ def price_cents_expr(total_cost: str = "total_cost", quantity: str = "quantity")
     return f"(2 * {cents} + {quantity}) DIV (2 * {quantity})"
 
 
+def price() -> Column:
+    """Unit price of a row of ``sales_rows``."""
+    return ((F.expr(price_cents_expr()).cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)"))
+            .cast("decimal(18,2)").alias("price"))
+
+
 def sales_fact(spark: SparkSession, sf_dir: str, products: bool = True) -> DataFrame:
-    """The conformed sales fact (schema ``schemas.SALES``).
+    """The conformed sales fact (schema ``schemas.SALES``): ``sales_rows`` with their price."""
+    return sales_rows(spark, sf_dir, products).select(
+        "customer_id", "store_id", "product_name", "sales_date", "sales_person_id", price(),
+        "quantity", "total_cost", F.lit(None).cast("string").alias("additional_column"))
+
+
+def sales_rows(spark: SparkSession, sf_dir: str, products: bool = True) -> DataFrame:
+    """The columns of the sales fact that come from the tables.
 
     lineitem ⋈ orders ⋈ supplier, with the name of the part (null if it is unknown: no
     sale is lost for it).  Without ``products`` the name is null and ``part`` is neither
@@ -95,6 +108,8 @@ def sales_fact(spark: SparkSession, sf_dir: str, products: bool = True) -> DataF
     # step hash-partitioned by l_suppkey (= sales_person_id), which the
     # sales-team join of the enrichment then reuses without a new shuffle
     size_shuffles(li)
+    # a day takes less room in the shuffle files than a time
+    li = li.select(F.col("l_shipdate").cast("date").alias("sales_date"), *[c for c in li.columns if c != "l_shipdate"])
     f = join_dimension(li, orders, "l_orderkey")
     if products:
         part = table(spark, sf_dir, "part").select(
@@ -103,22 +118,15 @@ def sales_fact(spark: SparkSession, sf_dir: str, products: bool = True) -> DataF
     else:
         f = f.withColumn("product_name", F.lit(None).cast("string"))
     f = join_dimension(f, supplier, "l_suppkey")
-    f = f.select(
+    return f.select(
         F.col("customer_id"),
         F.col("store_id"),
         F.col("product_name"),
-        F.col("l_shipdate").cast("date").alias("sales_date"),
+        "sales_date",
         F.col("l_suppkey").alias("sales_person_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         money("l_extendedprice").alias("total_cost"),
     )
-    return f.select(
-        "customer_id", "store_id", "product_name", "sales_date", "sales_person_id",
-        (F.expr(price_cents_expr()).cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)"))
-        .cast("decimal(18,2)").alias("price"),
-        "quantity", "total_cost",
-        F.lit(None).cast("string").alias("additional_column"),
-    )
 
 
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:

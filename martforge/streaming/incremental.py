@@ -62,7 +62,8 @@ def ingest_batch(output: str, header_method: str = "auto", landing: str | None =
         writers.write(routing.drop("columns"), f"{output}/routing/{part}")
         writers.write(conform.quarantined_lines(spark, routing, landing), f"{output}/quarantine/{part}")
         rows = conform.ingest(spark, routing, landing).conformed
-        writers.write(rows.withColumn("_raw", F.when(F.col("_bad"), F.col("_raw"))), f"{output}/rows/{part}")
+        writers.write(rows.withColumn("_raw", F.when(F.col("_bad"), F.col("_raw"))), f"{output}/rows/{part}",
+                      compression="zstd")
         if dims is not None:
             good = spark.read.parquet(f"{output}/rows/{part}").where(~F.col("_bad")).drop("_bad", "_raw")
             monthly.add_batch(spark, output, good, batch_id, dims)

@@ -1,7 +1,8 @@
 """Monthly marts of the incremental ingest (STR-1, AGG-1, AGG-2, WIN-4).
 
-A micro-batch joins its own rows to the dimensions once and writes partial sums of the
-monthly totals below ``part/batch_id=<id>``.  Totals are sums, so the mart is the sum of
+A micro-batch joins its own rows to the dimensions, for each mart with the names of its own
+side alone (a table of all sales with all names would be several times the sales), and writes
+partial sums of the monthly totals below ``part/batch_id=<id>``.  Totals are sums, so the mart is the sum of
 the partial sums; every ``merge_every`` batches these are merged into one table
 ``merged/upto=<id>``, so a reader sums one merged table and a bounded number of parts.
 
@@ -9,7 +10,7 @@ Replays change nothing: an output that stands (its write was committed) is kept,
 does not is written again, and ``upto`` tells which parts a merged table holds.  Ranks and
 incentives need whole months, so they are computed on the merged totals when read.
 
-Names and addresses are those that the dimensions had when the batch ran: a customer whose
+Names and addresses are those that the dimensions had when the part was written: a customer whose
 attributes change has one row per variant, as ``marts.customer_monthly`` has.
 """
 
@@ -44,12 +45,22 @@ def _merges(spark: SparkSession, base: str) -> list[int]:
 
 
 def _once(df: DataFrame, path: str) -> None:
+    """Sums sorted by what they are of: a name is next to itself, in the file and in the
+    shuffle files of the next merge, where it then takes next to no room."""
     if not folders.finished(df.sparkSession, path):
-        writers.write(df, path)
+        writers.write(df.sortWithinPartitions(*_keys(df)), path, compression="zstd")
+
+
+def _keys(totals: DataFrame) -> list[str]:
+    """What the months of a row of ``totals`` are of: the columns but the month and the total."""
+    return totals.columns[:-2]
 
 
 def _totals(spark: SparkSession, base: str, last: int | None = None) -> DataFrame:
-    """Sums over the newest merged table and the parts behind it (up to batch ``last``)."""
+    """Sums over the newest merged table and the parts behind it (up to batch ``last``).
+
+    The rows are dealt out by all but their month: the months of a customer stay together, as
+    they were sorted.  Each part has one row per key and month, so no key is hot."""
     done = _merges(spark, base)
     upto = done[-1] if done else -1
     parts = spark.read.parquet(f"{base}/part").where(F.col("batch_id") > upto)
@@ -58,18 +69,17 @@ def _totals(spark: SparkSession, base: str, last: int | None = None) -> DataFram
     parts = parts.drop("batch_id")
     if done:
         parts = parts.unionByName(spark.read.parquet(f"{base}/merged/upto={upto}"))
-    attrs = [c for c in parts.columns if c != "total_sales"]
-    return parts.groupBy(*attrs).agg(F.sum("total_sales").cast(TOTAL).alias("total_sales"))
+    attrs = parts.columns[:-1]
+    return parts.repartition(*_keys(parts)).groupBy(*attrs).agg(F.sum("total_sales").cast(TOTAL).alias("total_sales"))
 
 
 def add_batch(spark: SparkSession, output: str, sales: DataFrame, batch_id: int, dims: Dimensions) -> None:
-    """The partial sums of one micro-batch's conformed ``sales``, merged when it is time."""
-    joined = f"{output}/enriched/batch_id={batch_id}"
-    _once(enrich.enrich_sales(sales, dims.customer, dims.store, dims.sales_team,
-                              store_bounded=dims.store_bounded), joined)
-    enriched = spark.read.parquet(joined)
-    for name, part in ((CUSTOMER, marts.customer_monthly(marts.customer_mart(enriched))),
-                       (SALES_TEAM, marts.sales_team_monthly(marts.sales_team_mart(enriched)))):
+    """The partial sums of one micro-batch's conformed ``sales`` (a table that stands: each
+    mart reads it), merged when it is time."""
+    enriched = lambda last: enrich.enrich_sales(
+        sales, dims.customer, dims.store, dims.sales_team, store_bounded=dims.store_bounded, last=last)
+    for name, part in ((CUSTOMER, marts.customer_monthly(marts.customer_mart(enriched("customer")))),
+                       (SALES_TEAM, marts.sales_team_monthly(marts.sales_team_mart(enriched("sales_team"))))):
         base = f"{output}/{name}"
         _once(part.withColumn("total_sales", F.col("total_sales").cast(TOTAL)), f"{base}/part/batch_id={batch_id}")
         done = _merges(spark, base)
