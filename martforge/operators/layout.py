@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from martforge.operators.joins import _parse_bytes, estimated_bytes
 from martforge.session import put_back, shuffle_partitions
@@ -69,3 +71,19 @@ def size_shuffles(df: DataFrame) -> int:
         spark.conf.set(_ADVISORY, str(TASK_BYTES))
     spark._martforge_sized = before
     return n
+
+
+@contextmanager
+def task_bytes(spark: SparkSession, size: int):
+    """Adaptive execution gives a task at most ``size`` shuffled bytes meanwhile (or what the
+    session asks for, if that is less)."""
+    before = spark.conf.get(_ADVISORY, None)
+    if _parse_bytes(before or "64m") > size:
+        spark.conf.set(_ADVISORY, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_ADVISORY)
+        else:
+            spark.conf.set(_ADVISORY, before)

@@ -21,11 +21,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.operators import enrich, marts
+from martforge.operators import enrich, layout, marts
 from martforge.sinks import writers
 from martforge.sources import folders
 
 TOTAL = "decimal(28,2)"    # of a sum of money: 26 digits before the point
+# shuffled bytes of a task: narrow rows that are joined to names, summed and sorted take some
+# 30 times as much there
+TASK_BYTES = 6 << 20
 CUSTOMER, SALES_TEAM = "customer_monthly", "sales_team_monthly"
 
 
@@ -47,8 +50,10 @@ def _merges(spark: SparkSession, base: str) -> list[int]:
 def _once(df: DataFrame, path: str) -> None:
     """Sums sorted by what they are of: a name is next to itself, in the file and in the
     shuffle files of the next merge, where it then takes next to no room."""
-    if not folders.finished(df.sparkSession, path):
-        writers.write(df.sortWithinPartitions(*_keys(df)), path, compression="zstd")
+    spark = df.sparkSession
+    if not folders.finished(spark, path):
+        with layout.task_bytes(spark, TASK_BYTES):
+            writers.write(df.sortWithinPartitions(*_keys(df)), path, compression="zstd")
 
 
 def _keys(totals: DataFrame) -> list[str]:
